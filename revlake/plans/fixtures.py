@@ -54,8 +54,9 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_
 
 view("articles", "lineitem", """
 SELECT l_orderkey AS rev_id,
-  CAST(row_number() OVER (PARTITION BY l_orderkey
-    ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS jo_pos,
+  lpad(CAST(l_linenumber AS STRING), 2, '0') || '-' || lpad(CAST(l_partkey AS STRING), 10, '0') || '-'
+    || lpad(CAST(l_suppkey AS STRING), 10, '0') || '-' || lpad(CAST(CAST(floor(l_extendedprice * 100) AS BIGINT) AS STRING), 12, '0') AS art_key,
+  l_linenumber AS line_no,
   CAST(CAST(floor(l_quantity) AS BIGINT) AS STRING) AS jo_num,
   CASE WHEN l_linenumber = 7 THEN '2' ELSE '' END AS jo_branch,
   CASE WHEN l_returnflag = 'R' THEN '' ELSE 'part ' || CAST(l_partkey AS STRING) END AS jo_title,
@@ -118,8 +119,9 @@ SELECT 'kr/' || CASE WHEN segment = 'BUILDING' THEN '구/' ELSE '' END || replac
     WHEN segment = 'FURNITURE' AND priority = '2-HIGH' THEN '# ' || title || {NL} || '짧음'
     WHEN status = 'P' THEN '# ' || title || {NL} || '이 법을 폐지한다.'
     ELSE '# ' || title || {NL} || '##### 제1조 (목적)' || {NL} || '본문 ' || CAST(rev_id AS STRING) END AS body
-FROM (SELECT *, row_number() OVER (PARTITION BY custkey ORDER BY prom_date DESC, rev_id DESC) AS rn FROM revisions) r
-WHERE rn = 1 AND NOT (segment = 'MACHINERY' AND priority = '5-LOW')
+FROM revisions
+WHERE rev_id IN (SELECT max_by(rev_id, prom_date || lpad(CAST(rev_id AS STRING), 20, '0')) FROM revisions GROUP BY custkey)
+  AND NOT (segment = 'MACHINERY' AND priority = '5-LOW')
 """)
 
 # -- court cases -------------------------------------------------------------

@@ -204,10 +204,10 @@ _LINKS = " ![a](b) [u](https://x.y) [m](#z) \\[q](r) [s]( tel:1)"
 
 
 @query("escape_relative_links", "articles", f"""
-SELECT rev_id, jo_pos, replace(jo_text, '[별표 3](일반직)', '\\[별표 3](일반직)') || CASE WHEN flag = 'A' THEN '{_LINKS} \\[ab](c d)' ELSE '' END AS t FROM articles""")
+SELECT rev_id, art_key, replace(jo_text, '[별표 3](일반직)', '\\[별표 3](일반직)') || CASE WHEN flag = 'A' THEN '{_LINKS} \\[ab](c d)' ELSE '' END AS t FROM articles""")
 def _(t: Inputs):
     raw = F.concat(F.col("jo_text"), F.when(F.col("flag") == "A", F.lit(_LINKS + " [ab](c d)")).otherwise(""))
-    return t.view("articles").select("rev_id", "jo_pos", text.escape_relative_links(raw).alias("t"))
+    return t.view("articles").select("rev_id", "art_key", text.escape_relative_links(raw).alias("t"))
 
 
 _INDENTED = "replace(replace(text, chr(10), chr(10) || '    '), '. ', '.' || chr(10) || '      ')"
@@ -308,13 +308,13 @@ def _(t: Inputs):
     return t.view("revisions").select("rev_id", names.law_group_and_file("title", "kind").alias("g")).select("rev_id", "g.*")
 
 
-_CODE = """CASE WHEN flag = 'R' THEN lpad(jo_num, 4, '0') || lpad(CAST(jo_pos % 3 AS STRING), 2, '0')
-  WHEN flag = 'A' THEN CAST(CAST(jo_num AS BIGINT) * 100 + (jo_pos % 2) AS STRING) ELSE ' 제' || jo_num END"""
+_CODE = """CASE WHEN flag = 'R' THEN lpad(jo_num, 4, '0') || lpad(CAST(line_no % 3 AS STRING), 2, '0')
+  WHEN flag = 'A' THEN CAST(CAST(jo_num AS BIGINT) * 100 + (line_no % 2) AS STRING) ELSE ' 제' || jo_num END"""
 
 
 @query("article_number", "articles", f"""
-WITH c AS (SELECT rev_id, jo_pos, trim({_CODE}) AS code, CASE WHEN flag = 'N' THEN '가' ELSE jo_branch END AS br, flag, line_status FROM articles)
-SELECT rev_id, jo_pos, CASE WHEN regexp_full_match(code, '\\d{{6}}') THEN CAST(CAST(substr(code, 1, 4) AS INT) AS STRING)
+WITH c AS (SELECT rev_id, art_key, trim({_CODE}) AS code, CASE WHEN flag = 'N' THEN '가' ELSE jo_branch END AS br, flag, line_status FROM articles)
+SELECT rev_id, art_key, CASE WHEN regexp_full_match(code, '\\d{{6}}') THEN CAST(CAST(substr(code, 1, 4) AS INT) AS STRING)
     WHEN regexp_full_match(code, '\\d+') THEN CASE WHEN CAST(code AS BIGINT) <> 0 AND CAST(code AS BIGINT) % 100 = 0
       THEN CAST(CAST(code AS BIGINT) // 100 AS STRING) ELSE CAST(CAST(code AS BIGINT) AS STRING) END ELSE code END AS number,
   CASE WHEN regexp_full_match(code, '\\d{{6}}') AND br = '' THEN CASE WHEN CAST(substr(code, 5, 2) AS INT) = 0 THEN '' ELSE CAST(CAST(substr(code, 5, 2) AS INT) AS STRING) END ELSE br END AS branch,
@@ -325,7 +325,7 @@ def _(t: Inputs):
         "br", F.when(F.col("flag") == "N", "가").otherwise(F.col("jo_branch")))
     kind = F.when(F.col("line_status") == "F", " y ").otherwise("N")
     code = F.when(F.col("flag") == "R", "C0001").when(F.col("flag") == "A", "C0011").otherwise("C9")
-    return rows.select("rev_id", "jo_pos", names.article_number("code", "br", kind, code).alias("a")).select("rev_id", "jo_pos", "a.*")
+    return rows.select("rev_id", "art_key", names.article_number("code", "br", kind, code).alias("a")).select("rev_id", "art_key", "a.*")
 
 
 @query("normalize_prom_number", "commits", "SELECT rev_id, replace(replace(replace(prom_num, '제', ''), '호', ''), ' ', '') AS num FROM commits")

@@ -1 +1,256 @@
+"""Scans, parsers, ledgers and sinks."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from revlake.functions.dates import format_date_nullable
+from revlake.functions.names import compose_stem, court_tier
+from revlake.functions.organizations import NATIONAL
+from revlake.operators.ordering import with_position  # noqa: F401
+from revlake.plans import samples
+from revlake.plans.catalog import query, scratch
+from revlake.plans.fixtures import Inputs
+from revlake.plans.queries_scalars import SQL_AGENCY, SQL_STEMS, dash, sql_strip
+from revlake.sources import documents as docs_io
+from revlake.sources import records, xml_details
+
+_BAD = samples.BAD
+_NONE = f"({samples.BAD} OR {samples.FAILED})"
+
+
+def _blanked(*cols: str) -> str:
+    return ", ".join(f"CASE WHEN {_NONE} THEN '' ELSE {c} END AS {c}" for c in cols)
+
+
+@query("parse_law_detail", "revisions articles addenda", f"""
+SELECT r.rev_id, CASE WHEN {_NONE} OR {samples.UNTITLED} THEN '' ELSE title END AS title,
+  {_blanked('lineage_id', 'kind', 'dept', 'prom_date', 'prom_num', 'eff_date', 'amendment', 'area')},
+  CASE WHEN {_NONE} THEN 0 ELSE coalesce(a.n, 0) END AS n_articles, CASE WHEN {_NONE} OR b.rev_id IS NULL THEN 0 ELSE 1 END AS n_addenda,
+  CASE WHEN {_BAD} THEN 'malformed' WHEN {samples.FAILED} THEN 'api_error'
+    WHEN {samples.UNTITLED} OR lineage_id = '' THEN 'lacking' ELSE 'valid' END AS detail_status
+FROM revisions r LEFT JOIN (SELECT rev_id, count(*) AS n FROM articles GROUP BY rev_id) a ON r.rev_id = a.rev_id
+LEFT JOIN addenda b ON r.rev_id = b.rev_id""")
+def _(t: Inputs):
+    rows = xml_details.parse_law_detail(samples.law_xml(t))
+    meta = ("title", "lineage_id", "kind", "dept", "prom_date", "prom_num", "eff_date", "amendment", "area")
+    return rows.select(
+        "rev_id", *[f"metadata.{m}" for m in meta], F.size("articles").cast("bigint").alias("n_articles"),
+        F.size("addenda").alias("n_addenda"), "detail_status")
+
+
+_NODES = f"""
+ok AS (SELECT rev_id FROM revisions WHERE NOT {_NONE}),
+a AS (SELECT a.*, CAST(row_number() OVER (PARTITION BY a.rev_id ORDER BY art_key) AS INTEGER) AS jo_pos FROM articles a JOIN ok USING (rev_id))"""
+
+
+@query("explode_articles", "revisions articles", f"""
+WITH {_NODES}
+SELECT rev_id, 'article' AS level, jo_pos, 0 AS hang_pos, 0 AS ho_pos, 0 AS mok_pos, jo_num AS num, jo_branch AS branch, jo_text || ' <개정 2020.1.1>' AS text FROM a
+UNION ALL SELECT rev_id, 'paragraph', jo_pos, 1, 0, 0, hang_num, '', hang_text FROM a
+UNION ALL SELECT rev_id, 'paragraph', jo_pos, 2, 0, 0, '③', '', hang_num FROM a WHERE line_status = 'F'
+UNION ALL SELECT rev_id, 'subpara', jo_pos, 1, 1, 0, ho_num, '', ho_text FROM a
+UNION ALL SELECT rev_id, 'item', jo_pos, 1, 1, 1, mok_num, '', mok_text FROM a WHERE flag = 'R'""")
+def _(t: Inputs):
+    return xml_details.explode_articles(xml_details.parse_law_detail(samples.law_xml(t)), "rev_id")
+
+
+_FILE1 = "CASE WHEN priority = '1-URGENT' THEN '' ELSE 'https://www.law.go.kr/LSW/f?seq=' || CAST(rev_id AS STRING) END"
+_PDF1 = "CASE WHEN status = 'O' THEN 'https://www.law.go.kr/pdf/' || CAST(rev_id AS STRING) ELSE '' END"
+_NUM1 = "CASE WHEN status = 'F' THEN '1' ELSE '' END"
+
+
+@query("parse_attachments", "revisions", f"""
+WITH u AS (SELECT *, CAST(rev_id AS STRING) AS i FROM revisions)
+SELECT rev_id, 'law' AS corpus, {_NUM1} AS num, '별표' AS kind, '표  ' || i AS title, '' AS file_type, {_FILE1} AS file_link, {_PDF1} AS pdf_link
+  FROM u WHERE {_FILE1} <> '' OR {_PDF1} <> ''
+UNION ALL SELECT rev_id, 'law', '', '서식', '', '', 'https://x/' || i, '' FROM u
+UNION ALL SELECT rev_id, 'rule', CASE WHEN status = 'F' THEN '1' ELSE '별표 1' END, '별표', '표  ' || i, '', {_FILE1}, {_PDF1} FROM u WHERE {_FILE1} <> '' OR {_PDF1} <> ''
+UNION ALL SELECT rev_id, 'rule', '별표 2', '서식', '이름', '', 'https://x/' || i, '' FROM u
+UNION ALL SELECT rev_id, 'ordinance', {_NUM1}, '별표', '표 ' || i, 'hwp', 'https://f/' || i, '' FROM u WHERE status <> 'P'""")
+def _(t: Inputs):
+    raw = samples.attachment_xml(t)
+    law = xml_details.parse_law_detail(raw).select("rev_id", F.lit("law").alias("corpus"), F.inline("attachments"))
+    rule = xml_details.parse_admrule_detail(raw, NATIONAL).select("rev_id", F.lit("rule").alias("corpus"), F.inline("attachments"))
+    ordinance = xml_details.parse_ordinance_detail(raw).select("rev_id", F.lit("ordinance").alias("corpus"), F.inline("attachments"))
+    return law.unionByName(rule).unionByName(ordinance).drop("branch")
+
+
+_OTHER_ROOT = "(event_type = 'view' AND user_id % 11 = 0)"
+_CUT = "(event_type = 'click' AND user_id % 13 = 0)"
+
+
+@query("parse_precedent_detail", "cases", f"""
+SELECT serial, case_name, case_no, '' AS verdict, court, court_code, case_type, holding, '' AS summary, reasons,
+  CASE WHEN regexp_full_match(date, '\\d{{8}}') AND CAST(substr(date, 1, 4) AS INT) BETWEEN 4200 AND 4330
+    THEN lpad(CAST(CAST(substr(date, 1, 4) AS INT) - 2333 AS STRING), 4, '0') || substr(date, 5) ELSE date END AS date
+FROM cases WHERE NOT {_OTHER_ROOT} AND NOT {_CUT}""")
+def _(t: Inputs):
+    rows = xml_details.parse_precedent_detail(samples.case_xml(t).select("xml"))
+    return rows.select("serial", "case_name", "case_no", "verdict", "court", "court_code", "case_type", "holding", "summary", "reasons", "date")
+
+
+@query("parse_admrule_detail", "agency_rows rules", f"""
+WITH {SQL_AGENCY}
+SELECT g.rev_id, 'r' || CAST(g.rev_id AS STRING) AS identity, CAST(g.rev_id AS STRING) AS serial, name, g.rule_type AS kind, issue AS issue_no, issue_date,
+  amendment, current_flag, CASE WHEN current_flag = 'N' THEN '' ELSE '제1장 총칙' || chr(10) || '제1조(목적) ① 이 규칙은' || chr(10) || chr(10) || chr(10)
+    || '제2조 삭제' || chr(10) || '1. 가 나' || chr(10) || '가. 다  ' || chr(10) || '본문 ' || CAST(g.rev_id AS STRING) || chr(10) || chr(10) || '덧붙임 [표](별지)' END AS body_text,
+  CASE WHEN resolved.top = '' AND resolved.agency = '' THEN '_미분류' END AS unresolved
+FROM agency_rows g JOIN rules USING (rev_id) JOIN resolved USING (rev_id)""")
+def _(t: Inputs):
+    rows = xml_details.parse_admrule_detail(samples.rule_xml(t), NATIONAL)
+    return rows.select(
+        "rev_id", "identity", "serial", "name", "kind", "issue_no", "issue_date", "amendment", "current_flag", "body_text",
+        F.when(F.col("top") == "_미분류", F.col("agency")).alias("unresolved"))
+
+
+@query("parse_ordinance_detail", "revisions jurisdictions", """
+SELECT r.rev_id, 'o' || CAST(custkey AS STRING) AS identity, trim(regexp_replace(title, '\\s+', ' ', 'g')) || ' 조례' AS name,
+  CASE priority WHEN '1-URGENT' THEN '조례' WHEN '2-HIGH' THEN '규칙' ELSE '기타' END AS kind, trim(regexp_replace(raw, '\\s+', ' ', 'g')) AS body, amendment,
+  CASE status WHEN 'F' THEN CAST(r.rev_id % 50 AS STRING) WHEN 'O' THEN CAST(r.rev_id % 9 + 1 AS STRING) ELSE '' END AS num,
+  CASE WHEN status = 'F' AND r.rev_id % 3 <> 0 THEN CAST(r.rev_id % 3 AS STRING) ELSE '' END AS branch,
+  CASE status WHEN 'F' THEN '조문' ELSE '' END AS article_kind, CASE status WHEN 'F' THEN '목적' WHEN 'O' THEN '시행' ELSE '' END AS article_title,
+  CASE segment WHEN 'BUILDING' THEN '' WHEN 'MACHINERY' THEN prom_date || ':7:첫째|' || eff_date || '::둘째' ELSE prom_date || ':: 부칙 하나 ' END AS addenda
+FROM revisions r JOIN jurisdictions j ON r.custkey = j.c_custkey""")
+def _(t: Inputs):
+    rows = xml_details.parse_ordinance_detail(samples.ordinance_xml(t))
+    jo = lambda f: F.coalesce(F.get("articles", 0)[f], F.lit(""))
+    return rows.select(
+        "rev_id", "identity", "name", "kind", "body", "amendment", jo("num").alias("num"), jo("branch").alias("branch"),
+        jo("kind").alias("article_kind"), jo("title").alias("article_title"),
+        F.array_join(F.transform("addenda", lambda a: F.concat_ws(":", a["date"], a["num"], a["text"])), "|").alias("addenda"))
+
+
+@query("parse_search_page", "revisions", f"""
+SELECT CAST(custkey AS STRING) || '-' || CAST(rev_id // {samples.BLOCK} AS STRING) AS page_key, custkey AS total, rev_id // {samples.BLOCK} AS page,
+  CAST(rev_id AS STRING) AS rev_id, title, lineage_id, prom_date, prom_num, amendment, 'A & B' AS dept, '' AS link FROM revisions WHERE segment <> 'FURNITURE'""")
+def _(t: Inputs):
+    rows = xml_details.parse_search_page(samples.search_pages(t), "law")
+    fields = {"rev_id": "법령일련번호", "title": "법령명한글", "lineage_id": "법령ID", "prom_date": "공포일자", "prom_num": "공포번호",
+              "amendment": "제개정구분명", "dept": "소관부처명", "link": "법령상세링크"}
+    return rows.select("page_key", "total", "page", *[F.try_element_at("item", F.lit(v)).alias(k) for k, v in fields.items()])
+
+
+@query("extract_html_rows", "revisions", f"""
+SELECT custkey, CAST(rev_id AS STRING) AS rev_id, title, amendment, kind, prom_num, prom_date, eff_date FROM revisions WHERE NOT starts_with(title, '신 ')""")
+def _(t: Inputs):
+    rows = records.extract_html_rows(samples.history_html(t), "html", "name")
+    return rows.select("custkey", "rev_id", "title", "amendment", "kind", "prom_num", "prom_date", "eff_date")
+
+
+@query("read_history_json", "revisions", f"""
+WITH f AS (SELECT CAST(custkey AS STRING) || '-' || CAST(rev_id // {samples.BLOCK} AS STRING) AS file, segment, custkey, rev_id, title, amendment, prom_date FROM revisions),
+s AS (SELECT DISTINCT file, CASE WHEN segment = 'HOUSEHOLD' AND custkey % 2 = 0 THEN 'empty' WHEN segment IN ('HOUSEHOLD', 'BUILDING') THEN 'malformed' ELSE 'ok' END AS status,
+  CASE WHEN segment = 'MACHINERY' THEN 1 ELSE 0 END AS bad_entries FROM f)
+SELECT s.file, s.status, s.bad_entries, CAST(f.rev_id AS STRING) AS rev_id, f.title, f.amendment, f.prom_date
+FROM s LEFT JOIN f ON s.file = f.file AND s.status = 'ok'""")
+def _(t: Inputs):
+    entries, status = records.parse_history_json(samples.history_files(t), "file", "text")
+    return status.join(entries, "file", "left").select("file", "status", "bad_entries", "rev_id", "title", "amendment", "prom_date")
+
+
+@query("read_index_csv", "revisions", f"""
+SELECT CAST(rev_id AS STRING) AS rev_id, {sql_strip('dept')} AS dept, lineage_id, title, prom_date, prom_num, eff_date, 'K1' AS kind_code, kind,
+  '분야 "' || area || '"' AS area FROM revisions WHERE status <> 'P'""")
+def _(t: Inputs):
+    return records.parse_index_lines(samples.index_lines(t), "line")
+
+
+SQL_DOCS = "SELECT doc_id, source, lang, text, content, doc_id % 10 = 3 AS bare, doc_id % 10 = 7 AS open_header FROM docs"
+
+
+@query("read_frontmatter_docs", "docs", f"""
+WITH d AS ({SQL_DOCS})
+SELECT doc_id, CASE WHEN bare THEN 'no_header' WHEN open_header THEN CASE WHEN contains(content, chr(10) || '---' || chr(10)) THEN 'ok' ELSE 'unterminated' END ELSE 'ok' END AS status,
+  CASE WHEN bare OR open_header THEN NULL ELSE 'doc ' || CAST(doc_id AS STRING) END AS title,
+  CASE WHEN bare OR open_header THEN NULL ELSE lpad(CAST(doc_id % 50 AS STRING), 4, '0') END AS lineage_id,
+  CASE WHEN bare OR open_header THEN NULL ELSE source || '|' || lang END AS departments,
+  CASE WHEN bare OR open_header THEN length(content) ELSE length(text) + 1 END AS body_chars FROM d""")
+def _(t: Inputs):
+    rows = docs_io.read_frontmatter_docs(t.view("docs"), "content")
+    scalar = lambda k: F.try_element_at("scalars", F.lit(k))
+    shown = lambda c: F.when(F.col("header_status") == "ok", c)
+    return rows.select(
+        "doc_id", F.col("header_status").alias("status"), shown(scalar("제목")).alias("title"), shown(scalar("법령ID")).alias("lineage_id"),
+        F.array_join(shown(F.try_element_at("lists", F.lit("소관부처"))), "|").alias("departments"),
+        F.length("body").cast("bigint").alias("body_chars"))
+
+
+@query("header_field_scan", "docs", f"""
+WITH d AS ({SQL_DOCS})
+SELECT doc_id, CASE WHEN bare OR open_header THEN '' ELSE CAST(doc_id AS STRING) END AS rev_id,
+  CASE WHEN bare OR open_header THEN '' ELSE '20' || lpad(CAST(doc_id % 30 AS STRING), 2, '0') || '-' || lpad(CAST(1 + doc_id % 12 AS STRING), 2, '0') || '-15' END AS day,
+  CASE WHEN bare OR open_header THEN '' ELSE 'https://www.law.go.kr/법령/doc' || CAST(doc_id AS STRING) END AS source FROM d""")
+def _(t: Inputs):
+    return docs_io.header_field_scan(t.view("docs").select("doc_id", "content"), "content", 20, {
+        "rev_id": r"(?m)^법령MST:\s*[\"']?(\d+)[\"']?", "day": r"(?m)^공포일자:\s*[\"']?(\d{4}-\d{2}-\d{2})[\"']?",
+        "source": r"(?m)^출처:\s*(\S+)"}).drop("content")
+
+
+@query("parse_commit_log", "commits", """
+SELECT CAST(rev_id AS STRING) AS rev_id, hash, commit_date, kind, name, CASE WHEN amendment = '폐지' THEN '' ELSE amendment END AS amendment, prom_date, prom_num FROM commits""")
+def _(t: Inputs):
+    return records.parse_commit_log(samples.commit_records(t), "record", "seq")
+
+
+@query("read_id_list", "commits", "SELECT DISTINCT prom_num AS id FROM commits WHERE prom_num <> ''")
+def _(t: Inputs):
+    return records.parse_id_list(samples.id_lines(t), "line")
+
+
+@query("read_allowlist", "raw_allowlist", """
+WITH e AS (SELECT *, CASE WHEN match_mode = 'original_name' THEN name ELSE key END AS effective_key FROM raw_allowlist),
+f AS (SELECT effective_key, min(pos) AS first_pos FROM e GROUP BY effective_key)
+SELECT pos, e.effective_key, array_to_string(list_filter([CASE WHEN trim(key) = '' THEN 'missing key' END, CASE WHEN trim(name) = '' THEN 'missing name' END,
+  CASE WHEN trim(reason) = '' THEN 'missing reason' END, CASE WHEN match_mode NOT IN ('stem', 'original_name') THEN 'bad match_mode' END,
+  CASE WHEN NOT regexp_full_match(issue, '[^/]+/[^/]+#\\d+') THEN 'bad issue' END, CASE WHEN NOT regexp_full_match(key, '\\d+') THEN 'bad key' END,
+  CASE WHEN TRY_CAST(expires_on AS DATE) IS NULL THEN 'bad expires_on' END, CASE WHEN pos > first_pos THEN 'duplicate key' END], lambda v: v IS NOT NULL), '|') AS violations
+FROM e JOIN f ON e.effective_key = f.effective_key""")
+def _(t: Inputs):
+    return records.read_allowlist(t.view("raw_allowlist"), digits=True).select(
+        "pos", "effective_key", F.array_join("violations", "|").alias("violations"))
+
+
+@query("file_inventory", "inventory", "SELECT path, bucket, strlen(text) AS bytes, sha256(text) AS sha256 FROM inventory")
+def _(t: Inputs):
+    return docs_io.text_inventory(t.view("inventory"), "path", "bucket", "text")
+
+
+@query("write_documents", "docs", "SELECT path, source AS corpus, md5(content) AS digest FROM docs")
+def _(t: Inputs):
+    target = scratch(t.spark, "documents")
+    docs_io.write_documents(t.view("docs").select("path", F.col("source").alias("corpus"), "content"), target)
+    return t.spark.read.parquet(target).select("path", "corpus", F.md5("content").alias("digest"))
+
+
+@query("export_metadata_index", "revisions", f"""
+SELECT rev_id, 'kr/' || title AS path, title, kind, prom_date, '' AS state FROM revisions WHERE lineage_id <> '' """)
+def _(t: Inputs):
+    docs = t.view("revisions").filter("lineage_id <> ''").withColumn("path", F.concat(F.lit("kr/"), F.col("title"))).withColumn(
+        "state", F.lit(None).cast("string"))
+    index = docs_io.metadata_index(docs, "rev_id", "path", ["title", "kind", "prom_date", "state"])
+    return index.select("rev_id", F.inline(F.array(F.from_json(
+        "json", "path string, title string, kind string, prom_date string, state string"))))
+
+
+@query("export_oracle_jsonl", "cases", f"WITH {SQL_STEMS} SELECT serial, court, date, case_no, case_type, tier, stem AS expected_stem FROM stems")
+def _(t: Inputs):
+    target = scratch(t.spark, "jsonl")
+    stem = compose_stem("court", format_date_nullable("date"), "case_no", "serial")
+    t.view("cases").select(
+        "serial", "court", "date", "case_no", "case_type", court_tier("court_code").alias("tier"), stem.alias("expected_stem")).write.json(target)
+    return t.spark.read.schema(
+        "serial string, court string, date string, case_no string, case_type string, tier string, expected_stem string").json(target)
+
+
+@query("append_ledger", "failures", """
+WITH r AS (SELECT key, reason, substr(repeat(error || ' ', 30), 1, 500) AS detail, event_id, failed_at, row_number() OVER (PARTITION BY key ORDER BY failed_at DESC, event_id DESC) AS rn FROM failures)
+SELECT key, reason, detail, event_id FROM r WHERE rn = 1""")
+def _(t: Inputs):
+    rows = t.view("failures").select(
+        "key", records.classify_failure(F.when(F.col("reason") == "api_error", F.array(F.lit("RuntimeError"), F.lit("OSError"))).otherwise(
+            F.array(F.lit("ValueError")))).alias("reason"),
+        F.repeat(F.concat(F.col("error"), F.lit(" ")), 30).alias("detail"), "event_id", "failed_at")
+    old = rows.filter("failed_at < TIMESTAMP '2024-01-20 00:00:00'")
+    new = rows.filter("failed_at >= TIMESTAMP '2024-01-20 00:00:00'")
+    return records.append_ledger(old, new, tie="event_id").select("key", "reason", "detail", "event_id")

@@ -256,10 +256,15 @@ def classify_response(df: DataFrame, xml: str = "xml", root: str = "PrecService"
 def parse_admrule_detail(df: DataFrame, authority: Authority, xml: str = "xml") -> DataFrame:
     """Rule metadata by ordered fallback tags, with the resolved agency and its path."""
     tags = [t for ts in RULE_META.values() for t in ts] + list(RULE_BODY)
-    units = f"`별표단위` {_ATTACHMENT_DDL}"
-    ddl = ", ".join([*_top(dict.fromkeys(tags)), units])
-    out = _parsed(df, xml, [*tags, "별표단위", *ATTACHMENT], ddl).filter("_ok")
+    bylaw = f"`별표` array<struct<{_ddl(ATTACHMENT, f'`별표단위`: {_ATTACHMENT_DDL}')}>>"
+    ddl = ", ".join([*_top(dict.fromkeys(tags)), bylaw, f"`별표단위` {_ATTACHMENT_DDL}"])
+    out = _parsed(df, xml, [*tags, "별표", "별표단위", *ATTACHMENT], ddl).filter("_ok")
     rec = F.col("_rec")
+    # A bylaw without units is a unit itself; units outside any bylaw count only without bylaws.
+    own = lambda b: F.array(F.struct(*[b[f].alias(f) for f in ATTACHMENT]))
+    inside = F.flatten(F.transform(rec["별표"], lambda b: F.when(
+        F.coalesce(F.size(b["별표단위"]), F.lit(0)) > 0, b["별표단위"]).otherwise(own(b))))
+    units = F.when(F.coalesce(F.size(rec["별표"]), F.lit(0)) > 0, inside).otherwise(rec["별표단위"])
     composed = ("name", "kind", "ministry", "parent", "department")
     for name, names in RULE_META.items():
         value = strip(_first(rec, names))
@@ -280,7 +285,7 @@ def parse_admrule_detail(df: DataFrame, authority: Authority, xml: str = "xml")
         "org_path": F.when(unknown, F.array(F.lit("_미분류"))).otherwise(F.col("_path")),
         "raw_ministry": F.when(named & (F.col("ministry") != F.col("_agency")), F.col("ministry")),
         "body_text": F.array_join(F.transform(bodies, strip), "\n\n"),
-        "attachments": attachments_of(rec["별표단위"], "rule"),
+        "attachments": attachments_of(units, "rule"),
     }
     for name, value in result.items():
         out = out.withColumn(name, value)
