@@ -173,9 +173,7 @@ SELECT d.lineage_id, CASE WHEN NOT cross_dir THEN win END AS winner, path AS fil
   CASE WHEN NOT cross_dir THEN win <> canonical END AS needs_rename, CASE WHEN NOT cross_dir THEN win_lines < n_lines * 0.3 END AS lossy, cross_dir
 FROM d JOIN c ON d.lineage_id = c.lineage_id WHERE cross_dir OR path <> win""")
 def _(t: Inputs):
-    rows = t.view("revisions")
-    rows.createOrReplaceTempView("revlake_revisions")
-    return profile.consolidate_fragments(t.spark.sql(_FRAG.replace("FROM revisions", "FROM revlake_revisions")))
+    return profile.consolidate_fragments(t.spark.sql(_FRAG.replace("FROM revisions", "FROM {rows}"), rows=t.view("revisions")))
 
 
 @query("high_watermark", "revisions", "SELECT max(TRY_CAST(nullif(prom_num, '') AS BIGINT)) AS max_serial FROM revisions")
