@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.dates import format_date_nullable
+from revlake.functions.once import computed
 from revlake.functions.names import STEM_BYTES, case_type, compose_stem, court_name, court_tier, sanitize_case_number
 from revlake.functions.text import blank_if_null, col, nfc_normalize, or_else, strip
 from revlake.operators.ordering import first_by, last_by
@@ -102,9 +103,9 @@ def require_unique(documents: DataFrame, key: str = "rev_id", path: str = "path"
 def _case_keys(cases: DataFrame, compose: bool) -> DataFrame:
     number = F.when(blank_if_null("case_no") != "", sanitize_case_number(blank_if_null("case_no"), compose)).otherwise("")
     court = court_name(blank_if_null("court"))
+    named = cases.withColumn("_no", number).withColumn("_court", nfc_normalize(court) if compose else court)
     return (
-        cases.withColumn("_no", number).withColumn("_iso", blank_if_null(format_date_nullable("date")))
-        .withColumn("_court", nfc_normalize(court) if compose else court)
+        computed(named, _no=F.col("_no"), _court=F.col("_court"), _iso=blank_if_null(format_date_nullable("date")))
         .withColumn("_slot", or_else(F.col("_no"), F.col("serial")))
         .withColumn("_composite", F.concat_ws("\u0001", "_court", "_iso", "_slot"))
         .withColumn("_single", F.concat_ws("\u0001", case_type("case_type"), court_tier("court_code"), "_slot"))

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.dates import format_date_nullable, to_iso_date
+from revlake.functions.once import computed
 from revlake.functions.names import case_type, court_name, court_tier
 from revlake.functions.text import (
-    blank_if_null, dedent_body, escape_relative_links, html_to_text, lines_of, normalize_dots, or_else, rstrip, strip,
+    blank_if_null, dedent_body, escape_relative_links, html_to_text, let, lines_of, normalize_dots, or_else, rstrip, strip,
 )
 
 # Structure labels, their heading levels and the fallback sentences.
@@ -81,8 +82,12 @@ def _paragraph_lines(node: Column) -> Column:
 
 
 def _article_lines(node: Column, nested: bool) -> Column:
-    kind, title = blank_if_null(node["kind"]), blank_if_null(node["title"])
     content = escape_relative_links(normalize_dots(strip(blank_if_null(node["text"]))))
+    return let(F.struct(node.alias("node"), content.alias("content")), lambda v: _article(v["node"], v["content"], nested))
+
+
+def _article(node: Column, content: Column, nested: bool) -> Column:
+    kind, title = blank_if_null(node["kind"]), blank_if_null(node["title"])
     structure = F.when(title == "", F.regexp_extract(content, STRUCTURE, 1)).otherwise("")
     level = F.lit(None).cast("string")
     for label, mark in LEVELS.items():
@@ -156,11 +161,10 @@ def render_law(df: DataFrame, allowlist: DataFrame, today: str) -> DataFrame:
     title = F.col("header")["title"]
     texts = F.filter(
         F.transform("addenda", lambda a: escape_relative_links(strip(blank_if_null(a["text"])))), lambda x: x != "")
-    rows = (
-        df.withColumn("_md", render_articles("articles"))
-        .withColumn("_add", texts)
-        .join(accepted, F.col("rev_id").cast("string") == F.col("_key"), "left")
-    )
+    # The allowlist only concerns revisions without text, so those alone are looked up.
+    rows = computed(df, _md=render_articles("articles"), _add=texts)
+    empty = (strip("_md") == "") & (F.size("_add") == 0)
+    rows = rows.join(accepted, F.when(empty, F.col("rev_id").cast("string")) == F.col("_key"), "left")
     has_text = (strip("_md") != "") | (F.size("_add") > 0)
     notes = F.flatten(F.transform("_add", lambda x: _lines(dedent_body(x), F.lit(""))))
     parts = F.concat(
@@ -170,7 +174,7 @@ def render_law(df: DataFrame, allowlist: DataFrame, today: str) -> DataFrame:
     status = F.when(has_text, "ok").when(F.col("_accepted"), "allowed_empty").otherwise("empty_body")
     body = F.when(has_text, F.array_join(parts, "\n")).otherwise(F.concat(F.lit("# "), title))
     return (
-        rows.withColumn("render_status", status)
+        computed(rows, render_status=status)
         .withColumn("content", F.when(F.col("render_status") != "empty_body", document(
             law_header_text("header", F.col("attachments")), body)))
         .drop("_md", "_add", "_key", "_accepted")
@@ -179,7 +183,8 @@ def render_law(df: DataFrame, allowlist: DataFrame, today: str) -> DataFrame:
 
 def render_precedent(df: DataFrame) -> DataFrame:
     """Adds ``content``: header, title and the non-empty sections."""
-    name = html_to_text(blank_if_null("case_name"), " ")
+    df = computed(df, _name=html_to_text(blank_if_null("case_name"), " "))
+    name = F.col("_name")
     title = or_else(name, or_else(blank_if_null("case_no"), F.col("serial")))
     day = format_date_nullable("date")
     header = F.concat_ws(
@@ -191,10 +196,14 @@ def render_precedent(df: DataFrame) -> DataFrame:
     sections = []
     for field, label in SECTIONS.items():
         if field in df.columns:
-            text = html_to_text(strip(blank_if_null(field)))
-            sections.append(F.when(text != "", F.concat(F.lit(f"## {label}\n\n"), text, F.lit("\n"))))
+            heading = F.lit(f"## {label}\n\n")
+            sections.append(_section(heading, html_to_text(strip(blank_if_null(field)))))
     body = F.concat_ws("\n", F.concat(F.lit("# "), title, F.lit("\n")), *sections)
-    return df.withColumn("content", document(header, body))
+    return df.withColumn("content", document(header, body)).drop("_name")
+
+
+def _section(heading: Column, text: Column) -> Column:
+    return let(text, lambda x: F.when(x != "", F.concat(heading, x, F.lit("\n"))))
 
 
 def _rule_content(line: Column) -> Column:
@@ -217,8 +226,12 @@ _GAP = "\u0001"  # "blank line unless the previous line is blank"
 
 
 def _rule_lines(raw: Column) -> Column:
-    line = rstrip(raw)
-    bare, gap, blank = strip(line), F.lit(_GAP), F.lit("")
+    return let(rstrip(raw), lambda line: let(
+        F.struct(line.alias("line"), strip(line).alias("bare")), lambda v: _classified(v["line"], v["bare"])))
+
+
+def _classified(line: Column, bare: Column) -> Column:
+    gap, blank = F.lit(_GAP), F.lit("")
     kind = F.regexp_extract(bare, RULE_STRUCTURE, 1)
     level = F.lit(None).cast("string")
     for label, mark in LEVELS.items():
@@ -244,27 +257,25 @@ def structured_body(title: Column, body: Column) -> Column:
     """Classify the lines of a plain rule text; runs of blank lines collapse to one."""
     head = F.when(title == "", _none()).otherwise(_lines(F.concat(F.lit("# "), title), F.lit("")))
     tokens = F.concat(head, F.flatten(F.transform(lines_of(body), _rule_lines)))
-
-    def settle(token: Column, i: Column) -> Column:
-        before = F.get(tokens, i - 1)
-        # A gap after a gap or after a blank line adds nothing, whichever the first one became.
-        return F.when(token != _GAP, token).when((i > 0) & ~before.isin(_GAP, ""), F.lit(""))
-
-    settled = F.filter(F.transform(tokens, settle), lambda x: x.isNotNull())
-    return F.regexp_replace(F.array_join(settled, "\n"), r"\n+\z", "")
+    # A gap is a blank line unless it comes first, after another gap, or after a blank line;
+    # on the joined text those are runs of separators.
+    joined = F.concat(F.array_join(tokens, "\n"), F.lit("\n"))
+    once = F.regexp_replace(joined, rf"(?:{_GAP}\n)+", f"{_GAP}\n")
+    merged = F.regexp_replace(F.regexp_replace(once, rf"(\A|\n\n|\A\n){_GAP}\n", "$1"), rf"{_GAP}\n", "\n")
+    return F.regexp_replace(merged, r"\n+\z", "")
 
 
 def render_admrule(df: DataFrame) -> DataFrame:
     """Adds ``content, body_source``.  Needs ``name, serial, identity, kind, body_text``."""
-    text = escape_relative_links(blank_if_null("body_text"))
-    failed = text == ""
-    out = df.withColumn("body_source", F.when(failed, "parsing-failed").otherwise("api-text"))
-    body = structured_body(F.col("name"), F.when(failed, F.lit(RULE_FALLBACK)).otherwise(text))
+    out = computed(df, _text=escape_relative_links(blank_if_null("body_text")))
+    failed = F.col("_text") == ""
+    out = out.withColumn("body_source", F.when(failed, "parsing-failed").otherwise("api-text"))
+    body = structured_body(F.col("name"), F.when(failed, F.lit(RULE_FALLBACK)).otherwise(F.col("_text")))
     header = F.concat_ws(
         "\n", _scalar("행정규칙ID", F.col("identity"), True), _scalar("행정규칙일련번호", F.col("serial"), True),
         _scalar("행정규칙명", F.col("name"), True), _scalar("행정규칙종류", F.col("kind"), True),
         _scalar("본문출처", F.col("body_source"), True))
-    return out.withColumn("content", document(header, strip(body)))
+    return out.withColumn("content", document(header, strip(body))).drop("_text")
 
 
 def render_ordinance(df: DataFrame) -> DataFrame:
@@ -272,7 +283,7 @@ def render_ordinance(df: DataFrame) -> DataFrame:
     md = render_articles("articles", nested=False)
     notes = F.filter(
         F.transform("addenda", lambda a: escape_relative_links(strip(blank_if_null(a["text"])))), lambda x: x != "")
-    out = df.withColumn("_md", md).withColumn("_add", notes)
+    out = computed(df, _md=md, _add=notes)
     has_text = (strip("_md") != "") | (F.size("_add") > 0)
     parts = F.concat(
         _lines(F.concat(F.lit("# "), F.col("name")), F.lit("")),

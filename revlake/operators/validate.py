@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.dates import to_iso_date
+from revlake.functions.once import computed
 from revlake.functions.links import is_allowed_url
 from revlake.functions.names import ORDINANCE_TYPES, PROVINCES, RULE_TYPES, safe_path_part
 from revlake.functions.text import blank_if_null, nfc_normalize, normalize_dots, strip
@@ -122,7 +123,7 @@ def validate_ordinances(documents: DataFrame, compose: bool = True) -> DataFrame
     parts = F.split(path, "/")
     expected = ordinance_path(
         blank_if_null("province"), blank_if_null("unit"), blank_if_null("kind"), blank_if_null("name"), blank_if_null("identity"), compose)
-    out = documents.withColumn("_expected", expected)
+    out = computed(documents, _expected=expected)
     want = F.split("_expected", "/")
     ident, number = blank_if_null("identity"), blank_if_null("prom_num")
     base, actual = F.get(want, 3), F.get(parts, 3)

@@ -8,7 +8,6 @@ from revlake.operators import incremental, versioning  # noqa: F401
 from revlake.plans.catalog import query, scratch
 from revlake.plans.fixtures import Inputs, TODAY
 from revlake.plans.queries_reconcile import SQL_DETAILS, details
-from revlake.sources.tables import table_path
 from revlake.streaming import revisions as streams
 
 CURSOR, DAYS = "2001-07-01", 120
@@ -106,12 +105,10 @@ def _(t: Inputs):
 SELECT CAST(CAST(failed_at AS DATE) AS STRING) AS day, reason, count(*) AS n FROM failures GROUP BY 1, 2""")
 def _(t: Inputs):
     """Streamed counts; the sink keeps the newest value of each window, so late batches update it."""
-    target, mark = scratch(t.spark, "counts"), scratch(t.spark, "mark")
-    schema = t.table("events").schema
-    raw = t.spark.readStream.schema(schema).format("parquet").load(table_path(t.folder, "events"))
-    failures = raw.filter("event_type = 'error'").select(
-        F.when(F.col("value") > 20.0, "api_error").otherwise("empty_body").alias("reason"), F.col("ts").cast("timestamp").alias("failed_at"))
-    counts = streams.stream_failure_counts(failures)
+    source, target, mark = (scratch(t.spark, x) for x in ("failures", "counts", "mark"))
+    rows = t.view("failures").select("reason", F.col("failed_at").cast("timestamp").alias("failed_at"))
+    rows.write.parquet(source)
+    counts = streams.stream_failure_counts(t.spark.readStream.schema(rows.schema).parquet(source))
 
     def save(batch, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/v={batch_id}")

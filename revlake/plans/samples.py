@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlake.functions.once import computed
 from revlake.plans.fixtures import Inputs
 
 BLOCK = 1000
@@ -57,7 +58,7 @@ def law_xml(t: Inputs) -> DataFrame:
         F.lit("</조문><부칙>"), F.coalesce("bu", F.lit("")), F.lit("</부칙></법령>"))
     cut = F.substring(xml, F.lit(1), F.length(xml) - 5)
     error = F.lit("<Law><result>실패</result><msg>인증</msg></Law>")
-    return rows.select("rev_id", F.when(F.expr(BAD), cut).when(F.expr(FAILED), error).otherwise(xml).alias("xml"))
+    return computed(rows, xml=F.when(F.expr(BAD), cut).when(F.expr(FAILED), error).otherwise(xml)).select("rev_id", "xml")
 
 
 def attachment_xml(t: Inputs) -> DataFrame:
@@ -70,7 +71,7 @@ def attachment_xml(t: Inputs) -> DataFrame:
         tag("별표첨부파일명", F.when(F.col("status") == "P", "").otherwise(F.concat(F.lit("https://f/"), ident))), tag("별표첨부파일구분", F.lit("HWP")))
     two = wrap(
         "별표단위", tag("별표구분", F.lit("서식")), tag("별표명", F.lit("이름")), tag("별표파일링크", F.concat(F.lit("https://x/"), ident)))
-    return t.view("revisions").select("rev_id", F.concat(F.lit("<법령><별표>"), one, two, F.lit("</별표></법령>")).alias("xml"))
+    return computed(t.view("revisions"), xml=F.concat(F.lit("<법령><별표>"), one, two, F.lit("</별표></법령>"))).select("rev_id", "xml")
 
 
 def case_xml(t: Inputs) -> DataFrame:
@@ -81,7 +82,7 @@ def case_xml(t: Inputs) -> DataFrame:
         tag("판시사항", "holding", True), tag("판례내용", "reasons", True))
     root = F.when(F.expr("event_type = 'view' AND user_id % 11 = 0"), "Law").otherwise("PrecService")
     end = F.when(F.expr("event_type = 'click' AND user_id % 13 = 0"), "").otherwise(F.concat(F.lit("</"), root, F.lit(">")))
-    return t.view("cases").select("serial", F.concat(F.lit("<"), root, F.lit(">\n"), body, end).alias("xml"))
+    return computed(t.view("cases"), xml=F.concat(F.lit("<"), root, F.lit(">\n"), body, end)).select("serial", "xml")
 
 
 def rule_xml(t: Inputs) -> DataFrame:
@@ -98,7 +99,7 @@ def rule_xml(t: Inputs) -> DataFrame:
             F.lit("<조문내용><![CDATA[ 제1장 총칙\n제1조(목적) ① 이 규칙은\n\n\n제2조 삭제\n1. 가 나\n가. 다  \n본문 "), ident, F.lit("]]></조문내용>"),
             F.lit("<본문> 덧붙임 [표](별지) </본문>"))),
         F.lit("</AdmRulService>"))
-    return rows.select("rev_id", xml.alias("xml"))
+    return computed(rows, xml=xml).select("rev_id", "xml")
 
 
 def ordinance_xml(t: Inputs) -> DataFrame:
@@ -124,7 +125,7 @@ def ordinance_xml(t: Inputs) -> DataFrame:
         F.when(F.col("status") == "F", tag("제개정정보", "amendment")).otherwise(tag("제개정구분명", "amendment")), F.lit("</자치법규기본정보>"),
         F.when(F.col("status") == "F", unit).when(F.col("status") == "O", flat).otherwise(""),
         F.when(F.col("segment") == "BUILDING", "").when(F.col("segment") == "MACHINERY", arrays).otherwise(units), F.lit("</LawService>"))
-    return rows.select("rev_id", xml.alias("xml"))
+    return computed(rows, xml=xml).select("rev_id", "xml")
 
 
 def search_pages(t: Inputs) -> DataFrame:
@@ -138,7 +139,7 @@ def search_pages(t: Inputs) -> DataFrame:
     xml = F.concat(
         F.lit("<LawSearch>"), F.when(failed, "<result>실패</result>").otherwise(""), tag("totalCnt", F.col("custkey").cast("string")),
         tag("page", F.col("page_no").cast("string")), F.col("items"), F.lit("</LawSearch>"))
-    return pages.select(F.concat_ws("-", "custkey", "page_no").alias("page_key"), xml.alias("xml"))
+    return computed(pages, xml=xml).select(F.concat_ws("-", "custkey", "page_no").alias("page_key"), "xml")
 
 
 def history_html(t: Inputs) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from revlake.functions.once import computed
 from revlake.functions.text import blank_if_null, col, lines_of
 from revlake.sources.xml_details import map_of
 
@@ -19,10 +20,11 @@ def split_document(df: DataFrame, text: str) -> DataFrame:
     cut = F.locate("\n---\n", content)
     start = F.when(content.startswith("---\n"), 5).otherwise(1)
     ok = content.startswith("---") & (cut > 0)
-    return (
-        df.withColumn("header_status", F.when(~content.startswith("---"), "no_header").when(cut == 0, "unterminated").otherwise("ok"))
-        .withColumn("header", F.when(ok, F.substring(content, start, F.greatest(cut - start + 1, F.lit(0)))))
-        .withColumn("body", F.when(ok, F.substring(content, cut + 5, F.length(content))).otherwise(content))
+    return computed(
+        df,
+        header_status=F.when(~content.startswith("---"), "no_header").when(cut == 0, "unterminated").otherwise("ok"),
+        header=F.when(ok, F.substring(content, start, F.greatest(cut - start + 1, F.lit(0)))),
+        body=F.when(ok, F.substring(content, cut + 5, F.length(content))).otherwise(content),
     )
 
 
@@ -53,7 +55,7 @@ def _unquote(value: Column) -> Column:
 def read_frontmatter_docs(df: DataFrame, text: str) -> DataFrame:
     """Adds ``scalars`` and ``lists`` maps; bad files keep a status instead of failing."""
     split = split_document(df, text)
-    return split.withColumn("scalars", header_scalars("header")).withColumn("lists", header_lists("header"))
+    return computed(split, scalars=header_scalars("header"), lists=header_lists("header"))
 
 
 @F.pandas_udf(StringType())
@@ -81,7 +83,7 @@ def foreign_header_json(header: Column | str) -> Column:
 def header_field_scan(df: DataFrame, text: str, lines: int, patterns: dict[str, str]) -> DataFrame:
     """Single fields matched by regex within the first *lines* lines only."""
     head = F.array_join(F.slice(F.split(F.col(text), "\n"), 1, lines), "\n")
-    out = df.withColumn("_head", head)
+    out = computed(df, _head=head)
     return out.select(*df.columns, *[F.regexp_extract("_head", p, 1).alias(n) for n, p in patterns.items()])
 
 

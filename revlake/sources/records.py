@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlake.functions.dates import parse_dot_date, to_iso_date
+from revlake.functions.once import computed
 from revlake.functions.text import blank_if_null, col, name_key, strip, strip_tags, unescape_html
 
 # Column positions of the law index and labels of a history entry.
@@ -32,10 +33,9 @@ def extract_html_rows(df: DataFrame, html: str, name: str) -> DataFrame:
     rows = F.regexp_extract_all(F.col(html), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))
     cells = F.regexp_extract_all(F.col("_row"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1))
     clean = F.transform(cells, lambda c: strip(unescape_html(strip_tags(c))))
+    exploded = df.select(*keep, F.posexplode(rows).alias("row_pos", "_row"))
     return (
-        df.select(*keep, F.posexplode(rows).alias("row_pos", "_row"))
-        .withColumn("rev_id", F.regexp_extract("_row", r"MST=(\d+)", 1))
-        .withColumn("_td", clean)
+        computed(exploded, rev_id=F.regexp_extract("_row", r"MST=(\d+)", 1), _td=clean)
         .filter((F.col("rev_id") != "") & (F.size("_td") >= 8))
         .withColumn("title", F.col("_td")[1])
         .filter(name_key("title") == name_key(name))
@@ -62,7 +62,7 @@ def parse_history_json(df: DataFrame, file: str, text: str) -> tuple[DataFrame,
     ``status`` has one row per file: ok / empty / malformed, plus the number of entries
     that are not objects.  ``entries`` keeps position so later readers can say "last wins".
     """
-    parsed = df.withColumn("_v", F.try_parse_json(text))
+    parsed = computed(df, _v=F.try_parse_json(text))
     shape = F.schema_of_variant("_v")
     is_list = shape.startswith("ARRAY")
     blank = (F.col("_v").cast("string").isin("[]", "{}", "null", "0", "false", "")) | shape.isin("VOID")
@@ -99,7 +99,7 @@ def parse_index_lines(df: DataFrame, line: str, keep: Sequence[str] = ()) -> Dat
         lambda c: strip(F.regexp_replace(F.regexp_replace(c, r"^\s*\"|\"\s*\z", ""), "\"\"", "\"")))
     header = strip(F.col("_cells")[1]) == "법령MST"
     return (
-        df.withColumn("_cells", cells).filter((F.size("_cells") >= INDEX_WIDTH) & ~header)
+        computed(df, _cells=cells).filter((F.size("_cells") >= INDEX_WIDTH) & ~header)
         .select(*keep, *[F.col("_cells")[at].alias(name) for name, at in INDEX_COLUMNS.items()])
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.dates import dangi_to_gregorian
+from revlake.functions.once import computed
 from revlake.functions.links import absolute_url
 from revlake.functions.names import Authority, ORDINANCE_TYPE_CODES, article_number, lookup, org_path, resolve_agency
 from revlake.functions.text import blank_if_null, collapse_ws, nfc_normalize, or_else, strip, unescape_html
@@ -80,7 +81,7 @@ def _lifted(xml: Column, known: Iterable[str]) -> Column:
     names = "|".join(sorted(set(known), key=lambda n: (-len(n), n)))
     bare = F.regexp_replace(
         xml,
-        rf"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->|<[?!].*?>|</?+(?!(?:{names})[\s/>])[^>]*>",
+        rf"(?s)(<!\[CDATA\[.*?\]\]>)|<(?:!--.*?--|[?!].*?|/?+(?!(?:{names})[\s/>])[^>]*)>",
         "$1",
     )
     return F.concat(F.lit("<r>"), bare, F.lit("</r>"))
@@ -174,10 +175,10 @@ def attachments_of(nodes: Column, corpus: str) -> Column:
 
 
 def _parsed(df: DataFrame, xml: str, known: Iterable[str], ddl: str) -> DataFrame:
-    """Adds ``_ok`` and ``_rec``.  The corrupt flag is settled one projection earlier."""
-    checked = df.withColumn("_ok", is_well_formed(F.col(xml)))
-    return checked.withColumn(
-        "_rec", F.from_xml(F.when(F.col("_ok"), _lifted(F.col(xml), known)), f"{ddl}, `_corrupt` string", OPTIONS)
+    """Adds ``_ok`` and ``_rec``; the corrupt flag is settled one step earlier."""
+    checked = computed(df, _ok=is_well_formed(F.col(xml)))
+    return computed(
+        checked, _rec=F.from_xml(F.when(F.col("_ok"), _lifted(F.col(xml), known)), f"{ddl}, `_corrupt` string", OPTIONS)
     )
 
 
@@ -188,20 +189,20 @@ def parse_law_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
              *ITEM.values(), "부칙단위", *ADDENDUM.values(), "별표단위", *ATTACHMENT]
     ddl = ", ".join([*_top(top), f"`조문단위` {_ARTICLE_DDL}", f"`부칙단위` {_ADDENDUM_DDL}", f"`별표단위` {_ATTACHMENT_DDL}"])
     rec = F.col("_rec")
-    out = _parsed(df, xml, known, ddl).withColumn(
-        "metadata", F.struct(*[blank_if_null(F.get(rec[tag], 0)).alias(name) for name, tag in LAW_META.items()]))
+    out = computed(_parsed(df, xml, known, ddl), metadata=F.struct(
+        *[blank_if_null(F.get(rec[tag], 0)).alias(name) for name, tag in LAW_META.items()]))
     status = (
         F.when(F.col(xml).isNull(), "missing").when(~F.col("_ok"), "malformed")
         .when(F.contains(_first(rec, "result"), F.lit(FAILED)), "api_error")
         .otherwise(detail_status(F.col("metadata")["title"], F.col("metadata")["lineage_id"], F.col("metadata")["kind"]))
     )
-    return (
-        out.withColumn("articles", _articles(rec["조문단위"]))
-        .withColumn("addenda", F.transform(F.coalesce(rec["부칙단위"], F.array()), lambda n: F.struct(*_texts(n, ADDENDUM))))
-        .withColumn("attachments", attachments_of(rec["별표단위"], "law"))
-        .withColumn("detail_status", status)
-        .drop(xml, "_rec", "_ok")
-    )
+    return computed(
+        out,
+        articles=_articles(rec["조문단위"]),
+        addenda=F.transform(F.coalesce(rec["부칙단위"], F.array()), lambda n: F.struct(*_texts(n, ADDENDUM))),
+        attachments=attachments_of(rec["별표단위"], "law"),
+        detail_status=status,
+    ).drop(xml, "_rec", "_ok")
 
 
 def detail_status(title: Column, lineage: Column, kind: Column) -> Column:
@@ -240,17 +241,15 @@ def parse_precedent_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
     rec = F.col("_rec")
     fields = [blank_if_null(F.get(rec[tag], 0)).alias(name) for name, tag in CASE_FIELDS.items() if name != "date"]
     keep = [c for c in df.columns if c != xml]
-    return out.withColumn("_rec", F.from_xml(F.col(xml), schema, OPTIONS)).select(
+    return computed(out, _rec=F.from_xml(F.col(xml), schema, OPTIONS)).select(
         *keep, *fields, dangi_to_gregorian(blank_if_null(F.get(rec["선고일자"], 0))).alias("date"))
 
 
 def classify_response(df: DataFrame, xml: str = "xml", root: str = "PrecService") -> DataFrame:
     """``response_class``: valid root, no_result (another root) or parse_error."""
-    return df.withColumn("_ok", is_well_formed(F.col(xml))).withColumn(
-        "response_class",
-        F.when(F.col(xml).isNull() | ~F.col("_ok"), "parse_error").when(root_tag(F.col(xml)) == root, "valid")
-        .otherwise("no_result"),
-    ).drop("_ok")
+    ok = is_well_formed(F.col(xml))
+    return computed(df, response_class=F.when(F.col(xml).isNull() | ~ok, "parse_error").when(
+        root_tag(F.col(xml)) == root, "valid").otherwise("no_result"))
 
 
 def parse_admrule_detail(df: DataFrame, authority: Authority, xml: str = "xml") -> DataFrame:
@@ -266,30 +265,30 @@ def parse_admrule_detail(df: DataFrame, authority: Authority, xml: str = "xml")
         F.coalesce(F.size(b["별표단위"]), F.lit(0)) > 0, b["별표단위"]).otherwise(own(b))))
     units = F.when(F.coalesce(F.size(rec["별표"]), F.lit(0)) > 0, inside).otherwise(rec["별표단위"])
     composed = ("name", "kind", "ministry", "parent", "department")
-    for name, names in RULE_META.items():
-        value = strip(_first(rec, names))
-        out = out.withColumn(name, nfc_normalize(value) if name in composed else value)
-    out = out.withColumn("_org", resolve_agency("ministry", "parent", "department", "kind", authority))
-    out = out.withColumn("_path", org_path(F.col("_org")["top"], F.col("_org")["agency"], authority))
+    bodies = F.filter(
+        F.concat(*[F.coalesce(rec[t], F.array()) for t in RULE_BODY]), lambda x: strip(blank_if_null(x)) != "")
+    # Everything the record is needed for is taken in one step; later steps see plain columns.
+    out = computed(
+        out, **{name: strip(_first(rec, names)) for name, names in RULE_META.items()},
+        body_text=F.array_join(F.transform(bodies, strip), "\n\n"), attachments=attachments_of(units, "rule"),
+    ).drop("_rec", xml, "_ok")
+    for name in composed:
+        out = out.withColumn(name, nfc_normalize(name))
+    out = computed(out, _org=resolve_agency("ministry", "parent", "department", "kind", authority))
+    out = computed(out, _path=org_path(F.col("_org")["top"], F.col("_org")["agency"], authority))
     empty = F.size("_path") == 0
     top = F.when(empty, F.col("_org")["top"]).otherwise(F.get("_path", 0))
     agency = F.when(empty, F.col("_org")["agency"]).otherwise(F.element_at(F.when(~empty, F.col("_path")), -1))
-    out = out.withColumn("_top", top).withColumn("_agency", agency)
+    out = computed(out, _top=top, _agency=agency)
     unknown = (F.col("_top") == "") & (F.col("_agency") == "")
     named = (F.col("ministry") != "") & ~F.lower(strip("ministry")).isin(*[m.lower() for m in authority.missing])
-    bodies = F.filter(
-        F.concat(*[F.coalesce(rec[t], F.array()) for t in RULE_BODY]), lambda x: strip(blank_if_null(x)) != "")
     result = {
         "top": F.when(unknown, F.lit("_미분류")).otherwise(F.col("_top")),
         "agency": F.when(unknown, F.lit("_미분류")).otherwise(F.col("_agency")),
         "org_path": F.when(unknown, F.array(F.lit("_미분류"))).otherwise(F.col("_path")),
         "raw_ministry": F.when(named & (F.col("ministry") != F.col("_agency")), F.col("ministry")),
-        "body_text": F.array_join(F.transform(bodies, strip), "\n\n"),
-        "attachments": attachments_of(units, "rule"),
     }
-    for name, value in result.items():
-        out = out.withColumn(name, value)
-    return out.drop(xml, "_ok", "_rec", "_org", "_path", "_top", "_agency", "ministry", "parent", "department")
+    return computed(out, **result).drop("_org", "_path", "_top", "_agency", "ministry", "parent", "department")
 
 
 def parse_ordinance_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
@@ -305,13 +304,10 @@ def parse_ordinance_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
     out = _parsed(df, xml, known, ddl).filter("_ok")
     rec = F.col("_rec")
     spaced = ("name", "body", "amendment", "area", "dept")
-    for name, names in ORDINANCE_META.items():
-        value = _first(rec, names)
-        if name in spaced:
-            value = collapse_ws(nfc_normalize(value))
-        elif name == "kind":
-            value = F.coalesce(lookup(ORDINANCE_TYPE_CODES, value), value)
-        out = out.withColumn(name, value)
+    out = computed(out, **{name: _first(rec, names) for name, names in ORDINANCE_META.items()})
+    for name in spaced:
+        out = out.withColumn(name, collapse_ws(nfc_normalize(name)))
+    out = out.withColumn("kind", F.coalesce(lookup(ORDINANCE_TYPE_CODES, F.col("kind")), F.col("kind")))
 
     def jo(node: Column) -> Column:
         decoded = article_number(node["조문번호"], node["조문가지번호"], node["조문여부"], F.lit(""))
@@ -325,12 +321,12 @@ def parse_ordinance_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
         F.arrays_zip(*[F.coalesce(rec[t], F.array()) for t in ADDENDUM.values()]),
         lambda z: F.struct(*[blank_if_null(z[str(i)]).alias(n) for i, n in enumerate(ADDENDUM)]))
     units = F.transform(rec["부칙단위"], lambda n: F.struct(*_texts(n, ADDENDUM)))
-    return (
-        out.withColumn("articles", F.transform(F.coalesce(rec["조문단위"], rec["조"], F.array()), jo))
-        .withColumn("addenda", F.filter(F.coalesce(units, parallel), lambda a: strip(a["text"]) != ""))
-        .withColumn("attachments", attachments_of(rec["별표단위"], "ordinance"))
-        .drop(xml, "_ok", "_rec")
-    )
+    return computed(
+        out,
+        articles=F.transform(F.coalesce(rec["조문단위"], rec["조"], F.array()), jo),
+        addenda=F.filter(F.coalesce(units, parallel), lambda a: strip(a["text"]) != ""),
+        attachments=attachments_of(rec["별표단위"], "ordinance"),
+    ).drop(xml, "_ok", "_rec")
 
 
 def parse_search_page(df: DataFrame, kind: str, xml: str = "xml") -> DataFrame:
