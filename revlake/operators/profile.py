@@ -97,7 +97,7 @@ def require_unique(documents: DataFrame, key: str = "rev_id", path: str = "path"
             F.lit(f"duplicate {key} "), F.col("d")[key].cast("string"), F.lit(" across "), F.col("d")["first_path"],
             F.lit(" and "), F.col("d")["last_path"])))
     return documents.withColumn("_dup", dup.scalar()).filter(
-        F.when(F.col("_dup").isNotNull(), F.raise_error("_dup").cast("boolean")).otherwise(True)).drop("_dup")
+        F.when(F.col("_dup").isNotNull(), F.raise_error(F.col("_dup")).cast("boolean")).otherwise(True)).drop("_dup")
 
 
 def _case_keys(cases: DataFrame, compose: bool) -> DataFrame:

@@ -18,7 +18,7 @@ from revlake.functions.dates import dangi_to_gregorian
 from revlake.functions.once import computed
 from revlake.functions.links import absolute_url
 from revlake.functions.names import Authority, ORDINANCE_TYPE_CODES, article_number, lookup, org_path, resolve_agency
-from revlake.functions.text import blank_if_null, collapse_ws, nfc_normalize, or_else, strip, unescape_html
+from revlake.functions.text import blank_if_null, collapse_ws, let, nfc_normalize, or_else, strip, unescape_html
 
 OPTIONS = {
     "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt", "nullValue": "\u0001",
@@ -350,15 +350,23 @@ def parse_search_page(df: DataFrame, kind: str, xml: str = "xml") -> DataFrame:
 
 
 def child_map(fragment: Column, fixed: Sequence[str] | None = None) -> Column:
-    """Child tags of an XML fragment as a map; a repeated tag keeps its last text."""
+    """Child tags of an XML fragment as a map; a repeated tag keeps its last text.
+
+    With *fixed* names the map has exactly those, each with its first text or ''.
+    """
     pattern = r"(?s)<([^\s/<>!?]+)(?:\s[^>]*)?(?:/>|>((?:<!\[CDATA\[.*?\]\]>|[^<])*)</\1>)"
-    names = F.regexp_extract_all(fragment, F.lit(pattern), F.lit(1))
-    values = F.transform(F.regexp_extract_all(fragment, F.lit(pattern), F.lit(2)), _plain)
+    parts = F.struct(
+        F.regexp_extract_all(fragment, F.lit(pattern), F.lit(1)).alias("names"),
+        F.regexp_extract_all(fragment, F.lit(pattern), F.lit(2)).alias("raw"))
+
+    def pick(v: Column) -> Column:
+        wanted = F.array(*[F.lit(n) for n in fixed])
+        return F.map_from_arrays(wanted, F.transform(wanted, lambda n: _plain(F.coalesce(
+            F.get(v["raw"], (F.array_position(v["names"], n) - 1).cast("int")), F.lit("")))))
+
     if fixed is not None:
-        pairs = [F.struct(F.lit(n).alias("key"), F.coalesce(
-            F.get(values, (F.array_position(names, n) - 1).cast("int")), F.lit("")).alias("value")) for n in fixed]
-        return F.map_from_entries(F.array(*pairs))
-    return map_of(names, values)
+        return let(parts, pick)
+    return let(parts, lambda v: map_of(v["names"], F.transform(v["raw"], _plain)))
 
 
 def _plain(text: Column) -> Column:
@@ -368,8 +376,10 @@ def _plain(text: Column) -> Column:
 
 def map_of(names: Column, values: Column) -> Column:
     """Map of two parallel arrays where a repeated key keeps its last value."""
-    distinct = F.array_distinct(names)
-    backwards = F.reverse(names)
-    last = F.transform(
-        distinct, lambda n: F.get(F.reverse(values), (F.array_position(backwards, n) - 1).cast("int")))
-    return F.map_from_arrays(distinct, last)
+    def build(v: Column) -> Column:
+        keys = F.array_distinct(v["names"])
+        return F.map_from_arrays(keys, F.transform(
+            keys, lambda n: F.get(v["values"], (F.array_position(v["names"], n) - 1).cast("int"))))
+
+    # Reversed, the last value of a key is the first one found.
+    return let(F.struct(F.reverse(names).alias("names"), F.reverse(values).alias("values")), build)
