@@ -68,19 +68,19 @@ def law_group_and_file(name: Column | str, kind: Column | str) -> Column:
 
 
 def entry_sort_key(date: Column | str, name: Column | str, number: Column | str, rev: Column | str) -> Column:
-    """Canonical revision order; numbers that do not parse count as zero."""
+    """Canonical revision order; numbers that do not parse count as zero (casts ignore blanks)."""
     return F.struct(
         blank_if_null(date).alias("date"),
         blank_if_null(name).alias("name"),
-        F.coalesce(strip(col(number).cast("string")).try_cast("bigint"), F.lit(0).cast("bigint")).alias("num"),
-        F.coalesce(strip(col(rev).cast("string")).try_cast("bigint"), F.lit(0).cast("bigint")).alias("rev"),
+        F.coalesce(col(number).cast("string").try_cast("bigint"), F.lit(0).cast("bigint")).alias("num"),
+        F.coalesce(col(rev).cast("string").try_cast("bigint"), F.lit(0).cast("bigint")).alias("rev"),
     )
 
 
 def serial_sort_key(serial: Column | str) -> Column:
     """Numeric serials in numeric order before every other serial."""
     text = col(serial).cast("string")
-    number = strip(text).try_cast("bigint")
+    number = text.try_cast("bigint")
     return F.struct(
         F.when(number.isNull(), 1).otherwise(0).alias("flag"),
         F.when(number.isNull(), text).otherwise(F.lpad(number.cast("string"), 20, "0")).alias("key"),

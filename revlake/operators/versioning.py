@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from revlake.functions.dates import commit_date, format_date_checked
 from revlake.functions.names import entry_sort_key, law_group_and_file
-from revlake.functions.text import blank_if_null, or_else, strip
+from revlake.functions.once import computed
+from revlake.functions.text import blank_if_null, or_else
 from revlake.operators.filters import is_non_current, is_repeal
 from revlake.operators.ordering import last_by, with_position, with_previous
 from revlake.session import checkpointed
@@ -30,30 +31,31 @@ def revision_key() -> Column:
 
 def latest_by_lineage(revisions: DataFrame) -> DataFrame:
     """Newest revision of each lineage (one argmax aggregation)."""
-    keyed = revisions.withColumn("lineage", lineage_key("lineage_id", "rev_id"))
-    return last_by(keyed, ["lineage"], revision_key())
+    keyed = computed(revisions, lineage=lineage_key("lineage_id", "rev_id"), _key=revision_key())
+    return last_by(keyed, ["lineage"], F.col("_key")).drop("_key")
 
 
 def _claims(revisions: DataFrame, title_from: str) -> DataFrame:
     pick = F.max_by if title_from == "latest" else F.min_by
-    key = revision_key()
+    keyed = computed(
+        revisions.select("rev_id", "lineage_id", "title", "kind", "prom_date", "prom_num"),
+        lineage=lineage_key("lineage_id", "rev_id"), _key=revision_key())
     lineages = (
-        revisions.withColumn("lineage", lineage_key("lineage_id", "rev_id"))
-        .groupBy("lineage")
+        keyed.groupBy("lineage")
         .agg(
-            pick(F.struct("title", "kind"), key).alias("_chosen"),
-            F.min(key).alias("_first"),
+            pick(F.struct("title", "kind"), "_key").alias("_chosen"),
+            F.min("_key").alias("_first"),
             F.first(blank_if_null("lineage_id")).alias("owner"),
         )
     )
     named = law_group_and_file(F.col("_chosen")["title"], F.col("_chosen")["kind"])
-    return lineages.withColumn("_named", named).select(
+    return computed(lineages, _named=named).select(
         "lineage", "owner", "_first", F.col("_chosen")["kind"].alias("_kind"),
         F.concat(F.lit("kr/"), F.col("_named")["group"], F.lit("/"), F.col("_named")["file"]).alias("_stem"))
 
 
-def assign_law_paths(revisions: DataFrame, title_from: str = "latest") -> DataFrame:
-    """Adds ``path, shared_path``: the first lineage to appear owns the canonical path.
+def lineage_paths(revisions: DataFrame, title_from: str = "latest") -> DataFrame:
+    """``lineage, path, shared_path``: the first lineage to appear owns the canonical path.
 
     Only the first claimer of a canonical path matters, and that is an aggregate, so no
     claim loop and no per-path sort is needed.  Later owners get the kind-qualified path,
@@ -67,7 +69,12 @@ def assign_law_paths(revisions: DataFrame, title_from: str = "latest") -> DataFr
             F.concat(F.lit("("), F.col("_kind"), F.lit(")"))), F.lit(".md")))
     # Owners per path: min <> max is enough, so no distinct set is ever built.
     shared = decided.groupBy("path").agg((F.min("owner") != F.max("owner")).alias("shared_path"))
-    paths = decided.select("lineage", "path").join(shared, "path")
+    return decided.select("lineage", "path").join(shared, "path").select("lineage", "path", "shared_path")
+
+
+def assign_law_paths(revisions: DataFrame, title_from: str = "latest") -> DataFrame:
+    """Adds ``lineage, path, shared_path`` to every revision."""
+    paths = lineage_paths(revisions, title_from)
     return revisions.withColumn("lineage", lineage_key("lineage_id", "rev_id")).join(paths, "lineage")
 
 
@@ -148,7 +155,7 @@ def assign_rule_paths(revisions: DataFrame) -> DataFrame:
 
 def event_key(date: str = "issue_date", serial: str = "serial", path: str = "path") -> list[Column]:
     """Event order of rules and ordinances; serials that are no numbers come last."""
-    number = F.coalesce(strip(F.col(serial)).try_cast("bigint"), F.lit(2**63 - 1))
+    number = F.coalesce(F.col(serial).try_cast("bigint"), F.lit(2**63 - 1))
     return [or_else(format_date_checked(date), "1970-01-01"), number, F.col(path)]
 
 

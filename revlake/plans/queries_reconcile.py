@@ -159,7 +159,7 @@ def _(t: Inputs):
 def expected_documents(t: Inputs):
     """Newest revision of every named lineage at its path."""
     rows = t.view("revisions").filter("lineage_id <> ''")
-    paths = versioning.assign_law_paths(rows).groupBy("lineage").agg(F.first("path").alias("expected_path"))
+    paths = versioning.lineage_paths(rows).withColumnRenamed("path", "expected_path")
     return versioning.latest_by_lineage(rows).join(paths, "lineage").select(
         "expected_path", "lineage_id", "rev_id", "kind", "title", "segment", "priority", "status")
 

@@ -115,9 +115,7 @@ SELECT lineage, rev_id, path FROM snapshot JOIN paths USING (lineage)""")
 def current_snapshot(t: Inputs):
     """The flagship: newest live revision of every lineage at its collision-free path."""
     rows = t.view("revisions")
-    live = versioning.current_snapshot(rows)
-    paths = versioning.assign_law_paths(rows).groupBy("lineage").agg(F.first("path").alias("path"))
-    return live.join(paths, "lineage").select("lineage", "rev_id", "path")
+    return versioning.current_snapshot(rows).join(versioning.lineage_paths(rows), "lineage").select("lineage", "rev_id", "path")
 
 
 AS_OF = "19980701"
