@@ -291,7 +291,8 @@ class Inputs:
         """
         if name not in FACTS:
             return 0
-        path, cores = table_path(self.folder, name), self.spark.sparkContext.defaultParallelism
+        # A small table gains nothing from more than a few dozen tasks, however large the cluster.
+        path, cores = table_path(self.folder, name), min(self.spark.sparkContext.defaultParallelism, 32)
         if path not in self._splits:
             self._splits[path] = self.spark.read.parquet(path).rdd.getNumPartitions()
         return cores if self._splits[path] < cores else 0

@@ -142,7 +142,7 @@ def _(t: Inputs):
         names.safe_path_part("raw", suffix="serial", compose=False).alias("part_unique"))
 
 
-_DECOMPOSED = "é 한글 "
+_DECOMPOSED = "e\u0301 \u1112\u1161\u11ab "
 
 
 @query("nfc_normalize", "documents", f"""

@@ -35,17 +35,21 @@ def local_session(cores: int = 8, app: str = "revlake", memory: str = "8g") -> S
     return spark
 
 
+_local_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary one.
     """
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        _local_folder = _local_folder or tempfile.mkdtemp(prefix="spark-")
+        folder = _local_folder
     return folder.rstrip("/")
 
 

@@ -17,7 +17,6 @@ def main():
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     only = sys.argv[2:]
     catalog.load_all()
-    import json; json.dump(list(catalog.QUERIES), open("/tmp/names.json","w"))
     con = duckdb.connect()
     for f in glob.glob(folder + "/*.parquet"):
         con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
