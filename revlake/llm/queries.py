@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import chatformat, decontaminate, fingerprints, hyperlang, setsketch, surrogates, transducer, triebpe
+import corpus_pipeline
+from revlake.llm import (
+    chatformat, ctw, decontaminate, fingerprints, hyperlang, setsketch, surrogates, toxicity, transducer, triebpe,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +22,10 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return docs.withColumn("contaminated", F.size("leaked_items") > 0)
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op3_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return triebpe.digests(triebpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), ["doc_id"]))
@@ -36,6 +43,10 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chatformat.digests(chatformat.formatted(turns.union(hostile)))
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return ctw.scores(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return hyperlang.languages(_table(spark, folder, "documents"))
 
@@ -56,8 +67,8 @@ def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_benchmark_decontamination, op3_bpe_encode_decode,
-    op4_document_fingerprints, op5_chat_formatting, op7_language_id, op8_token_counts,
+    op1_benchmark_decontamination, op2_toxicity, op3_bpe_encode_decode,
+    op4_document_fingerprints, op5_chat_formatting, op6_lm_scoring, op7_language_id, op8_token_counts,
     op9_minhash_near_dedup, op10_pii_surrogates,
-)}
+)} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
