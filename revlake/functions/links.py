@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .dates import clamp_issue_date, format_date_checked, format_date_lenient, format_date_nullable
+from .dates import format_date_checked, format_date_lenient, format_date_nullable
 from .names import lookup
 from .text import blank_if_null, col, normalize_dots, or_else, strip
 
@@ -178,7 +178,7 @@ def case_message(
 
 def law_header(
     name: Column | str, rev: Column | str, lineage: Column | str, kind: Column | str, dept: Column | str,
-    date: Column | str, number: Column | str, effective: Column | str,
+    date: Column | str, number: Column | str, effective: Column | str, kind_code: Column | str, area: Column | str,
 ) -> Column:
     """Typed document header of a law revision."""
     from .text import parse_departments
@@ -190,35 +190,13 @@ def law_header(
         F.when(col(rev).cast("string").rlike(r"^\d+\z"), col(rev).cast("string").try_cast("bigint")).alias("rev_number"),
         blank_if_null(lineage).alias("lineage_id"),
         blank_if_null(kind).alias("kind"),
+        blank_if_null(kind_code).alias("kind_code"),
         parse_departments(dept).alias("departments"),
         format_date_lenient(blank_if_null(date)).alias("prom_date"),
         blank_if_null(number).alias("prom_num"),
         format_date_lenient(blank_if_null(effective)).alias("eff_date"),
+        blank_if_null(area).alias("area"),
         F.lit("시행").alias("state"),
         F.concat(F.lit(PORTAL + "/법령/"), F.replace(title, F.lit(" "), F.lit(""))).alias("source"),
         F.when(title != blank_if_null(name), col(name)).alias("original_title"),
     )
-
-
-def rule_header(
-    name: Column | str, serial: Column | str, identity: Column | str, kind: Column | str, top: Column | str,
-    agency: Column | str, path: Column | str, issue: Column | str, date: Column | str, body_source: Column | str,
-) -> Column:
-    issue_date = clamp_issue_date(date)
-    title = blank_if_null(name)
-    return F.struct(
-        blank_if_null(identity).alias("identity"),
-        blank_if_null(serial).alias("serial"),
-        title.alias("name"),
-        blank_if_null(kind).alias("kind"),
-        blank_if_null(top).alias("top"),
-        blank_if_null(agency).alias("agency"),
-        col(path).alias("org_path"),
-        blank_if_null(issue).alias("issue_no"),
-        issue_date["date"].alias("issue_date"),
-        or_else(col(body_source), "api-text").alias("body_source"),
-        F.when(title != "", F.concat(F.lit(PORTAL + "/행정규칙/"), F.replace(title, F.lit(" "), F.lit(""))))
-        .otherwise("").alias("source"),
-        issue_date["corrected"].alias("date_corrected"),
-        issue_date["raw"].alias("date_raw"),
-    )

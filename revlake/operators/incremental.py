@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from revlake.functions.text import blank_if_null
 from revlake.operators.ordering import first_by, last_by
-from revlake.operators.versioning import revision_key
+from revlake.operators.versioning import lineage_key, revision_key
+from revlake.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -68,11 +69,12 @@ def id_window_probe(committed: DataFrame, serial: str, overlap: int, horizon: in
 def guarded_upsert(current: DataFrame, incoming: DataFrame, key: str = "lineage_id", order: Column | None = None) -> DataFrame:
     """Newest state per lineage; equal keys go to the incoming row.
 
-    One argmax replaces "overwrite, then restore the newer state".
+    One argmax replaces "overwrite, then restore the newer state". Revisions with a blank key are lineages of their own.
     """
     both = current.withColumn("_in", F.lit(0)).unionByName(incoming.withColumn("_in", F.lit(1)))
     rank = order if order is not None else revision_key()
-    return last_by(both, [key], F.struct(rank, F.col("_in"))).drop("_in")
+    both = both.withColumn("_lineage", lineage_key(key, "rev_id"))
+    return last_by(both, ["_lineage"], F.struct(rank, F.col("_in"))).drop("_in", "_lineage")
 
 
 def resume_unprocessed(rows: DataFrame, target: DataFrame, key: str = "rev_id") -> DataFrame:
@@ -91,16 +93,21 @@ def incremental_apply(
     rows = listing.filter(F.col("prom_date").between(window.start, window.end))
     found = augment_with_siblings(rows.select("rev_id", "title", "prom_date", "amendment"),
                                   history.select("rev_id", "title", "prom_date", "amendment"), commits, window, backfill)
-    fresh = resume_unprocessed(found, commits)
-    joined = fresh.select("rev_id", F.col("amendment").alias("_amend")).join(details, "rev_id", "left").withColumn(
-        "amendment", F.coalesce("_amend", "amendment")).drop("_amend")
+    # The judged increment is small by nature and all outputs need it, so it is computed once.
+    found = checkpointed(
+        found.select("rev_id", F.col("amendment").alias("_amend"))
+        .join(commits.select("rev_id", F.lit(True).alias("_done")).distinct(), "rev_id", "left"))
+    fresh = found.filter("_done IS NULL").select("rev_id", "_amend")
+    joined = checkpointed(fresh.join(details, "rev_id", "left").withColumn(
+        "amendment", F.coalesce("_amend", "amendment")).drop("_amend"))
     valid = joined.filter("detail_status = 'valid'")
     if kind is not None:
         valid = valid.filter(F.col("kind") == kind)
     columns = current.columns
     snapshot = guarded_upsert(current, valid.select(*columns))
-    counters = found.agg(F.count(F.lit(1)).alias("found")).select(
-        "found", valid.agg(F.count(F.lit(1))).scalar().alias("committed"),
-        joined.agg(F.count_if(F.col("detail_status").isNull())).scalar().alias("no_result"),
-        joined.agg(F.count_if(F.col("detail_status").isNotNull() & (F.col("detail_status") != "valid"))).scalar().alias("errors"))
+    counters = joined.agg(
+        F.count_if(F.col("detail_status") == "valid" if kind is None else (F.col("detail_status") == "valid") & (F.col("kind") == kind))
+        .alias("committed"), F.count_if(F.col("detail_status").isNull()).alias("no_result"),
+        F.count_if(F.col("detail_status") != "valid").alias("errors")).select(
+        found.agg(F.count(F.lit(1))).scalar().alias("found"), "committed", "no_result", "errors")
     return {"commits": valid, "current": snapshot, "counters": counters}

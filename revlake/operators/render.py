@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlake.functions.dates import format_date_nullable, to_iso_date
+from revlake.functions.dates import clamp_issue_date, format_date_checked, format_date_nullable, to_iso_date
+from revlake.functions.links import PORTAL
 from revlake.functions.once import computed
-from revlake.functions.names import case_type, court_name, court_tier
+from revlake.functions.names import case_type, court_name, court_tier, split_jurisdiction
 from revlake.functions.text import (
     blank_if_null, dedent_body, escape_relative_links, html_to_text, let, lines_of, normalize_dots, or_else, rstrip, strip,
 )
@@ -145,8 +146,8 @@ def law_header_text(header: Column | str, attachments: Column | None = None) ->
     h = F.col(header) if isinstance(header, str) else header
     return F.concat_ws(
         "\n", _scalar("제목", h["title"]), _scalar("법령MST", h["rev_id"]), _scalar("법령ID", h["lineage_id"], True),
-        _scalar("법령구분", h["kind"]), _list("소관부처", h["departments"]), _scalar("공포일자", h["prom_date"]),
-        _scalar("공포번호", h["prom_num"], True), _scalar("시행일자", h["eff_date"]), _scalar("상태", h["state"]),
+        _scalar("법령구분", h["kind"]), _scalar("법령구분코드", h["kind_code"]), _list("소관부처", h["departments"]), _scalar("공포일자", h["prom_date"]),
+        _scalar("공포번호", h["prom_num"], True), _scalar("시행일자", h["eff_date"]), _scalar("법령분야", h["area"]), _scalar("상태", h["state"]),
         _scalar("출처", h["source"]), F.lit("첨부파일: []") if attachments is None else _attachment_list(attachments),
         F.when(h["original_title"].isNotNull(), _scalar("원본제목", h["original_title"])))
 
@@ -265,21 +266,73 @@ def structured_body(title: Column, body: Column) -> Column:
     return F.regexp_replace(merged, r"\n+\z", "")
 
 
+def _day(label: str, value: Column) -> Column:
+    """A date as such, anything else quoted."""
+    text = blank_if_null(value)
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), F.concat(F.lit(f"{label}: "), text)).otherwise(_scalar(label, text, True))
+
+
+def _flag(label: str, value: Column) -> Column:
+    return F.concat(F.lit(f"{label}: "), F.when(F.coalesce(value, F.lit(False)), "true").otherwise("false"))
+
+
+def _quoted_list(label: str, values: Column) -> Column:
+    return _list(label, F.transform(values, lambda v: F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("''")), F.lit("'"))))
+
+
+def _quoted_attachments(values: Column, with_type: bool) -> Column:
+    return _list("첨부파일", F.transform(values, lambda a: F.concat_ws(
+        "\n  ", _scalar("별표번호", a["num"], True), _scalar("별표가지번호", a["branch"], True), _scalar("별표구분", a["kind"], True),
+        _scalar("제목", a["title"], True), *([_scalar("파일형식", a["file_type"], True)] if with_type else []),
+        F.when(a["file_link"] != "", _scalar("파일링크", a["file_link"], True)),
+        F.when(a["pdf_link"] != "", _scalar("PDF링크", a["pdf_link"], True)))))
+
+
+def _source(section: str, name: Column) -> Column:
+    return F.when(name == "", "").otherwise(F.concat(F.lit(f"{PORTAL}/{section}/"), F.replace(name, F.lit(" "), F.lit(""))))
+
+
+def rule_header_text() -> Column:
+    """Header of an administrative rule, from the columns of its parsed detail and ``body_source``."""
+    text = lambda label, name: _scalar(label, F.col(name), True)
+    issued = clamp_issue_date("issue_date")
+    code = blank_if_null("org_code")
+    return F.concat_ws(
+        "\n", text("행정규칙ID", "identity"), text("행정규칙일련번호", "serial"), text("행정규칙명", "name"), text("행정규칙종류", "kind"),
+        text("상위기관명", "top"), text("소관부처명", "agency"), _quoted_list("기관경로", F.col("org_path")),
+        F.when(blank_if_null("raw_ministry") != "", text("소관부처명_원문", "raw_ministry")),
+        F.when(code == "", F.lit("기관코드: null")).otherwise(_scalar("기관코드", code, True)), text("발령번호", "issue_no"),
+        _day("발령일자", issued["date"]), _day("시행일자", format_date_checked("eff_date")), text("제개정구분", "amendment"),
+        text("제개정구분코드", "amendment_code"), text("현행연혁구분", "current_kind"), text("현행여부", "current_flag"),
+        text("본문출처", "body_source"), _scalar("출처", _source("행정규칙", F.col("name")), True),
+        _quoted_attachments(F.col("attachments"), False), _flag("발령일자보정", issued["corrected"]), text("발령일자원문", "issue_date"))
+
+
+def ordinance_header_text() -> Column:
+    """Header of an ordinance, from the columns of its parsed detail and ``body_source``."""
+    text = lambda label, name: _scalar(label, F.col(name), True)
+    promulgated, place = clamp_issue_date("prom_date"), split_jurisdiction("body", compose=False)
+    return F.concat_ws(
+        "\n", text("자치법규ID", "identity"), text("자치법규일련번호", "serial"), text("자치법규명", "name"), text("자치법규종류", "kind"),
+        text("지자체기관명", "body"),
+        let(place, lambda j: F.concat_ws("\n  ", F.lit("지자체구분:"), _scalar("광역", j["province"], True), _scalar("기초", j["unit"], True))),
+        _day("공포일자", promulgated["date"]), text("공포번호", "prom_num"), _scalar("시행일자", blank_if_null(format_date_checked("eff_date")), True),
+        text("제개정구분", "amendment"), text("자치법규분야", "area"), text("담당부서", "dept"), text("본문출처", "body_source"),
+        _scalar("출처", _source("자치법규", F.col("name")), True), _quoted_attachments(F.col("attachments"), True),
+        _flag("공포일자보정", promulgated["corrected"]), text("공포일자원문", "prom_date"))
+
+
 def render_admrule(df: DataFrame) -> DataFrame:
-    """Adds ``content, body_source``.  Needs ``name, serial, identity, kind, body_text``."""
+    """Adds ``content, body_source``.  Needs the columns of a parsed rule detail."""
     out = computed(df, _text=escape_relative_links(blank_if_null("body_text")))
     failed = F.col("_text") == ""
     out = out.withColumn("body_source", F.when(failed, "parsing-failed").otherwise("api-text"))
     body = structured_body(F.col("name"), F.when(failed, F.lit(RULE_FALLBACK)).otherwise(F.col("_text")))
-    header = F.concat_ws(
-        "\n", _scalar("행정규칙ID", F.col("identity"), True), _scalar("행정규칙일련번호", F.col("serial"), True),
-        _scalar("행정규칙명", F.col("name"), True), _scalar("행정규칙종류", F.col("kind"), True),
-        _scalar("본문출처", F.col("body_source"), True))
-    return out.withColumn("content", document(header, strip(body))).drop("_text")
+    return out.withColumn("content", document(rule_header_text(), strip(body))).drop("_text")
 
 
 def render_ordinance(df: DataFrame) -> DataFrame:
-    """Adds ``content, body_source``.  Needs ``name, serial, identity, kind, articles, addenda``."""
+    """Adds ``content, body_source``.  Needs the columns of a parsed ordinance detail."""
     md = render_articles("articles", nested=False)
     notes = F.filter(
         F.transform("addenda", lambda a: escape_relative_links(strip(blank_if_null(a["text"])))), lambda x: x != "")
@@ -293,11 +346,7 @@ def render_ordinance(df: DataFrame) -> DataFrame:
         ).otherwise(_none()),
         F.when(has_text, _none()).otherwise(_lines(F.lit(ORDINANCE_FALLBACK))))
     out = out.withColumn("body_source", F.when(has_text, "api-text").otherwise("parsing-failed"))
-    header = F.concat_ws(
-        "\n", _scalar("자치법규ID", F.col("identity"), True), _scalar("자치법규일련번호", F.col("serial"), True),
-        _scalar("자치법규명", F.col("name"), True), _scalar("자치법규종류", F.col("kind"), True),
-        _scalar("본문출처", F.col("body_source"), True))
-    return out.withColumn("content", document(header, rstrip(F.array_join(parts, "\n")))).drop("_md", "_add")
+    return out.withColumn("content", document(ordinance_header_text(), rstrip(F.array_join(parts, "\n")))).drop("_md", "_add")
 
 
 def render_index_stub(df: DataFrame) -> DataFrame:

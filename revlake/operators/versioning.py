@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.dates import commit_date, format_date_checked
-from revlake.functions.names import entry_sort_key, law_group_and_file
+from revlake.functions.names import entry_sort_key, law_group_and_file, safe_path_part
 from revlake.functions.once import computed
 from revlake.functions.text import blank_if_null, or_else
 from revlake.operators.filters import is_non_current, is_repeal
@@ -110,47 +110,58 @@ def assign_case_paths(cases: DataFrame, folder: str = "folder", stem: str = "ste
     return state.withColumn("path", F.when(F.col("suffixed"), F.col("_long")).otherwise(F.col("_plain"))).drop("_plain", "_long")
 
 
-def _rule_candidate(step: Column) -> Column:
+def _candidate(step: Column, corpus: str) -> Column:
     """Candidate path of a revision after *step* rejections."""
-    issue, serial = blank_if_null("issue"), blank_if_null("serial")
+    issue, serial, ident = (blank_if_null(c) for c in ("issue", "serial", "identity"))
+    own = ident if corpus == "ordinance" else serial
+    safe = lambda c: safe_path_part(c, compose=False)
+    first, second = (issue, own) if corpus == "ordinance" else (or_else(issue, own), own)
+    if corpus == "ordinance":
+        third = F.concat(safe(issue), F.lit("_"), safe(own))
+    else:
+        third = F.concat(issue, F.lit("_"), own)
     tail = (
         F.when(step == 0, F.lit(""))
-        .when(step == 1, F.concat(F.lit("_"), or_else(issue, serial)))
-        .when(step == 2, F.concat(F.lit("_"), serial))
-        .when(step == 3, F.concat(F.lit("_"), issue, F.lit("_"), serial))
-        .otherwise(F.concat(F.lit("_"), serial, F.lit("_"), (step - 2).cast("string")))
+        .when(step == 1, F.concat(F.lit("_"), safe(first)))
+        .when(step == 2, F.concat(F.lit("_"), safe(second)))
+        .when(step == 3, F.concat(F.lit("_"), safe(third)))
+        .otherwise(F.concat(F.lit("_"), safe(own), F.lit("_"), (step - 2).cast("string")))
     )
     return F.concat(F.col("dir"), F.lit("/"), F.col("name"), tail)
 
 
-def _settle(state: DataFrame) -> DataFrame:
+def _settle(state: DataFrame, corpus: str) -> DataFrame:
     """One proposal round: the earliest claim decides whose identity holds each path."""
-    proposed = state.withColumn("_path", _rule_candidate(F.col("_step")))
+    proposed = state.withColumn("_path", _candidate(F.col("_step"), corpus))
     holders = proposed.groupBy("_path").agg(F.min_by("identity", "serial").alias("_holder"))
     return proposed.join(holders, "_path").withColumn("_rejected", F.col("identity") != F.col("_holder")).drop("_holder")
 
 
-def assign_rule_paths(revisions: DataFrame) -> DataFrame:
+def assign_rule_paths(revisions: DataFrame, corpus: str = "rule") -> DataFrame:
     """Adds ``path``: first free or own candidate, claims in text order of the serial.
 
-    Needs ``serial, identity, dir, name, issue``.  The sequential rule "take the first
+    Needs ``serial, identity, dir, name, issue``; suffixes are made safe here. Rules are told apart by issue number and
+    serial, ordinances (*corpus* ``ordinance``) by promulgation number and identity. The sequential rule "take the first
     candidate nobody else holds" is a serial dictatorship, which deferred acceptance
     reaches in parallel: every revision proposes its current candidate, each path keeps
     the identity with the earliest claim, the others move to their next candidate, until
     nobody is rejected.  All candidates stay in the revision's directory, so after the
     first round only directories with a rejection take part.  Each round is one
-    aggregation and one join; no directory is ever gathered in a task.
+    aggregation and one join over the naming columns alone; no directory is ever gathered in a task.
     """
-    start = revisions.withColumn("_step", F.lit(0))
-    first = checkpointed(_settle(start))
+    naming = ["serial", "identity", "dir", "name", "issue"]
+    start = revisions.select(*naming).distinct().withColumn("_step", F.lit(0))
+    first = checkpointed(_settle(start, corpus))
     contested = first.filter("_rejected").select("dir").distinct()
     done = first.join(contested, "dir", "left_anti")
     open_ = first.join(contested, "dir", "left_semi")
     while not open_.filter("_rejected").isEmpty():
         moved = open_.withColumn("_step", F.col("_step") + F.col("_rejected").cast("int")).drop("_path", "_rejected")
-        open_ = checkpointed(_settle(moved))
-    result = done.unionByName(open_)
-    return result.withColumn("path", F.concat("_path", F.lit("/본문.md"))).drop("_path", "_step", "_rejected")
+        open_ = checkpointed(_settle(moved, corpus))
+    paths = done.unionByName(open_).select(
+        *[F.col(c).alias(f"_{c}") for c in naming], F.concat("_path", F.lit("/본문.md")).alias("path"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in naming]
+    return revisions.join(paths, same).drop(*[f"_{c}" for c in naming])
 
 
 def event_key(date: str = "issue_date", serial: str = "serial", path: str = "path") -> list[Column]:

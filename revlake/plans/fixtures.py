@@ -272,42 +272,18 @@ def with_views(names: tuple[str, ...] | list[str], body: str) -> str:
     return ("WITH RECURSIVE " + ",\n".join(ctes) + "\n" if ctes else "") + text
 
 
-FACTS = ("orders", "lineitem", "events", "documents", "pages", "customer", "part")
-
-
 class Inputs:
     """Tables and views of one data folder; everything stays lazy."""
 
-    _splits: dict[str, int] = {}
-
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def _spread(self, name: str) -> int:
-        """Partitions to spread a fact table over, 0 when it has enough splits of its own.
-
-        A small table often is a single file that cannot be split, which would leave all
-        later work in one task.  Large tables never take this path.
-        """
-        if name not in FACTS:
-            return 0
-        # A small table gains nothing from more than a few dozen tasks, however large the cluster.
-        path, cores = table_path(self.folder, name), min(self.spark.sparkContext.defaultParallelism, 32)
-        if path not in self._splits:
-            self._splits[path] = self.spark.read.parquet(path).rdd.getNumPartitions()
-        return cores if self._splits[path] < cores else 0
-
     def table(self, name: str) -> DataFrame:
-        df, n = self.spark.read.parquet(table_path(self.folder, name)), self._spread(name)
-        return df.repartition(n) if n else df
+        return self.spark.read.parquet(table_path(self.folder, name))
 
     def view(self, name: str) -> DataFrame:
         views = _needed([name])
         used = {dep for v in views for dep in VIEWS[v][0] if dep in TABLES}
-        ctes = []
-        for table in sorted(used):
-            n = self._spread(table)
-            hint = f"/*+ REPARTITION({n}) */ " if n else ""
-            ctes.append(f"{table} AS (SELECT {hint}* FROM parquet.`{table_path(self.folder, table)}`)")
+        ctes = [f"{table} AS (SELECT * FROM parquet.`{table_path(self.folder, table)}`)" for table in sorted(used)]
         ctes += [f"{v} AS ({VIEWS[v][1]})" for v in views]
         return self.spark.sql("WITH " + ",\n".join(ctes) + f"\nSELECT * FROM {name}")

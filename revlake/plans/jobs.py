@@ -44,7 +44,7 @@ def import_laws(
     paths = versioning.assign_law_paths(
         merged.select("rev_id", "lineage_id", "title", "kind", "prom_date", "prom_num")).select("rev_id", "path", "shared_path")
     headed = merged.withColumn("header", law_header(
-        "title", "rev_id", "lineage_id", "kind", "dept", "prom_date", "prom_num", "eff_date"))
+        "title", "rev_id", "lineage_id", "kind", "dept", "prom_date", "prom_num", "eff_date", "kind_code", "area"))
     rendered = render.render_law(headed, allowlist, today).join(paths, "rev_id")
     bad = parsed.filter("detail_status NOT IN ('valid', 'lacking')").select("rev_id", F.col("detail_status").alias("reason"))
     empty = rendered.filter("render_status = 'empty_body'").select("rev_id", F.lit("empty_body").alias("reason"))
@@ -97,7 +97,7 @@ def import_ordinances(raw: DataFrame) -> dict[str, DataFrame]:
         place.withColumn("dir", F.concat_ws(
             "/", safe_path_part(F.col("_j")["province"], compose=False), safe_path_part(F.col("_j")["unit"], compose=False), "kind"))
         .withColumn("rule_name", F.col("name")).withColumn("name", safe_path_part("name", suffix=ident, compose=False))
-        .withColumn("issue", safe_path_part("prom_num", compose=False)))
+        .withColumn("issue", F.col("prom_num")), "ordinance")
     return {
         "documents": render.render_ordinance(placed.withColumn("name", F.col("rule_name"))).select(
             "rev_id", "serial", "identity", "path", "content", "body_source"),

@@ -50,12 +50,12 @@ def _(t: Inputs):
 
 _STATE = "lineage_id, rev_id, title, kind, prom_date, prom_num"
 SQL_UPSERT = f"""
-b AS (SELECT {_STATE}, row_number() OVER (PARTITION BY lineage_id ORDER BY prom_date DESC, title DESC, coalesce(TRY_CAST(nullif(prom_num, '') AS BIGINT), 0) DESC, rev_id DESC) AS rn FROM revisions WHERE lineage_id <> '')"""
+b AS (SELECT {_STATE}, row_number() OVER (PARTITION BY CASE WHEN lineage_id <> '' THEN 'id:' || lineage_id ELSE 'rev:' || CAST(rev_id AS STRING) END ORDER BY prom_date DESC, title DESC, coalesce(TRY_CAST(nullif(prom_num, '') AS BIGINT), 0) DESC, rev_id DESC) AS rn FROM revisions)"""
 
 
 @query("guarded_upsert", "revisions", f"WITH {SQL_UPSERT} SELECT {_STATE} FROM b WHERE rn = 1")
 def _(t: Inputs):
-    rows = t.view("revisions").filter("lineage_id <> ''").select(*_STATE.split(", "))
+    rows = t.view("revisions").select(*_STATE.split(", "))
     early = rows.filter("kind <> '법률'")
     current = incremental.guarded_upsert(early.limit(0), early)
     # Late and older statutes arrive after everything else.
@@ -72,29 +72,28 @@ WITH {_SQL_AUGMENT}, {SQL_DETAILS},
 f AS (SELECT a.rev_id, CASE WHEN a.origin = 'listing' THEN r.amendment ELSE h.amendment END AS amend FROM aug a LEFT JOIN revisions r ON a.rev_id = r.rev_id LEFT JOIN history h ON a.rev_id = h.rev_id
   WHERE a.rev_id NOT IN (SELECT rev_id FROM commits)),
 v AS (SELECT d.lineage_id, d.rev_id, d.title, d.kind, d.prom_date, d.prom_num, 1 AS fresh FROM f JOIN d ON f.rev_id = d.rev_id WHERE detail_status = 'valid'),
-c AS (SELECT {_STATE}, 0 AS fresh FROM revisions WHERE lineage_id <> '' AND NOT ({_IN})),
-c1 AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lineage_id ORDER BY prom_date DESC, title DESC, coalesce(TRY_CAST(nullif(prom_num, '') AS BIGINT), 0) DESC, rev_id DESC) = 1),
-n AS (SELECT * FROM (SELECT * FROM c1 UNION ALL SELECT * FROM v) x QUALIFY row_number() OVER (PARTITION BY lineage_id
+c AS (SELECT {_STATE}, 0 AS fresh FROM revisions WHERE NOT ({_IN})),
+c1 AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY CASE WHEN lineage_id <> '' THEN 'id:' || lineage_id ELSE 'rev:' || CAST(rev_id AS STRING) END ORDER BY prom_date DESC, title DESC, coalesce(TRY_CAST(nullif(prom_num, '') AS BIGINT), 0) DESC, rev_id DESC) = 1),
+n AS (SELECT * FROM (SELECT * FROM c1 UNION ALL SELECT * FROM v) x QUALIFY row_number() OVER (PARTITION BY CASE WHEN lineage_id <> '' THEN 'id:' || lineage_id ELSE 'rev:' || CAST(rev_id AS STRING) END
   ORDER BY prom_date DESC, title DESC, coalesce(TRY_CAST(nullif(prom_num, '') AS BIGINT), 0) DESC, rev_id DESC, fresh DESC) = 1),
 k AS (SELECT (SELECT count(*) FROM aug) AS found, (SELECT count(*) FROM v) AS committed, (SELECT count(*) FROM f LEFT JOIN d ON f.rev_id = d.rev_id WHERE d.rev_id IS NULL) AS no_result,
   (SELECT count(*) FROM f JOIN d ON f.rev_id = d.rev_id WHERE detail_status <> 'valid') AS errors)
 SELECT n.lineage_id, n.rev_id, k.* FROM n, k""")
 def _(t: Inputs):
     columns = _STATE.split(", ")
-    before = t.view("revisions").filter(f"lineage_id <> '' AND NOT ({_IN})").select(*columns)
+    before = t.view("revisions").filter(f"NOT ({_IN})").select(*columns)
     current = incremental.guarded_upsert(before.limit(0), before)
     out = incremental.incremental_apply(
         listed(t), t.view("history"), details(t), t.view("commits"), current, CURSOR, TODAY, DAYS)
-    counters = out["counters"].withColumn("_k", F.lit(1))
-    return out["current"].withColumn("_k", F.lit(1)).join(counters, "_k").select(
-        "lineage_id", "rev_id", "found", "committed", "no_result", "errors")
+    counters = out["counters"].select(F.struct("*").alias("c"))
+    return out["current"].withColumn("c", counters.scalar()).select("lineage_id", "rev_id", "c.*")
 
 
 @query("stream_revisions", "revisions", f"WITH {SQL_UPSERT} SELECT lineage_id, rev_id FROM b WHERE rn = 1")
 def _(t: Inputs):
     """The revisions as files arriving in a stream; merged on read it must equal the batch upsert."""
     source, target, mark = (scratch(t.spark, x) for x in ("arrivals", "current", "mark"))
-    rows = t.view("revisions").filter("lineage_id <> ''").select(*_STATE.split(", "))
+    rows = t.view("revisions").select(*_STATE.split(", "))
     rows.repartition("kind").write.parquet(source)
     stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
     streams.stream_revisions(stream, target, mark).awaitTermination()
@@ -104,16 +103,11 @@ def _(t: Inputs):
 @query("stream_failure_counts", "failures", """
 SELECT CAST(CAST(failed_at AS DATE) AS STRING) AS day, reason, count(*) AS n FROM failures GROUP BY 1, 2""")
 def _(t: Inputs):
-    """Streamed counts; the sink keeps the newest value of each window, so late batches update it."""
+    """Counts of files that arrive one by one, the newest days first, so that most rows come late."""
     source, target, mark = (scratch(t.spark, x) for x in ("failures", "counts", "mark"))
     rows = t.view("failures").select("reason", F.col("failed_at").cast("timestamp").alias("failed_at"))
-    rows.write.parquet(source)
-    counts = streams.stream_failure_counts(t.spark.readStream.schema(rows.schema).parquet(source))
-
-    def save(batch, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/v={batch_id}")
-
-    counts.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", mark).trigger(
-        availableNow=True).start().awaitTermination()
-    written = t.spark.read.parquet(target)
-    return written.groupBy("day", "reason").agg(F.max_by("n", "v").alias("n"))
+    for weekday in range(7, 0, -1):
+        rows.filter(F.dayofweek("failed_at") == weekday).write.mode("append").parquet(source)
+    arriving = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    streams.stream_failure_counts(arriving, target, mark).awaitTermination()
+    return streams.read_failure_counts(t.spark, target)

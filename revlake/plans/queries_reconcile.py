@@ -306,9 +306,11 @@ def _(t: Inputs):
     delta = reconcile.failure_delta(state, base, f"{EVENT_TODAY} 00:00:00")
     misses = state.select("key").distinct().join(base.select("key"), "key", "left_anti")
     verdict = reconcile.failure_delta_verdict(delta, misses)
-    # The verdict is one row; every delta row is shown with it.
-    return verdict.withColumn("_k", F.lit(1)).join(delta.withColumn("_k", F.lit(1)), "_k", "left").select(
-        "key", "reason", "class", "semantic", "transient", "new_misses", "ok")
+    # The verdict is one row and comes along as a scalar; without a delta it stands alone.
+    shown = delta.withColumn("v", verdict.select(F.struct("*")).scalar()).select("key", "reason", "class", "v.*")
+    alone = verdict.filter("semantic = 0 AND transient = 0").select(
+        *[F.lit(None).cast("string").alias(c) for c in ("key", "reason", "class")], "semantic", "transient", "new_misses", "ok")
+    return shown.unionByName(alone)
 
 
 @query("uncommitted_serials", "rules", """

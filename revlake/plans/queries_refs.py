@@ -10,7 +10,7 @@ from revlake.operators import profile, refs, render
 from revlake.plans import samples
 from revlake.plans.catalog import query, scratch
 from revlake.plans.fixtures import EVENT_TODAY, Inputs, TODAY
-from revlake.plans.queries_scalars import dash, sql_dots
+from revlake.plans.queries_scalars import SQL_JURISDICTION, SQL_ORG, dash, sql_dots
 from revlake.sources import records, xml_details
 
 _NL = "chr(10)"
@@ -41,7 +41,8 @@ def _(t: Inputs):
 
 
 def with_header(rows):
-    header = links.law_header("title", "rev_id", "lineage_id", "kind", "dept", "prom_date", "prom_num", "eff_date")
+    code = "kind_code" if "kind_code" in rows.columns else F.lit("")
+    header = links.law_header("title", "rev_id", "lineage_id", "kind", "dept", "prom_date", "prom_num", "eff_date", code, "area")
     return rows.withColumn("header", header)
 
 
@@ -56,23 +57,23 @@ def _plain(label: str, x: str) -> str:
 _TITLE = sql_dots("title")
 
 
-def sql_law_header(rev: str = "CAST(r.rev_id AS STRING)") -> str:
-    return f"""'---' || {_NL} || '제목: ' || {_TITLE} || {_NL} || '법령MST: ' || {rev} || {_NL} || {_quoted('법령ID', 'lineage_id')} || '법령구분: ' || kind || {_NL}
+def sql_law_header(rev: str = "CAST(r.rev_id AS STRING)", code: str = "''''''", area: str = "CASE WHEN area = '' THEN '''''' ELSE area END") -> str:
+    return f"""'---' || {_NL} || '제목: ' || CASE WHEN {_TITLE} = '' THEN '''''' ELSE {_TITLE} END || {_NL} || '법령MST: ' || {rev} || {_NL} || {_quoted('법령ID', 'lineage_id')} || '법령구분: ' || kind || {_NL} || '법령구분코드: ' || {code} || {_NL}
   || '소관부처:' || {_NL} || '- ' || segment || {_NL} || '- ' || trim(string_split(dept, ',')[2]) || {_NL} || '공포일자: ' || {dash('prom_date')} || {_NL} || {_quoted('공포번호', 'prom_num')}
-  || '시행일자: ' || {dash('eff_date')} || {_NL} || '상태: 시행' || {_NL} || '출처: https://www.law.go.kr/법령/' || replace({_TITLE}, ' ', '') || {_NL} || '첨부파일: []' || {_NL}
+  || '시행일자: ' || {dash('eff_date')} || {_NL} || '법령분야: ' || {area} || {_NL} || '상태: 시행' || {_NL} || '출처: https://www.law.go.kr/법령/' || replace({_TITLE}, ' ', '') || {_NL} || '첨부파일: []' || {_NL}
   || CASE WHEN {_TITLE} <> title THEN '원본제목: ' || title || {_NL} ELSE '' END || '---' || {_NL} || {_NL}"""
 
 
 @query("render_law", "revisions articles addenda allowlist", f"""
 WITH {SQL_ARTICLE},
-j AS (SELECT r.*, coalesce(b.md, '') AS md, d.bu_text, a.key IS NOT NULL AS accepted FROM revisions r LEFT JOIN body b ON r.rev_id = b.rev_id LEFT JOIN addenda d ON r.rev_id = d.rev_id
-  LEFT JOIN allowlist a ON a.key = CAST(r.rev_id AS STRING) AND a.expires_on > '{TODAY}' WHERE NOT {_NONE} AND NOT {samples.UNTITLED}),
+j AS (SELECT r.* REPLACE (CASE WHEN {samples.UNTITLED} THEN '' ELSE r.title END AS title), coalesce(b.md, '') AS md, d.bu_text, a.key IS NOT NULL AS accepted FROM revisions r LEFT JOIN body b ON r.rev_id = b.rev_id LEFT JOIN addenda d ON r.rev_id = d.rev_id
+  LEFT JOIN allowlist a ON a.key = CAST(r.rev_id AS STRING) AND a.expires_on > '{TODAY}' WHERE NOT {_NONE}),
 s AS (SELECT *, CASE WHEN md <> '' OR bu_text IS NOT NULL THEN 'ok' WHEN accepted THEN 'allowed_empty' ELSE 'empty_body' END AS render_status FROM j)
 SELECT rev_id, render_status, CASE WHEN render_status <> 'empty_body' THEN {sql_law_header('CAST(rev_id AS STRING)')} || '# ' || {_TITLE} || {_NL}
   || CASE WHEN render_status = 'ok' THEN {_NL} || CASE WHEN md <> '' THEN md || {_NL} ELSE '' END
     || CASE WHEN bu_text IS NOT NULL THEN '## 부칙' || {_NL} || {_NL} || replace(bu_text, '    ', '') || {_NL} || {_NL} ELSE '' END ELSE '' END END AS content FROM s""")
 def _(t: Inputs):
-    rows = xml_details.parse_law_detail(samples.law_xml(t)).filter("detail_status IN ('valid', 'lacking') AND metadata.title <> ''")
+    rows = xml_details.parse_law_detail(samples.law_xml(t)).filter("detail_status IN ('valid', 'lacking')")
     docs = with_header(rows.select("rev_id", "metadata.*", "articles", "addenda", "attachments"))
     return render.render_law(docs, t.view("allowlist"), TODAY).select("rev_id", "render_status", "content")
 
@@ -100,9 +101,17 @@ _RULE_BODY = f"""'## 제1장 총칙' || {_NL} || {_NL} || '##### 제1조 (목적
 
 
 @query("render_admrule", "rules agency_rows", f"""
-SELECT r.rev_id, '---' || {_NL} || {_quoted('행정규칙ID', "'r' || serial")} || {_quoted('행정규칙일련번호', 'serial')} || {_quoted('행정규칙명', 'name')} || {_quoted('행정규칙종류', 'rule_type')}
-  || {_quoted('본문출처', "CASE WHEN current_flag = 'N' THEN 'parsing-failed' ELSE 'api-text' END")} || '---' || {_NL} || {_NL} || '# ' || name || {_NL} || {_NL}
-  || CASE WHEN current_flag = 'N' THEN '본문은 국가법령정보센터 원문 또는 첨부파일을 참조하세요.' ELSE {_RULE_BODY} END || {_NL} AS content FROM rules r JOIN agency_rows g ON r.rev_id = g.rev_id""")
+WITH {SQL_ORG}, u AS (SELECT rev_id, top = '' AND agency = '' AS unknown, top, agency, path FROM org),
+n AS (SELECT u.rev_id, CASE WHEN unknown THEN ['_미분류'] ELSE path END AS path, CASE WHEN unknown THEN '_미분류' WHEN len(path) = 0 THEN top ELSE path[1] END AS top,
+    CASE WHEN unknown THEN '_미분류' WHEN len(path) = 0 THEN agency ELSE path[-1] END AS agency, CASE WHEN len(path) = 0 THEN agency ELSE path[-1] END AS own FROM u)
+SELECT r.rev_id, '---' || {_NL} || {_quoted('행정규칙ID', "'r' || serial")} || {_quoted('행정규칙일련번호', 'serial')} || {_quoted('행정규칙명', 'name')} || {_quoted('행정규칙종류', 'g.rule_type')}
+  || {_quoted('상위기관명', 'n.top')} || {_quoted('소관부처명', 'n.agency')} || '기관경로:' || {_NL} || '- ''' || array_to_string(n.path, '''' || {_NL} || '- ''') || '''' || {_NL}
+  || CASE WHEN g.ministry NOT IN ('', '-') AND g.ministry <> n.own THEN {_quoted('소관부처명_원문', 'g.ministry')} ELSE '' END || '기관코드: null' || {_NL}
+  || {_quoted('발령번호', 'issue')} || '발령일자: ' || {dash('issue_date')} || {_NL} || '시행일자: ''''' || {_NL} || {_quoted('제개정구분', 'amendment')}
+  || {_quoted('제개정구분코드', "''")} || {_quoted('현행연혁구분', "''")} || {_quoted('현행여부', 'current_flag')}
+  || {_quoted('본문출처', "CASE WHEN current_flag = 'N' THEN 'parsing-failed' ELSE 'api-text' END")} || {_quoted('출처', "'https://www.law.go.kr/행정규칙/' || replace(name, ' ', '')")}
+  || '첨부파일: []' || {_NL} || '발령일자보정: false' || {_NL} || {_quoted('발령일자원문', 'issue_date')} || '---' || {_NL} || {_NL} || '# ' || name || {_NL} || {_NL}
+  || CASE WHEN current_flag = 'N' THEN '본문은 국가법령정보센터 원문 또는 첨부파일을 참조하세요.' ELSE {_RULE_BODY} END || {_NL} AS content FROM rules r JOIN agency_rows g ON r.rev_id = g.rev_id JOIN n ON n.rev_id = r.rev_id""")
 def _(t: Inputs):
     return render.render_admrule(xml_details.parse_admrule_detail(samples.rule_xml(t), NATIONAL)).select("rev_id", "content")
 
@@ -114,18 +123,27 @@ _OBODY = f"""CASE status WHEN 'F' THEN '##### 제' || CAST(rev_id % 50 AS STRING
 _OADD = "CASE segment WHEN 'BUILDING' THEN '' WHEN 'MACHINERY' THEN '첫째' || chr(10) || chr(10) || '둘째' ELSE '부칙 하나' END"
 
 
-@query("render_ordinance", "revisions", f"""
-WITH o AS (SELECT *, {_ONAME} AS nm, {_OBODY} AS md, {_OADD} AS ad FROM revisions)
+@query("render_ordinance", "revisions jurisdictions", f"""
+WITH {SQL_JURISDICTION},
+o AS (SELECT r.*, {_ONAME} AS nm, {_OBODY} AS md, {_OADD} AS ad, trim(regexp_replace(j.raw, '\\s+', ' ', 'g')) AS place, s.province, s.unit
+  FROM revisions r JOIN jurisdictions j ON r.custkey = j.c_custkey JOIN split_places s ON s.c_custkey = j.c_custkey)
 SELECT rev_id, '---' || {_NL} || {_quoted('자치법규ID', "'o' || CAST(custkey AS STRING)")} || {_quoted('자치법규일련번호', 'CAST(rev_id AS STRING)')} || {_quoted('자치법규명', 'nm')}
-  || {_quoted('자치법규종류', _OKIND)} || {_quoted('본문출처', "CASE WHEN md = '' AND ad = '' THEN 'parsing-failed' ELSE 'api-text' END")} || '---' || {_NL} || {_NL} || '# ' || nm || {_NL} || {_NL}
+  || {_quoted('자치법규종류', _OKIND)} || {_quoted('지자체기관명', 'place')} || '지자체구분:' || {_NL} || '  ' || {_quoted('광역', 'province')} || '  ' || {_quoted('기초', 'unit')}
+  || '공포일자: ' || {dash('prom_date')} || {_NL} || {_quoted('공포번호', 'prom_num')} || {_quoted('시행일자', dash('eff_date'))} || {_quoted('제개정구분', 'amendment')}
+  || {_quoted('자치법규분야', "''")} || {_quoted('담당부서', "''")} || {_quoted('본문출처', "CASE WHEN md = '' AND ad = '' THEN 'parsing-failed' ELSE 'api-text' END")}
+  || {_quoted('출처', "'https://www.law.go.kr/자치법규/' || replace(nm, ' ', '')")} || '첨부파일: []' || {_NL} || '공포일자보정: false' || {_NL} || {_quoted('공포일자원문', 'prom_date')}
+  || '---' || {_NL} || {_NL} || '# ' || nm || {_NL} || {_NL}
   || rtrim(CASE WHEN md = '' AND ad = '' THEN '본문은 첨부파일 또는 원문을 참조하세요.' ELSE CASE WHEN md <> '' THEN md || CASE WHEN ad <> '' THEN {_NL} ELSE '' END ELSE '' END
     || CASE WHEN ad <> '' THEN '## 부칙' || {_NL} || {_NL} || ad ELSE '' END END, {_NL}) || {_NL} AS content FROM o""")
 def _(t: Inputs):
     return render.render_ordinance(xml_details.parse_ordinance_detail(samples.ordinance_xml(t))).select("rev_id", "content")
 
 
+_STUB_CODE, _STUB_AREA = "'K1'", "'''분야 \"' || area || '\"'''"
+
+
 @query("render_index_stub", "revisions", f"""
-SELECT CAST(r.rev_id AS STRING) AS rev_id, {sql_law_header()} || '# ' || {_TITLE} || {_NL} || {_NL} || '> 본문은 추후 추가 예정입니다.' || {_NL} || '>' || {_NL} || '> 법령 원문: [' || {_TITLE} || '](https://www.law.go.kr/법령/'
+SELECT CAST(r.rev_id AS STRING) AS rev_id, {sql_law_header(code=_STUB_CODE, area=_STUB_AREA)} || '# ' || {_TITLE} || {_NL} || {_NL} || '> 본문은 추후 추가 예정입니다.' || {_NL} || '>' || {_NL} || '> 법령 원문: [' || {_TITLE} || '](https://www.law.go.kr/법령/'
   || replace({_TITLE}, ' ', '') || ')' || {_NL} AS content FROM revisions r WHERE status <> 'P'""")
 def _(t: Inputs):
     return render.render_index_stub(with_header(records.parse_index_lines(samples.index_lines(t), "line"))).select("rev_id", "content")

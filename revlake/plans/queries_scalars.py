@@ -264,17 +264,19 @@ def _(t: Inputs):
         "rev_id", names.resolve_agency("ministry", "parent", "department", "rule_type", NATIONAL).alias("r")).select("rev_id", "r.*")
 
 
-@query("org_path", "agency_rows", f"""
-WITH {SQL_AGENCY},
+SQL_ORG = f"""{SQL_AGENCY},
 parents(child, parent) AS (VALUES {_values(NATIONAL.parents.items())}),
 walk(leaf, node, path) AS (SELECT child, child, [child] FROM parents
   UNION ALL SELECT w.leaf, p.parent, list_prepend(p.parent, w.path) FROM walk w JOIN parents p ON p.child = w.node),
 chain AS (SELECT leaf, arg_max(path, len(path)) AS path FROM walk GROUP BY leaf),
 b AS (SELECT r.rev_id, r.top, r.agency, p.parent AS up, coalesce(ct.path, CASE WHEN r.top = '' THEN [] ELSE [r.top] END) AS tp,
     coalesce(ca.path, CASE WHEN r.agency = '' THEN [] ELSE [r.agency] END) AS ap
-  FROM resolved r LEFT JOIN parents p ON p.child = r.agency LEFT JOIN chain ct ON ct.leaf = r.top LEFT JOIN chain ca ON ca.leaf = r.agency)
-SELECT rev_id, array_to_string(CASE WHEN agency = '' THEN tp WHEN up IS NOT NULL AND top <> agency AND top <> up THEN ap
-  WHEN agency <> top AND NOT list_contains(tp, agency) THEN list_append(tp, agency) ELSE tp END, '/') AS path FROM b""")
+  FROM resolved r LEFT JOIN parents p ON p.child = r.agency LEFT JOIN chain ct ON ct.leaf = r.top LEFT JOIN chain ca ON ca.leaf = r.agency),
+org AS (SELECT rev_id, top, agency, CASE WHEN agency = '' THEN tp WHEN up IS NOT NULL AND top <> agency AND top <> up THEN ap
+  WHEN agency <> top AND NOT list_contains(tp, agency) THEN list_append(tp, agency) ELSE tp END AS path FROM b)"""
+
+
+@query("org_path", "agency_rows", f"WITH {SQL_ORG} SELECT rev_id, array_to_string(path, '/') AS path FROM org")
 def _(t: Inputs):
     org = names.resolve_agency("ministry", "parent", "department", "rule_type", NATIONAL)
     rows = t.view("agency_rows").select("rev_id", org.alias("r"))
@@ -284,13 +286,15 @@ def _(t: Inputs):
 _JX = "trim(regexp_replace(" + "replace(" * 5 + "raw" + "".join(f", '{o}', '{n}')" for o, n in names.JURISDICTION_ALIASES.items()) + ", '\\s+', ' ', 'g'))"
 
 
-@query("split_jurisdiction", "jurisdictions", f"""
-WITH province(p) AS (VALUES {_values((p,) for p in names.PROVINCES)}),
-j AS (SELECT c_custkey, raw, {_JX} AS x FROM jurisdictions),
-k AS (SELECT j.c_custkey, j.raw, j.x, arg_max(p, length(p)) AS p FROM j LEFT JOIN province ON starts_with(j.x, p) GROUP BY ALL),
-r AS (SELECT c_custkey, raw, p, trim(substr(x, length(p) + 1)) AS rest FROM k)
-SELECT c_custkey, coalesce(p, '_미상') AS province, CASE WHEN p IS NULL THEN CASE WHEN trim(raw) = '' THEN '_' ELSE trim(raw) END
-  WHEN rest = '' THEN '_본청' WHEN ends_with(rest, '교육청') THEN '_교육청' ELSE rest END AS unit FROM r""")
+SQL_JURISDICTION = f"""province(p) AS (VALUES {_values((p,) for p in names.PROVINCES)}),
+jx AS (SELECT c_custkey, raw, {_JX} AS x FROM jurisdictions),
+jk AS (SELECT jx.c_custkey, jx.raw, jx.x, arg_max(p, length(p)) AS p FROM jx LEFT JOIN province ON starts_with(jx.x, p) GROUP BY ALL),
+jr AS (SELECT c_custkey, raw, p, trim(substr(x, length(p) + 1)) AS rest FROM jk),
+split_places AS (SELECT c_custkey, coalesce(p, '_미상') AS province, CASE WHEN p IS NULL THEN CASE WHEN trim(raw) = '' THEN '_' ELSE trim(raw) END
+  WHEN rest = '' THEN '_본청' WHEN ends_with(rest, '교육청') THEN '_교육청' ELSE rest END AS unit FROM jr)"""
+
+
+@query("split_jurisdiction", "jurisdictions", f"WITH {SQL_JURISDICTION} SELECT * FROM split_places")
 def _(t: Inputs):
     return t.view("jurisdictions").select(
         "c_custkey", names.split_jurisdiction("raw", compose=False).alias("s")).select("c_custkey", "s.*")
@@ -409,16 +413,17 @@ def _(t: Inputs):
 @query("build_frontmatter", "revisions", f"""
 SELECT rev_id, {sql_dots('title')} AS title, rev_id AS rev_number, lineage_id, kind,
   array_to_string(list_filter(list_transform(string_split(dept, ','), lambda x: trim(x)), lambda x: x <> ''), '|') AS departments,
-  {dash('prom_date')} AS prom_date, prom_num, {dash('eff_date')} AS eff_date, '시행' AS state,
+  {dash('prom_date')} AS prom_date, prom_num, {dash('eff_date')} AS eff_date, '시행' AS state, substr(kind, 1, 1) AS kind_code, area,
   'https://www.law.go.kr/법령/' || replace({sql_dots('title')}, ' ', '') AS source,
   CASE WHEN {sql_dots('title')} <> title THEN title END AS original_title,
   CASE WHEN kind IN ('법률', '대통령령', '총리령', '부령') THEN 'ok' ELSE 'type_quarantined' END AS status FROM revisions""")
 def _(t: Inputs):
-    header = links.law_header("title", "rev_id", "lineage_id", "kind", "dept", "prom_date", "prom_num", "eff_date")
+    header = links.law_header(
+        "title", "rev_id", "lineage_id", "kind", "dept", "prom_date", "prom_num", "eff_date", F.substring("kind", 1, 1), "area")
     rows = t.view("revisions").select("rev_id", header.alias("h"))
     return rows.select(
         "rev_id", "h.title", "h.rev_number", "h.lineage_id", "h.kind", F.array_join("h.departments", "|").alias("departments"),
-        "h.prom_date", "h.prom_num", "h.eff_date", "h.state", "h.source", "h.original_title",
+        "h.prom_date", "h.prom_num", "h.eff_date", "h.state", "h.source", "h.original_title", "h.kind_code", "h.area",
         F.when(F.col("h.kind").isin("법률", "대통령령", "총리령", "부령"), "ok").otherwise("type_quarantined").alias("status"))
 
 

@@ -224,9 +224,9 @@ def _(t: Inputs):
 
 
 @query("export_metadata_index", "revisions", f"""
-SELECT rev_id, 'kr/' || title AS path, title, kind, prom_date, '' AS state FROM revisions WHERE lineage_id <> '' """)
+SELECT rev_id, 'kr/' || title AS path, title, kind, prom_date, '' AS state FROM revisions""")
 def _(t: Inputs):
-    docs = t.view("revisions").filter("lineage_id <> ''").withColumn("path", F.concat(F.lit("kr/"), F.col("title"))).withColumn(
+    docs = t.view("revisions").withColumn("path", F.concat(F.lit("kr/"), F.col("title"))).withColumn(
         "state", F.lit(None).cast("string"))
     index = docs_io.metadata_index(docs, "rev_id", "path", ["title", "kind", "prom_date", "state"])
     return index.select("rev_id", F.inline(F.array(F.from_json(
@@ -244,7 +244,7 @@ def _(t: Inputs):
 
 
 @query("append_ledger", "failures", """
-WITH r AS (SELECT key, reason, substr(repeat(error || ' ', 30), 1, 500) AS detail, event_id, failed_at, row_number() OVER (PARTITION BY key ORDER BY failed_at DESC, event_id DESC) AS rn FROM failures)
+WITH r AS (SELECT key, reason, repeat(error || ' ', 30) AS detail, event_id, failed_at, row_number() OVER (PARTITION BY key ORDER BY failed_at DESC, event_id DESC) AS rn FROM failures)
 SELECT key, reason, detail, event_id FROM r WHERE rn = 1""")
 def _(t: Inputs):
     rows = t.view("failures").select(

@@ -58,10 +58,10 @@ def _(t: Inputs):
     return versioning.assign_case_paths(stems).select("serial", "path", "suffixed")
 
 
-def _rule_rounds(n: int) -> str:
+def _rule_rounds(n: int, own: str = "serial") -> str:
     """The proposal rounds written out; the last one must not reject anybody."""
     candidate = """dir || '/' || name || CASE step WHEN 0 THEN '' WHEN 1 THEN '_' || issue WHEN 2 THEN '_' || serial
-      WHEN 3 THEN '_' || issue || '_' || serial ELSE '_' || serial || '_' || CAST(step - 2 AS STRING) END"""
+      WHEN 3 THEN '_' || issue || '_' || serial ELSE '_' || serial || '_' || CAST(step - 2 AS STRING) END""".replace("'_' || serial", f"'_' || {own}")
     ctes = ["s0 AS (SELECT *, 0 AS step FROM rules)"]
     for i in range(n):
         ctes.append(f"c{i} AS (SELECT *, {candidate} AS path FROM s{i})")
@@ -82,6 +82,11 @@ def _(t: Inputs):
     return rule_paths(t).select("serial", "path")
 
 
+@query("assign_ordinance_paths", "rules", f"WITH {_rule_rounds(8, 'identity')} SELECT serial, path || '/본문.md' AS path FROM settled")
+def _(t: Inputs):
+    return versioning.assign_rule_paths(t.view("rules"), "ordinance").select("serial", "path")
+
+
 def own_paths(t: Inputs):
     """Rules whose path depends on year and identity only, so folds can be checked alone."""
     return t.view("rules").withColumn("path", F.concat_ws("/", "dir", "identity", F.substring("issue_date", 1, 4)))

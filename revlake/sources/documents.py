@@ -38,7 +38,7 @@ def header_scalars(header: Column | str) -> Column:
 
 def header_lists(header: Column | str) -> Column:
     """Map of the keys that are followed by ``- item`` lines."""
-    pattern = r"(?m)^([^\s:#\-\[\{][^:\n]*):[ ]*((?:\n[ ]*- [^\n]*)+)"
+    pattern = r"(?m)^([^\s:#\-\[\{][^:\n]*):[ ]*((?:\n[ ]*+- [^\n]*+)++)"
     names = F.regexp_extract_all(col(header), F.lit(pattern), F.lit(1))
     blocks = F.regexp_extract_all(col(header), F.lit(pattern), F.lit(2))
     values = F.transform(blocks, lambda b: F.transform(

@@ -94,9 +94,11 @@ def read_history_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 
 def parse_index_lines(df: DataFrame, line: str, keep: Sequence[str] = ()) -> DataFrame:
     """Positional columns of index lines; preamble lines and short rows fall out."""
+    # One pass over the record: a cell is plain text and quoted parts, and quoted parts may hold commas and line breaks.
+    raw = F.regexp_extract_all(
+        F.concat(F.lit(","), F.col(line)), F.lit(r'(?s),((?:[^",]++|"(?:[^"]++|"")*+"?)*+)'), F.lit(1))
     cells = F.transform(
-        F.split(F.col(line), r",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*\z)"),
-        lambda c: strip(F.regexp_replace(F.regexp_replace(c, r"^\s*\"|\"\s*\z", ""), "\"\"", "\"")))
+        raw, lambda c: strip(F.regexp_replace(F.regexp_replace(c, r"\A\s*\"|\"\s*\z", ""), "\"\"", "\"")))
     header = strip(F.col("_cells")[1]) == "법령MST"
     return (
         computed(df, _cells=cells).filter((F.size("_cells") >= INDEX_WIDTH) & ~header)
@@ -105,10 +107,13 @@ def parse_index_lines(df: DataFrame, line: str, keep: Sequence[str] = ()) -> Dat
 
 
 def read_index_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Law index file: a count line and a header line precede the rows."""
-    lines = spark.read.text(path).withColumn("_at", F.col("_metadata.file_block_start"))
-    # The two preamble lines are recognised by shape: a lone count cell and the header labels.
-    return parse_index_lines(lines.filter(~F.col("value").startswith("순번,")), "value")
+    """Law index file: a count line and a header line precede the rows; quoted fields may hold line breaks."""
+    schema = ", ".join(f"c{i} string" for i in range(INDEX_WIDTH))
+    rows = spark.read.schema(schema).csv(path, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+    # The two preamble lines are recognised by shape: too few cells, and the header labels.
+    last = F.col(f"c{INDEX_WIDTH - 1}")
+    return rows.filter(last.isNotNull() & (strip(F.col("c1")) != "법령MST")).select(
+        *[strip(blank_if_null(f"c{at}")).alias(name) for name, at in INDEX_COLUMNS.items()])
 
 
 def parse_commit_log(df: DataFrame, record: str, seq: str) -> DataFrame:
@@ -204,10 +209,12 @@ def classify_failure(error_classes: Column | str) -> Column:
 
 
 def append_ledger(ledger: DataFrame, new: DataFrame, key: str = "key", at: str = "failed_at", tie: str | None = None) -> DataFrame:
-    """Latest failure per key; details are cut to 500 characters."""
+    """Latest failure per key, with its whole detail."""
     from revlake.operators.ordering import last_by
 
-    rows = ledger.unionByName(new)
-    if "detail" in rows.columns:
-        rows = rows.withColumn("detail", F.substring("detail", 1, 500))
-    return last_by(rows, [key], F.struct(at, tie) if tie else F.col(at))
+    return last_by(ledger.unionByName(new), [key], F.struct(at, tie) if tie else F.col(at))
+
+
+def ledger_report(ledger: DataFrame, chars: int = 500) -> DataFrame:
+    """The ledger as reports show it: ``summary`` has the first *chars* characters of the detail."""
+    return ledger.withColumn("summary", F.substring("detail", 1, chars))

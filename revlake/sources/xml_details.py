@@ -125,18 +125,36 @@ def _articles(nodes: Column) -> Column:
     def sub(ho: Column) -> Column:
         return F.struct(*_texts(ho, SUBPARA), F.transform(F.coalesce(ho["목"], F.array()), item).alias("items"))
 
-    def para(hang: Column) -> Column:
-        return F.struct(*_texts(hang, PARAGRAPH), F.transform(F.coalesce(hang["호"], F.array()), sub).alias("subparas"))
+    def below(hang: Column, levels: int) -> Column:
+        """Subparagraphs anywhere inside a paragraph, its own first."""
+        own = F.coalesce(hang["호"], F.array())
+        return F.concat(own, F.flatten(F.transform(
+            F.coalesce(hang["항"], F.array()), lambda h: below(h, levels - 1)))) if levels else own
+
+    def paras(hang: Column, levels: int) -> Column:
+        """A paragraph and the ones nested in it, in document order."""
+        one = F.array(F.struct(*_texts(hang, PARAGRAPH), F.transform(below(hang, levels), sub).alias("subparas")))
+        return F.concat(one, F.flatten(F.transform(
+            F.coalesce(hang["항"], F.array()), lambda h: paras(h, levels - 1)))) if levels else one
 
     def article(jo: Column) -> Column:
-        return F.struct(*_texts(jo, ARTICLE), F.transform(F.coalesce(jo["항"], F.array()), para).alias("paragraphs"))
+        return F.struct(*_texts(jo, ARTICLE), F.flatten(F.transform(
+            F.coalesce(jo["항"], F.array()), lambda h: paras(h, NESTING - 1))).alias("paragraphs"))
 
     return F.transform(F.coalesce(nodes, F.array()), article)
 
 
 _ITEM_DDL = f"array<struct<{_ddl(ITEM.values())}>>"
 _SUB_DDL = f"array<struct<{_ddl(SUBPARA.values(), f'`목`: {_ITEM_DDL}')}>>"
-_PARA_DDL = f"array<struct<{_ddl(PARAGRAPH.values(), f'`호`: {_SUB_DDL}')}>>"
+NESTING = 3  # levels at which a paragraph may lie inside another; deeper ones make a document malformed
+
+
+def _para_ddl(levels: int) -> str:
+    inner = f", `항`: {_para_ddl(levels - 1)}" if levels else ""
+    return f"array<struct<{_ddl(PARAGRAPH.values(), f'`호`: {_SUB_DDL}')}{inner}>>"
+
+
+_PARA_DDL = _para_ddl(NESTING - 1)
 _ARTICLE_DDL = f"array<struct<{_ddl(ARTICLE.values(), f'`항`: {_PARA_DDL}')}>>"
 _ADDENDUM_DDL = f"array<struct<{_ddl(ADDENDUM.values())}>>"
 _ATTACHMENT_DDL = f"array<struct<{_ddl(ATTACHMENT)}>>"
@@ -193,6 +211,7 @@ def parse_law_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
         *[blank_if_null(F.get(rec[tag], 0)).alias(name) for name, tag in LAW_META.items()]))
     status = (
         F.when(F.col(xml).isNull(), "missing").when(~F.col("_ok"), "malformed")
+        .when(F.col(xml).rlike(_TOO_DEEP), "malformed")
         .when(F.contains(_first(rec, "result"), F.lit(FAILED)), "api_error")
         .otherwise(detail_status(F.col("metadata")["title"], F.col("metadata")["lineage_id"], F.col("metadata")["kind"]))
     )
@@ -205,6 +224,10 @@ def parse_law_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
     ).drop(xml, "_rec", "_ok")
 
 
+#: A paragraph inside NESTING others, with nothing but further tags and text between them.
+_TOO_DEEP = r"<항[\s>](?:[^<]++|<(?!/?항[\s>]))*+" * NESTING + r"<항[\s>]"
+
+
 def detail_status(title: Column, lineage: Column, kind: Column) -> Column:
     lacking = (blank_if_null(title) == "") | (blank_if_null(lineage) == "") | (blank_if_null(kind) == "")
     return F.when(lacking, "lacking").otherwise("valid")
@@ -354,7 +377,7 @@ def child_map(fragment: Column, fixed: Sequence[str] | None = None) -> Column:
 
     With *fixed* names the map has exactly those, each with its first text or ''.
     """
-    pattern = r"(?s)<([^\s/<>!?]+)(?:\s[^>]*)?(?:/>|>((?:<!\[CDATA\[.*?\]\]>|[^<])*)</\1>)"
+    pattern = r"(?s)<([^\s/<>!?]+)(?:\s[^>]*)?(?:/>|>([^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+)</\1>)"
     parts = F.struct(
         F.regexp_extract_all(fragment, F.lit(pattern), F.lit(1)).alias("names"),
         F.regexp_extract_all(fragment, F.lit(pattern), F.lit(2)).alias("raw"))

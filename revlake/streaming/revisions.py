@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from revlake.operators.ordering import last_by
-from revlake.operators.versioning import revision_key
+from revlake.operators.versioning import lineage_key, revision_key
+
+
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    """With ``_lineage``: rows with a blank key are lineages of their own."""
+    return df.withColumn("_lineage", lineage_key(key, "rev_id"))
 
 
 def read_current(spark: SparkSession, target: str, key: str = "lineage_id") -> DataFrame:
@@ -15,7 +20,7 @@ def read_current(spark: SparkSession, target: str, key: str = "lineage_id") -> D
 
     Equal keys go to the later batch, exactly as the batch upsert does.
     """
-    return last_by(spark.read.parquet(target), [key], F.struct(revision_key(), F.col("v"))).drop("v")
+    return last_by(_keyed(spark.read.parquet(target), key), ["_lineage"], F.struct(revision_key(), F.col("v"))).drop("v", "_lineage")
 
 
 def compact(spark: SparkSession, target: str, compacted: str, key: str = "lineage_id") -> None:
@@ -34,7 +39,7 @@ def stream_revisions(
     dropped and no watermark is needed.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        last_by(batch, [key], revision_key()).write.mode("overwrite").parquet(f"{target.rstrip('/')}/v={batch_id}")
+        last_by(_keyed(batch, key), ["_lineage"], revision_key()).drop("_lineage").write.mode("overwrite").parquet(f"{target.rstrip('/')}/v={batch_id}")
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -46,6 +51,18 @@ def failure_counts(failures: DataFrame, at: str = "failed_at", day: str = "1 day
         F.date_format("w.start", "yyyy-MM-dd").alias("day"), "reason", "n")
 
 
-def stream_failure_counts(stream: DataFrame, at: str = "failed_at", grace: str = "24 hours", day: str = "1 day") -> DataFrame:
-    """Streaming form; rows later than *grace* behind the newest event are dropped by the watermark."""
-    return failure_counts(stream.withWatermark(at, grace), at, day)
+def stream_failure_counts(stream: DataFrame, target: str, checkpoint: str, at: str = "failed_at", day: str = "1 day", once: bool = True) -> StreamingQuery:
+    """Streaming form: a micro-batch writes its own counts, and :func:`read_failure_counts` adds them up.
+
+    No watermark: a failure counts however late it comes. Replaying a batch overwrites the same version folder.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        failure_counts(batch, at, day).write.mode("overwrite").parquet(f"{target.rstrip('/')}/v={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_failure_counts(spark: SparkSession, target: str) -> DataFrame:
+    """Counts of all batches so far."""
+    return spark.read.parquet(target).groupBy("day", "reason").agg(F.sum("n").alias("n"))

@@ -70,3 +70,33 @@ def test_plans_have_no_cartesian_product_and_prune(spark):
     plan = versioning.assign_law_paths(t.view("revisions")).select("rev_id", "path")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "o_totalprice" not in plan.split("== Optimized Logical Plan ==")[1].split("FileScan")[1].split("ReadSchema")[-1]
+
+
+def test_blank_lineages_stay_apart_and_late_failures_count(spark, tmp_path):
+    import datetime as dt
+
+    schema = "lineage_id string, rev_id int, title string, kind string, prom_date string, prom_num string"
+    rows = spark.createDataFrame([("", i, "t", "k", "20200101", "1") for i in range(5)] + [("A", 9, "t", "k", "20200101", "1")], schema)
+    assert incremental.guarded_upsert(rows.limit(0), rows).count() == 6
+    source, target, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    rows.coalesce(1).write.parquet(source)
+    streams.stream_revisions(spark.readStream.schema(schema).parquet(source), target, mark).awaitTermination()
+    assert streams.read_current(spark, target).count() == 6
+
+    source, target, mark = (str(tmp_path / x) for x in ("failures", "counts", "mark2"))
+    late = [dt.datetime(2024, 1, 10) - dt.timedelta(hours=48 * i) for i in range(4)]
+    for i, at in enumerate(late):
+        spark.createDataFrame([("e", at)] * (i + 1), "reason string, failed_at timestamp").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("reason string, failed_at timestamp").parquet(source)
+        streams.stream_failure_counts(stream, target, mark).awaitTermination()
+    assert {r["day"]: r["n"] for r in streams.read_failure_counts(spark, target).collect()} == {f"{at:%Y-%m-%d}": i + 1 for i, at in enumerate(late)}
+
+
+def test_increment_plan_is_small(spark):
+    from revlake.plans import catalog
+
+    catalog.load_all()
+    plan = catalog.QUERIES["incremental_apply"](spark, FOLDER)._jdf.queryExecution().sparkPlan().toString()
+    assert "NestedLoopJoin" not in plan and "Cartesian" not in plan and plan.count("FileScan") + plan.count("Scan ") < 10
+    plan = catalog.QUERIES["failure_delta_gate"](spark, FOLDER)._jdf.queryExecution().sparkPlan().toString()
+    assert "NestedLoopJoin" not in plan and "Cartesian" not in plan

@@ -96,3 +96,40 @@ def test_gate_edges(spark):
     base = spark.createDataFrame([("4", "api_error")], "key string, reason string")
     got = {r["key"]: r["class"] for r in reconcile.failure_delta(current, base, "2024-01-31 00:00:00").collect()}
     assert got == {"1": "transient", "2": "semantic", "3": "semantic", "4": "semantic"}
+
+
+def test_long_texts_and_lists_do_not_exhaust_the_stack(spark):
+    long = "가나 &amp; 다 " * 20_000
+    page = f"<s><totalCnt>1</totalCnt><page>1</page><law><법령명한글>{long}</법령명한글><법령ID><![CDATA[{'x' * 100_000}]]></법령ID></law></s>"
+    item = xml_details.parse_search_page(spark.createDataFrame([(page,)], "xml string"), "law").first()["item"]
+    assert item["법령명한글"] == "가나 & 다 " * 20_000 and len(item["법령ID"]) == 100_000
+    header = "---\n이름: a\n목록:\n" + "".join(f"- e{i}\n" for i in range(10_000)) + "끝: b\n---\nbody\n"
+    row = documents.read_frontmatter_docs(spark.createDataFrame([(header,)], "text string"), "text").first()
+    assert row["lists"]["목록"] == [f"e{i}" for i in range(10_000)] and row["scalars"] == {"이름": "a", "끝": "b"}
+    line = ",".join(["1", "9", "", '"' + "가, 나\n" * 20_000 + '"', "L", "t", "20200101", "1", "20200102", "c", "k", "f", "a"])
+    got = records.parse_index_lines(spark.createDataFrame([(line,)], "line string"), "line").first()
+    assert got["dept"] == ("가, 나\n" * 20_000).strip() and got["rev_id"] == "9"
+
+
+def test_paragraphs_inside_paragraphs(spark):
+    def xml(levels):
+        inner = ""
+        for i in range(levels, 0, -1):
+            inner = f"<항><항내용>p{i}</항내용>{inner}<호><호내용>h{i}</호내용></호></항>"
+        return f"<법령><법령ID>1</법령ID><법령명_한글>a</법령명_한글><법종구분>b</법종구분><조문단위>{inner}</조문단위></법령>"
+
+    rows = spark.createDataFrame([(i, xml(i)) for i in (1, 2, 3, 4)], "n int, xml string")
+    out = {r["n"]: r for r in xml_details.parse_law_detail(rows).collect()}
+    for n in (1, 2, 3):
+        found = out[n]["articles"][0]["paragraphs"]
+        assert [p["text"] for p in found] == [f"p{i}" for i in range(1, n + 1)]
+        assert [len(p["subparas"]) for p in found] == list(range(n, 0, -1))
+    assert out[4]["detail_status"] == "malformed"  # deeper than the documented depth: told, not lost
+
+
+def test_index_file_with_line_breaks_in_fields(spark, tmp_path):
+    rows = ["총2건", "순번,법령MST," + ",".join("abcdefghijk"), '1,11,x,"부처\n둘, ""셋""",L1,이름,20200101,1,20200102,c,k,f,분야', "2,12,x,d,L2,n,20200101,2,20200102,c,k,f,a", "3,짧다"]
+    path = tmp_path / "index.csv"
+    path.write_text("\n".join(rows), encoding="utf-8")
+    got = {r["rev_id"]: r for r in records.read_index_csv(spark, str(path)).collect()}
+    assert set(got) == {"11", "12"} and got["11"]["dept"] == '부처\n둘, "셋"' and got["11"]["area"] == "분야"

@@ -39,6 +39,24 @@ def test_rule_paths_equal_the_sequential_claims(spark):
     assert got == greedy_rules(rows)
 
 
+def test_ordinance_paths_use_number_and_identity(spark):
+    """Four-way clashes; suffixes with separators stay inside the directory."""
+    rng = random.Random(4)
+    rows = [{"serial": str(i), "identity": f"C{rng.randint(0, 40)}", "dir": "d", "name": rng.choice(["n", "m"]), "issue": rng.choice(["", "1/2", "3"])} for i in range(200)]
+    owner, want = {}, {}
+    part = lambda v: {"": "_", "1/2": "1 2"}.get(v, v)
+    for r in sorted(rows, key=lambda r: r["serial"]):
+        base, number, ident = f"d/{r['name']}", part(r["issue"]), r["identity"]
+        tails = ["", f"_{number}", f"_{ident}", f"_{number}_{ident}", *(f"_{ident}_{i}" for i in range(2, 99))]
+        path = next(base + t for t in tails if owner.get(base + t, ident) == ident)
+        owner[path] = ident
+        want[r["serial"]] = path + "/본문.md"
+    got = {r["serial"]: r["path"] for r in versioning.assign_rule_paths(spark.createDataFrame(rows), "ordinance").collect()}
+    assert got == want
+    slashed = spark.createDataFrame([("1", "a", "d", "n", ""), ("2", "b", "d", "n", "1/2")], "serial string, identity string, dir string, name string, issue string")
+    assert all(r["path"].count("/") == 2 for r in versioning.assign_rule_paths(slashed).collect())
+
+
 def test_case_paths_equal_the_sequential_claims(spark):
     rng = random.Random(5)
     rows = [{"serial": str(i), "folder": "f", "stem": rng.choice(["a", "b", f"a_{rng.randint(0, 300)}", f"a_{rng.randint(0, 300)}_{rng.randint(0, 300)}"])} for i in range(300)]

@@ -20,7 +20,7 @@ def main():
     con = duckdb.connect()
     for f in glob.glob(folder + "/*.parquet"):
         con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
-    spark = local_session()
+    spark = local_session(int(os.environ.get("N", "8")))
     bad = 0
     for name, fn in catalog.QUERIES.items():
         if only and not any(name == o or (o.endswith('*') and name.startswith(o[:-1])) for o in only): continue
