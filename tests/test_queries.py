@@ -31,7 +31,7 @@ def table(columns, rows):
     return sorted(tuple(shown(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
     got = table(df.columns, df.collect())
