@@ -52,18 +52,20 @@ def corpus_stats(
     index: DataFrame, failures: DataFrame, misses: DataFrame, empty_body_allowlist: DataFrame, groups: DataFrame
 ) -> DataFrame:
     """One row of totals.  ``groups`` is the result of :func:`child_only_groups`."""
-    accepted = failures.join(empty_body_allowlist.select("key").distinct(), "key", "left_semi")
+    allowed = empty_body_allowlist.select("key", F.lit(True).alias("_allowed")).distinct()
     one = F.count(F.lit(1))
-    return index.agg(one.alias("total"), F.count_distinct("kind").alias("kinds")).select(
-        "*",
-        failures.agg(F.count_distinct("key")).scalar().alias("failed"),
-        failures.agg(F.count_if(F.col("reason").startswith("empty_history"))).scalar().alias("empty_history"),
-        accepted.agg(F.count_distinct("key")).scalar().alias("empty_body_accepted"),
-        misses.agg(one).scalar().alias("search_misses"),
-        groups.agg(F.count_if("child_only")).scalar().alias("child_only"),
-        groups.agg(F.sum("quarantined")).scalar().alias("quarantined"),
-        groups.agg(F.count_if("missing_parent")).scalar().alias("missing_parent"),
-    )
+    # One aggregate per input, each attached as one value.
+    failed = failures.join(allowed, "key", "left").agg(
+        F.count_distinct("key").alias("failed"), F.count_if(F.col("reason").startswith("empty_history")).alias("empty_history"),
+        F.count_distinct(F.when(F.col("_allowed"), F.col("key"))).alias("empty_body_accepted"))
+    grouped = groups.agg(
+        F.count_if("child_only").alias("child_only"), F.sum("quarantined").alias("quarantined"),
+        F.count_if("missing_parent").alias("missing_parent"))
+    return (
+        index.agg(one.alias("total"), F.count_distinct("kind").alias("kinds"))
+        .withColumn("_failed", failed.select(F.struct("*")).scalar()).withColumn("search_misses", misses.agg(one).scalar())
+        .withColumn("_grouped", grouped.select(F.struct("*")).scalar())
+        .select("total", "kinds", "_failed.*", "search_misses", "_grouped.*"))
 
 
 def child_only_groups(files: DataFrame) -> DataFrame:

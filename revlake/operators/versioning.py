@@ -180,7 +180,10 @@ def revision_change_log(
     unless that was a repeal, so a lag replaces the fold.  *published* (identity, path)
     seeds the first event of an identity when appending to existing documents.
     """
-    rows = revisions.withColumn("_repeal", is_repeal("amendment")).withColumn("_non_current", is_non_current("current_flag"))
+    # Only what the fold needs is sorted and written; texts stay behind.
+    rows = revisions.select(
+        "rev_id", "identity", "serial", "path", date, is_repeal("amendment").alias("_repeal"),
+        is_non_current("current_flag").alias("_non_current"))
     order = event_key(date)
     live = F.struct(F.col("_repeal").alias("repeal"), F.col("path").alias("path"))
     seen = with_previous(rows, ["identity"], order, live, "_before")
@@ -237,13 +240,16 @@ def context_lines(documents: DataFrame, refs: DataFrame, doc: str, line: str, te
     """Adds ``context``: the *n* lines on either side of a referenced line."""
     from revlake.functions.text import lines_of
 
-    joined = refs.join(documents.select(doc, F.col(text).alias("_text")), doc)
-    lines = lines_of("_text")
-    start = F.greatest(F.col(line) - n, F.lit(1))
-    window = F.slice("_lines", start.cast("int"), (F.col(line) + n - start + 1).cast("int"))
-    inside = F.col(line).between(1, F.size("_lines"))
-    return joined.withColumn("_lines", lines).withColumn(
-        "context", F.when(inside, F.array_join(window, "\n")).otherwise("")).drop("_text", "_lines")
+    # Each document meets its distinct line numbers once, however many references it has, and only contexts leave it.
+    wanted = refs.groupBy(doc).agg(F.collect_set(line).alias("_wanted"))
+    split = computed(documents.select(doc, F.col(text).alias("_text")).join(wanted, doc), _lines=lines_of("_text"))
+
+    def context(at: Column) -> Column:
+        start = F.greatest(at - n, F.lit(1))
+        window = F.slice("_lines", start.cast("int"), (at + n - start + 1).cast("int"))
+        return F.struct(at.alias(line), F.when(at.between(1, F.size("_lines")), F.array_join(window, "\n")).otherwise("").alias("context"))
+
+    return refs.join(split.select(doc, F.inline(F.transform("_wanted", context))), [doc, line])
 
 
 def paginate(df: DataFrame, order: list[Column], size: int, page: int | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from revlake.functions.links import law_header
 from revlake.functions.names import Authority, case_type, compose_stem, court_tier
 from revlake.operators import incremental, profile, reconcile, refs, render, validate, versioning
 from revlake.sources import documents as docs_io
+from revlake.sources import records
 from revlake.sources import xml_details
 
 
@@ -146,6 +147,60 @@ def build_index(documents: DataFrame, fields: list[str], target: str | None = No
     return index
 
 
+def build_statistics(
+    index: DataFrame, files: DataFrame, failures: DataFrame, misses: DataFrame, allowlist: DataFrame, keys: Sequence[str] = ("kind",),
+) -> dict[str, DataFrame]:
+    """What accompanies the index: ``distribution``, ``groups`` (child laws without a parent) and one row of ``totals``."""
+    groups = profile.child_only_groups(files)
+    return {
+        "distribution": profile.corpus_distribution(index, keys), "groups": groups,
+        "totals": profile.corpus_stats(index, failures, misses, allowlist, groups)}
+
+
+def import_index(spark: SparkSession, path: str, dry_run: bool = False) -> DataFrame:
+    """Metadata-only documents (rev_id, path, content) of a law index file; with *dry_run* only (rev_id, path)."""
+    rows = records.read_index_csv(spark, path)
+    placed = versioning.assign_law_paths(rows).select("rev_id", "path")
+    if dry_run:
+        return placed
+    stubs = render.render_index_stub(rows.withColumn("header", law_header(
+        "title", "rev_id", "lineage_id", "kind", "dept", "prom_date", "prom_num", "eff_date", "kind_code", "area")))
+    return stubs.select("rev_id", "content").join(placed, "rev_id").select("rev_id", "path", "content")
+
+
+def preflight_names(cases: DataFrame, samples: int = 10) -> dict[str, DataFrame]:
+    """Before case files are named: ``report`` of collisions under both keys, ``samples`` of them, and the ``profile``."""
+    return {
+        "report": profile.key_collision_report(cases), "samples": profile.key_collision_samples(cases, samples),
+        "profile": profile.case_quality_profile(cases), "courts": profile.court_mapping(cases)}
+
+
+def dump_oracle(cases: DataFrame, target: str) -> None:
+    """Expected file stems of all cases as JSON lines."""
+    stem = compose_stem("court", format_date_nullable("date"), "case_no", "serial")
+    cases.select("serial", "court", "date", "case_no", "case_type", court_tier("court_code").alias("tier"), stem.alias("expected_stem")).write.json(target)
+
+
+def cleanup_no_result(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(responses that hold a case, serials of those that hold none)."""
+    classified = xml_details.classify_response(raw)
+    return (classified.filter("response_class = 'valid'").drop("response_class"),
+            classified.filter("response_class = 'no_result'").select("serial"))
+
+
+def update_corpus(listed: DataFrame, committed: DataFrame, raw: DataFrame, render_job, window: str | None = None, identities: DataFrame | None = None):
+    """An increment of rules or ordinances: what is listed and not committed is imported by *render_job* (of raw rows)."""
+    wanted = reconcile.uncommitted_serials(listed, committed, window, identities)
+    return render_job(raw.join(wanted, "serial", "left_semi"))
+
+
+def validate_corpus(errors: DataFrame, index: DataFrame, documents: DataFrame, inventory: DataFrame) -> DataFrame:
+    """(path, error) of rules or ordinances: their validator's *errors*, index mismatches and forbidden files."""
+    drift = reconcile.index_vs_files(index, documents).withColumnRenamed("problem", "error")
+    files = validate.forbidden_files(inventory).withColumn("error", F.lit("forbidden file"))
+    return errors.unionByName(drift).unionByName(files)
+
+
 def validate_laws(documents: DataFrame, index: DataFrame) -> DataFrame:
     """Document errors plus index mismatches, as (path, error)."""
     drift = reconcile.index_vs_files(index, documents).withColumnRenamed("problem", "error")
@@ -162,12 +217,22 @@ def migrate_paths(documents: DataFrame, force_lossy: bool = False) -> DataFrame:
 def images(
     documents: DataFrame, manifest: DataFrame, today: str, doc: str = "path", text: str = "content",
 ) -> dict[str, DataFrame]:
-    """Extract references, merge them into the manifest and apply approved replacements."""
+    """Extract references and merge them into the manifest; :func:`replace_images` applies what is approved."""
     found = refs.extract_tag_refs(documents, doc, text, today).withColumn("status", F.lit("extracted"))
     merged = reconcile.union_new_manifest(manifest, found, keys=(doc, "id", "line"))
     return {"manifest": merged, "counts": profile.status_counts(merged, ["status", "format"])}
 
 
+def replace_images(documents: DataFrame, manifest: DataFrame, doc: str = "path", text: str = "content") -> tuple[DataFrame, DataFrame]:
+    """(documents with approved references replaced, manifest after that)."""
+    return refs.replace_refs(documents, manifest, doc, text)
+
+
+def export_images(manifest: DataFrame, target: str) -> None:
+    """Shards, pages, summary and names of the manifest, written below *target*."""
+    refs.write_shards(refs.export_shards(manifest), target)
+
+
 def pack_inventory(spark: SparkSession, path: str, known: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(inventory of files with digests, rollup per bucket)."""
     inventory = docs_io.file_inventory(spark, path)

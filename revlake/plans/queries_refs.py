@@ -248,7 +248,12 @@ UNION ALL SELECT 'summary', greatest(1, CAST(ceil(count(*) / 50.0) AS BIGINT)),
 UNION ALL SELECT 'law_names', 0, count(DISTINCT law), 0 FROM r""")
 def _(t: Inputs):
     rows = manifest(t).withColumn("law", F.get(F.split("doc", "/"), 1))
-    out = refs.export_shards(rows, size=50)
+    target = scratch(t.spark, "shards")
+    refs.write_shards(refs.export_shards(rows, size=50), target)
+    read = lambda part, schema: t.spark.read.schema(schema).json(f"{target}/{part}")
+    out = {
+        "detail": read("detail", "id bigint, shard int"), "pages": read("list", "id bigint, pos bigint, page int"),
+        "summary": read("summary", "total bigint, pages bigint, shard_count int"), "law_names": read("law_names", "law string")}
     big = lambda c: c.cast("bigint")
     n = F.count(F.lit(1)).alias("n")
     return (

@@ -108,7 +108,16 @@ def write_documents(df: DataFrame, target: str, corpus: str = "corpus") -> None:
 
 
 def export_files(df: DataFrame, target: str, path: str = "path", content: str = "content") -> None:
-    """Write each document as a file; every executor writes the rows it already holds."""
+    """Write each document as a file below *target*, a folder that every executor and the driver see at the same place,
+    such as a mounted share; every executor writes the rows it already holds. On a cluster *target* has to lie below
+    the shared folder of the session, so that no file ends on one machine's own disk."""
+    from revlake.session import shared_folder
+
+    spark = df.sparkSession
+    if not spark.sparkContext.master.startswith("local["):
+        shared = shared_folder(spark).removeprefix("file:").rstrip("/")
+        if not str(target).removeprefix("file:").startswith(shared.replace("//", "/")):
+            raise ValueError(f"{target} is not below the shared folder {shared}")
 
     def save(rows) -> None:
         from pathlib import Path

@@ -100,3 +100,18 @@ def test_increment_plan_is_small(spark):
     assert "NestedLoopJoin" not in plan and "Cartesian" not in plan and plan.count("FileScan") + plan.count("Scan ") < 10
     plan = catalog.QUERIES["failure_delta_gate"](spark, FOLDER)._jdf.queryExecution().sparkPlan().toString()
     assert "NestedLoopJoin" not in plan and "Cartesian" not in plan
+
+
+def test_index_import_preflight_and_cleanup(spark, tmp_path):
+    path = tmp_path / "index.csv"
+    path.write_text('총1건\n순번,법령MST,' + ",".join("abcdefghijk") + '\n1,11,x,부처,L1,가나 시행령,20200101,1,20200102,c,대통령령,f,분야\n', encoding="utf-8")
+    row = jobs.import_index(spark, str(path)).first()
+    assert row["path"] == "kr/가나/시행령.md" and "법령분야: 분야" in row["content"] and "법령구분코드: c" in row["content"]
+    assert jobs.import_index(spark, str(path), dry_run=True).columns == ["rev_id", "path"]
+    t = Inputs(spark, FOLDER)
+    out = jobs.preflight_names(t.view("cases"))
+    assert out["report"].count() == 1 and out["samples"].count() <= 10 and out["profile"].count() > 0
+    kept, gone = jobs.cleanup_no_result(samples.case_xml(t))
+    assert kept.count() + gone.count() <= t.view("cases").count() and gone.count() > 0
+    jobs.dump_oracle(t.view("cases"), str(tmp_path / "oracle"))
+    assert spark.read.json(str(tmp_path / "oracle")).count() == t.view("cases").count()
