@@ -1,10 +1,11 @@
 """Token counts by a deterministic finite-state transducer over bytes.
 
 BPE decides tokens by merges, yet its result can be followed from the left: every prefix of a text has a last token, and
-it depends only on the last tokens of the prefixes shorter by at most one token. A state therefore holds the longest suffix
-that begins some token and the last tokens (with relative counts) of the prefixes from there on; there are finitely
-many. A transition reads one byte and carries how many tokens the text gains or loses. States are compiled when a text
-first needs them, and forgotten when there are too many of them.
+it depends only on the last tokens of shorter prefixes. Only those prefixes matter behind which a token may have
+begun, so a state holds the longest suffix that begins some token and, for it and every shorter such suffix, the last token
+before it with its relative count; where few tokens go on from a suffix, all last tokens that admit the same of them count
+as one, which keeps states few. A transition reads one byte and carries how many tokens the text gains or loses. States
+are compiled when a text first needs them, and forgotten when there are too many of them.
 
 Texts are cut into chunks of equal size that run in lockstep. A chunk maps the state it begins in to the state it ends in and a
 count. A space after another character starts afresh in this vocabulary, so the map of a chunk with such a space is the
@@ -28,6 +29,7 @@ from revlake.llm import textblock
 CHUNK = 512
 STATES = 1 << 16  # compiled at a time, 84 MB
 SPACE = "▁"
+FEW = 24          # tokens that go on from a suffix, to tell last tokens apart by them alone
 _BARRIER = -1     # stands before what no merge crosses
 
 
@@ -38,6 +40,8 @@ class Transducer:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         special = lambda i: model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i)
         self.score = {model.id_to_piece(i): model.get_score(i) for i in range(model.get_piece_size()) if not special(i)}
+        self.rank = {p: r for r, p in enumerate(sorted(self.score, key=lambda p: -self.score[p]), 1)}
+        self.halves: dict[str, tuple[str, str]] = {}
         self.pieces = [p for p in self.score if self.plain(p) == [p]]
         self.fresh = not any(SPACE in p.lstrip(SPACE) for p in self.pieces)  # no token has a space after a letter
         # Aho-Corasick automaton of the pieces, by character.
@@ -65,7 +69,19 @@ class Transducer:
         for node in queue:  # nearest suffix that is a piece
             back = self.fail[node]
             self.shorter[node] = back if back and self.own[back] >= 0 else self.shorter[back] if back else -1
+        # Suffixes of every node that begin tokens, itself first, and the tokens that go on from it if they are few.
+        self.suffixes: list[list[int]] = [[] for _ in self.goto]
+        for node in queue:
+            self.suffixes[node] = [node, *self.suffixes[self.fail[node]]]
+        self.onward: list[list[int] | None] = [None] * len(self.goto)
+        for node in reversed(queue):
+            steps = self.goto[node].values()
+            if all(self.onward[s] is not None for s in steps):
+                below = [t for s in steps for t in ([self.own[s]] if self.own[s] >= 0 else []) + self.onward[s]]
+                self.onward[node] = below if len(below) <= FEW else None
         self.follows: dict[tuple[int, int], bool] = {}
+        self.alike: dict[tuple[int, int], int | None] = {}
+        self.classes: dict[tuple, int] = {}
         self.reset([])
 
     def reset(self, keep: list[tuple]) -> dict[tuple, int]:
@@ -95,18 +111,48 @@ class Transducer:
             best, at = max((self.score.get(a + b, -np.inf), -i) for i, (a, b) in enumerate(zip(tokens, tokens[1:], strict=False)))
             if best == -np.inf:
                 break
+            if len(tokens) == 2:
+                self.halves[text] = tokens[0], tokens[1]
             tokens[-at:-at + 2] = [tokens[-at] + tokens[-at + 1]]
         return tokens
 
+    def _edge(self, piece: str, side: int) -> list[tuple[str, int, float]]:
+        """What stands at one end of a piece while it is put together, last first: (part, its rank, rank of what it becomes)."""
+        out, becomes = [], np.inf
+        while True:
+            rank = self.rank[piece] if piece in self.halves else 0
+            out.append((piece, rank, becomes))
+            if not rank:
+                return out
+            piece, becomes = self.halves[piece][side], rank
+
     def may_follow(self, first: int, second: int) -> bool:
+        """Whether no merge ever crosses from one piece into the other: looking back in time, at each pair of parts that
+        met at the border, their own merge must not have come before the next one of either. Of equal merges the left one
+        comes first."""
         if first == _BARRIER:
             return True
         answer = self.follows.get((first, second))
         if answer is None:
             if len(self.follows) > 500_000:
                 self.follows.clear()
-            a, b = self.pieces[first], self.pieces[second]
-            answer = self.follows[first, second] = self.plain(a + b) == [a, b]
+            left, right = self._edge(self.pieces[first], 1), self._edge(self.pieces[second], 0)
+            i = j = 0
+            answer = True
+            while True:
+                a, rank_a, until_a = left[i]
+                b, rank_b, until_b = right[j]
+                merge = self.rank.get(a + b)
+                if merge is not None and merge < until_a and merge <= until_b:
+                    answer = False
+                    break
+                if rank_a > rank_b:
+                    i += 1
+                elif rank_b:
+                    j += 1
+                else:
+                    break
+            self.follows[first, second] = answer
         return answer
 
     def step(self, state: int, byte: int) -> tuple[int, int]:
@@ -125,8 +171,22 @@ class Transducer:
         self.next[state, byte], self.gain[state, byte] = out
         return out
 
+    def _class(self, token: int, node: int) -> int | None:
+        """First token met that admits the same tokens going on from *node*; none if it admits none of them."""
+        onward = self.onward[node]
+        if onward is None:
+            return token
+        if (token, node) not in self.alike:
+            if len(self.alike) > 500_000:
+                self.alike.clear()
+            admitted = tuple(self.may_follow(token, t) for t in onward)
+            self.alike[token, node] = self.classes.setdefault((node, admitted), token) if any(admitted) else None
+        return self.alike[token, node]
+
     def _read(self, node: int, window: tuple, char: str, size: int) -> tuple[int, int]:
-        """window[j]: last token of the prefix shorter by len(window) - 1 - j, and its count less the present one."""
+        """*window*: for every suffix of *node*, and last for the empty one, what stands before it: last token and
+        its count less the present one, or None."""
+        before = {self.depth[s] + 1: w for s, w in zip(self.suffixes[node], window, strict=False)} | {1: window[-1]}
         while node and char not in self.goto[node]:
             node = self.fail[node]
         node = self.goto[node].get(char, 0)
@@ -134,12 +194,16 @@ class Transducer:
             return self.state((0, ((_BARRIER, 0),), b"")), size
         at = node if self.own[node] >= 0 else self.shorter[node]
         while at > 0:
-            token, length = self.own[at], self.depth[at]
-            before, count = window[len(window) - length]
-            if self.may_follow(before, token):
-                gain = count + 1
-                longer = [*window, (token, gain)][-(self.depth[node] + 1):]
-                return self.state((node, tuple((t, n - gain) for t, n in longer), b"")), gain
+            token, entry = self.own[at], before[self.depth[at]]
+            if entry is not None and self.may_follow(entry[0], token):
+                gain, after = entry[1] + 1, []
+                for s in self.suffixes[node]:
+                    entry = before[self.depth[s]]
+                    if entry is not None:
+                        kept = self._class(entry[0], s)
+                        entry = None if kept is None else (kept, entry[1] - gain)
+                    after.append(entry)
+                return self.state((node, (*after, (token, 0)), b"")), gain
             at = self.shorter[at]
         raise AssertionError("every prefix has a last token")
 
@@ -155,8 +219,8 @@ class Transducer:
             now = state[:active]
             to = self.next[now, byte]
             if (to < 0).any():
-                for s, b in np.unique(np.stack([now, byte], 1)[to < 0], axis=0).tolist():
-                    self.step(s, b)
+                for pair in np.unique(now[to < 0] << 8 | byte[to < 0]).tolist():
+                    self.step(pair >> 8, pair & 255)
                 to = self.next[now, byte]
             count[:active] += self.gain[now, byte]
             state[:active] = to
