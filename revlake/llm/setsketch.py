@@ -6,9 +6,9 @@ with about their Jaccard similarity. Bands of registers bring sets together, a l
 both set sizes drops the unlikely pairs, and the full sets decide about the rest.
 
 Copies share one sketch, so a group of copies costs one sketch however large it is. In a band, every set is compared
-with the smallest id only; after those links are joined to components, the members of a band that lie in different
-components are compared too, block against block, so that no link between components is lost and no pairs of one
-component are written out.
+with one set only, and where likely pairs leave the members of a band apart, block against block. Likely pairs join sets to
+clouds, and within a cloud the full sets decide about all that are not yet in one component, again block against block.
+So no link between components is lost, and what is written are edges that span, never all pairs.
 
 Nulls and empty texts: no words, an empty set, linked with nothing. A null ``doc_id`` has no component and is kept.
 Rows that share a ``doc_id`` are one vertex. Extra columns are ignored.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlake.llm import textblock
-from revlake.llm.components import components
+from revlake.llm.components import components, joined
 from revlake.llm.shared import written
 
 ROWS = 5            # registers of a band: two sets of similarity 0.8 share a band with probability 0.33
@@ -33,8 +33,10 @@ BANDS = 51          # ... and miss all bands with probability 2e-9
 REGISTERS = ROWS * BANDS
 BASE = 1.1          # registers step by 10 %; 8 bits reach over ten orders of magnitude
 TOP = 255
-SLACK = 0.14        # the likelihood estimate may lie this far (over five deviations) below the threshold
-BLOCK = 2048        # sets of one band that meet in one task
+SLACK = 0.1         # the likelihood estimate may lie this far (four deviations) below the threshold
+BLOCK = 2048        # sketches of one band that meet as a block in one task
+SETS = 512          # full sets of one cloud that do
+COLUMNS = 8192      # shingles taken at a time when full sets meet
 
 _RNG = np.random.Generator(np.random.PCG64(9))
 _A = _RNG.integers(0, 1 << 32, REGISTERS, dtype=np.uint32) | np.uint32(1)
@@ -135,33 +137,95 @@ def _estimated(threshold: float):
     return run
 
 
+class _Forest:
+    """Union-find over a few numbers."""
+
+    def __init__(self, parent: np.ndarray):
+        self.parent = parent
+
+    def find(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = int(self.parent[x])
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _forest(component: np.ndarray) -> _Forest:
+    """Rows of one component start as joined."""
+    _, first, of = np.unique(component, return_index=True, return_inverse=True)
+    return _Forest(first[of])
+
+
+def _links(pairs: list[tuple[int, int]]) -> pa.Table:
+    rows = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(rows.min(1)), "b": pa.array(rows.max(1))})
+
+
 def _crossing(threshold: float):
-    """Likely pairs of different components among the sets of two blocks of one band."""
+    """Edges that span what likely pairs connect among the sets of two blocks of one band; fewer than there are sets."""
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         ids, parts, sizes = (table.column(c).to_numpy() for c in ("id", "component", "n"))
         rows = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        left, right = np.flatnonzero(side < 2), np.flatnonzero(side > 0)  # side 1: a block against itself
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for x in left:
-            y = right[(parts[right] != parts[x]) & (ids[right] != ids[x])]
+        forest, found = _forest(parts), []
+        right = np.flatnonzero(side > 0)  # side 1: a block against itself
+        for x in np.flatnonzero(side < 2).tolist():
+            roots = forest.parent[forest.parent[right]]
+            y = right[roots != forest.find(x)]
             y = y[np.minimum(sizes[y], sizes[x]) >= threshold * np.maximum(sizes[y], sizes[x]) - 1e-9]
-            # Pairs that agree on too few registers cannot be likely, whatever their sizes.
-            y = y[(rows[y] == rows[x]).sum(1) >= (threshold - SLACK) * REGISTERS * 0.9]
-            if len(y):
-                near = likely(np.broadcast_to(rows[x], (len(y), REGISTERS)), rows[y], np.full(len(y), sizes[x]), sizes[y])
-                y = y[near >= threshold - SLACK]
-                found.append((np.full(len(y), ids[x]), ids[y]))
-        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+            # Agreement on a register is at least as probable as the similarity itself.
+            y = y[(rows[y] == rows[x]).sum(1) >= (threshold - SLACK) * REGISTERS]
+            if not len(y):
+                continue
+            near = likely(np.broadcast_to(rows[x], (len(y), REGISTERS)), rows[y], np.full(len(y), sizes[x]), sizes[y])
+            found += [(int(ids[x]), int(ids[z])) for z in y[near >= threshold - SLACK].tolist() if forest.join(x, z)]
+        return _links(found)
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough, by whole-number arithmetic."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def common_sizes(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of another, by matrix products over parts of the union."""
+    every, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(v) for v in (*left, *right)])
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(every), COLUMNS):
+        a, b = np.searchsorted(place, [low, low + COLUMNS])
+        cells = np.zeros((len(left) + len(right), COLUMNS), np.float32)
+        cells[owner[a:b], place[a:b] - low] = 1
+        out += cells[:len(left)] @ cells[len(left):].T
+    return out.astype(np.int64)
+
+
+def _decided(percent: int):
+    """Edges that span what similar pairs connect among the full sets of two blocks of one cloud; fewer than there are sets."""
+    def run(table: pa.Table) -> pa.Table:
+        side, ids, parts = (table.column(c).to_numpy() for c in ("side", "id", "component"))
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("set").combine_chunks()]
+        size = np.array([len(v) for v in sets])
+        left, right = np.flatnonzero(side < 2), np.flatnonzero(side > 0)
+        if not len(left) or not len(right):
+            return _links([])
+        common = common_sizes([sets[i] for i in left], [sets[i] for i in right])
+        union = size[left][:, None] + size[right][None, :] - common
+        similar = (100 * common >= percent * union) & (parts[left][:, None] != parts[right][None, :])
+        forest, found = _forest(parts), []
+        for i, j in zip(*np.nonzero(similar), strict=True):
+            x, y = int(left[i]), int(right[j])
+            if forest.join(x, y):
+                found.append((int(ids[x]), int(ids[y])))
+        return _links(found)
+    return run
+
 
+def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(id, set): full shingle sets of the documents with these ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in textblock.slices(batches, "text"):
             data, offsets = textblock.text_buffers(part.column("text"))
@@ -169,8 +233,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             cells = [values[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(cells, pa.binary())], names=["id", "set"])
 
-    sets = (
-        docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "text").mapInArrow(run, "id long, set binary"))
+    return docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "text").mapInArrow(run, "id long, set binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough, by whole-number arithmetic."""
     both = (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y"))
@@ -188,6 +255,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return both.mapInArrow(compare, "a long, b long")
 
 
+def _in_blocks(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """Rows of every *key* (with their number in ``size``) dealt to pairs of blocks (``i``, ``j``); ``side`` tells a row's:
+    0 the first, 2 the second, 1 both."""
+    return (
+        rows.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("side", F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of *docs* (doc_id, text).
 
@@ -196,47 +274,58 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     threshold = percent / 100
-    sketched = written(docs.mapInArrow(_sets(words), "doc_id long, n_shingles long, k1 long, k2 long, sketch binary"), "sketch")
+    sketched = written(textblock.bounded(docs).mapInArrow(_sets(words), "doc_id long, n_shingles long, k1 long, k2 long, sketch binary"), "sketch")
     full = sketched.where("n_shingles > 0 and doc_id is not null")
     groups = written(
         full.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch")), "groups")
     sketches = groups.select("id", F.col("n_shingles").alias("n"), "sketch")
     rows = sketches.select("id", "sketch").mapInArrow(_bands, "key long, id long")
-    heads = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("lead")).where("size > 1")
-    bands = written(rows.join(heads, "key").select("key", "id", "lead", "size"), "bands")
-
-    def judged(pairs: DataFrame) -> DataFrame:
-        side = [sketches.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab"]
-        near = pairs.join(side[0], "a").join(side[1], "b")
-        near = near.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        near = near.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_estimated(threshold), "a long, b long").distinct()
-        return written(_verified(written(near, "near"), docs, words, percent).distinct(), "links")
-
-    links = judged(bands.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    bands = written(rows.join(sizes, "key").select("key", "id", "size"), "bands")
+    # In every band, all are compared with the set that meets most others; in a group of edited copies, mostly the original.
+    met = bands.groupBy("id").agg(F.sum("size").alias("met"))
+    leads = bands.join(met, "id").groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("back"))).alias("lead"))
+    stars = bands.join(leads.select("key", (-F.col("lead.back")).alias("lead")), "key").where("id <> lead")
+    stars = stars.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+
+    side = [sketches.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab"]
+    near = stars.join(side[0], "a").join(side[1], "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    near = written(near.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_estimated(threshold), "a long, b long").distinct(), "near")
     # A document id that occurs with several texts is one vertex.
     by_id = (
         full.join(groups.select("k1", "k2", "n_shingles", "id"), ["k1", "k2", "n_shingles"]).select("doc_id", "id"))
     again = by_id.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b")
     several = by_id.join(again.select("doc_id", "a"), "doc_id").where("id <> a").select("a", F.col("id").alias("b"))
-    edges = written(links.union(several), "edges")
 
-    # What a band still holds in different components: compared block by block.
-    parts = components(edges)
+    # Likely pairs join sets to clouds. What a band still holds in different clouds is compared block by block, and only
+    # the edges that span are written.
+    clouds = written(components(near), "clouds")
     open_bands = (
-        bands.where("size > 2").join(parts, "id", "left")
-        .withColumn("component", F.coalesce("component", "id")))
+        bands.where("size > 2").join(clouds, "id", "left").withColumn("component", F.coalesce("component", "id")))
     mixed = open_bands.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = (
-        open_bands.join(mixed.select("key"), "key").join(sketches, "id")
-        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("side", F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2))
-        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-        .select("key", "i", "j", "side", "id", "n", "component", "sketch"))
-    crossing = rest.groupBy("key", "i", "j").applyInArrow(_crossing(threshold), "a long, b long").distinct()
-    more = _verified(written(crossing, "crossing"), docs, words, percent)
-    parts = components(edges.union(more))
+    rest = open_bands.join(mixed.select("key"), "key").select("key", "size", "id", "component")
+    crossing = (
+        _in_blocks(rest, "key", BLOCK).join(sketches, "id").select("key", "i", "j", "side", "id", "n", "component", "sketch")
+        .groupBy("key", "i", "j").applyInArrow(_crossing(threshold), "a long, b long").distinct())
+    crossing = written(crossing, "crossing")
+    if not crossing.isEmpty():
+        clouds = joined(clouds, crossing)
+
+    # The full sets of a cloud decide: first against the ones that all were compared with, which joins most of a group of
+    # copies; then, block by block, all that are still in different components.
+    sets = written(_sets_of(docs, clouds.select("id"), words), "sets")
+    links = written(_verified(near, sets, percent).distinct(), "links")
+    parts = written(components(links.union(several)), "parts")
+    members = (
+        clouds.select("id", F.col("component").alias("cloud")).join(parts, "id", "left")
+        .withColumn("component", F.coalesce("component", "id")))
+    sizes = members.groupBy("cloud").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y"))
+    members = written(members.join(sizes.where("x <> y").select("cloud", "size"), "cloud"), "members")
+    if not members.isEmpty():
+        more = (
+            _in_blocks(members, "cloud", SETS).join(sets, "id").select("cloud", "i", "j", "side", "id", "component", "set")
+            .groupBy("cloud", "i", "j").applyInArrow(_decided(percent), "a long, b long").distinct())
+        parts = joined(parts, written(more, "more"))
     return (
         sketched.join(groups.select("k1", "k2", "n_shingles", "id"), ["k1", "k2", "n_shingles"], "left")
         .join(parts, "id", "left")

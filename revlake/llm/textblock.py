@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Bytes of text worked on at a time; one longer text makes a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Rows of an Arrow batch.
+BATCH_ROWS, _BATCH = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACES = b" \t\n\x0b\x0c\r"
 
 _U = np.uint64
@@ -40,18 +43,39 @@ def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """*df*, after seeing to it that Arrow batches of its session hold few rows: texts are long, and a batch is held
+    by the executor and the Python worker at once. A smaller setting stays as it is."""
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH)) > BATCH_ROWS or int(conf.get(_BATCH)) <= 0:
+        conf.set(_BATCH, BATCH_ROWS)
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most *most* bytes of text, or one row."""
+    """Deal batches out anew so that each holds at most *most* bytes of text, or one row, and not much less."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        column = batch.column(text)
         if not batch.num_rows:
             continue
-        offsets = text_buffers(column)[1]
-        start = 0
-        while start < batch.num_rows:
-            end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, "right")) - 1)
-            yield batch.slice(start, end - start)
-            start = end
+        held.append(batch)
+        size += int(text_buffers(batch.column(text))[1][-1])
+        if size >= most:
+            yield from _cut(held, text, most)
+            held, size = [], 0
+    if held:
+        yield from _cut(held, text, most)
+
+
+def _cut(held: list[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
+    batch = held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    offsets = text_buffers(batch.column(text))[1]
+    start = 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, "right")) - 1)
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
