@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from revlake.llm import textblock
 from revlake.llm.hyperlang import split_of
 
-SAMPLE, SAMPLE_BYTES = 2000, 1 << 16
+SAMPLE, SAMPLE_BYTES = 1200, 1 << 16
 LANDMARKS = 300
 LENGTH, SPAN, DECAY = 4, 6, 0.75
 SHORTEST = 3              # letters of a unit; fewer say too little
@@ -109,6 +109,25 @@ def units(data: np.ndarray, offsets: np.ndarray) -> Units:
     return Units(rows, size + 2, key, unit, owner, text[new])
 
 
+def units_in_blocks(texts: list[str]) -> Units:
+    """Units of many texts, found in blocks of a megabyte."""
+    column = pa.array(texts, pa.large_string())
+    offsets = textblock.text_buffers(column)[1]
+    parts, sentences, start = [], 0, 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + textblock.BLOCK_BYTES, "right")) - 1)
+        part = units(*textblock.text_buffers(column.slice(start, end - start)))
+        parts.append(Units(part.rows, part.size, part.key, part.unit, part.sentence + sentences, part.text + start))
+        sentences += len(part.text)
+        start = end
+    key, at, place = np.unique(np.concatenate([p.key for p in parts]), return_index=True, return_inverse=True)
+    before = np.cumsum([0, *(len(p.key) for p in parts)])
+    return Units(
+        np.concatenate([p.rows for p in parts])[at], np.concatenate([p.size for p in parts])[at], key,
+        np.concatenate([place[b + p.unit] for b, p in zip(before, parts, strict=False)]),
+        np.concatenate([p.sentence for p in parts]), np.concatenate([p.text for p in parts]))
+
+
 def _spelled(rows: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """(which rows, four bytes as a number, weight) of every subsequence."""
     order = np.argsort(-size, kind="stable")
@@ -159,12 +178,16 @@ class Table:
 def kernel(table: Table, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Sum of table values over each unit's subsequences, by the unit's norm."""
     out = np.zeros((len(rows), *table.values.shape[1:]))
-    for which, code, weight in _spelled(rows, size):
-        hit, row = table.find(code)
-        if len(hit):
-            out[which[hit]] += weight * table.values[row]
+    step = 2000 if out.ndim > 1 else 50_000
+    for low in range(0, len(rows), step):
+        part = out[low:low + step]
+        for which, code, weight in _spelled(rows[low:low + step], size[low:low + step]):
+            hit, row = table.find(code)
+            if len(hit):
+                part[which[hit]] += weight * table.values[row]
     norm = _norm(size)
-    return out / (norm[:, None] if out.ndim > 1 else norm)
+    out /= norm[:, None] if out.ndim > 1 else norm
+    return out
 
 
 @dataclass
@@ -197,7 +220,7 @@ def train(texts: list[str], labels: np.ndarray, prior: float) -> Model:
     """Model of labelled texts; *prior* is the share of label 1 among all labelled rows."""
     if len(set(labels.tolist())) < 2:
         return Model(None)
-    found = units(*textblock.text_buffers(pa.array(texts, pa.large_string())))
+    found = units_in_blocks(texts)
     n_units, text = len(found.rows), found.text[found.sentence]
     pairs = np.unique(found.unit * len(texts) + text)
     unit_of, text_of = pairs // len(texts), pairs % len(texts)
@@ -224,20 +247,20 @@ def train(texts: list[str], labels: np.ndarray, prior: float) -> Model:
     table = Table(codes, values @ project)
     beta, offset = project.T @ odds[marks], 0.0
     rng = np.random.Generator(np.random.PCG64(5))
-    some = rng.choice(n_units, min(n_units, 4000), replace=False)
+    some = rng.choice(n_units, min(n_units, 2000), replace=False)
     for _ in range(4):
         scores = kernel(Table(codes, table.values @ beta), found.rows, found.size) + offset
         order = np.lexsort((-scores[unit_of], text_of))
         rank = np.arange(len(order)) - np.searchsorted(text_of[order], text_of[order])
         best = order[(rank < 3) & toxic[text_of[order]]]
-        clean = order[(rank < 8) & ~toxic[text_of[order]]]
+        clean = order[(rank < 4) & ~toxic[text_of[order]]]
         positive = unit_of[best]
         negative = np.unique(np.concatenate([unit_of[clean], some[t[some] == 0]]))
         gapped, longer = _with_insertion(found.rows[np.unique(positive)], found.size[np.unique(positive)], rng)
         x = kernel(table, np.concatenate([found.rows[positive], gapped, found.rows[negative]]),
                    np.concatenate([found.size[positive], longer, found.size[negative]]))
         y = np.concatenate([np.ones(len(positive) + len(gapped)), -np.ones(len(negative))])
-        cost = np.concatenate([np.full(len(positive), 1 / len(positive)), np.full(len(gapped), 0.5 / len(gapped)),
+        cost = np.concatenate([np.full(len(positive), 1 / max(1, len(positive))), np.full(len(gapped), 0.7 / max(1, len(gapped))),
                                np.full(len(negative), 1 / max(1, len(negative)))])
         beta, offset = _svm(x, y, cost)
     final = Table(codes, table.values @ beta)
@@ -315,7 +338,7 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
                 names=[*carry, "score", "predicted"])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
-    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, kinds + "score double, predicted int")
+    return textblock.bounded(docs).select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, kinds + "score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
