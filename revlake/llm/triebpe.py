@@ -13,21 +13,24 @@ count as empty and have no tokens. Every row is encoded by itself, repeated or n
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlake.llm import textblock
 
-KNOWN_WORDS = 100_000    # encodings of words kept from block to block
-KNOWN_PAIRS = 500_000    # answers kept about which token may follow which
-BLOCK_BYTES = 4 << 20
+KNOWN_WORDS = 80_000    # encodings after which older ones that no block needs again are let go
+KNOWN_PAIRS = 250_000    # answers kept about which token may follow which
+BLOCK_BYTES = 2 << 20
 
 # The cut of texts that the vocabulary file prescribes (white space is left out), for texts within
 # Latin-1 and for all others.
@@ -64,24 +67,43 @@ class Vocabulary:
         ids = model["vocab"]
         self.merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in reversed(list(enumerate(pairs)))}
         self.spelled: dict[int, tuple[int, ...]] = {t: (s,) for s, t in enumerate(self.single)}
+        self.halves: dict[int, tuple[int, int]] = {}
         for a, b in pairs:
             self.spelled[ids[a + b]] = self.spelled[ids[a]] + self.spelled[ids[b]]
-        self.back: list[dict[int, int]] = [{}]  # trie of the tokens read backwards
-        self.token: list[int] = [-1]
+        for (a, b), (rank, joined) in self.merges.items():
+            if joined not in self.halves or rank < self.merges[self.halves[joined]][0]:
+                self.halves[joined] = a, b
+        # Automaton that knows, after every symbol, the longest suffix that begins a token and the tokens that end here.
+        self.goto: list[dict[int, int]] = [{}]
+        self.ends: list[tuple[tuple[int, int], ...]] = [()]  # (token, length), longest first
+        self.fail = [0]
+        own = [-1]
         for token, symbols in self.spelled.items():
             if self.plain(symbols) != [token]:
                 continue  # never comes out of an encoding
             node = 0
-            for s in reversed(symbols):
-                step = self.back[node].get(s)
+            for s in symbols:
+                step = self.goto[node].get(s)
                 if step is None:
-                    step = self.back[node][s] = len(self.back)
-                    self.back.append({})
-                    self.token.append(-1)
+                    step = self.goto[node][s] = len(self.goto)
+                    self.goto.append({})
+                    self.fail.append(0)
+                    self.ends.append(())
+                    own.append(-1)
                 node = step
-            self.token[node] = token
+            own[node] = token
+        queue = [(n, 1) for n in self.goto[0].values()]
+        for node, depth in queue:
+            for s, step in self.goto[node].items():
+                back = self.fail[node]
+                while back and s not in self.goto[back]:
+                    back = self.fail[back]
+                self.fail[step] = self.goto[back].get(s, 0)
+                queue.append((step, depth + 1))
+            self.ends[node] = (((own[node], depth),) if own[node] >= 0 else ()) + self.ends[self.fail[node]]
         self.follows: dict[int, bool] = {}
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def plain(self, symbols: tuple[int, ...]) -> list[int]:
         """Tokens of a few symbols, by merging: the lowest rank first, from the left."""
@@ -94,49 +116,75 @@ class Vocabulary:
             tokens[i:i + 2] = [self.merges[tokens[i], tokens[i + 1]][1]]
         return tokens
 
+    def _edge(self, token: int, side: int) -> list[tuple[int, int, int]]:
+        """What stands at one end of a token while it is put together, last first: (part, its rank, rank of what it becomes)."""
+        out, becomes = [], 1 << 30
+        while True:
+            rank = self.merges[self.halves[token]][0] if token in self.halves else -1
+            out.append((token, rank, becomes))
+            if rank < 0:
+                return out
+            token, becomes = self.halves[token][side], rank
+
     def may_follow(self, first: int, second: int) -> bool:
-        key = first << 32 | second
-        answer = self.follows.get(key)
-        if answer is None:
-            if len(self.follows) >= KNOWN_PAIRS:
-                self.follows.clear()
-            answer = self.follows[key] = self.plain(self.spelled[first] + self.spelled[second]) == [first, second]
-        return answer
-
-    def _last(self, path: list[int], last: list[int]) -> int:
-        """Last token of the encoding of *path*; last[d] is that of its first d symbols."""
-        node, back, found = 0, self.back, []
-        for d in range(len(path) - 1, -1, -1):
-            node = back[node].get(path[d])
-            if node is None:
-                break
-            if self.token[node] >= 0:
-                found.append((d, self.token[node]))
-        for d, token in reversed(found):
-            if d == 0 or self.may_follow(last[d], token):
-                return token
-        raise AssertionError("every prefix has an encoding")
+        """Whether no merge ever crosses from one token into the other: looking back in time, at each pair of parts that
+        met at the border, their own merge must not have come before the next one of either. Of equal merges the left
+        one comes first."""
+        left, right = self._edge(first, 1), self._edge(second, 0)
+        i = j = 0
+        while True:
+            a, rank_a, until_a = left[i]
+            b, rank_b, until_b = right[j]
+            merge = self.merges.get((a, b))
+            if merge is not None and merge[0] < until_a and merge[0] <= until_b:
+                return False
+            if rank_a > rank_b:
+                i += 1
+            elif rank_b >= 0:
+                j += 1
+            else:
+                return True
 
     def traverse(self, words: list[bytes]) -> list[list[int]]:
         """Encodings of distinct non-empty words in sorted order."""
-        out, path, last, spelled = [], [], [-1], self.spelled
+        goto, fail, ends, follows = self.goto, self.fail, self.ends, self.follows
+        if len(follows) > KNOWN_PAIRS:
+            follows.clear()
+        out: list[list[int]] = []
+        nodes, tokens, lengths = [0], [-1], [0]  # of every prefix on the path
+        before = b""
         for word in words:
-            shared, most = 0, min(len(path), len(word) - 1)
-            while shared < most and path[shared] == word[shared]:
+            shared, most = 0, min(len(nodes), len(word)) - 1
+            while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del path[shared:], last[shared + 1:]
-            for symbol in word[shared:-1]:
-                path.append(symbol)
-                last.append(self._last(path, last))
-            token = self._last([*path, word[-1] + 256], last)
-            at, tokens = len(word), []
-            while True:
-                tokens.append(token)
-                at -= len(spelled[token])
-                if not at:
-                    break
-                token = last[at]
-            out.append(tokens[::-1])
+            del nodes[shared + 1:], tokens[shared + 1:], lengths[shared + 1:]
+            node, last = nodes[shared], len(word) - 1
+            for d in range(shared, len(word)):
+                symbol = word[d] + 256 if d == last else word[d]
+                while node and symbol not in goto[node]:
+                    node = fail[node]
+                node = goto[node].get(symbol, 0)
+                for token, length in ends[node]:
+                    previous = tokens[d + 1 - length]
+                    if previous < 0:
+                        break
+                    key = previous << 32 | token
+                    answer = follows.get(key)
+                    if answer is None:
+                        answer = follows[key] = self.may_follow(previous, token)
+                    if answer:
+                        break
+                if d < last:
+                    nodes.append(node)
+                    tokens.append(token)
+                    lengths.append(length)
+            encoded, at = [token], len(word) - length
+            while at:
+                encoded.append(tokens[at])
+                at -= lengths[at]
+            encoded.reverse()
+            out.append(encoded)
+            before = word
         return out
 
     def words(self, text: str) -> list[str]:
@@ -159,19 +207,25 @@ class Vocabulary:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [self.words(t) for t in texts]
-        known = self.known
-        new = sorted({w for words in cut for w in words if w not in known}, key=str.encode)
+        if len(self.known) > KNOWN_WORDS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = set()
+        for word in set().union(*cut):
+            if word not in known:
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    new.add(word)
         marks = [w for w in new if w[0] == "\0" and w[1:] in self.added]
-        plain = [w for w in new if w[0] != "\0" or w[1:] not in self.added]
-        if len(known) + len(new) > KNOWN_WORDS:
-            known = dict(known)
-            self.known = {}
-        fresh = dict(zip(plain, self.traverse([w.encode() for w in plain]), strict=True)) | {w: [self.added[w[1:]]] for w in marks}
-        known.update(fresh)
-        out = [[i for w in words for i in known[w]] for words in cut]
-        if known is not self.known and len(fresh) <= KNOWN_WORDS:
-            self.known = fresh
-        return out
+        known.update({w: [self.added[w[1:]]] for w in marks})
+        pairs = sorted((w.encode(), w) for w in new.difference(marks))
+        known.update(zip([w for _, w in pairs], self.traverse([b for b, _ in pairs]), strict=True))
+        return [list(itertools.chain.from_iterable([known[w] for w in words])) for words in cut]
+
+    def forget(self) -> None:
+        """Let go of words, as other tasks of the worker need the memory."""
+        self.known, self.older = {}, {}
 
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by spaces, as a file without a decoder prescribes."""
@@ -198,11 +252,14 @@ def encode(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
         model = vocabulary(path)
         for part in textblock.slices(batches, "text", BLOCK_BYTES):
             ids = model.encode([t or "" for t in part.column("text").to_pylist()])
+            first = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(first[-1]))
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in carry), pa.array(ids, pa.list_(pa.int32()))], names=[*carry, "ids"])
+                [*(part.column(c) for c in carry), textblock.lists(flat, first, pa.int32())], names=[*carry, "ids"])
+        model.forget()
 
     columns = list(dict.fromkeys([*carry, "text"]))
-    return docs.select(*columns).mapInArrow(run, _schema(docs, carry) + "ids array<int>")
+    return textblock.bounded(docs).select(*columns).mapInArrow(run, _schema(docs, carry) + "ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, carry: list[str]) -> DataFrame:
@@ -212,12 +269,15 @@ def decode(encoded: DataFrame, path: str, carry: list[str]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [model.decode(i or []) for i in part.column("ids").to_pylist()]
+                ids = part.column("ids").fill_null([]) if part.column("ids").null_count else part.column("ids")
+                flat = ids.flatten().to_numpy().tolist()
+                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())]).tolist()
+                texts = [model.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in carry), pa.array(texts, pa.string())], names=[*carry, "decoded"])
 
     columns = list(dict.fromkeys([*carry, "ids"]))
-    return encoded.select(*columns).mapInArrow(run, _schema(encoded, carry) + "decoded string")
+    return textblock.bounded(encoded).select(*columns).mapInArrow(run, _schema(encoded, carry) + "decoded string")
 
 
 def round_trip(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
