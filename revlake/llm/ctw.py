@@ -257,7 +257,7 @@ def scores(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        (split_of("doc_id", 5) == 1 if held_out is None else held_out).alias("held_out"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
-    packed = written(docs.mapInArrow(_pack(int(size // BLOCK_BYTES) + 1), "block int, payload binary"), "packed")
+    packed = written(textblock.bounded(docs).mapInArrow(_pack(int(size // BLOCK_BYTES) + 1), "block int, payload binary"), "packed")
     found = written(packed.groupBy("block").applyInArrow(_units, "block int, key long, n long"), "units")
     words = found.where("key < 0").withColumn("value", F.sum("n").over(Window.partitionBy("key")).cast("double"))
     words = written(words.select("block", "key", "value", "n"), "words")

@@ -124,7 +124,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, carry: list[str], least: float
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     blocks = max(1, -(-size["n"] // ITEMS), -(-size["bytes"] // ITEM_BYTES))
     columns = list(dict.fromkeys([*carry, "text"]))
-    out = docs.select(*columns, F.array().cast("array<long>").alias("_items"), F.lit(0.0).alias("_best"))
+    out = textblock.bounded(docs).select(*columns, F.array().cast("array<long>").alias("_items"), F.lit(0.0).alias("_best"))
     spread = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for block in range(blocks):
         index = Index([(r["item_id"], r["text"]) for r in items.where(spread == block).collect()])

@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, carry: list[str]) -> DataFrame:
                 [*(part.column(c) for c in carry), pa.array(packed(*of_texts(part.column("text"))), pa.string())], names=[*carry, "fingerprint"])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
-    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, kinds + "fingerprint string")
+    return textblock.bounded(docs).select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, kinds + "fingerprint string")
 
 
 def _ranges(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
@@ -108,7 +108,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"))
-    _, heads, n = _ranges(base)
+    _, heads, n = _ranges(textblock.bounded(base))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

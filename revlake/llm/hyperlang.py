@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from revlake.llm import textblock
 
 DIMENSIONS = 512
-CACHE = 50_000  # n-gram vectors a worker keeps at a time
+CACHE = 20_000  # n-gram vectors a worker keeps at a time
 
 _U = np.uint64
 _symbols: np.ndarray | None = None
@@ -36,7 +36,7 @@ def _symbol_table() -> np.ndarray:
     """Lower-case letter of every code point, 0 where it is no letter."""
     global _symbols
     if _symbols is None:
-        _symbols = np.array([ord(chr(i).lower()[0]) if chr(i).isalpha() else 0 for i in range(0x110000)], np.uint32)
+        _symbols = np.fromiter((ord(chr(i).lower()[0]) if chr(i).isalpha() else 0 for i in range(0x110000)), np.uint32, 0x110000)
     return _symbols
 
 
@@ -109,7 +109,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
                 names=["lang", "dimension", "value"])
 
     rows = (
-        docs.where("text is not null and lang is not null").select("text", "lang")
+        textblock.bounded(docs).where("text is not null and lang is not null").select("text", "lang")
         .mapInArrow(add, "lang string, dimension int, value long").groupBy("lang", "dimension").agg(F.sum("value").alias("value"))
         .collect())
     names = sorted({r["lang"] for r in rows})
@@ -146,7 +146,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[s
 
     columns = list(dict.fromkeys([*carry, "text"]))
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.select(*columns).mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return textblock.bounded(docs).select(*columns).mapInArrow(run, f"{kinds}, lang_pred string, score double")
 
 
 def languages(docs: DataFrame, held_out: Callable[[str], Column] = lambda c: split_of(c, 4) == 2) -> DataFrame:

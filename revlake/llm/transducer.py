@@ -295,4 +295,4 @@ def token_counts(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
                 names=[*carry, "n_bytes", "n_tokens"])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
-    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, kinds + "n_bytes long, n_tokens long")
+    return textblock.bounded(docs).select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, kinds + "n_bytes long, n_tokens long")
