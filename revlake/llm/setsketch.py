@@ -33,7 +33,8 @@ BANDS = 51          # ... and miss all bands with probability 2e-9
 REGISTERS = ROWS * BANDS
 BASE = 1.1          # registers step by 10 %; 8 bits reach over ten orders of magnitude
 TOP = 255
-SLACK = 0.1         # the likelihood estimate may lie this far (four deviations) below the threshold
+SLACK = 0.14        # the likelihood estimate may lie this far (over five deviations) below the threshold; missed with 1.3e-7
+FLOOR = 0.9         # least agreement of registers, as a share of the lowest estimate: looser than the estimate itself
 BLOCK = 2048        # sketches of one band that meet as a block in one task
 SETS = 512          # full sets of one cloud that do
 COLUMNS = 8192      # shingles taken at a time when full sets meet
@@ -179,7 +180,7 @@ def _crossing(threshold: float):
             y = right[roots != forest.find(x)]
             y = y[np.minimum(sizes[y], sizes[x]) >= threshold * np.maximum(sizes[y], sizes[x]) - 1e-9]
             # Agreement on a register is at least as probable as the similarity itself.
-            y = y[(rows[y] == rows[x]).sum(1) >= (threshold - SLACK) * REGISTERS]
+            y = y[(rows[y] == rows[x]).sum(1) >= (threshold - SLACK) * REGISTERS * FLOOR]
             if not len(y):
                 continue
             near = likely(np.broadcast_to(rows[x], (len(y), REGISTERS)), rows[y], np.full(len(y), sizes[x]), sizes[y])

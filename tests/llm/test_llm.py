@@ -422,6 +422,15 @@ def test_op9_hard_rows(spark, hard, empty):
     assert setsketch.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("t", [22530, 55305])
+def test_op9_keeps_pairs_whose_estimate_is_low(spark, t):
+    """Pairs of similarity exactly 0.8 that share a band and whose estimate is below 0.7."""
+    common = " ".join(f"c{t}x{i}" for i in range(80))
+    rows = [(d, common + " " + " ".join(f"{c}{t}x{i}" for i in range(10))) for d, c in ((1, "a"), (2, "b"))]
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, SCHEMA), 1, 80).collect()
+    assert {tuple(r) for r in got} == {(1, 90, 1, True), (2, 90, 1, False)}
+
+
 def test_sketches_estimate_and_merge():
     rng = np.random.default_rng(3)
     for j in (0.3, 0.6, 0.8, 0.95):
