@@ -3,7 +3,8 @@
 Every stage takes the documents that the one before kept and returns documents (doc_id, text, lang, source, n_chars); the
 last one returns their encodings. ``run`` writes each stage's result as Parquet and reads it for the next.
 
-1. ``language_id`` drops documents without a letter, the ones whose language is undetermined.
+1. ``language_id`` drops documents without a letter, whose language cannot be determined; whether a language could be learned
+   from the labels makes no difference.
 2. ``near_dedup`` keeps one document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id.
 3. ``decontamination`` drops documents with a passage of the benchmark.
 4. ``pii`` puts surrogates in the place of personal data and counts ``n_chars`` anew.
@@ -29,7 +30,7 @@ PII_KEY = "revlake"
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     model = hyperlang.learn(docs.where(hyperlang.split_of("doc_id", 4) != 2))
-    return hyperlang.identify(docs, model, COLUMNS).where("lang_pred <> 'und'").select(*COLUMNS)
+    return hyperlang.identify(docs, model, COLUMNS).where("has_letter").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,7 +121,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[str]) -> DataFrame:
-    """Columns *carry* of *docs* with ``lang_pred`` and ``score`` for its ``text``."""
+    """Columns *carry* of *docs* with ``lang_pred``, ``score`` and ``has_letter`` for its ``text``."""
     names, prototypes = model
     lengths = np.linalg.norm(prototypes, axis=1, keepdims=True)
     unit = (prototypes / np.where(lengths > 0, lengths, 1)).T.astype(np.float32)
@@ -141,16 +141,16 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[s
             known = letters & bool(names)
             found = [names[b] if k else "und" for b, k in zip(best.tolist(), known.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in carry), pa.array(found, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64())],
-                names=[*carry, "lang_pred", "score"])
+                [*(part.column(c) for c in carry), pa.array(found, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64()),
+                 pa.array(letters, pa.bool_())], names=[*carry, "lang_pred", "score", "has_letter"])
 
     columns = list(dict.fromkeys([*carry, "text"]))
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return textblock.bounded(docs).select(*columns).mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return textblock.bounded(docs).select(*columns).mapInArrow(run, f"{kinds}, lang_pred string, score double, has_letter boolean")
 
 
 def languages(docs: DataFrame, held_out: Callable[[str], Column] = lambda c: split_of(c, 4) == 2) -> DataFrame:
     """(doc_id, held_out, lang_pred, score), learned from the documents that are not held out."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     docs = docs.withColumn("held_out", held_out("doc_id"))
-    return identify(docs, learn(docs.where("not held_out")), ["doc_id", "held_out"])
+    return identify(docs, learn(docs.where("not held_out")), ["doc_id", "held_out"]).drop("has_letter")

@@ -38,3 +38,18 @@ def test_stages_and_run(spark):
     check_bpe([(texts[r["doc_id"]], r["n_tokens"], sha(" ".join(map(str, r["ids"]))), sha(r["decoded"])) for r in stages["bpe"]])
     ran = corpus_pipeline.run(spark, FOLDER)
     assert collections.Counter(r["doc_id"] for r in ran.collect()) == collections.Counter(d for d, _ in texts.items() if d >= 0)
+
+
+def test_language_id_keeps_documents_when_no_language_can_be_learned(spark):
+    texts = [(1, "a clean document"), (2, None), (3, ""), (4, "12 34 !"), (5, "Ж")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumns(
+        {"lang": F.lit(None).cast("string"), "source": F.lit("x"), "n_chars": F.length("text").cast("long")})
+    kept = corpus_pipeline.language_id(spark, docs, FOLDER)
+    assert kept.columns == corpus_pipeline.COLUMNS and sorted(r["doc_id"] for r in kept.collect()) == [1, 5]
+
+
+def test_run_without_languages(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40).withColumn("lang", F.lit(None).cast("string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{FOLDER}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
