@@ -5,13 +5,14 @@ last one returns their encodings. ``run`` writes each stage's result as Parquet
 
 1. ``language_id`` drops documents without a letter, whose language cannot be determined; whether a language could be learned
    from the labels makes no difference.
-2. ``near_dedup`` keeps one document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id.
+2. ``near_dedup`` keeps one document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id, of its
+   texts in the group the one with the smallest digest. Different texts under one doc_id are different documents.
 3. ``decontamination`` drops documents with a passage of the benchmark.
 4. ``pii`` puts surrogates in the place of personal data and counts ``n_chars`` anew.
 5. ``bpe`` encodes and decodes: (doc_id, n_tokens, ids, decoded).
 
 Null texts and texts without a letter end at stage 1. Rows with a null doc_id cannot be told from one another and pass stage
-2 unchanged; of rows that share a doc_id one stays. Columns beyond those of documents are not carried.
+2 unchanged; of rows that share doc_id and text one stays. Columns beyond those of documents are not carried.
 """
 
 from __future__ import annotations
@@ -34,15 +35,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    groups = setsketch.near_duplicates(docs, words=5, percent=80)
-    groups = shared.written(groups.where("doc_id is not null").groupBy("doc_id").agg(
-        F.count("*").alias("rows"), F.every("kept").alias("kept")), "groups")
-    once = docs.join(groups.where("not kept or rows > 1").select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
-    # Rows that repeat a doc_id are copies of one document: the first by its columns stays.
-    repeated = docs.join(groups.where("kept and rows > 1").select("doc_id"), "doc_id", "left_semi")
-    first = repeated.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
-    return once.union(first.select(*COLUMNS))
+    # A vertex is a text under a doc_id, so different texts under one doc_id are judged apart.
+    vertex = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    docs = docs.select(*COLUMNS).withColumn("vertex", vertex)
+    known = docs.where("doc_id is not null")
+    parts = setsketch.near_duplicates(known.select(F.col("vertex").alias("doc_id"), "text"), words=5, percent=80)
+    parts = parts.groupBy(F.col("doc_id").alias("vertex")).agg(F.min("component_id").alias("component"))
+    vertices = known.groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
+    members = shared.written(vertices.join(parts, "vertex"), "members")
+    first = members.groupBy("component").agg(F.min(F.struct("doc_id", "vertex")).alias("first")).select("first.vertex")
+    dropped = members.join(first, "vertex", "left_anti").select("vertex")
+    several = members.where("rows > 1").join(first, "vertex", "left_semi").select("vertex")
+    once = docs.join(shared.written(dropped.union(several), "dropped"), "vertex", "left_anti").select(*COLUMNS)
+    # Rows that repeat doc_id and text are copies of one document: the first by its columns stays.
+    repeated = docs.join(several, "vertex", "left_semi")
+    copies = repeated.groupBy("doc_id", F.sha2("text", 256).alias("digest")).agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return once.union(copies.select("row.*").select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,3 +53,19 @@ def test_run_without_languages(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{FOLDER}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_near_dedup_judges_texts_of_one_doc_id_apart(spark):
+    def text(name, edits=0):
+        return " ".join(f"{name}{i}" if i >= edits else f"e{i}" for i in range(100))
+    rows = [
+        (1, text("a")), (1, text("b")), (1, text("b", 1)), (2, text("b", 2)), (3, text("c")), (3, text("c")), (4, text("c")), (5, text("a", 1)),
+        (6, "too short"), (6, "too short"), (6, "short"), (7, "too short"), (None, text("a")), (None, text("a"))]
+    rows += [(9, text(f"hot{i}x")) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit(None).cast("string"), "source": F.lit("x"), "n_chars": F.length("text").cast("long")})
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, FOLDER).collect()]
+    b = [t for d, t in got if d == 1 and t != text("a")]
+    assert len(b) == 1 and b[0] in (text("b"), text("b", 1))
+    assert collections.Counter(got) == collections.Counter(
+        [(1, text("a")), (1, b[0]), (3, text("c")), (6, "too short"), (6, "short"), *rows[12:]])
