@@ -46,12 +46,14 @@ SYLLABLES = {
 _OUT = r"(?<![\p{L}\p{N}])"
 _END = r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_KEYS = "(?i:token|secret|password|api_key|apikey)"
 _TITLES = "|".join((*MALE, *FEMALE, *NEUTRAL))
 PATTERN = "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*\.\p{L}{2,}+",
-    _OUT + r"[0-9a-fA-F]{32,128}" + _END,
-    _OUT + r"(?:AKIA[0-9A-Z]{16}|(?:sk|ghp|pat)[-_][A-Za-z0-9]{16,128})" + _END,
-    r"(?<=(?:token|secret|password|api_key|apikey) ?[=:] ?[\"']?)[A-Za-z0-9_+/-]{8,128}" + _END,
+    _OUT + r"[0-9a-fA-F]{32,}+" + _END,
+    _OUT + r"(?:AKIA[0-9A-Z]{16}|(?:sk|ghp|pat)[-_][A-Za-z0-9]{16,}+)" + _END,
+    # Eight characters at least; dots join the parts of a value but do not end it.
+    r"(?<=(?:" + _KEYS + r") ?[=:] ?[\"']?)(?=[A-Za-z0-9_+/.-]{7}[A-Za-z0-9_+/-])[A-Za-z0-9_+/-]++(?:\.++[A-Za-z0-9_+/-]++)*+",
     _OUT + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
     r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)",
     _OUT + r"\d{3}-\d{2}-\d{4}" + _END,
@@ -62,7 +64,7 @@ PATTERN = "|".join((
     _OUT + r"(?:" + _TITLES + r")\.? \p{Lu}[\p{L}'’]+(?:[ -]\p{Lu}[\p{L}'’]+){0,2}",
 ))
 #: A text without these has no entity; most texts end here.
-_SUSPECT = r"[0-9@]|(?:token|secret|password|api_key|apikey) ?[=:]|(?:" + _TITLES + r")\.? \p{Lu}"
+_SUSPECT = r"[0-9@]|" + _KEYS + r" ?[=:]|(?:" + _TITLES + r")\.? \p{Lu}"
 
 
 def entities(text: Column) -> Column:
@@ -80,7 +82,7 @@ def kind_of(entity: Column) -> Column:
         .when(entity.rlike(r"^(?:" + _TITLES + r")\.? "), "name")
         .when(entity.rlike(r"^\d+(?:\.\d+){3}$"), "ip")
         .when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-        .when(entity.rlike(r"^\+|^\(|^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone")
+        .when(entity.rlike(r"^\+[0-9 .()-]+$|^\(|^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone")
         .when(entity.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
         .when(entity.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?$"), "iban")
         .otherwise("secret"))
@@ -123,7 +125,7 @@ def _pick(letters: str, byte: Column) -> Column:
 
 def _spell(text: Column, letter) -> Column:
     """Letters of *text* (not empty) replaced by letter(letter, position from 0)."""
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.length(text) - 1), lambda i: letter(F.substr(text, i + 1, F.lit(1)), i)), "")
+    return F.array_join(F.transform(F.split(text, ""), letter), "")
 
 
 def _same_alphabet(char: Column, byte: Column) -> Column:

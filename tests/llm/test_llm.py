@@ -516,3 +516,27 @@ def test_op10_hard_rows(spark, hard, empty):
     assert [r["doc_id"] for r in changed] == [11] and all(r["key"] == "clash" for r in rows)
     assert surrogates.pseudonymized(empty, "k").count() == 0
     assert surrogates.pseudonymized(spark.createDataFrame([(1, "a@" * 50_000 + "." * 50_000)], SCHEMA), "k").count() == 1
+
+
+def test_op10_replaces_whole_secrets_of_any_length(spark):
+    rng = random.Random(10)
+    def run(n, letters="abcdefghijklmnopqrstuvwxyz0123456789ABCDEFG"):
+        return "".join(rng.choice(letters) for _ in range(n))
+    secrets = [run(n) for n in (128, 129, 5000, 200_000)] + [".".join((run(36), run(200), run(43))), "+/" + run(30)]
+    texts = [f"{k}{s}{end}" for s in secrets for k in ("token = ", "Password: ", "API_KEY=", "my Secret:'") for end in ("", ". Next", "'", "й")]
+    parts = [s for s in secrets for _ in range(16)]
+    for n in (128, 129, 5000):
+        for secret in (run(n, "0123456789abcdef"), "sk-" + run(n)):
+            texts.append(f"see {secret} there")
+            parts.append(secret)
+    rows = surrogates.pseudonymized(spark.createDataFrame(list(enumerate(texts)), SCHEMA), "k").collect()
+    assert len(rows) == len(texts)
+    made = collections.defaultdict(set)
+    for r in rows:
+        secret, before, after = parts[r["doc_id"]], texts[r["doc_id"]], r["text"]
+        at = before.index(secret)
+        assert len(r["pii_entities"]) == 1 and len(after) == len(before), before[:40]
+        assert (after[:at], after[at + len(secret):]) == (before[:at], before[at + len(secret):])
+        assert not any(p in after for p in secret.split(".") if len(p) > 7)
+        made[secret].add(r["pii_entities"][0])
+    assert all(len(m) == 1 for m in made.values())
