@@ -153,7 +153,10 @@ def _(t: Inputs):
 SELECT CAST(rev_id AS STRING) AS rev_id, {sql_strip('dept')} AS dept, lineage_id, title, prom_date, prom_num, eff_date, 'K1' AS kind_code, kind,
   '분야 "' || area || '"' AS area FROM revisions WHERE status <> 'P'""")
 def _(t: Inputs):
-    return records.parse_index_lines(samples.index_lines(t), "line")
+    lines = samples.index_lines(t)
+    path = scratch(lines.sparkSession, "index")
+    lines.write.text(path)
+    return records.read_index_csv(lines.sparkSession, path)
 
 
 SQL_DOCS = "SELECT doc_id, source, lang, text, content, doc_id % 10 = 3 AS bare, doc_id % 10 = 7 AS open_header FROM docs"

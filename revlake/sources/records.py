@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlake.functions.dates import parse_dot_date, to_iso_date
 from revlake.functions.once import computed
 from revlake.functions.text import blank_if_null, col, name_key, strip, strip_tags, unescape_html
+from revlake.session import checkpointed
 
 # Column positions of the law index and labels of a history entry.
 INDEX_COLUMNS = {
@@ -106,14 +107,56 @@ def parse_index_lines(df: DataFrame, line: str, keep: Sequence[str] = ()) -> Dat
     )
 
 
+def _open_before(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Whether a quoted cell is open before every row (``_from0``, ``_from1``: if none, if one was open before the first).
+
+    ``_end0`` and ``_end1`` tell it after a row, given that none or one was open before it.
+    """
+    through = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    turn = (F.col("_end0") & ~F.col("_end1")).cast("int")
+    fixed = F.when(F.col("_end0") == F.col("_end1"), F.struct(F.col("_end0").alias("open"), F.col("_turns").alias("turns")))
+    rows = rows.withColumn("_turns", F.sum(turn).over(through)).withColumn("_fixed", F.last(fixed, True).over(before))
+    odd = (F.col("_turns") - turn - F.coalesce(F.col("_fixed.turns"), F.lit(0))) % 2 == 1
+    return rows.withColumns({
+        f"_from{i}": F.coalesce(F.col("_fixed.open"), F.lit(bool(i))) != odd for i in (0, 1)}).drop("_turns", "_fixed")
+
+
+def read_index_records(spark: SparkSession, path: str) -> DataFrame:
+    """(line): records of CSV files, which Spark may split anywhere; a record goes on while a quoted cell is open.
+
+    Lines are followed within a split; of every split one summary row tells the next ones what is open.
+    """
+    lines = spark.read.text(path, lineSep="\n").select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_mid"))
+    opens = r'(?s)\A(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^,"][^,]*+|),)*+"(?:[^"]++|"")*+\z'
+    lines = checkpointed(lines.withColumns({
+        "_end0": F.col("value").rlike(opens), "_end1": F.concat(F.lit('"'), F.col("value")).rlike(opens)}))
+    split = ["_file", "_block"]
+    lines = _open_before(lines, split, "_mid")
+    after = [F.when(F.col(f"_from{i}"), F.col("_end1")).otherwise(F.col("_end0")).alias(f"_end{i}") for i in (0, 1)]
+    splits = lines.groupBy(*split).agg(
+        F.max_by(F.struct(*after), "_mid").alias("_after"),
+        *[F.max(F.when(~F.col(f"_from{i}"), F.col("_mid"))).alias(f"_start{i}") for i in (0, 1)])
+    splits = _open_before(splits.select(*split, "_after.*", "_start0", "_start1"), ["_file"], "_block")
+    begun = F.when(F.col("_from0"), F.col("_start1")).otherwise(F.col("_start0"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(
+        *split, F.col("_from0").alias("_open"),
+        F.last(F.when(begun.isNotNull(), F.struct(F.col("_block"), begun.alias("_mid"))), True).over(earlier).alias("_carried"))
+    inside = Window.partitionBy(*split).orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = ~F.when(F.col("_open"), F.col("_from1")).otherwise(F.col("_from0"))
+    rows = lines.join(splits, split).withColumn("_record", F.coalesce(
+        F.last(F.when(starts, F.struct("_block", "_mid")), True).over(inside), F.col("_carried")))
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_mid", "value")))
+    return rows.groupBy("_file", "_record").agg(parts.alias("_parts")).select(
+        F.array_join(F.col("_parts.value"), "\n").alias("line"))
+
+
 def read_index_csv(spark: SparkSession, path: str) -> DataFrame:
     """Law index file: a count line and a header line precede the rows; quoted fields may hold line breaks."""
-    schema = ", ".join(f"c{i} string" for i in range(INDEX_WIDTH))
-    rows = spark.read.schema(schema).csv(path, multiLine=True, quote='"', escape='"', encoding="UTF-8")
-    # The two preamble lines are recognised by shape: too few cells, and the header labels.
-    last = F.col(f"c{INDEX_WIDTH - 1}")
-    return rows.filter(last.isNotNull() & (strip(F.col("c1")) != "법령MST")).select(
-        *[strip(blank_if_null(f"c{at}")).alias(name) for name, at in INDEX_COLUMNS.items()])
+    return parse_index_lines(read_index_records(spark, path), "line")
 
 
 def parse_commit_log(df: DataFrame, record: str, seq: str) -> DataFrame:

@@ -133,3 +133,22 @@ def test_index_file_with_line_breaks_in_fields(spark, tmp_path):
     path.write_text("\n".join(rows), encoding="utf-8")
     got = {r["rev_id"]: r for r in records.read_index_csv(spark, str(path)).collect()}
     assert set(got) == {"11", "12"} and got["11"]["dept"] == '부처\n둘, "셋"' and got["11"]["area"] == "분야"
+
+
+def test_index_file_is_split_and_keeps_empty_last_fields(spark, tmp_path):
+    """Small splits cut records and quoted fields; rows whose last field is empty stay."""
+    cells = lambda i, dept, last: ",".join([str(i), str(i), "x", dept, "L", "n", "20200101", "1", "20200102", "c", "k", "f", last])
+    depts = {i: f"부처{i}" if i % 3 else "\n".join([f'줄, "{i}"'] + ["가, 나"] * (i % 40)) for i in range(300)}
+    rows = ["총300건", "순번,법령MST," + ",".join("abcdefghijk")]
+    rows += [cells(i, d if i % 3 else '"' + d.replace('"', '""') + '"', ("", '""', 'a"b', "분야")[i % 4]) for i, d in depts.items()]
+    path = tmp_path / "index.csv"
+    path.write_text("\n".join([*rows, "3,짧다"]) + "\n", encoding="utf-8")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "701")
+    try:
+        assert spark.read.text(str(path), lineSep="\n").rdd.getNumPartitions() > 10
+        got = {r["rev_id"]: (r["dept"], r["area"]) for r in records.read_index_csv(spark, str(path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert {k: d for k, (d, _) in got.items()} == {str(i): d for i, d in depts.items()}
+    assert all(area == ("", "", 'a"b', "분야")[int(i) % 4] for i, (_, area) in got.items())
