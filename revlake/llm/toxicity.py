@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from revlake.llm import textblock
 from revlake.llm.hyperlang import split_of
 
-SAMPLE, SAMPLE_BYTES = 1200, 1 << 16
+SAMPLE, SAMPLE_BYTES = 2000, 1 << 16
+CLEAN, RANDOM = 8, 4000   # negatives of a training round: best units of a clean document, units of any
 LANDMARKS = 300
 LENGTH, SPAN, DECAY = 4, 6, 0.75
 SHORTEST = 3              # letters of a unit; fewer say too little
@@ -247,13 +248,13 @@ def train(texts: list[str], labels: np.ndarray, prior: float) -> Model:
     table = Table(codes, values @ project)
     beta, offset = project.T @ odds[marks], 0.0
     rng = np.random.Generator(np.random.PCG64(5))
-    some = rng.choice(n_units, min(n_units, 2000), replace=False)
+    some = rng.choice(n_units, min(n_units, RANDOM), replace=False)
     for _ in range(4):
         scores = kernel(Table(codes, table.values @ beta), found.rows, found.size) + offset
         order = np.lexsort((-scores[unit_of], text_of))
         rank = np.arange(len(order)) - np.searchsorted(text_of[order], text_of[order])
         best = order[(rank < 3) & toxic[text_of[order]]]
-        clean = order[(rank < 4) & ~toxic[text_of[order]]]
+        clean = order[(rank < CLEAN) & ~toxic[text_of[order]]]
         positive = unit_of[best]
         negative = np.unique(np.concatenate([unit_of[clean], some[t[some] == 0]]))
         gapped, longer = _with_insertion(found.rows[np.unique(positive)], found.size[np.unique(positive)], rng)

@@ -540,3 +540,20 @@ def test_op10_replaces_whole_secrets_of_any_length(spark):
         assert not any(p in after for p in secret.split(".") if len(p) > 7)
         made[secret].add(r["pii_entities"][0])
     assert all(len(m) == 1 for m in made.values())
+
+
+def test_op2_trains_on_the_whole_sample(spark, monkeypatch):
+    seen, negatives = [], []
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    real = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, marks, prior: seen.extend(marks) or toxicity.Model(None))
+    toxicity.learn(docs, labels)
+    assert collections.Counter(seen) == {0: 2000, 1: 2000}
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("bcdfghklmnprst") for _ in range(8))
+    texts = [" ".join(word() for _ in range(20)) + (" villain" if i % 2 else "") for i in range(1000)]
+    svm = toxicity._svm
+    monkeypatch.setattr(toxicity, "_svm", lambda x, y, cost: negatives.append((y < 0).sum()) or svm(x, y, cost))
+    real(texts, np.arange(1000) % 2, 0.5)
+    assert min(negatives) > 500 * 8 * 0.9 + 1000  # eight units of every clean document, and random ones
