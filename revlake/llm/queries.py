@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from revlake.llm import (
-    chatformat, ctw, decontaminate, fingerprints, hyperlang, setsketch, surrogates, toxicity, transducer, triebpe,
+    chatformat, ctw, decontaminate, divergence, fingerprints, hyperlang, nsbounds, packing, setsketch, shared, surrogates,
+    toxicity, transducer, triebpe,
 )
 
 
@@ -78,9 +79,74 @@ def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return docs.withColumn("n_entities", F.size("pii_entities"))
 
 
+def op11_bounded_space_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    packed = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op12_ns_bounds_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = nsbounds.quantized(_table(spark, folder, "embeddings"), "vec_id", "embedding", size=64, scale=64)
+    vectors = shared.written(vectors, "vectors")
+    start = nsbounds.hashed_start(vectors, F.sha2(F.concat(F.lit("1:"), F.coalesce(F.col("key").cast("string"), F.lit(""))), 256), 16)
+    assigned, centroids = nsbounds.clusters(vectors, start, rounds=3)
+    return nsbounds.reported(assigned, centroids).withColumnRenamed("key", "vec_id")
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(_table(spark, folder, "documents").select("text", "lang", "source"))
+
+
+#: Terms, their counts and shares, in one pass over the documents.
+_DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM w GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS whole FROM c GROUP BY ALL HAVING sum(docs) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(whole) AS n FROM k GROUP BY ALL),
+o AS (SELECT c.lang, source, sum(n) AS n FROM c JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(o.n, 0) + 2 * l.v) AS p, 1 + 1000000000::HUGEINT * (k.whole + 2) // (l.n + 2 * l.v) AS q
+  FROM g JOIN k ON k.lang = g.lang JOIN l ON l.lang = g.lang LEFT JOIN o ON o.lang = g.lang AND o.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 10"""
+
+
+def _clustering_sql(rounds: int) -> str:
+    """Assignments and centroids of every round, one after the other."""
+    sql = """
+WITH v AS (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: TRY_CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+x AS MATERIALIZED (SELECT id, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v),
+s AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), e) - 1 AS c, e FROM v QUALIFY c < 16),
+c0 AS MATERIALIZED (SELECT c, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM s),"""
+    for i in range(rounds + 1):
+        sql += f"""
+d{i} AS (SELECT id, c, sum((x.x - c.x) * (x.x - c.x)) AS d FROM x JOIN c{i} AS c USING (i) GROUP BY ALL),
+a{i} AS MATERIALIZED (SELECT id, c, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, c) = 1),"""
+        if i < rounds:
+            sql += f"""
+m{i} AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{i} JOIN x USING (id) GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT c, i, CAST(coalesce((s - ((s % n) + n) % n) // n, x) AS BIGINT) AS x FROM c{i} LEFT JOIN m{i} USING (c, i)),"""
+    return sql + f"""
+h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a{rounds} JOIN v USING (id) JOIN h USING (c)"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_toxicity, op3_bpe_encode_decode,
     op4_document_fingerprints, op5_chat_formatting, op6_lm_scoring, op7_language_id, op8_token_counts,
-    op9_minhash_near_dedup, op10_pii_surrogates,
+    op9_minhash_near_dedup, op10_pii_surrogates, op11_bounded_space_packing, op12_ns_bounds_clustering, op13_source_divergence,
 )} | {"pipeline": corpus_pipeline.run}
-ORACLES = {"op5_chat_formatting": _CHAT_SQL}
+ORACLES = {
+    "op5_chat_formatting": _CHAT_SQL, "op12_ns_bounds_clustering": _clustering_sql(3), "op13_source_divergence": _DIVERGENCE_SQL,
+}

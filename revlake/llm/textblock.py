@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 
 #: Bytes of text worked on at a time; one longer text makes a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Rows worked on at a time: many short or empty texts do not pile up.
+BLOCK_ROWS = 1 << 13
 #: Rows of an Arrow batch.
 BATCH_ROWS, _BATCH = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -52,28 +54,31 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Deal batches out anew so that each holds at most *most* bytes of text, or one row, and not much less."""
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[pa.RecordBatch]:
+    """Deal batches out anew so that each holds at most *most* bytes of text, or one row, and at most *rows* rows, and not
+    much less of one of them."""
     held: list[pa.RecordBatch] = []
-    size = 0
+    size = number = 0
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
         size += int(text_buffers(batch.column(text))[1][-1])
-        if size >= most:
-            yield from _cut(held, text, most)
-            held, size = [], 0
+        number += batch.num_rows
+        if size >= most or number >= rows:
+            yield from _cut(held, text, most, rows)
+            held, size, number = [], 0, 0
     if held:
-        yield from _cut(held, text, most)
+        yield from _cut(held, text, most, rows)
 
 
-def _cut(held: list[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
+def _cut(held: list[pa.RecordBatch], text: str, most: int, rows: int) -> Iterator[pa.RecordBatch]:
     batch = held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
     offsets = text_buffers(batch.column(text))[1]
     start = 0
     while start < batch.num_rows:
         end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, "right")) - 1)
+        end = min(end, start + rows)
         yield batch.slice(start, end - start)
         start = end
 
