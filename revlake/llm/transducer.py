@@ -18,6 +18,8 @@ of control tokens in texts are ordinary text. Null and empty texts have no token
 
 from __future__ import annotations
 
+import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,10 @@ FEW = 24          # tokens that go on from a suffix, to tell last tokens apart b
 _BARRIER = -1     # stands before what no merge crosses
 
 
+class NoToken(Exception):
+    """No token may end a prefix by the rule of borders; such a text is counted by merging."""
+
+
 class Transducer:
     def __init__(self, path: str):
         import sentencepiece
@@ -40,7 +46,9 @@ class Transducer:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         special = lambda i: model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i)
         self.score = {model.id_to_piece(i): model.get_score(i) for i in range(model.get_piece_size()) if not special(i)}
-        self.rank = {p: r for r, p in enumerate(sorted(self.score, key=lambda p: -self.score[p]), 1)}
+        # Pieces of equal score have equal rank: among them the left one is merged first, whatever its number.
+        order = {s: r for r, s in enumerate(sorted(set(self.score.values()), reverse=True), 1)}
+        self.rank = {p: order[s] for p, s in self.score.items()}
         self.halves: dict[str, tuple[str, str]] = {}
         self.pieces = [p for p in self.score if self.plain(p) == [p]]
         self.fresh = not any(SPACE in p.lstrip(SPACE) for p in self.pieces)  # no token has a space after a letter
@@ -116,6 +124,30 @@ class Transducer:
             tokens[-at:-at + 2] = [tokens[-at] + tokens[-at + 1]]
         return tokens
 
+    def merged(self, text: str) -> int:
+        """Number of tokens of a text of any length, by merging its words from a queue."""
+        count = 0
+        for word in re.findall(rf"{SPACE}*[^{SPACE}]+|{SPACE}+", (SPACE + text.replace(" ", SPACE)) if text else "") if self.fresh else [SPACE + text]:
+            parts, after, before = list(word), list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
+            alive = [True] * len(parts)
+            queue = [(-self.score[a + b], i, a + b) for i, (a, b) in enumerate(zip(word, word[1:], strict=False)) if a + b in self.score]
+            heapq.heapify(queue)
+            while queue:
+                _, i, whole = heapq.heappop(queue)
+                if not alive[i] or after[i] >= len(word) or parts[i] + parts[after[i]] != whole:
+                    continue
+                gone = after[i]
+                parts[i], alive[gone], after[i] = whole, False, after[gone]
+                if after[i] < len(word):
+                    before[after[i]] = i
+                for left in (before[i], i):
+                    if left >= 0 and after[left] < len(word):
+                        pair = parts[left] + parts[after[left]]
+                        if pair in self.score:
+                            heapq.heappush(queue, (-self.score[pair], left, pair))
+            count += sum(1 if p in self.score else len(p.encode()) for p, there in zip(parts, alive, strict=True) if there)
+        return count
+
     def _edge(self, piece: str, side: int) -> list[tuple[str, int, float]]:
         """What stands at one end of a piece while it is put together, last first: (part, its rank, rank of what it becomes)."""
         out, becomes = [], np.inf
@@ -205,7 +237,7 @@ class Transducer:
                     after.append(entry)
                 return self.state((node, (*after, (token, 0)), b"")), gain
             at = self.shorter[at]
-        raise AssertionError("every prefix has a last token")
+        raise NoToken
 
     def run(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lockstep over data[begin:end] from *state*: end states and counts. Longest pieces must come first."""
@@ -232,7 +264,18 @@ class Transducer:
         return state, count
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Tokens of every text."""
+        """Tokens of every text. Should one of them have a prefix without a last token, the texts are halved until it is
+        alone, and it is merged."""
+        try:
+            return self._counts(data, offsets)
+        except NoToken:
+            n = len(offsets) - 1
+            if n == 1:
+                return np.array([self.merged(data[offsets[0]:offsets[1]].tobytes().decode())])
+            parts = [(data, offsets[:n // 2 + 1]), (data, offsets[n // 2:])]
+            return np.concatenate([self.counts(d, o) for d, o in parts])
+
+    def _counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         size = np.diff(offsets)
         chunks = -(-size // CHUNK)
         text = np.repeat(np.arange(len(size)), chunks)
