@@ -31,6 +31,7 @@ from revlake.llm import textblock
 KNOWN_WORDS = 80_000    # encodings after which older ones that no block needs again are let go
 KNOWN_PAIRS = 250_000    # answers kept about which token may follow which
 BLOCK_BYTES = 2 << 20
+NONE = -2               # stands for the last token of a prefix that none may end; such a word is merged
 
 # The cut of texts that the vocabulary file prescribes (white space is left out), for texts within
 # Latin-1 and for all others.
@@ -166,18 +167,26 @@ class Vocabulary:
                 node = goto[node].get(symbol, 0)
                 for token, length in ends[node]:
                     previous = tokens[d + 1 - length]
-                    if previous < 0:
+                    if previous == -1:
                         break
+                    if previous == NONE:
+                        continue
                     key = previous << 32 | token
                     answer = follows.get(key)
                     if answer is None:
                         answer = follows[key] = self.may_follow(previous, token)
                     if answer:
                         break
+                else:
+                    token, length = NONE, 1
                 if d < last:
                     nodes.append(node)
                     tokens.append(token)
                     lengths.append(length)
+            if token == NONE:
+                out.append(self.plain((*word[:-1], word[-1] + 256)))
+                before = word
+                continue
             encoded, at = [token], len(word) - length
             while at:
                 encoded.append(tokens[at])
