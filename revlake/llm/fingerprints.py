@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from revlake.llm import textblock
 
 WORDS, BINS, BITS = 5, 512, 4
+FEW = 23     # filled bins that are looked up rather than drawn; about the root of BINS
+ROWS = 1 << 10  # texts whose bins are held at once
 RANGE_BYTES, MOST_RANGES = 4 << 20, 10_000  # texts of a range of ids; beyond, ranges grow and are streamed all the same
 
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -29,8 +31,46 @@ _RNG = np.random.Generator(np.random.PCG64(4))
 _SOURCES = _RNG.integers(0, BINS, (4096, BINS), dtype=np.int64)
 
 
+def _ranks() -> np.ndarray:
+    """Keys of all bins as sources (first axis) of all bins: when the source is drawn first, times BINS, plus the source.
+
+    A source that is never drawn comes after all others, by how far it lies behind the bin.
+    """
+    bins = np.arange(BINS)
+    rank = len(_SOURCES) + (bins[:, None] - bins) % BINS
+    for i in range(len(_SOURCES) - 1, -1, -1):
+        rank[_SOURCES[i], bins] = i
+    return (rank * BINS + bins[:, None]).astype(np.int32)
+
+
+_RANKS: list[np.ndarray] = []
+
+
+def _sources(filled: np.ndarray) -> np.ndarray:
+    """For every bin of rows with few *filled* bins, the one of them that its sequence meets first."""
+    if not _RANKS:
+        _RANKS.append(_ranks())
+    row, bin_ = np.nonzero(filled)
+    count = filled.sum(1)
+    first = np.cumsum(count) - count
+    best = np.full(filled.shape, np.iinfo(np.int32).max, np.int32)
+    for i in range(int(count.max(initial=0))):
+        more = np.flatnonzero(count > i)
+        best[more] = np.minimum(best[more], _RANKS[0][bin_[first[more] + i]])
+    return best % BINS
+
+
 def prints(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Low bits of all bins (one row per text) of shingle hashes; rows of texts without shingles are meaningless."""
+    """Low bits of all bins (one row per text) of shingle hashes; rows of texts without shingles are meaningless.
+
+    Drawing until a filled bin is met takes BINS / filled draws a bin, looking all filled bins up takes as many steps as
+    there are; each text goes the shorter way, so a short one costs no more than a long one.
+    """
+    out = [_prints(values[first[i]:first[min(i + ROWS, len(first) - 1)]], first[i:i + ROWS + 1] - first[i]) for i in range(0, len(first) - 1, ROWS)]
+    return np.concatenate(out) if out else np.zeros((0, BINS), np.uint8)
+
+
+def _prints(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     n = len(first) - 1
     text = np.repeat(np.arange(n), np.diff(first))
     table = np.full(n * BINS, _EMPTY, np.uint64)
@@ -38,8 +78,13 @@ def prints(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     np.minimum.at(table, text * BINS + (values >> shift).astype(np.int64), values & np.uint64((1 << int(shift)) - 1))
     table = table.reshape(n, BINS)
     filled = table != _EMPTY
-    row, bin_ = np.nonzero(~filled & filled.any(1, keepdims=True))
+    count = filled.sum(1)
     out = table.copy()
+    few = np.flatnonzero((count > 0) & (count <= FEW))
+    if len(few):
+        source = _sources(filled[few])
+        out[few] = np.where(filled[few], table[few], np.take_along_axis(table[few], source, 1))
+    row, bin_ = np.nonzero(~filled & (count > FEW)[:, None])
     for sources in _SOURCES:
         if not len(row):
             break
