@@ -5,7 +5,8 @@ first letter's vector permuted twice, the second's permuted once and the third's
 language the sum of its training texts, and a text gets the language whose sum is nearest by cosine.
 
 A null text, or one without a letter, is ``und`` with score 0, and so is every text when nothing could be learned. Equal
-cosines go to the language whose name comes first. A null ``doc_id`` counts as the text ``""`` in the split.
+cosines go to the language whose name comes first. A null ``doc_id`` counts as the text ``""`` in the split. Many short or empty
+texts need no more memory than long ones.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from revlake.llm import textblock
 
 DIMENSIONS = 512
 CACHE = 20_000  # n-gram vectors a worker keeps at a time
+CELLS = 1 << 22  # of texts times n-grams at a time
+VECTORS = 1 << 14  # n-gram vectors used at a time
+RUNS = 1 << 12   # occurrences added up at a time where texts share few n-grams
 
 _U = np.uint64
 _symbols: np.ndarray | None = None
@@ -92,6 +96,25 @@ def runs(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return distinct, text[:-2][same], inverse, letters
 
 
+def bundles(distinct: np.ndarray, text: np.ndarray, inverse: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the vectors of the n-grams of *n* texts, from their occurrences in the order of texts.
+
+    Counts times vectors where texts have n-grams in common; else, as in slices of many short texts, occurrences are added
+    up text by text. Memory is bounded by CELLS, VECTORS and RUNS, whatever the texts.
+    """
+    out = np.zeros((n, DIMENSIONS), np.float32)
+    if n * len(distinct) <= min(CELLS, 20 * len(text)) or n == 1:
+        counts = np.bincount(text * len(distinct) + inverse, minlength=n * len(distinct)).reshape(n, -1).astype(np.float32)
+        for i in range(0, len(distinct), VECTORS):
+            out += counts[:, i:i + VECTORS] @ _cached(distinct[i:i + VECTORS]).astype(np.float32)
+        return out
+    for i in range(0, len(text), RUNS):
+        own, which = np.unique(inverse[i:i + RUNS], return_inverse=True)
+        texts, first = np.unique(text[i:i + RUNS], return_index=True)
+        out[texts] += np.add.reduceat(_cached(distinct[own]).astype(np.float32)[which], first, axis=0)
+    return out
+
+
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Names and vectors of the languages of *docs* (text, lang): one vector for each language reaches the driver."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,10 +122,11 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         for part in textblock.slices(batches, "text"):
             distinct, text, inverse, _ = runs(part)
             names = np.array(part.column("lang").to_pylist(), object)
-            vectors = _cached(distinct).astype(np.float32)
             for name in set(names):
                 counts = np.bincount(inverse[(names == name)[text]], minlength=len(distinct)).astype(np.float32)
-                sums[name] = sums.get(name, 0) + (counts @ vectors).astype(np.float64)
+                for i in range(0, len(distinct), VECTORS):
+                    vector = counts[i:i + VECTORS] @ _cached(distinct[i:i + VECTORS]).astype(np.float32)
+                    sums[name] = sums.get(name, 0) + vector.astype(np.float64)
         for name, vector in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * DIMENSIONS, pa.string()), pa.array(range(DIMENSIONS), pa.int32()), pa.array(np.rint(vector).astype(np.int64))],
@@ -132,9 +156,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[s
             n = part.num_rows
             best, score = np.zeros(n, int), np.zeros(n)
             if len(distinct) and names:
-                vectors = _cached(distinct).astype(np.float32)
-                counts = np.bincount(text * len(distinct) + inverse, minlength=n * len(distinct)).reshape(n, -1)
-                bundle = counts.astype(np.float32) @ vectors
+                bundle = bundles(distinct, text, inverse, n)
                 cosine = (bundle @ unit) / np.maximum(np.linalg.norm(bundle, axis=1, keepdims=True), 1e-9)
                 best = cosine.argmax(1)
                 score = np.clip(cosine.max(1), 0, 1)
