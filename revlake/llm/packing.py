@@ -18,7 +18,9 @@ rows. Other columns than the id and the text are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -30,12 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from revlake.llm import shared, textblock
+from revlake.llm.triebpe import byte_letters
 
 WINDOW = 1024
 OPEN = 64              # windows open at a time in a partition
 FAN_IN = 256           # partial windows of as many partitions that one task merges
 SEGMENT = 1 << 16      # characters tokenized at once
 ROWS = 1 << 12         # pieces of an output batch
+# Fixed value: the pattern by which byte-level vocabularies of this family separate words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ROUND, _TASK = 58, 36  # bits below the round of merging and the task in a sequence's number
 
 
@@ -146,25 +151,48 @@ def segments(text: str, most: int = SEGMENT) -> list[str]:
     return [*out, text[start:]]
 
 
-_tokenizers: dict[str, object] = {}
+class Tokens:
+    """Ids of a byte-level tokenizer file as its library gives them.
 
+    Its merges are in the order of their ids, which is checked, so merging by rank gives the same ids several times
+    faster. Segments with a very long word or gap, for which that takes squared time, go to the library itself.
+    """
 
-def token_ids(path: str, texts: list[str], end: int) -> Iterator[np.ndarray]:
-    """Token ids of every text and, after them, *end*."""
-    if path not in _tokenizers:
+    LONG = re.compile(r"\S{400}|\s{400}")
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import tiktoken
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _tokenizers[path].no_truncation()
-        _tokenizers[path].no_padding()
-    parts = [segments(t) for t in texts]
+        with open(path, encoding="utf-8") as f:
+            data = json.load(f)
+        vocabulary, special = data["model"]["vocab"], {t["content"]: t["id"] for t in data["added_tokens"]}
+        merges = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in data["model"]["merges"]]
+        if merges != sorted(set(merges)) or data["normalizer"] or data["pre_tokenizer"]["add_prefix_space"]:
+            raise ValueError(f"{path} is not a plain byte-level vocabulary in the order of its merges")
+        byte = {letter: i for i, letter in enumerate(byte_letters())}
+        ranks = {bytes(byte[c] for c in word): i for word, i in vocabulary.items() if word not in special}
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.fast = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
+
+    def ids(self, text: str) -> list[np.ndarray]:
+        return [np.array(self.library.encode(s, add_special_tokens=False).ids, "<u4") if self.LONG.search(s)
+                else self.fast.encode_to_numpy(s, allowed_special="all") for s in segments(text)]
+
+
+_tokens: dict[str, Tokens] = {}
+
+
+def token_ids(path: str, texts: list[str], end: int) -> Iterator[np.ndarray]:
+    """Token ids of every text and, after them, *end*."""
+    if path not in _tokens:
+        _tokens[path] = Tokens(path)
     last = np.array([end], "<u4")
-    for begin in range(0, len(texts), 256):
-        group = parts[begin:begin + 256]
-        found = iter(_tokenizers[path].encode_batch_fast([s for p in group for s in p], add_special_tokens=False))
-        for p in group:
-            yield np.concatenate([*(np.array(next(found).ids, "<u4") for _ in p), last])
+    for text in texts:
+        yield np.concatenate([*_tokens[path].ids(text), last])
 
 
 def _pack(path: str, end: int, window: int, kind: pa.DataType):
