@@ -33,7 +33,7 @@ from revlake.llm.shared import written
 
 DEPTH = 5
 UPPER = 2                      # levels of contexts above the groups
-BLOCK_BYTES = 64 << 20         # of text in a block, on average
+BLOCK_BYTES = 40 << 20         # of text in a block, on average
 CHUNK_BYTES = 1 << 20
 END = -(1 << 63)               # key of the end of a text, beside the words'
 _HALF = np.log(0.5)
@@ -99,11 +99,11 @@ def _units(table: pa.Table) -> pa.Table:
         chunk = Chunk(*textblock.text_buffers(part.column("text")))
         train = ~part.column("held_out").to_numpy(zero_copy_only=False)
         # Runs have room for a mark of training texts beside the key, so that one plain sort counts them.
-        marked, n = np.unique((chunk.runs << 1) | train[chunk.run_text], return_counts=True)
-        key, first = np.unique(marked >> 1, return_index=True)
-        parts.append((key, np.add.reduceat(n * (marked & 1), first) if len(key) else n))
-        key, which = np.unique(chunk.words, return_inverse=True)
-        parts.append((key, np.bincount(which, train[chunk.word_text], len(key)).astype(np.int64)))
+        marked = (chunk.runs << 1) | train[chunk.run_text]
+        marked.sort()
+        parts.append(_counted(marked >> 1, marked & 1))
+        order = np.argsort(chunk.words)
+        parts.append(_counted(chunk.words[order], train[chunk.word_text[order]].astype(np.int64)))
         parts.append((np.array([END]), np.array([train.sum()])))
         if sum(len(p[0]) for p in parts) > 4_000_000:
             parts = [_merged(parts)]
@@ -112,11 +112,17 @@ def _units(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(np.full(len(key), block, np.int32)), "key": pa.array(key, pa.int64()), "n": pa.array(n, pa.int64())})
 
 
+def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ones of sorted *keys* with the sums of their counts."""
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys = np.concatenate([p[0] for p in parts])
     counts = np.concatenate([p[1] for p in parts])
-    key, which = np.unique(keys, return_inverse=True)
-    return key, np.bincount(which, counts, len(key)).astype(np.int64)
+    order = np.argsort(keys, kind="stable")  # merges the parts, which are sorted
+    return _counted(keys[order], counts[order])
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -227,13 +233,21 @@ def _scores(tokens: int, distinct: int):
         key = values.column("key").to_numpy()
         order = np.argsort(key)
         key, value = key[order], values.column("value").to_numpy()[order]
+        del order
         total = tokens + 0.5 * (distinct + 1)
 
         def of(wanted: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(key, wanted), max(0, len(key) - 1))
-            if len(wanted) and not (key[at] == wanted).all():
+            # Each unit is looked up once, in order, which keeps close to what was read last.
+            order = np.argsort(wanted)
+            ordered = wanted[order]
+            first = np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)]
+            once = ordered[first]
+            at = np.minimum(np.searchsorted(key, once), max(0, len(key) - 1))
+            if len(once) and not (key[at] == once).all():
                 raise ValueError("a block lacks values of its units")
-            return value[at]
+            found = np.empty(len(wanted))
+            found[order] = value[at][np.cumsum(first) - 1]
+            return found
 
         out = []
         for part in _chunks(packed.column("payload")):
