@@ -7,12 +7,15 @@ assistant turn is an example of its own: all turns before it are its context, an
 The turns of a conversation come in order of turn, role and text; null texts and roles count as empty, null turn numbers
 come first, and rows with a null ``conv_id`` are one conversation. Repeated rows stay. Extra columns are ignored.
 
-``formatted`` keeps a conversation's text once and its examples as spans of it: the text of an example is the prefix
-that ends with its reply. So a conversation of n turns costs n segments; ``examples`` writes the prefixes out.
+``formatted`` keeps a conversation's text once and its examples as spans of it; ``examples`` explodes them, each with its
+whole context, and ``digests`` reads the loss back from these. What is trained on is therefore what is checked. Exploded
+texts are not shuffled: of each only the part under its mask goes on, and rows stay dealt by conversation.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,10 +56,15 @@ def formatted(turns: DataFrame) -> DataFrame:
             F.length(p["own"]).alias("chars"))).alias("examples"))
 
 
-def examples(conversations: DataFrame) -> DataFrame:
-    """(conv_id, turn, text, loss_start, loss_chars): one row for each example of :func:`formatted`'s rows, written out."""
-    return conversations.select("conv_id", "text", F.explode("examples").alias("e")).select(
-        "conv_id", "e.turn", F.concat(F.substr("text", F.lit(1), F.col("e.start") + F.col("e.chars") - 1), F.lit(END)).alias("text"),
+def examples(conversations: DataFrame, carry: Sequence[str] = (), outer: bool = False) -> DataFrame:
+    """(conv_id, number, turn, text, loss_start, loss_chars): one row for each example of :func:`formatted`'s rows, written out.
+
+    Columns *carry* come along. With *outer* a conversation without an example has one row of nulls.
+    """
+    expand = F.posexplode_outer if outer else F.posexplode
+    return conversations.select("conv_id", *carry, "text", expand("examples").alias("number", "e")).select(
+        "conv_id", *carry, "number", "e.turn",
+        F.concat(F.substr("text", F.lit(1), F.col("e.start") + F.col("e.chars") - 1), F.lit(END)).alias("text"),
         F.col("e.start").alias("loss_start"), F.col("e.chars").alias("loss_chars"))
 
 
@@ -68,17 +76,18 @@ def read_turns(text: Column) -> Column:
         unescaped(F.substr(p, F.instr(p, TEXT) + len(TEXT))).alias("text")))
 
 
-def read_loss(text: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(spans, lambda e: unescaped(F.substr(text, e["start"], e["chars"]))), "")
-
-
 def digests(conversations: DataFrame) -> DataFrame:
-    """What formatting and its reading back yield for every conversation, as digests."""
-    read = conversations.select("conv_id", "text", read_turns(F.col("text")).alias("turns"), read_loss(F.col("text"), F.col("examples")).alias("loss"))
-    return read.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+    """What formatting and its reading back yield for every conversation, as digests; the loss comes from the examples."""
+    read = conversations.withColumn("turns", read_turns(F.col("text")))
+    read = read.select(
+        "conv_id", "text", "examples", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256)
-        .alias("turns_sha256"),
-        F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
-        F.length("text").cast("long").alias("formatted_chars"))
+        .alias("turns_sha256"), F.length("text").cast("long").alias("formatted_chars"))
+    whole = ["n_turns", "turns_sha256", "formatted_chars"]
+    masked = examples(read, whole, outer=True).select(
+        "conv_id", *whole, "number", unescaped(F.substr("text", "loss_start", "loss_chars")).alias("loss"))
+    pieces = F.array_sort(F.collect_list(F.when(F.col("number").isNotNull(), F.struct("number", "loss"))))
+    rows = masked.groupBy("conv_id", *whole).agg(pieces.alias("pieces")).withColumn("loss", F.array_join(F.col("pieces.loss"), ""))
+    return rows.select(
+        "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
