@@ -1,12 +1,14 @@
 """Personal data replaced by keyed surrogates, with DataFrame functions only.
 
-Found are e-mail addresses, IPv4 addresses, phone numbers, payment card and account numbers (13 to 19 digits), IBANs,
-social security numbers, secrets (values of tokens and keys, long hexadecimal strings) and names after an honorific.
+Found are e-mail addresses, IPv4 and IPv6 addresses, phone numbers, payment card and account numbers (13 to 19 digits), IBANs,
+social security numbers, secrets (values of tokens and keys, also in JSON or after ``Bearer``, long hexadecimal strings), names
+after one or more honorifics, and bare mentions of their words later in the same document.
 Every entity has a canonical form (digits of a number, lower-case address, a word of a name), and its surrogate is drawn
 from a keyed digest of kind, canonical form and attempt: digits for digits, letters of the same script and case, an
 address for an address, a card number that passes the check digit exactly if the original does, name words that end as
 the honorific's gender asks. The written form (separators, case, country code, top-level domain) stays, so different
-spellings of one entity keep naming one person.
+spellings of one entity keep naming one person. A given name that a document has with and without a gender has the gendered
+surrogate throughout it. A possessive ending stays behind its name.
 
 Distinctness: all entities of the corpus are one table of distinct rows. A surrogate that another entity already has, or
 that is itself an entity of the corpus, is drawn again with the next attempt until none clashes. Almost all entities need
@@ -30,6 +32,8 @@ from revlake.llm.shared import written
 MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "г-н", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "Госпожа")
 NEUTRAL = ("Dr", "Prof")
+#: Capitalized words that follow an honorific's spelling without being a name: fixed values.
+NO_NAMES = ("Developer", "Engineer", "Manager", "Director", "Analyst", "Consultant", "Architect", "Universe", "World", "America")
 
 # Letters that stand for letters of the same script and case.
 ALPHABETS = (
@@ -46,25 +50,36 @@ SYLLABLES = {
 _OUT = r"(?<![\p{L}\p{N}])"
 _END = r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_KEYS = "(?i:token|secret|password|api_key|apikey)"
+_KEYS = "(?i:token|secret|password|passwd|pwd|api_key|apikey)"
+# What may stand between a key word and its value; look-behind needs a bounded length.
+_IS = "[\"']? ?[=:] ?[\"']?"
 _TITLES = "|".join((*MALE, *FEMALE, *NEUTRAL))
+_UPPER_TITLES = "|".join(t.upper() for t in (*MALE, *FEMALE, *NEUTRAL) if t.isascii() and len(t) > 1)
+#: A letter or an apostrophe inside a name, but not that of a possessive.
+_INNER = r"(?:\p{L}|['’](?![sS](?!\p{L}))(?=\p{L}))"
+_NAME = r"\p{Lu}" + _INNER + "++"
+_HONORIFICS = r"(?:(?:" + _TITLES + "|" + _UPPER_TITLES + r")\.? )+"
 PATTERN = "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*\.\p{L}{2,}+",
     _OUT + r"[0-9a-fA-F]{32,}+" + _END,
     _OUT + r"(?:AKIA[0-9A-Z]{16}|(?:sk|ghp|pat)[-_][A-Za-z0-9]{16,}+)" + _END,
     # Eight characters at least; dots join the parts of a value but do not end it.
-    r"(?<=(?:" + _KEYS + r") ?[=:] ?[\"']?)(?=[A-Za-z0-9_+/.-]{7}[A-Za-z0-9_+/-])[A-Za-z0-9_+/-]++(?:\.++[A-Za-z0-9_+/-]++)*+",
+    r"(?<=(?:" + _KEYS + r")" + _IS + r")(?=[A-Za-z0-9_+/.-]{7}[A-Za-z0-9_+/-])[A-Za-z0-9_+/-]++(?:\.++[A-Za-z0-9_+/-]++)*+(?![!#$%&*@^])",
+    # Shorter ones and ones with punctuation: with a digit, and without white space, quotes, or marks that end a clause.
+    r"(?<=(?:" + _KEYS + r")" + _IS + r")(?=[^\s\"',;<>]{0,64}\d)[^\s\"',;<>(){}]{3,}+(?<![.:?])",
+    r"(?<=\b[Bb]earer )[A-Za-z0-9._~+/-]{8,}+=*+",
     _OUT + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
-    r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)",
+    r"(?<![\p{L}\p{N}.]|(?i:version|release|build) )(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)",
+    r"(?<![\p{L}\p{N}:])(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?=[0-9a-fA-F:]{0,36}[0-9a-fA-F]{3})(?:[0-9a-fA-F]{1,4}:){2,6}(?::[0-9a-fA-F]{1,4}){1,5})(?![\p{L}\p{N}:])",
     _OUT + r"\d{3}-\d{2}-\d{4}" + _END,
     r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}" + _END,
     r"(?<![\p{L}\p{N}])\(\d{3}\) ?\d{3}[ .-]\d{4}" + _END,
     _OUT + r"\d{3}[.-]\d{3}[.-]\d{4}" + _END,
     _OUT + r"\d(?:[ -]?\d){12,18}" + _END,
-    _OUT + r"(?:" + _TITLES + r")\.? \p{Lu}[\p{L}'’]+(?:[ -]\p{Lu}[\p{L}'’]+){0,2}",
+    _OUT + _HONORIFICS + "(?!(?:" + "|".join(NO_NAMES) + r")(?!\p{L}))" + _NAME + "(?:[ -]" + _NAME + "){0,2}",
 ))
 #: A text without these has no entity; most texts end here.
-_SUSPECT = r"[0-9@]|" + _KEYS + r" ?[=:]|(?:" + _TITLES + r")\.? \p{Lu}"
+_SUSPECT = r"[0-9@]|" + _KEYS + r"[\"']? ?[=:]|[Bb]earer |(?:" + _TITLES + "|" + _UPPER_TITLES + r")\.? \p{Lu}"
 
 
 def entities(text: Column) -> Column:
@@ -79,8 +94,9 @@ def _digits(text: Column) -> Column:
 def kind_of(entity: Column) -> Column:
     return (
         F.when(entity.contains("@"), "email")
-        .when(entity.rlike(r"^(?:" + _TITLES + r")\.? "), "name")
+        .when(entity.rlike("^" + _HONORIFICS), "name")
         .when(entity.rlike(r"^\d+(?:\.\d+){3}$"), "ip")
+        .when(entity.rlike(r"^[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{0,4}){3,7}$"), "ip6")
         .when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(entity.rlike(r"^\+[0-9 .()-]+$|^\(|^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone")
         .when(entity.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
@@ -89,23 +105,37 @@ def kind_of(entity: Column) -> Column:
 
 
 def _name_kinds(entity: Column) -> Column:
-    """Kind of the given names after an honorific."""
-    title = F.regexp_extract(entity, r"^([^ .]+)", 1)
-    return F.when(title.isin(*MALE), "male").when(title.isin(*FEMALE), "female").otherwise("neutral")
+    """Kind of the given names after honorifics: that of the first one with a gender."""
+    def of(titles: tuple[str, ...]) -> str:
+        return r"(?i)^(?:(?:" + "|".join(NEUTRAL) + r")\.? )*(?:" + "|".join(titles) + r")\.? "
+    return F.when(entity.rlike(of(MALE)), "male").when(entity.rlike(of(FEMALE)), "female").otherwise("neutral")
+
+
+def _titles(entity: Column) -> Column:
+    return F.regexp_extract(entity, "^" + _HONORIFICS, 0)
 
 
 def _name_words(entity: Column) -> Column:
-    return F.split(F.regexp_replace(entity, r"^[^ ]+ ", ""), "[ -]")
+    return F.split(F.regexp_replace(entity, "^" + _HONORIFICS, ""), "[ -]")
+
 
+def units(entity: Column, found: Column | None = None) -> Column:
+    """What has a surrogate of its own: (kind, canonical form); for a name every word after the honorifics.
 
-def units(entity: Column) -> Column:
-    """What has a surrogate of its own: (kind, canonical form); for a name every word after the honorific."""
+    A given name whose own honorifics say no gender has that of the first mention among the entities *found* that does.
+    """
     kind, words = kind_of(entity), _name_words(entity)
+    given = _name_kinds(entity)
+    if found is not None:
+        first_word = F.lower(F.get(words, 0))
+        same = F.filter(found, lambda e: (kind_of(e) == "name") & (_name_kinds(e) != "neutral") & (F.size(_name_words(e)) > 1)
+                        & (F.lower(F.get(_name_words(e), 0)) == first_word))
+        given = F.when((kind == "name") & (given == "neutral"), F.coalesce(_name_kinds(F.get(same, 0)), given)).otherwise(given)
     canonical = (
-        F.when(kind == "email", F.lower(entity)).when(kind.isin("phone", "card", "ssn"), _digits(entity))
+        F.when(kind.isin("email", "ip6"), F.lower(entity)).when(kind.isin("phone", "card", "ssn"), _digits(entity))
         .when(kind == "iban", F.replace(entity, F.lit(" "), F.lit(""))).otherwise(entity))
     return F.when(kind == "name", F.transform(words, lambda w, i: F.struct(
-        F.when(i == F.size(words) - 1, "family").otherwise(_name_kinds(entity)).alias("kind"), F.lower(w).alias("form")))
+        F.when(i == F.size(words) - 1, "family").otherwise(given).alias("kind"), F.lower(w).alias("form")))
     ).otherwise(F.array(F.struct(kind.alias("kind"), canonical.alias("form"))))
 
 
@@ -162,6 +192,7 @@ def _drawn(unit: Column, attempt: Column, noise: Column) -> Column:
     body = F.substr(digits, F.lit(1), F.length(form) - 1)
     card = F.when(_luhn_sum(form, 0) % 10 == 0, F.concat(body, ((10 - _luhn_sum(body, 1) % 10) % 10).cast("string"))).otherwise(digits)
     ip = F.concat_ws(".", *[(_byte(noise, F.lit(i)) % 254 + 1).cast("string") for i in range(4)])
+    ip6 = _spell(form, lambda c, i: F.when(c == ":", c).otherwise(_pick("0123456789abcdef", _byte(noise, i))))
     iban = _spell(form, lambda c, i: F.when(i < 2, c).otherwise(_same_alphabet(c, _byte(noise, i))))
 
     def name(script: str) -> Column:
@@ -176,7 +207,7 @@ def _drawn(unit: Column, attempt: Column, noise: Column) -> Column:
 
     script = F.when(form.rlike(r"\p{IsCyrillic}"), name("cyrillic")).otherwise(name("latin"))
     return (
-        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", digits)
+        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ip6", ip6).when(kind == "card", card).when(kind == "phone", digits)
         .when(kind == "ssn", ssn).when(kind == "iban", iban)
         .when((kind == "secret") & form.rlike("^[0-9a-fA-F]+$"), hexadecimal).when(kind == "secret", charwise)
         .otherwise(script))
@@ -206,7 +237,7 @@ def _attempts(found: DataFrame, key: str) -> DataFrame:
 
 def _written(entity: Column, kind: Column, made: Column) -> Column:
     """The surrogate in the written form of the entity."""
-    words, title, first = _name_words(entity), F.regexp_extract(entity, "^[^ ]+ ", 0), made[0]
+    words, title, first = _name_words(entity), _titles(entity), made[0]
     # Digits of a number go where its digits were; an address keeps its capitals.
     placed = _spell(entity, lambda c, i: F.when(
         c.rlike("[0-9]"), F.substr(first, F.length(_digits(F.substr(entity, F.lit(1), i + 1))), F.lit(1))).otherwise(c))
@@ -223,6 +254,27 @@ def _written(entity: Column, kind: Column, made: Column) -> Column:
         .when(kind == "email", cased).otherwise(first))
 
 
+def _known(shown: Column) -> Column:
+    """Words of the names among the entities as written: (word, its surrogate, number of the first entity with it), once each."""
+    words = F.flatten(F.transform(shown, lambda s, i: F.when(s["kind"] == "name", F.transform(s["words"], lambda w, j: F.struct(
+        w.alias("word"), s["made"][j].alias("made"), i.alias("first")))).otherwise(F.array())))
+    return let(words, lambda all_: F.transform(F.array_distinct(all_["word"]), lambda w: F.get(all_, (F.array_position(all_["word"], w) - 1).cast("int"))))
+
+
+def _mentions(gap: Column, number: Column, known: Column) -> Column:
+    """The text before entity *number*, with the words of names that came earlier replaced where they stand alone."""
+    def word(w: Column) -> Column:
+        at = F.array_position(known["word"], F.lower(w))
+        entry = F.get(known, (at - 1).cast("int"))
+        made = F.when((F.length(w) > 1) & (w == F.upper(w)), F.upper(entry["made"])).otherwise(F.initcap(entry["made"]))
+        return F.when((at > 0) & (entry["first"] < number), made).otherwise(w)
+
+    pattern = _OUT + _NAME + _END
+    parts = F.struct(F.split(gap, pattern, -1).alias("rest"), F.regexp_extract_all(gap, F.lit(pattern), F.lit(0)).alias("words"))
+    return let(parts, lambda p: F.array_join(F.transform(p["rest"], lambda r, i: F.concat(
+        r, F.coalesce(word(F.get(p["words"], i)), F.lit("")))), ""))
+
+
 def pseudonymized(docs: DataFrame, key: str) -> DataFrame:
     """*docs* with surrogates in ``text``, followed by ``pii_entities``, the surrogates as written, in order.
 
@@ -230,7 +282,7 @@ def pseudonymized(docs: DataFrame, key: str) -> DataFrame:
     """
     columns = docs.columns
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    units_of = F.flatten(F.transform("found", units))
+    units_of = F.flatten(F.transform("found", lambda e: units(e, F.col("found"))))
     with_found = base.where(F.col("text").rlike(_SUSPECT)).withColumn("found", entities(F.col("text"))).where(F.size("found") > 0)
     listed = with_found.select(F.explode(F.array_distinct(units_of)).alias("u"), F.sha2("text", 256).alias("id"))
     attempts = _attempts(listed.select("u.kind", "u.form"), key)
@@ -253,12 +305,15 @@ def pseudonymized(docs: DataFrame, key: str) -> DataFrame:
         return surrogate(key, unit, attempt)
 
     def shown(entity: Column) -> Column:
-        return let(F.struct(entity.alias("entity"), kind_of(entity).alias("kind"), F.transform(units(entity), made).alias("made")),
-                   lambda bound: _written(bound["entity"], bound["kind"], bound["made"]))
+        return let(F.struct(entity.alias("entity"), kind_of(entity).alias("kind"), F.transform(units(entity, F.col("found")), made).alias("made")),
+                   lambda bound: F.struct(_written(bound["entity"], bound["kind"], bound["made"]).alias("text"), bound["kind"].alias("kind"),
+                                          F.transform(_name_words(bound["entity"]), F.lower).alias("words"), bound["made"].alias("made")))
 
-    rows = rows.withColumn("shown", F.when(F.size("found") > 0, F.transform("found", shown)).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("shown", F.when(F.size("found") > 0, F.transform("found", shown)))
     gaps = F.split("text", PATTERN, -1)
+    names = F.filter("shown", lambda s: s["kind"] == "name")
+    rows = rows.withColumn("known", F.when(F.size(names) > 0, _known(F.col("shown"))))
     text = F.when(F.size("found") == 0, F.col("text")).otherwise(F.array_join(F.transform(gaps, lambda g, i: F.concat(
-        g, F.coalesce(F.get("shown", i), F.lit("")))), ""))
+        F.when(F.col("known").isNotNull(), _mentions(g, i, F.col("known"))).otherwise(g), F.coalesce(F.get("shown", i)["text"], F.lit("")))), ""))
     return rows.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns],
-                       F.col("shown").alias("pii_entities"))
+                       F.coalesce(F.col("shown.text"), F.array().cast("array<string>")).alias("pii_entities"))
