@@ -48,6 +48,21 @@ def test_language_id_keeps_documents_when_no_language_can_be_learned(spark):
     assert kept.columns == corpus_pipeline.COLUMNS and sorted(r["doc_id"] for r in kept.collect()) == [1, 5]
 
 
+def test_language_id_names_the_language_of_unlabelled_documents(spark, monkeypatch):
+    rows = [r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect() if r["text"] and sum(map(str.isalpha, r["text"])) > 200][:120]
+    hidden = {r["doc_id"] for r in rows[::3]}
+    docs = spark.createDataFrame([(r["doc_id"], r["text"], ("" if i % 2 else None) if r["doc_id"] in hidden else r["lang"], r["source"], r["n_chars"])
+                                  for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    lang = {r["doc_id"]: r["lang"] for r in rows}
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_id(spark, docs, FOLDER).collect()}
+    assert set(got) == set(lang) and all(got[d] == lang[d] for d in got if d not in hidden)
+    assert sum(got[d] == lang[d] for d in hidden) > 0.9 * len(hidden)
+    learn = corpus_pipeline.hyperlang.learn
+    monkeypatch.setattr(corpus_pipeline.hyperlang, "learn", lambda d: (lambda names, vectors: (names, vectors[::-1]))(*learn(d)))
+    swapped = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_id(spark, docs, FOLDER).collect()}
+    assert all(swapped[d] == lang[d] for d in got if d not in hidden) and sum(swapped[d] == lang[d] for d in hidden) < 0.5 * len(hidden)
+
+
 def test_run_without_languages(spark, tmp_path):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40).withColumn("lang", F.lit(None).cast("string"))
     docs.write.parquet(f"{tmp_path}/documents.parquet")
