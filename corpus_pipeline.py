@@ -3,8 +3,8 @@
 Every stage takes the documents that the one before kept and returns documents (doc_id, text, lang, source, n_chars); the
 last one returns their encodings. ``run`` writes each stage's result as Parquet and reads it for the next.
 
-1. ``language_id`` drops documents without a letter, whose language cannot be determined; whether a language could be learned
-   from the labels makes no difference.
+1. ``language_id`` drops documents without a letter, whose language cannot be determined, and gives those without a ``lang``
+   the language predicted for them. Where none could be learned from the labels, ``lang`` stays as it is and no document is dropped for it.
 2. ``near_dedup`` keeps one document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id, of its
    texts in the group the one with the smallest digest. Different texts under one doc_id are different documents.
 3. ``decontamination`` drops documents with a passage of the benchmark.
@@ -31,7 +31,9 @@ PII_KEY = "revlake"
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     model = hyperlang.learn(docs.where(hyperlang.split_of("doc_id", 4) != 2))
-    return hyperlang.identify(docs, model, COLUMNS).where("has_letter").select(*COLUMNS)
+    found = hyperlang.identify(docs, model, COLUMNS).where("has_letter")
+    unknown = (F.coalesce(F.trim(F.col("lang").cast("string")), F.lit("")) == "") & (F.col("lang_pred") != "und")
+    return found.withColumn("lang", F.when(unknown, F.col("lang_pred")).otherwise(F.col("lang"))).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
