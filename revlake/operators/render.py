@@ -162,10 +162,12 @@ def render_law(df: DataFrame, allowlist: DataFrame, today: str) -> DataFrame:
     title = F.col("header")["title"]
     texts = F.filter(
         F.transform("addenda", lambda a: escape_relative_links(strip(blank_if_null(a["text"])))), lambda x: x != "")
-    # The allowlist only concerns revisions without text, so those alone are looked up.
+    # The allowlist only concerns revisions without text, so those alone are looked up; the others have
+    # keys of their own that match nothing, which spread over all partitions where the list is not broadcast.
     rows = computed(df, _md=render_articles("articles"), _add=texts)
     empty = (strip("_md") == "") & (F.size("_add") == 0)
-    rows = rows.join(accepted, F.when(empty, F.col("rev_id").cast("string")) == F.col("_key"), "left")
+    ident = F.coalesce(F.col("rev_id").cast("string"), F.lit(""))
+    rows = rows.join(accepted, F.when(empty, ident).otherwise(F.concat(F.lit("\u0001"), ident)) == F.col("_key"), "left")
     has_text = (strip("_md") != "") | (F.size("_add") > 0)
     notes = F.flatten(F.transform("_add", lambda x: _lines(dedent_body(x), F.lit(""))))
     parts = F.concat(

@@ -29,7 +29,8 @@ md AS (SELECT rev_id, art_key, CASE WHEN {_STRUCT} THEN CASE line_no % 5 WHEN 0
     || '**' || hang_num || '** ' || regexp_replace(hang_text, '^[①②]\\s*', '') || {_NL} || {_NL}
     || '  ' || CAST(line_no AS STRING) || '\\. ' || '호 ' || flag || {_NL}
     || CASE WHEN flag = 'R' THEN '    가\\. 목 ' || line_status || {_NL} ELSE '' END
-    || CASE WHEN line_status = 'F' THEN {_NL} || '**③** ' || {_NL} ELSE '' END END AS block FROM t0),
+    || CASE WHEN line_status = 'F' THEN {_NL} || '**③** ' || {_NL} ELSE '' END
+    || CASE WHEN {samples.NESTED} THEN repeat({_NL} || '  9\\. 깊은 호' || {_NL}, rev_id % 50 + 1) ELSE '' END END AS block FROM t0),
 body AS (SELECT rev_id, string_agg(block, {_NL} ORDER BY art_key) AS md FROM md GROUP BY rev_id)"""
 
 

@@ -1,10 +1,12 @@
 """Raw XML responses to nested records.
 
 Lookups in these feeds are "first descendant anywhere", while ``from_xml`` only sees the
-declared level.  Tags that carry no record structure are therefore removed first, which
-lifts every wanted element to its nearest structural ancestor, and one ``from_xml`` call
-reads the flat rest.  CDATA sections pass through untouched.  Well-formedness is judged on
-the original text, so a truncated file never becomes valid by losing an unclosed wrapper.
+declared level.  Laws nest to any depth, so they are folded from a token stream
+(:mod:`revlake.sources.xml_tokens`).  In the flat feeds, tags that carry no record structure
+are removed first, which lifts every wanted element to its nearest structural ancestor, and
+one ``from_xml`` call reads the rest.  CDATA sections pass through untouched.  Well-formedness
+is judged on the original text, so a truncated file never becomes valid by losing an
+unclosed wrapper.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from revlake.functions.once import computed
 from revlake.functions.links import absolute_url
 from revlake.functions.names import Authority, ORDINANCE_TYPE_CODES, article_number, lookup, org_path, resolve_agency
 from revlake.functions.text import blank_if_null, collapse_ws, let, nfc_normalize, or_else, strip, unescape_html
+from revlake.sources.xml_tokens import elements, inside, mapped, named, text_of, texts
 
 OPTIONS = {
     "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt", "nullValue": "\u0001",
@@ -118,44 +121,27 @@ def _mapped(arr: Column, fn) -> Column:
     return F.filter(F.transform(arr, fn), lambda x: x.isNotNull())
 
 
-def _articles(nodes: Column) -> Column:
+def _articles(e: Column) -> Column:
+    """Articles with their paragraphs, subparagraphs and items, each at any depth inside, in document order."""
     def item(mok: Column) -> Column:
-        return F.struct(*_texts(mok, ITEM))
+        return texts(inside(e, mok), mok, ITEM)
 
     def sub(ho: Column) -> Column:
-        return F.struct(*_texts(ho, SUBPARA), F.transform(F.coalesce(ho["목"], F.array()), item).alias("items"))
+        return let(inside(e, ho), lambda x: _with(texts(x, ho, SUBPARA), SUBPARA, items=mapped(x, "목", item)))
 
-    def below(hang: Column, levels: int) -> Column:
-        """Subparagraphs anywhere inside a paragraph, its own first."""
-        own = F.coalesce(hang["호"], F.array())
-        return F.concat(own, F.flatten(F.transform(
-            F.coalesce(hang["항"], F.array()), lambda h: below(h, levels - 1)))) if levels else own
-
-    def paras(hang: Column, levels: int) -> Column:
-        """A paragraph and the ones nested in it, in document order."""
-        one = F.array(F.struct(*_texts(hang, PARAGRAPH), F.transform(below(hang, levels), sub).alias("subparas")))
-        return F.concat(one, F.flatten(F.transform(
-            F.coalesce(hang["항"], F.array()), lambda h: paras(h, levels - 1)))) if levels else one
+    def para(hang: Column) -> Column:
+        return let(inside(e, hang), lambda x: _with(texts(x, hang, PARAGRAPH), PARAGRAPH, subparas=mapped(x, "호", sub)))
 
     def article(jo: Column) -> Column:
-        return F.struct(*_texts(jo, ARTICLE), F.flatten(F.transform(
-            F.coalesce(jo["항"], F.array()), lambda h: paras(h, NESTING - 1))).alias("paragraphs"))
-
-    return F.transform(F.coalesce(nodes, F.array()), article)
+        return let(inside(e, jo), lambda x: _with(texts(x, jo, ARTICLE), ARTICLE, paragraphs=mapped(x, "항", para)))
 
+    return mapped(e, "조문단위", article)
 
-_ITEM_DDL = f"array<struct<{_ddl(ITEM.values())}>>"
-_SUB_DDL = f"array<struct<{_ddl(SUBPARA.values(), f'`목`: {_ITEM_DDL}')}>>"
-NESTING = 3  # levels at which a paragraph may lie inside another; deeper ones make a document malformed
 
+def _with(node: Column, fields: Iterable[str], **more: Column) -> Column:
+    return let(node, lambda v: F.struct(*[v[f].alias(f) for f in fields], *[c.alias(n) for n, c in more.items()]))
 
-def _para_ddl(levels: int) -> str:
-    inner = f", `항`: {_para_ddl(levels - 1)}" if levels else ""
-    return f"array<struct<{_ddl(PARAGRAPH.values(), f'`호`: {_SUB_DDL}')}{inner}>>"
 
-
-_PARA_DDL = _para_ddl(NESTING - 1)
-_ARTICLE_DDL = f"array<struct<{_ddl(ARTICLE.values(), f'`항`: {_PARA_DDL}')}>>"
 _ADDENDUM_DDL = f"array<struct<{_ddl(ADDENDUM.values())}>>"
 _ATTACHMENT_DDL = f"array<struct<{_ddl(ATTACHMENT)}>>"
 
@@ -201,31 +187,31 @@ def _parsed(df: DataFrame, xml: str, known: Iterable[str], ddl: str) -> DataFram
 
 
 def parse_law_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
-    """Adds ``metadata, articles, addenda, attachments, detail_status``; drops the raw text."""
+    """Adds ``metadata, articles, addenda, attachments, detail_status``; drops the raw text.
+
+    Articles, paragraphs, subparagraphs and items are found at any depth; a paragraph has all subparagraphs inside it, also
+    those of paragraphs nested in it.
+    """
     top = [*LAW_META.values(), "result"]
     known = [*top, "조문단위", *ARTICLE.values(), "항", *PARAGRAPH.values(), "호", *SUBPARA.values(), "목",
              *ITEM.values(), "부칙단위", *ADDENDUM.values(), "별표단위", *ATTACHMENT]
-    ddl = ", ".join([*_top(top), f"`조문단위` {_ARTICLE_DDL}", f"`부칙단위` {_ADDENDUM_DDL}", f"`별표단위` {_ATTACHMENT_DDL}"])
-    rec = F.col("_rec")
-    out = computed(_parsed(df, xml, known, ddl), metadata=F.struct(
-        *[blank_if_null(F.get(rec[tag], 0)).alias(name) for name, tag in LAW_META.items()]))
+    parsed = computed(df, _rec=elements(F.col(xml), known))
+    e = F.col("_rec")["e"]
+    meta = let(named(e, *LAW_META.values()), lambda m: F.struct(*[text_of(m, tag).alias(name) for name, tag in LAW_META.items()]))
+    out = computed(parsed, metadata=F.coalesce(meta, F.struct(*[F.lit("").alias(name) for name in LAW_META])))
     status = (
-        F.when(F.col(xml).isNull(), "missing").when(~F.col("_ok"), "malformed")
-        .when(F.col(xml).rlike(_TOO_DEEP), "malformed")
-        .when(F.contains(_first(rec, "result"), F.lit(FAILED)), "api_error")
+        F.when(F.col(xml).isNull(), "missing").when(~F.col("_rec")["ok"], "malformed")
+        .when(F.contains(text_of(e, "result"), F.lit(FAILED)), "api_error")
         .otherwise(detail_status(F.col("metadata")["title"], F.col("metadata")["lineage_id"], F.col("metadata")["kind"]))
     )
+    unit = lambda name, fields: mapped(e, name, lambda n: texts(inside(e, n), n, fields))
     return computed(
         out,
-        articles=_articles(rec["조문단위"]),
-        addenda=F.transform(F.coalesce(rec["부칙단위"], F.array()), lambda n: F.struct(*_texts(n, ADDENDUM))),
-        attachments=attachments_of(rec["별표단위"], "law"),
+        articles=_array(_articles(e)),
+        addenda=_array(unit("부칙단위", ADDENDUM)),
+        attachments=attachments_of(unit("별표단위", {a: a for a in ATTACHMENT}), "law"),
         detail_status=status,
-    ).drop(xml, "_rec", "_ok")
-
-
-#: A paragraph inside NESTING others, with nothing but further tags and text between them.
-_TOO_DEEP = r"<항[\s>](?:[^<]++|<(?!/?항[\s>]))*+" * NESTING + r"<항[\s>]"
+    ).drop(xml, "_rec")
 
 
 def detail_status(title: Column, lineage: Column, kind: Column) -> Column:

@@ -1,0 +1,122 @@
+"""XML responses as an array of elements, folded from a stream of tokens, at any depth.
+
+Every tag is rewritten as a token, a flat element of one name that carries the tag and the text up to the next tag, so one
+``from_xml`` call with a flat schema reads the whole response and rejects what is not well-formed: entities, attributes,
+CDATA.  One ``aggregate`` over the tokens then keeps the stack of open elements, checks that tags pair up under one root, and
+notes each wanted element with its place.  Elements are in document order, and those inside an element follow it, so
+the descendants of an element are a slice of the array.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from revlake.functions.text import let, strip
+
+# Attribute values may hold the sign that ends a tag.
+_ATTRIBUTES = r"""(?:[^>"'/]++|"[^"]*+"|'[^']*+'|/(?!>))*+"""
+_TOKEN = rf"(?s)<(/?+)([^\s/>!?<&\"']++)({_ATTRIBUTES})(/?+)>((?:[^<]++|<!\[CDATA\[.*?\]\]>)*+)"
+_ASIDE = r"(?s)(<!\[CDATA\[.*?\]\]>)|<(?:!--.*?--|[?!].*?)>"
+_OPTIONS = {
+    "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt", "nullValue": "\u0001", "mode": "PERMISSIVE",
+}
+_OPEN, _EMPTY, _CLOSE = 1, 0, -1
+
+ELEMENT = "struct<rank:int,size:int,parent:int,name:string,text:string>"
+_ENTRY = "struct<name:string,rank:int,parent:int,text:string>"
+
+
+def elements(xml: Column, known: Iterable[str]) -> Column:
+    """Struct of ``ok`` and ``e``: the elements of *xml* with a *known* name, in document order.
+
+    ``rank`` is the position in the array from 0, ``size`` the number of known elements inside, ``parent`` the rank of the
+    direct parent (-1 if that has no known name), ``text`` the text before the first child.  A text that is not one
+    well-formed element has no elements and ``ok`` false; NULL gives NULL.
+    """
+    bare = F.regexp_replace(xml, r"(?s)\A\s*+(?:<\?xml\s.*?\?>\s*+)?", "")
+    bare = let(bare, lambda x: F.when(x.rlike(r"<(?:\?|!(?!\[CDATA\[))"), F.regexp_replace(x, _ASIDE, "$1")).otherwise(x))
+    return let(F.ltrim(bare), lambda x: F.when(x.startswith("<"), _folded(_tokens(x), known)).when(
+        x.isNotNull(), F.struct(F.lit(False).alias("ok"), F.array().cast(f"array<{ELEMENT}>").alias("e"))))
+
+
+def _tokens(xml: Column) -> Column:
+    flat = F.concat(F.lit("<r>"), F.regexp_replace(xml, _TOKEN, '<t revlake-tag="$1$2$4"$3>$5</t>'), F.lit("</r>"))
+    return F.from_xml(flat, "t array<struct<`_revlake-tag`: string, `_VALUE`: string>>, `_VALUE` string, `_corrupt` string", _OPTIONS)
+
+
+def _folded(record: Column, known: Iterable[str]) -> Column:
+    names = sorted(set(known))
+
+    def token(t: Column) -> Column:
+        tag = t["_revlake-tag"]
+        role = F.when(tag.startswith("/"), _CLOSE).when(tag.endswith("/"), _EMPTY).otherwise(_OPEN)
+        name = F.replace(tag, F.lit("/"), F.lit(""))
+        return F.struct(name.alias("name"), role.alias("role"), name.isin(*names).alias("known"), F.coalesce(t["_VALUE"], F.lit("")).alias("text"))
+
+    def step(acc: Column, t: Column) -> Column:
+        depth, role = F.size(acc["open"]), t["role"]
+        top = F.get(acc["open"], depth - 1)
+        parent = F.coalesce(top["rank"], F.lit(-1))
+        entry = F.struct(t["name"].alias("name"), F.when(t["known"], acc["n"]).otherwise(-1).alias("rank"), parent.alias("parent"), t["text"].alias("text"))
+        closed = F.struct(
+            top["rank"].alias("rank"), (acc["n"] - top["rank"] - 1).alias("size"), top["parent"].alias("parent"), top["name"].alias("name"),
+            top["text"].alias("text"))
+        single = F.struct(acc["n"].alias("rank"), F.lit(0).alias("size"), parent.alias("parent"), t["name"].alias("name"), F.lit("").alias("text"))
+        starts = (role != _CLOSE) & (depth == 0)
+        # Text behind the root lies outside of it.
+        outside = (((role == _CLOSE) & (depth == 1)) | ((role == _EMPTY) & (depth == 0))) & (strip(t["text"]) != "")
+        return F.struct(
+            F.when(role == _OPEN, F.concat(acc["open"], F.array(entry))).when(
+                (role == _CLOSE) & (depth > 0), F.slice(acc["open"], F.lit(1), depth - 1)).otherwise(acc["open"]).alias("open"),
+            (acc["n"] + F.when((role != _CLOSE) & t["known"], 1).otherwise(0)).alias("n"),
+            (acc["roots"] + F.when(starts, 1).otherwise(0)).alias("roots"),
+            (acc["bad"] | ((role == _CLOSE) & ((depth == 0) | (F.coalesce(top["name"], F.lit("")) != t["name"]))) | outside).alias("bad"),
+            F.when((role == _CLOSE) & (F.coalesce(top["rank"], F.lit(-1)) >= 0), F.concat(acc["done"], F.array(closed))).when(
+                (role == _EMPTY) & t["known"], F.concat(acc["done"], F.array(single))).otherwise(acc["done"]).alias("done"))
+
+    none = F.array().cast(f"array<{ELEMENT}>")
+    start = F.struct(
+        F.array().cast(f"array<{_ENTRY}>").alias("open"), F.lit(0).alias("n"), F.lit(0).alias("roots"), F.lit(False).alias("bad"), none.alias("done"))
+
+    def end(acc: Column) -> Column:
+        ok = ~acc["bad"] & (F.size(acc["open"]) == 0) & (acc["roots"] == 1)
+        return F.struct(ok.alias("ok"), F.when(ok, F.array_sort(acc["done"])).otherwise(none).alias("e"))
+
+    def fold(r: Column) -> Column:
+        # Anything that was not rewritten is left as text around the tokens, or makes the record corrupt.
+        sound = r["_corrupt"].isNull() & r["t"].isNotNull() & (strip(F.coalesce(r["_VALUE"], F.lit(""))) == "")
+        return F.when(sound, F.aggregate(F.transform(r["t"], token), start, step, end)).otherwise(
+            F.struct(F.lit(False).alias("ok"), none.alias("e")))
+
+    return let(record, fold)
+
+
+def inside(e: Column, node: Column) -> Column:
+    """Descendants of *node*, an element of *e*."""
+    return F.slice(e, node["rank"] + 2, node["size"])
+
+
+def named(e: Column, *names: str) -> Column:
+    return F.filter(e, lambda x: x["name"] == names[0] if len(names) == 1 else x["name"].isin(*names))
+
+
+def children(e: Column, node: Column) -> Column:
+    """Direct children of *node* among its descendants *e*."""
+    return F.filter(e, lambda x: x["parent"] == node["rank"])
+
+
+def text_of(e: Column, name: str) -> Column:
+    """Text of the first element called *name*, or ''."""
+    return F.coalesce(F.get(named(e, name), 0)["text"], F.lit(""))
+
+
+def texts(e: Column, node: Column, fields: dict[str, str]) -> Column:
+    """Struct of the texts of *node*'s direct children, by *fields* (name in the result: tag)."""
+    return let(children(e, node), lambda own: F.struct(*[text_of(own, tag).alias(name) for name, tag in fields.items()]))
+
+
+def mapped(e: Column, name: str, fn: Callable[[Column], Column]) -> Column:
+    return F.transform(named(e, name), fn)
