@@ -122,10 +122,15 @@ def _open_before(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
         f"_from{i}": F.coalesce(F.col("_fixed.open"), F.lit(bool(i))) != odd for i in (0, 1)}).drop("_turns", "_fixed")
 
 
-def read_index_records(spark: SparkSession, path: str) -> DataFrame:
-    """(line): records of CSV files, which Spark may split anywhere; a record goes on while a quoted cell is open.
+#: Lines of an index record; a quoted cell that stays open for longer was never meant to.
+RECORD_LINES = 1000
 
-    Lines are followed within a split; of every split one summary row tells the next ones what is open.
+
+def read_index_records(spark: SparkSession, path: str, most: int = RECORD_LINES) -> DataFrame:
+    """(line, status): records of CSV files, which Spark may split anywhere; a record goes on while a quoted cell is open.
+
+    Lines are followed within a split; of every split one summary row tells the next ones what is open. A record of more than
+    *most* lines comes of an unbalanced quote: its lines are records of their own, with status ``unbalanced`` instead of ``ok``.
     """
     lines = spark.read.text(path, lineSep="\n").select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
@@ -149,17 +154,19 @@ def read_index_records(spark: SparkSession, path: str) -> DataFrame:
     starts = ~F.when(F.col("_open"), F.col("_from1")).otherwise(F.col("_from0"))
     rows = lines.join(splits, split).withColumn("_record", F.coalesce(
         F.last(F.when(starts, F.struct("_block", "_mid")), True).over(inside), F.col("_carried")))
+    broken = rows.groupBy("_file", "_record").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+    rows = rows.join(broken, ["_file", "_record"], "left").withColumn("_own", F.when(F.col("_n").isNotNull(), F.col("_mid")))
     parts = F.array_sort(F.collect_list(F.struct("_block", "_mid", "value")))
-    return rows.groupBy("_file", "_record").agg(parts.alias("_parts")).select(
-        F.array_join(F.col("_parts.value"), "\n").alias("line"))
+    return rows.groupBy("_file", "_record", "_own").agg(parts.alias("_parts")).select(
+        F.array_join(F.col("_parts.value"), "\n").alias("line"), F.when(F.col("_own").isNull(), "ok").otherwise("unbalanced").alias("status"))
 
 
-def read_index_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_index_csv(spark: SparkSession, path: str, keep_status: bool = False) -> DataFrame:
     """Law index file: a count line and a header line precede the rows; quoted fields may hold line breaks."""
-    return parse_index_lines(read_index_records(spark, path), "line")
+    return parse_index_lines(read_index_records(spark, path), "line", ["status"] if keep_status else [])
 
 
-def parse_commit_log(df: DataFrame, record: str, seq: str) -> DataFrame:
+def parse_commit_log(df: DataFrame, record: str, seq: str, keep_seq: bool = False) -> DataFrame:
     """One row per revision id of a separated log; the first commit in *seq* order wins."""
     parts = F.split(F.regexp_replace(F.col(record), r"\A\n+|\n+\z", ""), FIELD_SEPARATOR, 3)
     body = F.col("_parts")[2]
@@ -183,7 +190,8 @@ def parse_commit_log(df: DataFrame, record: str, seq: str) -> DataFrame:
         )
     )
     values = [c for c in rows.columns if c not in (seq, "rev_id")]
-    return rows.groupBy("rev_id").agg(F.min_by(F.struct(*values), seq).alias("_first")).select("rev_id", "_first.*")
+    kept = [*values, seq] if keep_seq else values
+    return rows.groupBy("rev_id").agg(F.min_by(F.struct(*kept), seq).alias("_first")).select("rev_id", "_first.*")
 
 
 def read_commit_log(spark: SparkSession, path: str) -> DataFrame:
