@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
+from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from revlake.functions.once import computed
 from revlake.functions.text import blank_if_null, col, lines_of
+from revlake.session import shared_folder
+from revlake.sources.file_sink import is_below, local, write_files
 from revlake.sources.xml_details import map_of
 
 
@@ -87,14 +94,43 @@ def header_field_scan(df: DataFrame, text: str, lines: int, patterns: dict[str,
     return out.select(*df.columns, *[F.regexp_extract("_head", p, 1).alias(n) for n, p in patterns.items()])
 
 
-def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """path, bucket, bytes and digest of every file below *path*, hashed on the executors."""
+#: Bytes up to which a file is hashed from a row; larger ones are read in chunks.
+ROW_BYTES = 64 << 20
+CHUNK_BYTES = 8 << 20
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        found = []
+        for uri in batch.column("path").to_pylist():
+            if uri.startswith("file:") or ":" not in uri:
+                place, name = fs.LocalFileSystem(), str(local(uri))
+            else:
+                place, name = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
+            digest = hashlib.sha256()
+            with place.open_input_stream(name) as stream:
+                while chunk := stream.read(CHUNK_BYTES):
+                    digest.update(chunk)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(found, pa.string())], names=["path", "length", "sha256"])
+
+
+def file_inventory(spark: SparkSession, path: str, row_bytes: int = ROW_BYTES) -> DataFrame:
+    """path, bucket, bytes and digest of every file below *path*, hashed on the executors.
+
+    Files of at most *row_bytes* are hashed from rows; of larger ones, however large, a task holds one chunk at a time. Files
+    whose names begin with a dot or an underscore are not listed.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    root = path.rstrip("/")
-    relative = F.regexp_replace("path", rf"^(?:file:)?/*{root.lstrip('/')}/", "")
-    return files.select(
-        relative.alias("path"), F.substring_index(relative, "/", 1).alias("bucket"),
-        F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    small = files.filter(F.col("length") <= row_bytes).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    # Without the content column only names and lengths are read.
+    large = files.filter(F.col("length") > row_bytes).select("path", "length").mapInArrow(_digests, "path string, length long, sha256 string")
+    root = re.sub(r"^[a-z]+:/+|^/+", "", path.rstrip("/"))
+    relative = F.regexp_replace("path", rf"^(?:[a-z]+:)?/*\Q{root}\E/", "")
+    return small.union(large).select(
+        relative.alias("path"), F.substring_index(relative, "/", 1).alias("bucket"), F.col("length").alias("bytes"), "sha256")
 
 
 def text_inventory(df: DataFrame, path: str, bucket: str, text: str) -> DataFrame:
@@ -111,23 +147,10 @@ def export_files(df: DataFrame, target: str, path: str = "path", content: str =
     """Write each document as a file below *target*, a folder that every executor and the driver see at the same place,
     such as a mounted share; every executor writes the rows it already holds. On a cluster *target* has to lie below
     the shared folder of the session, so that no file ends on one machine's own disk."""
-    from revlake.session import shared_folder
-
     spark = df.sparkSession
-    if not spark.sparkContext.master.startswith("local["):
-        shared = shared_folder(spark).removeprefix("file:").rstrip("/")
-        if not str(target).removeprefix("file:").startswith(shared.replace("//", "/")):
-            raise ValueError(f"{target} is not below the shared folder {shared}")
-
-    def save(rows) -> None:
-        from pathlib import Path
-
-        for row in rows:
-            file = Path(target) / row[path]
-            file.parent.mkdir(parents=True, exist_ok=True)
-            file.write_text(row[content], encoding="utf-8")
-
-    df.select(path, content).foreachPartition(save)
+    if not spark.sparkContext.master.startswith("local[") and not is_below(target, shared_folder(spark)):
+        raise ValueError(f"{target} is not below the shared folder {shared_folder(spark)}")
+    write_files(df, str(target), path, content)
 
 
 def metadata_index(df: DataFrame, key: str, path: str, fields: list[str]) -> DataFrame:
