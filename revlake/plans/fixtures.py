@@ -210,6 +210,18 @@ SELECT o.o_orderkey AS rev_id,
   CASE WHEN o.o_orderpriority = '1-URGENT' THEN '대통령훈령' ELSE '고시' END AS rule_type
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """)
+# Chains of up to 30 agencies, of which every tenth one closes into a cycle.
+view("agency_parents", "customer", """
+SELECT 'a' || CAST(c_custkey AS STRING) AS child,
+  CASE WHEN c_custkey % 30 <> 1 THEN 'a' || CAST(c_custkey - 1 AS STRING)
+    WHEN c_custkey % 300 = 1 THEN 'a' || CAST(c_custkey + 11 AS STRING) WHEN c_custkey % 60 = 1 THEN 'root ' || CAST(c_nationkey AS STRING) ELSE '' END AS parent
+FROM customer
+""")
+view("placements", "orders", """
+SELECT o_orderkey AS rev_id, 'a' || CAST(o_custkey - o_custkey % (1 + o_orderkey % 7) AS STRING) AS top,
+  CASE WHEN o_orderstatus = 'P' THEN '' WHEN o_orderstatus = 'O' THEN 'a' || CAST(o_custkey AS STRING) ELSE 'new ' || CAST(o_custkey AS STRING) END AS agency
+FROM orders
+""")
 view("jurisdictions", "customer", """
 SELECT c_custkey, CASE c_nationkey WHEN 0 THEN '서울특별시' WHEN 1 THEN '서울特別市 종로구' WHEN 2 THEN '강원도  춘천시'
   WHEN 3 THEN '전라북도교육청' WHEN 4 THEN '제주도교육청' WHEN 5 THEN '전남광주통합특별시' WHEN 6 THEN '경기도 수원시'
@@ -266,15 +278,20 @@ def with_views(names: tuple[str, ...] | list[str], body: str) -> str:
     """*body* preceded by the views it uses, for an engine that knows the base tables."""
     ctes = [f"{name} AS ({VIEWS[name][1]})" for name in _needed(names)]
     text = body.strip()
+    if not ctes:
+        return text
     if text[:5].upper() == "WITH ":
         ctes.append(text[5:])
         return "WITH RECURSIVE " + ",\n".join(ctes)
-    return ("WITH RECURSIVE " + ",\n".join(ctes) + "\n" if ctes else "") + text
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + text
 
 
 class Inputs:
     """Tables and views of one data folder; everything stays lazy."""
 
+    #: Paths of sample responses that lie in files, by data folder and name.
+    landed: dict[tuple[str, str], str] = {}
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 

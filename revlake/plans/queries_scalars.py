@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from revlake.functions import dates, links, names, text
 from revlake.functions.organizations import NATIONAL
+from revlake.operators import hierarchy
 from revlake.operators.filters import is_repeal  # noqa: F401
 from revlake.plans.catalog import query
 from revlake.plans.fixtures import EVENT_TODAY, Inputs
@@ -283,6 +284,33 @@ def _(t: Inputs):
     return rows.select("rev_id", F.array_join(names.org_path(F.col("r.top"), F.col("r.agency"), NATIONAL), "/").alias("path"))
 
 
+SQL_CHAINS = """
+walk(leaf, node, path, up, cycle) AS (SELECT child, child, [child], nullif(parent, ''), false FROM agency_parents
+  UNION ALL SELECT leaf, up, CASE WHEN list_contains(path, up) THEN path ELSE list_prepend(up, path) END,
+    CASE WHEN NOT list_contains(path, up) THEN nullif(p.parent, '') END, list_contains(path, up) FROM walk w LEFT JOIN agency_parents p ON p.child = w.up WHERE up IS NOT NULL),
+chains AS (SELECT leaf AS name, path, cycle FROM walk WHERE up IS NULL
+  UNION ALL SELECT DISTINCT parent, [parent], false FROM agency_parents WHERE parent <> '' AND parent NOT IN (SELECT child FROM agency_parents))"""
+
+
+@query("ancestor_chains", "agency_parents", f"""
+WITH {SQL_CHAINS} SELECT name, array_to_string(path, '/') AS path, CASE WHEN cycle THEN 'cycle' ELSE 'ok' END AS status FROM chains""")
+def _(t: Inputs):
+    return hierarchy.ancestor_chains(t.view("agency_parents")).withColumn("path", F.array_join("path", "/"))
+
+
+@query("organization_paths", "agency_parents placements", f"""
+WITH {SQL_CHAINS},
+b AS (SELECT r.rev_id, r.top, r.agency, coalesce(ct.path, [r.top]) AS tp, coalesce(ca.path, CASE WHEN r.agency = '' THEN [] ELSE [r.agency] END) AS ap,
+    coalesce(ct.cycle, false) OR coalesce(ca.cycle, false) AS cycle
+  FROM placements r LEFT JOIN chains ct ON ct.name = r.top LEFT JOIN chains ca ON ca.name = r.agency),
+o AS (SELECT *, CASE WHEN len(ap) > 1 THEN ap[-2] END AS up FROM b)
+SELECT rev_id, CASE WHEN cycle THEN 'cycle' ELSE 'ok' END AS path_status, array_to_string(CASE WHEN agency = '' THEN tp WHEN up IS NOT NULL AND top <> agency AND top <> up THEN ap
+  WHEN agency <> top AND NOT list_contains(tp, agency) THEN list_append(tp, agency) ELSE tp END, '/') AS path FROM o""")
+def _(t: Inputs):
+    rows = hierarchy.organization_paths(t.view("placements"), t.view("agency_parents"))
+    return rows.select("rev_id", "path_status", F.array_join("path", "/").alias("path"))
+
+
 _JX = "trim(regexp_replace(" + "replace(" * 5 + "raw" + "".join(f", '{o}', '{n}')" for o, n in names.JURISDICTION_ALIASES.items()) + ", '\\s+', ' ', 'g'))"
 
 

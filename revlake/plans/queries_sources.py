@@ -9,11 +9,13 @@ from revlake.functions.names import compose_stem, court_tier
 from revlake.functions.organizations import NATIONAL
 from revlake.operators.ordering import with_position  # noqa: F401
 from revlake.plans import samples
-from revlake.plans.catalog import query, scratch
+from revlake.plans.catalog import ORACLES, query, scratch
 from revlake.plans.fixtures import Inputs
 from revlake.plans.queries_scalars import SQL_AGENCY, SQL_STEMS, dash, sql_strip
 from revlake.sources import documents as docs_io
-from revlake.sources import records, xml_details
+from revlake.sources import records, table_functions, xml_details
+from revlake.sources.file_sink import local
+from revlake.streaming import revisions as streams
 
 _BAD = samples.BAD
 _NONE = f"({samples.BAD} OR {samples.FAILED})"
@@ -41,7 +43,9 @@ def _(t: Inputs):
 
 _NODES = f"""
 ok AS (SELECT rev_id FROM revisions WHERE NOT {_NONE}),
-a AS (SELECT a.*, CAST(row_number() OVER (PARTITION BY a.rev_id ORDER BY art_key) AS INTEGER) AS jo_pos FROM articles a JOIN ok USING (rev_id))"""
+a AS (SELECT a.*, CAST(row_number() OVER (PARTITION BY a.rev_id ORDER BY art_key) AS INTEGER) AS jo_pos FROM articles a JOIN ok USING (rev_id)),
+n AS (SELECT rev_id, jo_pos, CAST(unnest(range(CASE line_status WHEN 'F' THEN 3 ELSE 2 END, CASE line_status WHEN 'F' THEN 4 ELSE 3 END + rev_id % 50)) AS INTEGER) AS pos
+  FROM a WHERE {samples.NESTED})"""
 
 
 @query("explode_articles", "revisions articles", f"""
@@ -50,11 +54,21 @@ SELECT rev_id, 'article' AS level, jo_pos, 0 AS hang_pos, 0 AS ho_pos, 0 AS mok_
 UNION ALL SELECT rev_id, 'paragraph', jo_pos, 1, 0, 0, hang_num, '', hang_text FROM a
 UNION ALL SELECT rev_id, 'paragraph', jo_pos, 2, 0, 0, '③', '', hang_num FROM a WHERE line_status = 'F'
 UNION ALL SELECT rev_id, 'subpara', jo_pos, 1, 1, 0, ho_num, '', ho_text FROM a
-UNION ALL SELECT rev_id, 'item', jo_pos, 1, 1, 1, mok_num, '', mok_text FROM a WHERE flag = 'R'""")
+UNION ALL SELECT rev_id, 'item', jo_pos, 1, 1, 1, mok_num, '', mok_text FROM a WHERE flag = 'R'
+UNION ALL SELECT rev_id, 'paragraph', jo_pos, pos, 0, 0, 'n', '', '' FROM n
+UNION ALL SELECT rev_id, 'subpara', jo_pos, pos, 1, 0, '9.', '', '9. 깊은 호' FROM n""")
 def _(t: Inputs):
     return xml_details.explode_articles(xml_details.parse_law_detail(samples.law_xml(t)), "rev_id")
 
 
+@query("explode_articles_sql", "", ORACLES["explode_articles"])
+def _(t: Inputs):
+    """The same rows from SQL, by the table function."""
+    table_functions.register(t.spark)
+    parsed = xml_details.parse_law_detail(samples.law_xml(t)).select("rev_id", "articles")
+    return t.spark.sql("SELECT * FROM explode_articles(TABLE({parsed}) PARTITION BY rev_id)", parsed=parsed)
+
+
 _FILE1 = "CASE WHEN priority = '1-URGENT' THEN '' ELSE 'https://www.law.go.kr/LSW/f?seq=' || CAST(rev_id AS STRING) END"
 _PDF1 = "CASE WHEN status = 'O' THEN 'https://www.law.go.kr/pdf/' || CAST(rev_id AS STRING) ELSE '' END"
 _NUM1 = "CASE WHEN status = 'F' THEN '1' ELSE '' END"
@@ -196,6 +210,18 @@ def _(t: Inputs):
     return records.parse_commit_log(samples.commit_records(t), "record", "seq")
 
 
+@query("stream_commit_log", "commits", """
+SELECT CAST(rev_id AS STRING) AS rev_id, hash, commit_date, kind, name, CASE WHEN amendment = '폐지' THEN '' ELSE amendment END AS amendment, prom_date, prom_num FROM commits""")
+def _(t: Inputs):
+    """The log grows between two runs of the stream: first the commits, then the backports, which repeat their ids."""
+    source, target, mark = (scratch(t.spark, x) for x in ("log", "first", "mark"))
+    rows = samples.commit_records(t)
+    for piece, part in enumerate((rows.filter(f"seq < {10**11}"), rows.filter(f"seq >= {10**11}"))):
+        part.sortWithinPartitions("seq").select("record").write.text(f"{source}/piece={piece}", lineSep="\x1e")
+        streams.stream_commit_log(t.spark, str(local(source)), target, mark).awaitTermination()
+    return streams.read_streamed_log(t.spark, target)
+
+
 @query("read_id_list", "commits", "SELECT DISTINCT prom_num AS id FROM commits WHERE prom_num <> ''")
 def _(t: Inputs):
     return records.parse_id_list(samples.id_lines(t), "line")
@@ -216,7 +242,10 @@ def _(t: Inputs):
 
 @query("file_inventory", "inventory", "SELECT path, bucket, strlen(text) AS bytes, sha256(text) AS sha256 FROM inventory")
 def _(t: Inputs):
-    return docs_io.text_inventory(t.view("inventory"), "path", "bucket", "text")
+    """The documents as files of their own, inventoried from the folder."""
+    target = scratch(t.spark, "files")
+    docs_io.export_files(t.view("inventory").repartition(t.spark.sparkContext.defaultParallelism), target, content="text")
+    return docs_io.file_inventory(t.spark, target)
 
 
 @query("write_documents", "docs", "SELECT path, source AS corpus, md5(content) AS digest FROM docs")

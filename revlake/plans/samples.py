@@ -6,6 +6,9 @@ date can grow one response without bound.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,23 @@ from revlake.plans.fixtures import Inputs
 BLOCK = 1000
 
 
+def response(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    """Sample responses: read where they have landed as files (:func:`land`), else built from the views."""
+    @functools.wraps(build)
+    def rows(t: Inputs) -> DataFrame:
+        path = t.landed.get((t.folder, build.__name__))
+        return t.spark.read.parquet(path) if path else build(t)
+    return rows
+
+
+def land(t: Inputs, target: str, files: int) -> None:
+    """Write the law and rule responses as *files* files each, as a crawl would leave them, for later queries to read."""
+    for build in (law_xml, rule_xml):
+        path = f"{target}/{build.__name__}"
+        build(t).repartition(files).write.parquet(path)
+        t.landed[t.folder, build.__name__] = path
+
+
 def tag(name: str, value: Column | str, cdata: bool = False) -> Column:
     text = F.col(value) if isinstance(value, str) else value
     body = F.concat(F.lit("<![CDATA["), text, F.lit("]]>")) if cdata else text
@@ -32,19 +52,26 @@ def joined_text(df: DataFrame, keys: list[str], order: Column, piece: Column, na
 
 
 BAD = "(priority = '4-NOT SPECIFIED' AND segment = 'BUILDING')"
+#: Articles with paragraphs nested in one another, (rev_id % 50) + 1 of them, around one subparagraph.
+NESTED = "(line_no = 7 AND rev_id % 8 = 0)"
 UNTITLED = "(priority = '5-LOW' AND segment = 'MACHINERY')"
 FAILED = "(priority = '3-MEDIUM' AND segment = 'HOUSEHOLD')"
 
 
+@response
 def law_xml(t: Inputs) -> DataFrame:
     """(rev_id, xml): nested details, some truncated, untitled, or error responses."""
     items = F.when(F.col("flag") == "R", wrap("목", tag("목번호", "mok_num"), tag("목내용", "mok_text"))).otherwise("")
     subs = wrap("호", tag("호번호", "ho_num"), tag("호내용", "ho_text", True), items)
     first = wrap("항", tag("항번호", "hang_num"), tag("항내용", "hang_text", True), subs)
     second = F.when(F.col("line_status") == "F", wrap("단", wrap("항", "<항번호>③</항번호>", tag("항내용", "hang_num")))).otherwise("")
+    depth = F.when(F.expr(NESTED), F.col("rev_id") % 50 + 1).otherwise(0).cast("int")
+    nest = F.concat(
+        F.repeat(F.lit("<항><항번호>n</항번호>"), depth), F.when(depth > 0, wrap("호", "<호번호>9.</호번호><호내용>9. 깊은 호</호내용>")).otherwise(""),
+        F.repeat(F.lit("</항>"), depth))
     article = wrap(
         "조문단위", tag("조문번호", "jo_num"), tag("조문가지번호", "jo_branch"), "<조문여부/>", tag("조문제목", "jo_title"),
-        tag("조문내용", F.concat(F.col("jo_text"), F.lit(" <개정 2020.1.1>")), True), first, second)
+        tag("조문내용", F.concat(F.col("jo_text"), F.lit(" <개정 2020.1.1>")), True), first, second, nest)
     articles = joined_text(t.view("articles"), ["rev_id"], F.col("art_key"), article, "jo")
     addenda = t.view("addenda").select("rev_id", wrap(
         "부칙단위", tag("부칙공포일자", "bu_date"), tag("부칙공포번호", "bu_num"), tag("부칙내용", "bu_text", True)).alias("bu"))
@@ -85,6 +112,7 @@ def case_xml(t: Inputs) -> DataFrame:
     return computed(t.view("cases"), xml=F.concat(F.lit("<"), root, F.lit(">\n"), body, end)).select("serial", "xml")
 
 
+@response
 def rule_xml(t: Inputs) -> DataFrame:
     """(rev_id, xml): administrative rules with fallback tags and agency variants."""
     rows = t.view("agency_rows").join(t.view("rules").drop("identity"), "rev_id")
