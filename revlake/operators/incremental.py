@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from revlake.functions.text import blank_if_null
@@ -93,21 +93,23 @@ def incremental_apply(
     rows = listing.filter(F.col("prom_date").between(window.start, window.end))
     found = augment_with_siblings(rows.select("rev_id", "title", "prom_date", "amendment"),
                                   history.select("rev_id", "title", "prom_date", "amendment"), commits, window, backfill)
-    # The judged increment is small by nature and all outputs need it, so it is computed once.
+    # The judged increment is small by nature and all outputs need it, so it is computed once, and counted as it is written.
+    listed, judged = Observation(), Observation()
     found = checkpointed(
         found.select("rev_id", F.col("amendment").alias("_amend"))
-        .join(commits.select("rev_id", F.lit(True).alias("_done")).distinct(), "rev_id", "left"))
+        .join(commits.select("rev_id", F.lit(True).alias("_done")).distinct(), "rev_id", "left")
+        .observe(listed, F.count(F.lit(1)).alias("found")))
     fresh = found.filter("_done IS NULL").select("rev_id", "_amend")
-    joined = checkpointed(fresh.join(details, "rev_id", "left").withColumn(
-        "amendment", F.coalesce("_amend", "amendment")).drop("_amend"))
+    is_valid = F.col("detail_status") == "valid"
+    joined = fresh.join(details, "rev_id", "left").withColumn("amendment", F.coalesce("_amend", "amendment")).drop("_amend")
+    joined = checkpointed(joined.observe(
+        judged, F.count_if(is_valid if kind is None else is_valid & (F.col("kind") == kind)).alias("committed"),
+        F.count_if(F.col("detail_status").isNull()).alias("no_result"), F.count_if(~is_valid).alias("errors")))
     valid = joined.filter("detail_status = 'valid'")
     if kind is not None:
         valid = valid.filter(F.col("kind") == kind)
     columns = current.columns
     snapshot = guarded_upsert(current, valid.select(*columns))
-    counters = joined.agg(
-        F.count_if(F.col("detail_status") == "valid" if kind is None else (F.col("detail_status") == "valid") & (F.col("kind") == kind))
-        .alias("committed"), F.count_if(F.col("detail_status").isNull()).alias("no_result"),
-        F.count_if(F.col("detail_status") != "valid").alias("errors")).select(
-        found.agg(F.count(F.lit(1))).scalar().alias("found"), "committed", "no_result", "errors")
+    counts = listed.get | judged.get
+    counters = current.sparkSession.range(1).select(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("found", "committed", "no_result", "errors")])
     return {"commits": valid, "current": snapshot, "counters": counters}

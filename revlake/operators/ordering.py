@@ -44,28 +44,35 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") ->
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str = "previous"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str = "previous", last: str | None = None,
 ) -> DataFrame:
     """Value of the preceding row of the same key (a ``lag`` that survives hot keys).
 
     Inside a range partition the window is keyed by (partition, key).  A key that
     continues over a partition seam gets its first value from the last row of the
-    closest earlier partition; that is one broadcast row per partition.
+    closest earlier partition; that is one broadcast row per partition.  With *last*, a
+    column of that name tells from the same pass whether no row of the key follows.
     """
     rows = _range_sorted(
         df.withColumn("_value", F.struct(value.alias("v"))), [F.col(k) for k in keys] + list(order)
     ).withColumn("_pid", F.shiftright("_mid", _SHIFT))
-    last = rows.groupBy("_pid").agg(
-        F.max_by(F.struct(*keys, "_value"), "_mid").alias("_last"),
-    )
+    ends = rows.groupBy("_pid").agg(
+        F.max_by(F.struct(*keys, "_value"), "_mid").alias("_last"), F.min_by(F.struct(*keys), "_mid").alias("_head"))
     # Non-empty partitions only, so the following row of this table is the next one with data.
-    seams = last.select(
+    seams = ends.select(
         F.lead("_pid").over(Window.orderBy("_pid")).alias("_pid"),
         *[F.col("_last")[k].alias(k) for k in keys],
         F.col("_last")["_value"].alias("_carried"),
     ).filter("_pid is not null")
-    local = F.lag("_value").over(Window.partitionBy("_pid", *keys).orderBy("_mid"))
-    joined = rows.withColumn("_prev", local).join(F.broadcast(seams), ["_pid", *keys], "left")
+    inside = Window.partitionBy("_pid", *keys).orderBy("_mid")
+    joined = rows.withColumn("_prev", F.lag("_value").over(inside))
+    if last:
+        joined = joined.withColumn(last, F.lead("_mid").over(inside).isNull())
+        following = ends.select("_pid", F.lead("_head").over(Window.orderBy("_pid")).alias("_head")).filter("_head is not null")
+        following = following.select("_pid", *[F.col("_head")[k].alias(k) for k in keys], F.lit(True).alias("_goes_on"))
+        joined = joined.join(F.broadcast(following), ["_pid", *keys], "left")
+        joined = joined.withColumn(last, F.col(last) & F.col("_goes_on").isNull()).drop("_goes_on")
+    joined = joined.join(F.broadcast(seams), ["_pid", *keys], "left")
     return (
         joined.withColumn(name, F.coalesce("_prev", "_carried")["v"])
         .drop("_pid", "_mid", "_value", "_prev", "_carried")

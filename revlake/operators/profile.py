@@ -114,8 +114,9 @@ def _case_keys(cases: DataFrame, compose: bool) -> DataFrame:
     )
 
 
-def key_collision_report(cases: DataFrame, compose: bool = True) -> DataFrame:
-    """One row: colliding groups and surplus cases under both keys, and their difference."""
+def key_collision_report(cases: DataFrame, compose: bool = True, n: int = 10) -> DataFrame:
+    """One row: colliding groups and surplus cases under both keys, their difference, and the first *n* colliding
+    composite keys with their sizes and smallest and largest serials."""
     keyed = _case_keys(cases, compose)
 
     def surplus(key: str) -> DataFrame:
@@ -123,10 +124,12 @@ def key_collision_report(cases: DataFrame, compose: bool = True) -> DataFrame:
         return counts.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extras"))
 
     single = surplus("_single").select(F.struct("groups", "extras")).scalar()
-    return surplus("_composite").withColumn("_s", single).select(
+    rows = key_collision_samples(cases, n, compose).agg(F.array_sort(F.collect_list(F.struct(  # n rows
+        F.col("_court").alias("court"), F.col("_iso").alias("date"), F.col("_slot").alias("slot"), "n", "first_serial", "last_serial"))).alias("samples"))
+    return surplus("_composite").withColumn("_s", single).withColumn("samples", rows.scalar()).select(
         F.col("groups").alias("composite_groups"), F.col("extras").alias("n1"),
         F.col("_s")["groups"].alias("single_groups"), F.col("_s")["extras"].alias("n2"),
-        (F.col("_s")["extras"] - F.col("extras")).alias("expected_delta"))
+        (F.col("_s")["extras"] - F.col("extras")).alias("expected_delta"), "samples")
 
 
 def key_collision_samples(cases: DataFrame, n: int = 10, compose: bool = True) -> DataFrame:

@@ -186,9 +186,7 @@ def revision_change_log(
         is_non_current("current_flag").alias("_non_current"))
     order = event_key(date)
     live = F.struct(F.col("_repeal").alias("repeal"), F.col("path").alias("path"))
-    seen = with_previous(rows, ["identity"], order, live, "_before")
-    newest = rows.groupBy("identity").agg(F.max(F.struct(*order)).alias("_last"))
-    seen = seen.join(newest, "identity").withColumn("_is_last", F.struct(*order) == F.col("_last"))
+    seen = with_previous(rows, ["identity"], order, live, "_before", last="_is_last")
     before = F.when(F.col("_before").isNotNull() & ~F.col("_before")["repeal"], F.col("_before")["path"])
     if published is not None:
         seed = published.groupBy("identity").agg(F.max("path").alias("_seed"))

@@ -6,7 +6,7 @@ paths and flags are parameters.  Raw responses are DataFrames of landed files.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from revlake.functions.dates import format_date_nullable
 from revlake.functions.links import law_header
 from revlake.functions.names import Authority, case_type, compose_stem, court_tier
 from revlake.operators import incremental, profile, reconcile, refs, render, validate, versioning
+from revlake.session import checkpointed
 from revlake.sources import documents as docs_io
 from revlake.sources import records
 from revlake.sources import xml_details
@@ -36,7 +37,8 @@ def import_laws(
         rows = rows.join(ids.select("rev_id"), "rev_id", "left_semi")
     if limit is not None:
         rows = rows.orderBy("rev_id").limit(limit)
-    parsed = xml_details.parse_law_detail(rows)
+    # Documents, paths and failures all come of the parsed rows, so these are written once.
+    parsed = checkpointed(xml_details.parse_law_detail(rows))
     valid = parsed.filter("detail_status IN ('valid', 'lacking')").select(
         "rev_id", "metadata.*", "articles", "addenda", "attachments")
     if kind is not None:
@@ -194,6 +196,42 @@ def update_corpus(listed: DataFrame, committed: DataFrame, raw: DataFrame, rende
     return render_job(raw.join(wanted, "serial", "left_semi"))
 
 
+def update_cases(
+    committed: DataFrame, raw: DataFrame, no_result: DataFrame, overlap: int, horizon: int, serial: str = "serial",
+) -> dict[str, DataFrame]:
+    """An increment of cases, which have no listing: ids around the newest committed one are probed.
+
+    *raw* (serial, xml) holds the responses. Returns ``documents`` and ``classes`` of :func:`import_cases` for probed ids that are
+    neither committed nor in *no_result*, and ``missing``, the probed ids without a response.
+    """
+    probed = incremental.id_window_probe(committed, serial, overlap, horizon).select(F.col("id").cast("string").alias("serial"))
+    for known in (committed.select(F.col(serial).cast("string").alias("serial")), no_result.select(F.col("serial").cast("string").alias("serial"))):
+        probed = probed.join(known, "serial", "left_anti")
+    out = import_cases(raw.join(probed, "serial", "left_semi").select("xml"))
+    return out | {"missing": probed.join(raw.select("serial"), "serial", "left_anti")}
+
+
+def import_corpus(
+    raw: DataFrame, import_job: Callable[[DataFrame], dict[str, DataFrame]], key: str = "serial", done: Sequence[DataFrame] = (),
+    orphans: DataFrame | None = None, ids: DataFrame | None = None, limit: int | None = None,
+) -> dict[str, DataFrame]:
+    """A full import of cases, rules or ordinances that goes on where an earlier one stopped.
+
+    *raw* has one row per response with its *key*. Rows with a key in one of the *done* frames (processed, failed, on disk) are left
+    out before anything is parsed; *orphans* or *ids* restrict the import to keys they hold, *limit* to the first keys in order.
+    *import_job* is :func:`import_cases`, :func:`import_rules` or :func:`import_ordinances` with its other arguments bound.
+    """
+    rows = raw
+    for known in done:
+        rows = rows.join(known.select(key), key, "left_anti")
+    for wanted in (orphans, ids):
+        if wanted is not None:
+            rows = rows.join(wanted.select(key), key, "left_semi")
+    if limit is not None:
+        rows = rows.orderBy(key).limit(limit)
+    return import_job(rows)
+
+
 def validate_corpus(errors: DataFrame, index: DataFrame, documents: DataFrame, inventory: DataFrame) -> DataFrame:
     """(path, error) of rules or ordinances: their validator's *errors*, index mismatches and forbidden files."""
     drift = reconcile.index_vs_files(index, documents).withColumnRenamed("problem", "error")
@@ -228,6 +266,37 @@ def replace_images(documents: DataFrame, manifest: DataFrame, doc: str = "path",
     return refs.replace_refs(documents, manifest, doc, text)
 
 
+def image_report(manifest: DataFrame, status: str | None = None, glob: str | None = None, doc: str = "path") -> DataFrame:
+    """TSV lines of the references with a status, in documents that match a pattern."""
+    return refs.ref_report(manifest, status, glob, doc)
+
+
+def image_stats(manifest: DataFrame) -> DataFrame:
+    """References by status."""
+    return profile.status_counts(manifest, ["status"])
+
+
+def approve_images(
+    manifest: DataFrame, ids: DataFrame | None = None, glob: str | None = None, texts: DataFrame | None = None, doc: str = "path",
+) -> DataFrame:
+    """Manifest with references approved by *ids* or by a path pattern, not both, or by their converted *texts*."""
+    if ids is not None and glob is not None or (ids is None and glob is None and texts is None):
+        raise ValueError("approve by ids, by a path pattern, or by texts")
+    return refs.approve_refs(manifest, ids, glob, texts, doc=doc)
+
+
+def plan_image_upload(
+    cached: DataFrame, remote: DataFrame, manifest: DataFrame, only_approved: bool = False, compare_digest: bool = False,
+    limit: int | None = None,
+) -> dict[str, DataFrame]:
+    """``plan`` (key, status) of cached images (id, key, sha256) against *remote* (key, sha256), and its ``counts``; uploading is
+    not part of this library."""
+    approved = manifest.filter("status IN ('approved', 'replaced')").select("id").distinct() if only_approved else None
+    rows = cached if limit is None else cached.orderBy("key").limit(limit)
+    plan = reconcile.upload_plan(rows, remote, approved, compare_digest)
+    return {"plan": plan, "counts": profile.status_counts(plan, ["status"])}
+
+
 def export_images(manifest: DataFrame, target: str) -> None:
     """Shards, pages, summary and names of the manifest, written below *target*."""
     refs.write_shards(refs.export_shards(manifest), target)

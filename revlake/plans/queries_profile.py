@@ -79,9 +79,14 @@ c2 AS (SELECT count(*) AS n FROM k GROUP BY type_label, tier, slot HAVING count(
 
 @query("key_collision_report", "cases", f"""
 WITH {SQL_CASE_KEYS}, s1 AS (SELECT count(*) AS g, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS x FROM c1), s2 AS (SELECT count(*) AS g, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS x FROM c2)
-SELECT s1.g AS composite_groups, s1.x AS n1, s2.g AS single_groups, s2.x AS n2, s2.x - s1.x AS expected_delta FROM s1, s2""")
+SELECT s1.g AS composite_groups, s1.x AS n1, s2.g AS single_groups, s2.x AS n2, s2.x - s1.x AS expected_delta,
+  (SELECT coalesce(string_agg(concat_ws('|', full_court, iso, slot, CAST(n AS STRING), a, b), chr(10) ORDER BY full_court, iso, slot), '') FROM (
+    SELECT full_court, iso, slot, count(*) AS n, min(serial) AS a, max(serial) AS b FROM k GROUP BY full_court, iso, slot HAVING count(*) > 1
+    ORDER BY full_court, iso, slot LIMIT 10) x) AS samples FROM s1, s2""")
 def _(t: Inputs):
-    return profile.key_collision_report(t.view("cases"))
+    report = profile.key_collision_report(t.view("cases"))
+    shown = F.transform("samples", lambda s: F.concat_ws("|", *[s[c].cast("string") for c in ("court", "date", "slot", "n", "first_serial", "last_serial")]))
+    return report.withColumn("samples", F.array_join(shown, "\n"))
 
 
 @query("case_quality_profile", "cases", f"""

@@ -115,3 +115,65 @@ def test_index_import_preflight_and_cleanup(spark, tmp_path):
     assert kept.count() + gone.count() <= t.view("cases").count() and gone.count() > 0
     jobs.dump_oracle(t.view("cases"), str(tmp_path / "oracle"))
     assert spark.read.json(str(tmp_path / "oracle")).count() == t.view("cases").count()
+
+
+def test_case_update_probes_ids_around_the_newest(spark):
+    t = Inputs(spark, FOLDER)
+    raw = samples.case_xml(t)
+    newest = t.view("cases").agg(F.max("event_id")).first()[0]
+    committed = t.view("cases").filter(f"event_id <= {newest - 20}").select("serial")
+    none = spark.createDataFrame([(str(newest - 5),)], "serial string")
+    out = jobs.update_cases(committed, raw, none, overlap=10, horizon=25)
+    probed = {str(i) for i in range(newest - 19, newest + 6)} - {str(newest - 5)}
+    got = {r["serial"] for r in out["documents"].collect()}
+    gone = {r["serial"] for r in out["missing"].collect()}
+    assert got <= probed and gone == {str(i) for i in range(newest + 1, newest + 6)} and sum(r["n"] for r in out["classes"].collect()) == len(probed - gone)
+
+
+def test_imports_resume_and_take_orphans_only(spark):
+    t = Inputs(spark, FOLDER)
+    raw = samples.rule_xml(t).withColumn("serial", F.col("rev_id").cast("string"))
+    every = raw.count()
+    done, failed = raw.filter("rev_id % 3 = 0").select("serial"), raw.filter("rev_id % 3 = 1").select("serial")
+    job = lambda rows: jobs.import_rules(rows.drop("serial"), NATIONAL)
+    out = jobs.import_corpus(raw, job, done=[done, failed])["documents"]
+    assert 0 < out.count() == raw.filter("rev_id % 3 = 2").count() < every
+    few = jobs.import_corpus(raw, job, done=[done], orphans=failed, limit=7)["documents"]
+    assert few.count() == 7 and few.filter("rev_id % 3 <> 1").count() == 0
+    cases = samples.case_xml(t)
+    assert jobs.import_corpus(cases, lambda rows: jobs.import_cases(rows.select("xml")), ids=cases.select("serial").limit(5))["documents"].count() <= 5
+
+
+def test_image_jobs(spark):
+    schema = "path string, id string, status string, sha256 string, converted_text string, line int"
+    rows = [("kr/a/x.md", "1", "downloaded", "d1", None, 1), ("kr/b/x.md", "2", "downloaded", "d2", "t\tu", 2), ("kr/a/y.md", "3", "extracted", None, None, 3)]
+    manifest = spark.createDataFrame(rows, schema)
+    assert {r["value"]: r["n"] for r in jobs.image_stats(manifest).collect()} == {"": 3, "downloaded": 2, "extracted": 1}
+    assert [r["line"] for r in jobs.image_report(manifest, "downloaded", "kr/b/*").collect()] == ["kr/b/x.md\t2\tdownloaded\td2\tt u"]
+    approved = jobs.approve_images(manifest, glob="kr/a/*")
+    assert {r["id"]: r["status"] for r in approved.collect()} == {"1": "approved", "2": "downloaded", "3": "extracted"}
+    with pytest.raises(ValueError):
+        jobs.approve_images(manifest)
+    cached = spark.createDataFrame([("1", "k1", "d1"), ("2", "k2", "d2")], "id string, key string, sha256 string")
+    remote = spark.createDataFrame([("k1", "other")], "key string, sha256 string")
+    plan = lambda **kw: {r["key"]: r["status"] for r in jobs.plan_image_upload(cached, remote, approved, **kw)["plan"].collect()}
+    assert plan() == {"k1": "skipped", "k2": "would-upload"} and plan(only_approved=True, compare_digest=True) == {"k1": "would-upload"}
+
+
+def test_counters_come_from_the_writing_pass(spark):
+    """Counters of an increment are observed while it is written: they are there without another job."""
+    schema = "rev_id int, title string, prom_date string, amendment string"
+    listing = spark.createDataFrame([(1, "a", "20200101", "x"), (2, "a", "20200102", "x"), (3, "b", "20200103", "x")], schema)
+    details = spark.createDataFrame([(1, "L", "a", "k", "20200101", "1", "x", "valid"), (2, "L", "a", "k", "20200102", "1", "x", "malformed")],
+                                    "rev_id int, lineage_id string, title string, kind string, prom_date string, prom_num string, amendment string, detail_status string")
+    current = details.select("lineage_id", "rev_id", "title", "kind", "prom_date", "prom_num").limit(0)
+    out = incremental.incremental_apply(listing, listing.limit(0), details, listing.select("rev_id").limit(0), current, None, "20200110", 30)
+    assert out["counters"].first().asDict() == {"found": 3, "committed": 1, "no_result": 1, "errors": 1}
+    assert "Scan" not in out["counters"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_import_parses_responses_once(spark):
+    t = Inputs(spark, FOLDER)
+    out = jobs.import_laws(samples.law_xml(t), t.view("history"), t.view("allowlist"), TODAY)
+    for frame in out.values():
+        assert "from_xml" not in frame._jdf.queryExecution().optimizedPlan().toString()

@@ -118,13 +118,13 @@ def test_paragraphs_inside_paragraphs(spark):
             inner = f"<항><항내용>p{i}</항내용>{inner}<호><호내용>h{i}</호내용></호></항>"
         return f"<법령><법령ID>1</법령ID><법령명_한글>a</법령명_한글><법종구분>b</법종구분><조문단위>{inner}</조문단위></법령>"
 
-    rows = spark.createDataFrame([(i, xml(i)) for i in (1, 2, 3, 4)], "n int, xml string")
+    rows = spark.createDataFrame([(i, xml(i)) for i in (1, 2, 3, 30)], "n int, xml string")
     out = {r["n"]: r for r in xml_details.parse_law_detail(rows).collect()}
-    for n in (1, 2, 3):
+    for n in (1, 2, 3, 30):
         found = out[n]["articles"][0]["paragraphs"]
         assert [p["text"] for p in found] == [f"p{i}" for i in range(1, n + 1)]
         assert [len(p["subparas"]) for p in found] == list(range(n, 0, -1))
-    assert out[4]["detail_status"] == "malformed"  # deeper than the documented depth: told, not lost
+        assert out[n]["detail_status"] == "valid"
 
 
 def test_index_file_with_line_breaks_in_fields(spark, tmp_path):
@@ -152,3 +152,54 @@ def test_index_file_is_split_and_keeps_empty_last_fields(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     assert {k: d for k, (d, _) in got.items()} == {str(i): d for i, d in depts.items()}
     assert all(area == ("", "", 'a"b', "분야")[int(i) % 4] for i, (_, area) in got.items())
+
+
+def test_an_unbalanced_quote_spoils_its_own_line_only(spark, tmp_path):
+    row = lambda i, title: f"{i},{i},c,dept,L{i},{title},20200101,1,20200101,k,kind,f,area"
+    lines = [row(0, "plain"), row(1, '"two\nlines"'), row(2, '"stray'), *(row(i, "plain") for i in range(3, 60))]
+    (tmp_path / "i.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    got = {r["rev_id"]: (r["title"], r["status"]) for r in _bounded(spark, str(tmp_path / "i.csv"), 10).collect()}
+    assert got["0"] == ("plain", "ok") and got["1"] == ("two\nlines", "ok") and "2" not in got
+    assert all(got[str(i)] == ("plain", "unbalanced") for i in range(3, 60))
+    assert len(_bounded(spark, str(tmp_path / "i.csv"), 10_000).collect()) == 2  # unbounded, the quote takes all that follows
+
+
+def _bounded(spark, path, most):
+    return records.parse_index_lines(records.read_index_records(spark, path, most), "line", ["status"])
+
+
+def test_explode_articles_from_sql_carries_columns(spark):
+    from revlake.sources import table_functions
+
+    xml = "<r><법령ID>1</법령ID><조문단위><조문번호>1</조문번호><항><항번호>a</항번호><호><호번호>b</호번호><목><목번호>c</목번호></목></호></항></조문단위></r>"
+    parsed = xml_details.parse_law_detail(spark.createDataFrame([(7, "k", xml), (None, "x", xml), (9, None, "<r/>")], "rev_id int, extra string, xml string"))
+    table_functions.register(spark)
+    got = spark.sql("SELECT * FROM explode_articles(TABLE({t}) PARTITION BY rev_id)", t=parsed.drop("addenda"))
+    assert got.columns[:4] == ["rev_id", "extra", "detail_status", "level"]
+    want = xml_details.explode_articles(parsed, "rev_id")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect())) and got.count() == 8
+    assert {r["extra"] for r in got.collect()} == {"k", "x"}
+    import pytest
+
+    with pytest.raises(Exception, match="column articles"):
+        spark.sql("SELECT * FROM explode_articles(TABLE(SELECT 1 AS a))")
+
+
+def test_ancestor_chains_of_any_length_and_cycles(spark):
+    from revlake.operators import hierarchy
+
+    links = [(f"n{i}", f"n{i + 1}") for i in range(200)] + [("a", "b"), ("b", "c"), ("c", "a"), ("d", "a"), ("s", "s"), ("lone", ""), ("null", None), ("x", "n7"), (None, "n1"), ("two", "n3"), ("two", "n2")]
+    parent = {}
+    for c, p in sorted((c, p) for c, p in links if c and p):
+        parent.setdefault(c, p)
+    want = {}
+    for name in {c for c, _ in links if c} | {p for _, p in links if p}:
+        path, status = [name], "ok"
+        while path[0] in parent:
+            if parent[path[0]] in path:
+                status = "cycle"
+                break
+            path.insert(0, parent[path[0]])
+        want[name] = (path, status)
+    got = hierarchy.ancestor_chains(spark.createDataFrame(links, "child string, parent string")).collect()
+    assert {r["name"]: (r["path"], r["status"]) for r in got} == want and len(got) == len(want)

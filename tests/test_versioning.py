@@ -104,7 +104,7 @@ def test_positions_and_previous_survive_a_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         pos = ordering.with_position(df, [F.col("k"), F.col("v")]).collect()
-        prev = ordering.with_previous(df, ["k"], [F.col("v")], F.col("v"), "p").collect()
+        prev = ordering.with_previous(df, ["k"], [F.col("v")], F.col("v"), "p", last="end").collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert [(r["k"], r["v"]) for r in sorted(pos, key=lambda r: r["pos"])] == sorted(rows)
@@ -114,6 +114,7 @@ def test_positions_and_previous_survive_a_hot_key(spark):
         want[(k, v)] = last.get(k)
         last[k] = v
     assert {(r["k"], r["v"]): r["p"] for r in prev} == want
+    assert {(r["k"], r["v"]) for r in prev if r["end"]} == set(last.items()) and len(prev) == len(rows)
 
 
 def test_law_paths_sticky_and_latest(spark):
