@@ -120,8 +120,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def file_inventory(spark: SparkSession, path: str, row_bytes: int = ROW_BYTES) -> DataFrame:
     """path, bucket, bytes and digest of every file below *path*, hashed on the executors.
 
-    Files of at most *row_bytes* are hashed from rows; of larger ones, however large, a task holds one chunk at a time. Files
-    whose names begin with a dot or an underscore are not listed.
+    Files of at most *row_bytes* are hashed from rows; of larger ones, however large, a task holds one chunk at a time. As in
+    every file scan of Spark, files that are empty or whose names begin with a dot or an underscore are not listed.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     small = files.filter(F.col("length") <= row_bytes).select("path", "length", F.sha2("content", 256).alias("sha256"))

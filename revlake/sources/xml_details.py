@@ -1,8 +1,8 @@
 """Raw XML responses to nested records.
 
 Lookups in these feeds are "first descendant anywhere", while ``from_xml`` only sees the
-declared level.  Laws nest to any depth, so they are folded from a token stream
-(:mod:`revlake.sources.xml_tokens`).  In the flat feeds, tags that carry no record structure
+declared level.  Laws nest to any depth, so they are built from an array of elements
+(:mod:`revlake.sources.xml_elements`).  In the flat feeds, tags that carry no record structure
 are removed first, which lifts every wanted element to its nearest structural ancestor, and
 one ``from_xml`` call reads the rest.  CDATA sections pass through untouched.  Well-formedness
 is judged on the original text, so a truncated file never becomes valid by losing an
@@ -21,7 +21,7 @@ from revlake.functions.once import computed
 from revlake.functions.links import absolute_url
 from revlake.functions.names import Authority, ORDINANCE_TYPE_CODES, article_number, lookup, org_path, resolve_agency
 from revlake.functions.text import blank_if_null, collapse_ws, let, nfc_normalize, or_else, strip, unescape_html
-from revlake.sources.xml_tokens import elements, inside, mapped, named, text_of, texts
+from revlake.sources.xml_elements import elements, inside, mapped, named, text_of, texts
 
 OPTIONS = {
     "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt", "nullValue": "\u0001",
