@@ -55,29 +55,29 @@ _KEYS = "(?i:token|secret|password|passwd|pwd|api_key|apikey)"
 _IS = "[\"']? ?[=:] ?[\"']?"
 _TITLES = "|".join((*MALE, *FEMALE, *NEUTRAL))
 _UPPER_TITLES = "|".join(t.upper() for t in (*MALE, *FEMALE, *NEUTRAL) if t.isascii() and len(t) > 1)
-#: A letter or an apostrophe inside a name, but not that of a possessive.
-_INNER = r"(?:\p{L}|['’](?![sS](?!\p{L}))(?=\p{L}))"
-_NAME = r"\p{Lu}" + _INNER + "++"
+#: Two letters at least; an apostrophe may stand between letters, but not that of a possessive.
+_NAME = r"\p{Lu}(?=[\p{L}'’])\p{L}*+(?:['’](?![sS](?!\p{L}))\p{L}++)*+(?<!^\p{Lu}|[^\p{L}'’]\p{Lu})"
 _HONORIFICS = r"(?:(?:" + _TITLES + "|" + _UPPER_TITLES + r")\.? )+"
-PATTERN = "|".join((
+# An entity begins where no letter or digit stands before it, which settles most positions at once.
+PATTERN = _OUT + "(?:" + "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*\.\p{L}{2,}+",
-    _OUT + r"[0-9a-fA-F]{32,}+" + _END,
-    _OUT + r"(?:AKIA[0-9A-Z]{16}|(?:sk|ghp|pat)[-_][A-Za-z0-9]{16,}+)" + _END,
+    r"[0-9a-fA-F]{32,}+" + _END,
+    r"(?:AKIA[0-9A-Z]{16}|(?:sk|ghp|pat)[-_][A-Za-z0-9]{16,}+)" + _END,
     # Eight characters at least; dots join the parts of a value but do not end it.
-    r"(?<=(?:" + _KEYS + r")" + _IS + r")(?=[A-Za-z0-9_+/.-]{7}[A-Za-z0-9_+/-])[A-Za-z0-9_+/-]++(?:\.++[A-Za-z0-9_+/-]++)*+(?![!#$%&*@^])",
     # Shorter ones and ones with punctuation: with a digit, and without white space, quotes, or marks that end a clause.
-    r"(?<=(?:" + _KEYS + r")" + _IS + r")(?=[^\s\"',;<>]{0,64}\d)[^\s\"',;<>(){}]{3,}+(?<![.:?])",
+    r"(?<=[\"'=: ])(?<=(?:" + _KEYS + r")" + _IS + r")(?:(?=[A-Za-z0-9_+/.-]{7}[A-Za-z0-9_+/-])[A-Za-z0-9_+/-]++(?:\.++[A-Za-z0-9_+/-]++)*+(?![!#$%&*@^])"
+    r"|(?=[^\s\"',;<>]{0,64}\d)[^\s\"',;<>(){}]{3,}+(?<![.:?]))",
     r"(?<=\b[Bb]earer )[A-Za-z0-9._~+/-]{8,}+=*+",
-    _OUT + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
+    r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
     r"(?<![\p{L}\p{N}.]|(?i:version|release|build) )(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)",
     r"(?<![\p{L}\p{N}:])(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?=[0-9a-fA-F:]{0,36}[0-9a-fA-F]{3})(?:[0-9a-fA-F]{1,4}:){2,6}(?::[0-9a-fA-F]{1,4}){1,5})(?![\p{L}\p{N}:])",
-    _OUT + r"\d{3}-\d{2}-\d{4}" + _END,
+    r"\d{3}-\d{2}-\d{4}" + _END,
     r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}" + _END,
     r"(?<![\p{L}\p{N}])\(\d{3}\) ?\d{3}[ .-]\d{4}" + _END,
-    _OUT + r"\d{3}[.-]\d{3}[.-]\d{4}" + _END,
-    _OUT + r"\d(?:[ -]?\d){12,18}" + _END,
-    _OUT + _HONORIFICS + "(?!(?:" + "|".join(NO_NAMES) + r")(?!\p{L}))" + _NAME + "(?:[ -]" + _NAME + "){0,2}",
-))
+    r"\d{3}[.-]\d{3}[.-]\d{4}" + _END,
+    r"\d(?:[ -]?\d){12,18}" + _END,
+    _HONORIFICS + "(?!(?:" + "|".join(NO_NAMES) + r")(?!\p{L}))" + _NAME + "(?:[ -]" + _NAME + "){0,2}",
+)) + ")"
 #: A text without these has no entity; most texts end here.
 _SUSPECT = r"[0-9@]|" + _KEYS + r"[\"']? ?[=:]|[Bb]earer |(?:" + _TITLES + "|" + _UPPER_TITLES + r")\.? \p{Lu}"
 
