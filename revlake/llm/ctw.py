@@ -34,7 +34,7 @@ from revlake.llm.shared import written
 DEPTH = 5
 UPPER = 2                      # levels of contexts above the groups
 BLOCK_BYTES = 40 << 20         # of text in a block, on average
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18           # of text whose positions are held at once
 END = -(1 << 63)               # key of the end of a text, beside the words'
 _HALF = np.log(0.5)
 _PATHS = np.array([[(1 << i) | (b >> (8 - i)) for i in range(8)] for b in range(256)])
@@ -95,6 +95,7 @@ def _chunks(payloads: pa.ChunkedArray) -> Iterator[pa.RecordBatch]:
 def _units(table: pa.Table) -> pa.Table:
     """Distinct units of a block with their counts in training texts."""
     parts: list[tuple[np.ndarray, np.ndarray]] = []
+    most = 1_000_000
     for part in _chunks(table.column("payload")):
         chunk = Chunk(*textblock.text_buffers(part.column("text")))
         train = ~part.column("held_out").to_numpy(zero_copy_only=False)
@@ -105,9 +106,12 @@ def _units(table: pa.Table) -> pa.Table:
         order = np.argsort(chunk.words)
         parts.append(_counted(chunk.words[order], train[chunk.word_text[order]].astype(np.int64)))
         parts.append((np.array([END]), np.array([train.sum()])))
-        if sum(len(p[0]) for p in parts) > 4_000_000:
+        if sum(len(p[0]) for p in parts) > most:
             parts = [_merged(parts)]
+            most = 2 * len(parts[0][0]) + 1_000_000
     key, n = _merged(parts)
+    parts.clear()
+    pa.default_memory_pool().release_unused()  # the other worker of the executor may need it
     block = table.column("block")[0].as_py()
     return pa.table({"block": pa.array(np.full(len(key), block, np.int32)), "key": pa.array(key, pa.int64()), "n": pa.array(n, pa.int64())})
 
@@ -233,7 +237,8 @@ def _scores(tokens: int, distinct: int):
         key = values.column("key").to_numpy()
         order = np.argsort(key)
         key, value = key[order], values.column("value").to_numpy()[order]
-        del order
+        del order, values
+        pa.default_memory_pool().release_unused()
         total = tokens + 0.5 * (distinct + 1)
 
         def of(wanted: np.ndarray) -> np.ndarray:
