@@ -25,6 +25,9 @@ def test_text(spark):
     assert one(spark, text.html_to_text(lit("a<br/>b<BR>c&nbsp;&lt;x&gt; &amp;lt; &#44032;&#xAC01; &copy &notit;<i>t</i>"))) == (
         "a\nb\nc <x> &lt; 가각 © ¬it;t")
     assert one(spark, text.html_to_text(lit(" a<br>b"), " ")) == "a b"
+    cut = "<title>x &lt; y &amp</title>{z} &#65 &#65; &notit; &copy"
+    assert one(spark, text.html_to_text(lit(cut), unterminated=False)) == "x < y &amp{z} &#65 A &notit; &copy"
+    assert one(spark, text.html_to_text(lit(cut))) == "x < y &{z} A A ¬it; ©"
     assert one(spark, text.dedent_body(lit("x\n    y\n      z\n\n"))) == "x\ny\n  z\n"
     assert one(spark, text.dedent_body(lit("x\ny\n"))) == "x\ny\n"
     assert one(spark, text.lines_of(lit("a\r\nb c\n"))) == ["a", "b", "c"]
