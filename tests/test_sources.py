@@ -203,3 +203,21 @@ def test_ancestor_chains_of_any_length_and_cycles(spark):
         want[name] = (path, status)
     got = hierarchy.ancestor_chains(spark.createDataFrame(links, "child string, parent string")).collect()
     assert {r["name"]: (r["path"], r["status"]) for r in got} == want and len(got) == len(want)
+
+
+def test_records_agree_with_the_element_scan(spark):
+    """Records come from a tree of another parser than the elements; what is well-formed and the texts are the same."""
+    from revlake.sources.xml_elements import Nodes, elements, records as found
+
+    rows = ["<a><b>1<x/>2</b><w><n><b>3</b><n><b/><m><b>4</b></m></n></n></w></a>", "<p:a><b>1</b></p:a>", "<a xmlns='u'><b>1</b></a>",
+            "<!DOCTYPE a SYSTEM 'x'><a><b>&u;1</b></a>", "<a>&u;</a>", "<a><b>1</b>", "", None, "\n<?xml version='1.0'?><b>t<!-- c -->u</b>",
+            "<n>" * 3000 + "<m><b>5</b></m>" + "</n>" * 3000]
+    df = spark.createDataFrame([(x,) for x in rows], "xml string")
+    nodes = {"ns": Nodes("n", {"b": "b"}, {"ms": Nodes("m", {"b": "b"})})}
+    got = [r["r"] for r in df.select(found(F.col("xml"), {"first": "b"}, nodes).alias("r")).collect()]
+    scan = [r["r"] for r in df.select(elements(F.col("xml"), ["b", "n"]).alias("r")).collect()]
+    assert [r["ok"] for r in got] == [r and r["ok"] for r in scan]
+    first = [next((e["text"] for e in (r["e"] if r else []) if e["name"] == "b"), "") for r in scan]
+    assert [r["first"] for r in got] == first and first[:4] == ["1", "1", "1", "1"]
+    assert [[n["b"], [m["b"] for m in n["ms"]]] for n in got[0]["ns"]] == [["3", ["4"]], ["", ["4"]]]
+    assert len(got[-1]["ns"]) == 3000 and all(n["ms"][0]["b"] == "5" for n in got[-1]["ns"])
