@@ -35,6 +35,7 @@ DEPTH = 5
 UPPER = 2                      # levels of contexts above the groups
 BLOCK_BYTES = 40 << 20         # of text in a block, on average
 CHUNK_BYTES = 1 << 18           # of text whose positions are held at once
+RANGES = 16                     # of keys, merged one after the other
 END = -(1 << 63)               # key of the end of a text, beside the words'
 _HALF = np.log(0.5)
 _PATHS = np.array([[(1 << i) | (b >> (8 - i)) for i in range(8)] for b in range(256)])
@@ -108,10 +109,11 @@ def _units(table: pa.Table) -> pa.Table:
         parts.append((np.array([END]), np.array([train.sum()])))
         if sum(len(p[0]) for p in parts) > most:
             parts = [_merged(parts)]
-            most = 2 * len(parts[0][0]) + 1_000_000
+            most = len(parts[0][0]) + max(len(parts[0][0]) // 2, 1_000_000)
+            textblock.give_back()
     key, n = _merged(parts)
     parts.clear()
-    pa.default_memory_pool().release_unused()  # the other worker of the executor may need it
+    textblock.give_back()  # the other worker of the executor may need it
     block = table.column("block")[0].as_py()
     return pa.table({"block": pa.array(np.full(len(key), block, np.int32)), "key": pa.array(key, pa.int64()), "n": pa.array(n, pa.int64())})
 
@@ -123,10 +125,17 @@ def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([p[0] for p in parts])
-    counts = np.concatenate([p[1] for p in parts])
-    order = np.argsort(keys, kind="stable")  # merges the parts, which are sorted
-    return _counted(keys[order], counts[order])
+    """Distinct keys of the sorted *parts* with the sums of their counts, a range of keys at a time: no more is held twice."""
+    largest = max((p[0] for p in parts), key=len)
+    edges = largest[:: len(largest) // RANGES + 1][1:]
+    cuts = [[0, *np.searchsorted(keys, edges).tolist(), len(keys)] for keys, _ in parts]
+    ranges = []
+    for i in range(len(edges) + 1):
+        keys = np.concatenate([p[0][c[i]:c[i + 1]] for p, c in zip(parts, cuts, strict=True)])
+        counts = np.concatenate([p[1][c[i]:c[i + 1]] for p, c in zip(parts, cuts, strict=True)])
+        order = np.argsort(keys, kind="stable")  # merges the parts
+        ranges.append(_counted(keys[order], counts[order]))
+    return np.concatenate([r[0] for r in ranges]), np.concatenate([r[1] for r in ranges])
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -238,7 +247,7 @@ def _scores(tokens: int, distinct: int):
         order = np.argsort(key)
         key, value = key[order], values.column("value").to_numpy()[order]
         del order, values
-        pa.default_memory_pool().release_unused()
+        textblock.give_back()
         total = tokens + 0.5 * (distinct + 1)
 
         def of(wanted: np.ndarray) -> np.ndarray:
@@ -266,6 +275,8 @@ def _scores(tokens: int, distinct: int):
                 "doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "n_tokens": pa.array(chunk.n_words + 1, pa.int64()),
                 "n_known": pa.array(known.astype(np.int64)), "train_tokens": pa.array(np.full(n, tokens, np.int64)),
                 "base_score": pa.array(base), "score": pa.array(score), "bits_per_byte": pa.array(-score / np.log10(2) / size)}))
+        del key, value
+        textblock.give_back()
         return pa.concat_tables(out)
     return run
 

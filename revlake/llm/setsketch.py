@@ -135,6 +135,7 @@ def _estimated(threshold: float):
             good = likely(a, b, batch.column("na").to_numpy(), batch.column("nb").to_numpy()) >= threshold - SLACK
             keep = pa.array(good)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+        textblock.give_back()
     return run
 
 
@@ -252,6 +253,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+        textblock.give_back()
 
     return both.mapInArrow(compare, "a long, b long")
 

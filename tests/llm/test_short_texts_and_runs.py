@@ -157,3 +157,41 @@ def test_many_short_texts_stay_within_memory(word):
         hyperlang.bundles(distinct, text, inverse, part.num_rows)
         textblock.Words(*textblock.text_buffers(part.column("text"))).shingles(5)
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000
+
+
+def test_freed_memory_goes_back():
+    import gc
+
+    import numpy as np
+    import psutil
+
+    from revlake.llm import textblock
+
+    process = psutil.Process()
+    held = [np.ones(12_000) for _ in range(3000)]  # 96 KB each: below what the C library maps apart
+    full = process.memory_info().rss
+    held = held[::50]                              # what stays keeps the rest from being given back
+    gc.collect()
+    textblock.give_back()
+    assert full - process.memory_info().rss > 200 << 20
+
+
+def test_units_are_merged_within_bounded_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    from revlake.llm import ctw
+
+    random = np.random.default_rng(5)
+    parts = []
+    for size in (400_000, 300_000, 1, 0, 300_000):
+        keys = np.unique(random.integers(-500_000, 500_000, size))
+        parts.append((keys, random.integers(0, 9, len(keys))))
+    every, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    tracemalloc.start()
+    keys, counts = ctw._merged(parts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (keys == every).all() and (counts == np.bincount(place, np.concatenate([p[1] for p in parts]))).all()
+    assert most < 2.5 * (keys.nbytes + counts.nbytes)
