@@ -23,13 +23,15 @@ def _range_sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
     The result is read twice by the callers and range boundaries are sampled, so it
     is materialized to make both reads see the same partitions.
+
+    *order* holds columns of *df* (or ``asc``/``desc`` of such), no expressions: a sort evaluates those anew in each comparison.
     """
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return checkpointed(placed.withColumn("_mid", F.monotonically_increasing_id()))
 
 
 def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") -> DataFrame:
-    """Dense 1-based position of every row in the total order *order*."""
+    """Dense 1-based position of every row in the total order *order*, columns of *df* (see :func:`_range_sorted`)."""
     rows = _range_sorted(df, order).withColumn("_pid", F.shiftright("_mid", _SHIFT))
     # One row per partition: the only unpartitioned window in the library.
     sizes = rows.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -51,7 +53,7 @@ def with_previous(
     Inside a range partition the window is keyed by (partition, key).  A key that
     continues over a partition seam gets its first value from the last row of the
     closest earlier partition; that is one broadcast row per partition.  With *last*, a
-    column of that name tells from the same pass whether no row of the key follows.
+    column of that name tells from the same pass whether no row of the key follows.  *keys* and *order* are columns of *df*.
     """
     rows = _range_sorted(
         df.withColumn("_value", F.struct(value.alias("v"))), [F.col(k) for k in keys] + list(order)

@@ -183,10 +183,9 @@ def revision_change_log(
     # Only what the fold needs is sorted and written; texts stay behind.
     rows = revisions.select(
         "rev_id", "identity", "serial", "path", date, is_repeal("amendment").alias("_repeal"),
-        is_non_current("current_flag").alias("_non_current"))
-    order = event_key(date)
+        is_non_current("current_flag").alias("_non_current"), F.struct(*event_key(date)).alias("_key"))
     live = F.struct(F.col("_repeal").alias("repeal"), F.col("path").alias("path"))
-    seen = with_previous(rows, ["identity"], order, live, "_before", last="_is_last")
+    seen = with_previous(rows, ["identity"], [F.col("_key")], live, "_before", last="_is_last").drop("_key")
     before = F.when(F.col("_before").isNotNull() & ~F.col("_before")["repeal"], F.col("_before")["path"])
     if published is not None:
         seed = published.groupBy("identity").agg(F.max("path").alias("_seed"))

@@ -136,7 +136,7 @@ def missing_history(t: Inputs):
 
 @query("history_vs_commits", "history commits details", _SQL_MISSING)
 def _(t: Inputs):
-    rows = with_position(missing_history(t), reconcile.missing_order())
+    rows = with_position(missing_history(t).withColumn("_key", F.struct(*reconcile.missing_order())), [F.col("_key")])
     return rows.select("rev_id", "title", "amendment", "kind", "prom_date", "prom_num", "detail_status", "bucket", "pos")
 
 

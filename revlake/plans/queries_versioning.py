@@ -168,8 +168,8 @@ def _(t: Inputs):
 SELECT rev_id, prom_num, row_number() OVER (ORDER BY CASE WHEN TRY_CAST(nullif(prom_num, '') AS BIGINT) IS NULL THEN 1 ELSE 0 END,
   TRY_CAST(nullif(prom_num, '') AS BIGINT), prom_num, rev_id) AS pos FROM revisions""")
 def _(t: Inputs):
-    rows = t.view("revisions").select("rev_id", "prom_num")
-    return with_position(rows, [serial_sort_key("prom_num"), F.col("rev_id")])
+    rows = t.view("revisions").select("rev_id", "prom_num", serial_sort_key("prom_num").alias("_key"))
+    return with_position(rows, [F.col("_key"), F.col("rev_id")]).drop("_key")
 
 
 @query("top_k_common", "revisions", "SELECT title AS value, count(*) AS n FROM revisions GROUP BY title ORDER BY n DESC, min(rev_id) LIMIT 30")

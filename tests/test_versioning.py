@@ -1,9 +1,12 @@
 """Parallel versioning against plain sequential loops on small, skewed fixtures."""
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from revlake.operators import ordering, versioning
+from revlake.plans import catalog
 
 
 def greedy_rules(rows):
@@ -117,6 +120,18 @@ def test_positions_and_previous_survive_a_hot_key(spark):
     assert {(r["k"], r["v"]) for r in prev if r["end"]} == set(last.items()) and len(prev) == len(rows)
 
 
+@pytest.mark.parametrize("name", ["sort_serials", "revision_change_log", "history_vs_commits"])
+def test_sorts_compare_columns_and_no_expressions(spark, monkeypatch, name):
+    seen = []
+    step = ordering.checkpointed
+    monkeypatch.setattr(ordering, "checkpointed", lambda df: seen.append(df) or step(df))
+    catalog.load_all()
+    catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    (keys,) = re.findall(r"(?m)^[^\n\w]*Sort \[(.*)\], false", plan)
+    assert all(re.fullmatch(r"\w+#\d+L? (ASC|DESC) NULLS (FIRST|LAST)", key) for key in keys.split(", ")), keys
+
+
 def test_law_paths_sticky_and_latest(spark):
     rows = [
         (1, "A", "갑법", "법률", "20000101", "1"), (2, "B", "갑법", "법률", "20010101", "1"), (3, "A", "을법", "법률", "20020101", "1"),
