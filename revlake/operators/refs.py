@@ -19,7 +19,7 @@ ID_TAG = r"(?i)(<img\s+id=[\"'](\d+)[\"'][^>]*>(?:</img>)?)"
 DOWNLOAD_URL = "https://www.law.go.kr/LSW/flDownload.do"
 STATES = ("extracted", "downloaded", "approved", "replaced", "skipped", "not_found", "error")
 EXPORTED = ("extracted", "downloaded", "approved", "replaced", "skipped")
-SHARDS, PAGE_SIZE = 300, 1000
+SHARDS, PAGE_SIZE, SHARD_PIECES = 300, 1000, 8
 
 
 def _tags(line: Column, pattern: str, fmt: str) -> Column:
@@ -162,8 +162,15 @@ def export_shards(
 
 
 def write_shards(tables: dict[str, DataFrame], target: str) -> None:
-    """One folder per shard and page; a shard's rows are written by as many tasks as hold them."""
-    tables["detail"].write.mode("overwrite").partitionBy("shard").json(f"{target}/detail")
-    tables["pages"].write.mode("overwrite").partitionBy("page").json(f"{target}/list")
+    """One folder per shard and page; a shard's rows are dealt to SHARD_PIECES tasks, so its folder has at most as many files.
+
+    Pages grow with the images and are small, so they are dealt to many tasks whatever their bytes, and the tasks move their
+    own files into place; by default the driver moves them one by one.
+    """
+    tasks = int(tables["pages"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    piece = F.pmod(F.xxhash64("id"), F.lit(SHARD_PIECES))
+    committed = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    tables["detail"].repartition("shard", piece).write.mode("overwrite").options(**committed).partitionBy("shard").json(f"{target}/detail")
+    tables["pages"].repartition(tasks, "page").write.mode("overwrite").options(**committed).partitionBy("page").json(f"{target}/list")
     tables["summary"].write.mode("overwrite").json(f"{target}/summary")
     tables["law_names"].write.mode("overwrite").json(f"{target}/law_names")

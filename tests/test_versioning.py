@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from revlake.operators import ordering, versioning
+from revlake.operators import ordering, refs, versioning
 from revlake.plans import catalog
 
 
@@ -132,6 +132,28 @@ def test_sorts_compare_columns_and_no_expressions(spark, monkeypatch, name):
     assert all(re.fullmatch(r"\w+#\d+L? (ASC|DESC) NULLS (FIRST|LAST)", key) for key in keys.split(", ")), keys
 
 
+def test_shards_are_few_files_and_pages_are_written_by_many_tasks(spark, tmp_path):
+    rows = [(i % 500 * 2, "d", i, "extracted", "", f"law {i % 3}") for i in range(20_000)]
+    frame = spark.createDataFrame(rows, "id long, doc string, line int, status string, sha256 string, law string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "24"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        refs.write_shards(refs.export_shards(frame, shards=2, size=10), str(tmp_path))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        pages = refs.export_shards(frame, shards=2, size=10)
+        refs.write_shards(pages, str(tmp_path / "adaptive"))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert 1 < len(list(tmp_path.glob("detail/shard=0/*.json"))) <= 8
+    assert len(list(tmp_path.glob("adaptive/list/page=*"))) == 50
+    assert len({f.name.split("-")[1] for f in tmp_path.glob("adaptive/list/page=*/*.json")}) > 4
+    assert spark.read.schema("id long, pos long, page int").json(str(tmp_path / "adaptive/list")).count() == 500
+    assert spark.read.schema("id long, shard int").json(str(tmp_path / "detail")).count() == 20_000
+
+
 def test_law_paths_sticky_and_latest(spark):
     rows = [
         (1, "A", "갑법", "법률", "20000101", "1"), (2, "B", "갑법", "법률", "20010101", "1"), (3, "A", "을법", "법률", "20020101", "1"),
