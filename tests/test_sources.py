@@ -68,6 +68,21 @@ def test_inventory_and_export(spark, tmp_path):
     assert got["a/x.md"] == ("a", 3, hashlib.sha256("가".encode()).hexdigest()) and set(got) == {"a/x.md", "b/y.md"}
 
 
+def test_inventory_is_listed_by_tasks(spark, tmp_path):
+    names = ["a/b/c/deep.txt", "a:b/x y.txt", "top.txt", "a/_k=v/in.txt", "_metadata.txt", ".hidden", "_skipped", "a/.d/x.txt", "_s/x.txt", "half._COPYING_"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name, encoding="utf-8")
+    (tmp_path / "a" / "empty").touch()
+    (tmp_path / "a" / "lost").symlink_to(tmp_path / "nowhere")
+    for path in (str(tmp_path), f"file://{tmp_path}/"):
+        inventory = documents.file_inventory(spark, path)
+        assert "BinaryFile" not in inventory._jdf.queryExecution().optimizedPlan().toString()
+        assert not inventory.inputFiles()  # no list of files on the driver
+        assert {tuple(r) for r in inventory.collect()} == {
+            (n, n.split("/")[0], len(n), hashlib.sha256(n.encode()).hexdigest()) for n in names[:5]}
+
+
 def test_foreign_headers(spark):
     df = spark.createDataFrame([("a: {b: 1}\nc: 2020-01-02",), ("- x",), ("a: [",)], "h string")
     got = [r[0] for r in df.select(documents.foreign_header_json("h")).collect()]
