@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank_if_null, col, strip
+from .text import blank_if_null, col, let, strip
 
 EPOCH = "1970-01-01"
 # The Dangi calendar offset and the year range it is applied to.
@@ -47,21 +47,22 @@ def format_date_nullable(c: Column | str) -> Column:
 
 
 def format_date_checked(c: Column | str) -> Column:
-    raw = compact_date(c)
-    return F.when(to_date8(raw).isNotNull(), dashed(raw)).otherwise(blank_if_null(c))
+    """A calendar date dashed, anything else as it is; the compact form is bound, as it is used in six places."""
+    return let(compact_date(c), lambda raw: F.when(to_date8(raw).isNotNull(), dashed(raw)).otherwise(blank_if_null(c)))
 
 
 def clamp_issue_date(c: Column | str) -> Column:
     """``struct<date, raw, corrected>``: impossible or pre-epoch dates become the epoch."""
-    raw, shown = compact_date(c), format_date_checked(c)
-    impossible = raw.rlike(r"^\d{8}\z") & to_date8(raw).isNull()
-    early = to_iso_date(shown) < F.lit(EPOCH).cast("date")
-    corrected = F.coalesce(impossible | early, impossible)
-    return F.struct(
-        F.when(corrected, F.lit(EPOCH)).otherwise(shown).alias("date"),
-        blank_if_null(c).alias("raw"),
-        corrected.alias("corrected"),
-    )
+    def clamped(v: Column) -> Column:
+        early = to_iso_date(v["shown"]) < F.lit(EPOCH).cast("date")
+        return let(F.coalesce(v["impossible"] | early, v["impossible"]), lambda corrected: F.struct(
+            F.when(corrected, F.lit(EPOCH)).otherwise(v["shown"]).alias("date"), blank_if_null(c).alias("raw"), corrected.alias("corrected")))
+
+    # Every step is bound: as plain copies the text would be stripped some sixty times a row.
+    seen = let(compact_date(c), lambda raw: F.struct(
+        (raw.rlike(r"^\d{8}\z") & to_date8(raw).isNull()).alias("impossible"),
+        F.when(to_date8(raw).isNotNull(), dashed(raw)).otherwise(blank_if_null(c)).alias("shown")))
+    return let(seen, clamped)
 
 
 def commit_date(c: Column | str, default: str = "2000-01-01") -> Column:

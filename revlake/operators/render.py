@@ -270,8 +270,8 @@ def structured_body(title: Column, body: Column) -> Column:
 
 def _day(label: str, value: Column) -> Column:
     """A date as such, anything else quoted."""
-    text = blank_if_null(value)
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), F.concat(F.lit(f"{label}: "), text)).otherwise(_scalar(label, text, True))
+    return let(blank_if_null(value), lambda text: F.when(
+        text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), F.concat(F.lit(f"{label}: "), text)).otherwise(_scalar(label, text, True)))
 
 
 def _flag(label: str, value: Column) -> Column:
