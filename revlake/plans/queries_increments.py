@@ -106,8 +106,9 @@ def _(t: Inputs):
     """Counts of files that arrive one by one, the newest days first, so that most rows come late."""
     source, target, mark = (scratch(t.spark, x) for x in ("failures", "counts", "mark"))
     rows = t.view("failures").select("reason", F.col("failed_at").cast("timestamp").alias("failed_at"))
+    # Two files a weekday however many tasks read the table: otherwise the number of batches would grow with the cluster.
     for weekday in range(7, 0, -1):
-        rows.filter(F.dayofweek("failed_at") == weekday).write.mode("append").parquet(source)
+        rows.filter(F.dayofweek("failed_at") == weekday).repartition(2).write.mode("append").parquet(source)
     arriving = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
     streams.stream_failure_counts(arriving, target, mark).awaitTermination()
     return streams.read_failure_counts(t.spark, target).drop("late")

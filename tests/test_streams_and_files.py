@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlake.operators import incremental
+from revlake.plans import catalog, queries_increments
 from revlake.sources import documents, file_sink, log_stream, records, xml_details, xml_elements
 from revlake.streaming import leveled
 from revlake.streaming import revisions as streams
@@ -142,6 +143,15 @@ def test_file_sink_paths_are_checked_by_components(spark, tmp_path):
         documents.export_files(spark.createDataFrame([("../x", "y")], "path string, content string"), str(tmp_path / "o"))
 
 
+def test_batches_of_failures_do_not_grow_with_the_tasks_that_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries_increments, "scratch", lambda _, label: str(tmp_path / "run" / label))
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    catalog.load_all()
+    rows = catalog.QUERIES["stream_failure_counts"](spark, str(tmp_path)).collect()
+    assert sum(r["n"] for r in rows) == spark.read.parquet(str(tmp_path / "events.parquet")).filter("event_type = 'error'").count()
+    assert len([f for f in (tmp_path / "run" / "mark" / "commits").iterdir() if f.name.isdigit()]) <= 7
+
+
 def test_inventory_reads_large_files_in_chunks(spark, tmp_path):
     (tmp_path / "in" / "b c").mkdir(parents=True)
     (tmp_path / "in" / "b c" / "s%20.txt").write_bytes(b"small")
