@@ -136,6 +136,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, carry: list[str], least: float
 
 def _search(index: Index, columns: list[str], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textblock.keeping("decontaminate")
         for part in textblock.slices(batches, "text"):
             data, offsets = textblock.text_buffers(part.column("text"))
             words = textblock.Words(data, offsets, SEPARATORS)

@@ -57,6 +57,13 @@ def run_vectors(packed: np.ndarray) -> np.ndarray:
     return np.roll(parts[0], 2, 1) * np.roll(parts[1], 1, 1) * parts[2]
 
 
+def forget() -> None:
+    """Let go of what is kept for later tasks of a worker."""
+    global _symbols, _vectors
+    _ids.clear()
+    _symbols, _vectors = None, np.zeros((0, DIMENSIONS), np.int8)
+
+
 def _cached(packed: np.ndarray) -> np.ndarray:
     """Vectors of distinct n-grams, computed once for each worker while they fit the cache."""
     global _vectors
@@ -118,6 +125,7 @@ def bundles(distinct: np.ndarray, text: np.ndarray, inverse: np.ndarray, n: int)
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Names and vectors of the languages of *docs* (text, lang): one vector for each language reaches the driver."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textblock.keeping("hyperlang", forget)
         sums: dict[str, np.ndarray] = {}
         for part in textblock.slices(batches, "text"):
             distinct, text, inverse, _ = runs(part)
@@ -151,6 +159,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[s
     unit = (prototypes / np.where(lengths > 0, lengths, 1)).T.astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textblock.keeping("hyperlang", forget)
         for part in textblock.slices(batches, "text"):
             distinct, text, inverse, letters = runs(part)
             n = part.num_rows

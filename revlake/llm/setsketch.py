@@ -95,6 +95,7 @@ def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textblock.keeping("setsketch")
         for part in textblock.slices(batches, "text"):
             data, offsets = textblock.text_buffers(part.column("text"))
             values, first = textblock.distinct(*textblock.Words(data, offsets).shingles(words))
@@ -117,6 +118,7 @@ def _sets(words: int):
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    textblock.keeping("setsketch")
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
             part = batch.slice(at, 4096)
@@ -171,6 +173,7 @@ def _links(pairs: list[tuple[int, int]]) -> pa.Table:
 def _crossing(threshold: float):
     """Edges that span what likely pairs connect among the sets of two blocks of one band; fewer than there are sets."""
     def run(table: pa.Table) -> pa.Table:
+        textblock.keeping("setsketch")
         side = table.column("side").to_numpy()
         ids, parts, sizes = (table.column(c).to_numpy() for c in ("id", "component", "n"))
         rows = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)

@@ -255,44 +255,52 @@ def _schema(docs: DataFrame, carry: list[str]) -> str:
     return "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
 
 
-def encode(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
-    """Columns *carry* of *docs* with ``ids``, the tokens of ``text``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = vocabulary(path)
-        for part in textblock.slices(batches, "text", BLOCK_BYTES):
-            ids = model.encode([t or "" for t in part.column("text").to_pylist()])
-            first = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(first[-1]))
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, carry: list[str]) -> Iterator[pa.RecordBatch]:
+    textblock.keeping("triebpe", _loaded.clear)
+    model = vocabulary(path)
+    for part in textblock.slices(batches, "text", BLOCK_BYTES):
+        ids = model.encode([t or "" for t in part.column("text").to_pylist()])
+        first = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(first[-1]))
+        yield pa.RecordBatch.from_arrays(
+            [*(part.column(c) for c in carry), textblock.lists(flat, first, pa.int32())], names=[*carry, "ids"])
+    model.forget()
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, carry: list[str]) -> Iterator[pa.RecordBatch]:
+    textblock.keeping("triebpe", _loaded.clear)
+    model = vocabulary(path)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            ids = part.column("ids").fill_null([]) if part.column("ids").null_count else part.column("ids")
+            flat = ids.flatten().to_numpy().tolist()
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())]).tolist()
+            texts = [model.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in carry), textblock.lists(flat, first, pa.int32())], names=[*carry, "ids"])
-        model.forget()
+                [*(part.column(c) for c in carry), pa.array(texts, pa.string())], names=[*carry, "decoded"])
 
+
+def encode(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
+    """Columns *carry* of *docs* with ``ids``, the tokens of ``text``."""
     columns = list(dict.fromkeys([*carry, "text"]))
-    return textblock.bounded(docs).select(*columns).mapInArrow(run, _schema(docs, carry) + "ids array<int>")
+    return textblock.bounded(docs).select(*columns).mapInArrow(
+        lambda batches: _encoded(batches, path, carry), _schema(docs, carry) + "ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, carry: list[str]) -> DataFrame:
     """Columns *carry* of *encoded* with ``decoded``, the text of ``ids``; null ids give an empty text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = vocabulary(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = part.column("ids").fill_null([]) if part.column("ids").null_count else part.column("ids")
-                flat = ids.flatten().to_numpy().tolist()
-                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())]).tolist()
-                texts = [model.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in carry), pa.array(texts, pa.string())], names=[*carry, "decoded"])
-
     columns = list(dict.fromkeys([*carry, "ids"]))
-    return textblock.bounded(encoded).select(*columns).mapInArrow(run, _schema(encoded, carry) + "decoded string")
+    return textblock.bounded(encoded).select(*columns).mapInArrow(
+        lambda batches: _decoded(batches, path, carry), _schema(encoded, carry) + "decoded string")
 
 
 def round_trip(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
-    """Columns *carry* of *docs* with ``ids`` and ``decoded``."""
-    encoded = encode(docs, path, carry)
-    return decode(encoded, path, [*carry, "ids"])
+    """Columns *carry* of *docs* with ``ids`` and ``decoded``. One worker does both, as each holds a vocabulary."""
+    columns = list(dict.fromkeys([*carry, "text"]))
+    return textblock.bounded(docs).select(*columns).mapInArrow(
+        lambda batches: _decoded(_encoded(batches, path, carry), path, [*carry, "ids"]),
+        _schema(docs, carry) + "ids array<int>, decoded string")
 
 
 def digests(encoded: DataFrame) -> DataFrame:
