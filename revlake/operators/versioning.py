@@ -15,7 +15,7 @@ from revlake.functions.once import computed
 from revlake.functions.text import blank_if_null, or_else
 from revlake.operators.filters import is_non_current, is_repeal
 from revlake.operators.ordering import last_by, with_position, with_previous
-from revlake.session import checkpointed
+from revlake.session import checkpointed, materialized
 
 
 def lineage_key(lineage: Column | str, rev: Column | str) -> Column:
@@ -91,9 +91,10 @@ def assign_case_paths(cases: DataFrame, folder: str = "folder", stem: str = "ste
     """
     plain = F.concat_ws("/", folder, F.concat(F.col(stem), F.lit(".md")))
     long = F.concat_ws("/", folder, F.concat(F.col(stem), F.lit("_"), F.col(serial), F.lit(".md")))
-    rows = cases.withColumn("_plain", plain).withColumn("_long", long)
+    # Stems are long expressions, and every pass reads the cases several times: they are evaluated once.
+    rows = materialized(cases.withColumn("_plain", plain).withColumn("_long", long))
     firsts = rows.groupBy("_plain").agg(F.min(serial).alias("_first"))
-    state = rows.join(firsts, "_plain").withColumn("suffixed", F.col(serial) != F.col("_first")).drop("_first")
+    state = materialized(rows.join(firsts, "_plain").withColumn("suffixed", F.col(serial) != F.col("_first")).drop("_first"))
 
     def taken(frame: DataFrame) -> DataFrame:
         claims = frame.filter("suffixed").groupBy(F.col("_long").alias("_plain")).agg(F.min(serial).alias("_by"))
@@ -104,7 +105,7 @@ def assign_case_paths(cases: DataFrame, folder: str = "folder", stem: str = "ste
         clashes = taken(state)
         if clashes.isEmpty():
             break
-        state = checkpointed(
+        state = materialized(
             state.join(clashes.withColumn("_hit", F.lit(True)), "_plain", "left")
             .withColumn("suffixed", F.col("suffixed") | F.coalesce("_hit", F.lit(False))).drop("_hit"))
     return state.withColumn("path", F.when(F.col("suffixed"), F.col("_long")).otherwise(F.col("_plain"))).drop("_plain", "_long")
