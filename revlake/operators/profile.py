@@ -161,9 +161,10 @@ def case_quality_profile(cases: DataFrame, compose: bool = True) -> DataFrame:
     counted = keyed.agg(
         F.count(F.lit(1)).alias("scanned"), *[F.count_if(c).alias(n) for n, c in checks.items()],
         F.count_distinct(F.when(court != "", court)).alias("distinct_courts"))
-    per_code = keyed.filter(blank_if_null("court_code") != "").groupBy("court_code").agg(
+    # These need none of the keys, which would be evaluated for each of them anew.
+    per_code = cases.filter(blank_if_null("court_code") != "").groupBy("court_code").agg(
         (F.min(court) != F.max(court)).alias("_many"))
-    serials = keyed.filter(serial != "").groupBy("serial").agg(F.count(F.lit(1)).alias("n"))
+    serials = cases.filter(serial != "").groupBy("serial").agg(F.count(F.lit(1)).alias("n"))
     wide = counted.select(
         "*", per_code.agg(F.count_if("_many")).scalar().alias("codes_with_many_names"),
         serials.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar().alias("serial_duplicates"))

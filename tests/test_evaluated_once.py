@@ -1,7 +1,7 @@
 """Expensive expressions and rows that an operator reads several times."""
 from pyspark.sql import functions as F
 
-from revlake.operators import versioning
+from revlake.operators import profile, versioning
 
 
 def test_stems_of_cases_are_evaluated_once(spark, tmp_path):
@@ -19,3 +19,11 @@ def test_stems_of_cases_are_evaluated_once(spark, tmp_path):
     assert got == {"1": "f/a.md", "2": "f/a_2.md", "3": "f/a_2_3.md", "0": "f/b.md"}
     with open(log) as file:
         assert len(file.read()) == len(rows)
+
+
+def test_case_keys_are_evaluated_in_one_pass_of_the_profile(spark):
+    cases = spark.createDataFrame(
+        [("1", "대법원", "400201", "20200101", "2001다1", "민사")],
+        "serial string, court string, court_code string, date string, case_no string, case_type string")
+    plan = profile.case_quality_profile(cases)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 2  # the keys and the rows of the result
