@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlake.operators.ordering import first_by
-from revlake.session import checkpointed
+from revlake.session import checkpointed, materialized
 
 
 def ancestor_chains(parents: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
@@ -44,14 +44,23 @@ def organization_paths(df: DataFrame, parents: DataFrame, top: str = "top", agen
 
     An agency under another top than its parent's is placed by its own chain; one that the top's chain lacks is appended.
     """
-    chains = checkpointed(ancestor_chains(parents))
-    of = lambda c: chains.select(F.col("name").alias(c), F.col("path").alias(f"_{c}_path"), F.col("status").alias(f"_{c}_status"))
-    rows = df.join(of(top), top, "left").join(of(agency), agency, "left")
-    alone = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array(c))
-    base, own = F.coalesce(f"_{top}_path", alone(top)), F.coalesce(f"_{agency}_path", alone(agency))
-    above = F.get(own, F.size(own) - 2)
-    wrong = above.isNotNull() & (F.col(top) != F.col(agency)) & (F.col(top) != above)
-    path = F.when(F.coalesce(F.col(agency), F.lit("")) == "", base).when(wrong, own).when(
-        (F.col(agency) != F.col(top)) & ~F.array_contains(base, F.col(agency)), F.concat(base, F.array(agency))).otherwise(base)
+    chains = materialized(ancestor_chains(parents).withColumn("above", F.get("path", F.size("path") - 2)))
+
+    def of(c: str, *values: str) -> DataFrame:
+        return chains.select(F.col("name").alias(c), *[F.col(v).alias(f"_{c}_{v}") for v in values])
+
+    # Paths are long. Rows are joined with what decides between the two chains first, and then with the one path they get, so
+    # that none is shuffled or sorted with a path.
+    rows = df.join(of(top, "status"), top, "left").join(of(agency, "status", "above"), agency, "left")
+    above, named = F.col(f"_{agency}_above"), F.coalesce(F.col(agency), F.lit("")) != ""
+    wrong = F.coalesce(named & above.isNotNull() & (F.col(top) != F.col(agency)) & (F.col(top) != above), F.lit(False))
     cycle = (F.coalesce(f"_{top}_status", F.lit("ok")) == "cycle") | (F.coalesce(f"_{agency}_status", F.lit("ok")) == "cycle")
-    return rows.select(*df.columns, path.alias("path"), F.when(cycle, "cycle").otherwise("ok").alias("path_status"))
+    rows = rows.select(
+        *df.columns, F.when(wrong, F.col(agency)).otherwise(F.col(top)).alias("_of"), wrong.alias("_wrong"),
+        F.when(cycle, "cycle").otherwise("ok").alias("path_status"))
+    rows = rows.join(chains.select(F.col("name").alias("_of"), F.col("path").alias("_path")), "_of", "left")
+    alone = F.when(F.coalesce(F.col("_of"), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array("_of"))
+    base = F.coalesce("_path", alone)
+    path = F.when(~named | F.col("_wrong"), base).when(
+        (F.col(agency) != F.col(top)) & ~F.array_contains(base, F.col(agency)), F.concat(base, F.array(agency))).otherwise(base)
+    return rows.select(*df.columns, path.alias("path"), "path_status")

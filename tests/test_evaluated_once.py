@@ -1,7 +1,7 @@
 """Expensive expressions and rows that an operator reads several times."""
 from pyspark.sql import functions as F
 
-from revlake.operators import profile, versioning
+from revlake.operators import hierarchy, profile, versioning
 
 
 def test_stems_of_cases_are_evaluated_once(spark, tmp_path):
@@ -27,3 +27,15 @@ def test_case_keys_are_evaluated_in_one_pass_of_the_profile(spark):
         "serial string, court string, court_code string, date string, case_no string, case_type string")
     plan = profile.case_quality_profile(cases)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate inline") == 2  # the keys and the rows of the result
+
+
+def test_rows_meet_paths_of_organizations_once_at_the_end(spark):
+    parents = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y"), ("y", "x")], "child string, parent string")
+    rows = [(1, "a", "c"), (2, "b", "c"), (3, "b", "new"), (4, "b", ""), (5, None, "c"), (6, "x", None), (7, "", "")]
+    placed = hierarchy.organization_paths(spark.createDataFrame(rows, "id int, top string, agency string"), parents)
+    got = {r["id"]: (r["path"], r["path_status"]) for r in placed.collect()}
+    assert got == {
+        1: (["a", "b", "c"], "ok"), 2: (["a", "b"] + ["c"], "ok"), 3: (["a", "b", "new"], "ok"), 4: (["a", "b"], "ok"),
+        5: ([], "ok"), 6: (["y", "x"], "cycle"), 7: ([], "ok")}
+    plan = placed._jdf.queryExecution().sparkPlan().toString()
+    assert len([line for line in plan.splitlines() if "FileScan" in line and "path#" in line.split("]")[0]]) == 1
