@@ -31,8 +31,8 @@ FAILURE_REASONS = {
 def extract_html_rows(df: DataFrame, html: str, name: str) -> DataFrame:
     """Amendment-history rows of HTML tables whose normalized name equals *name*."""
     keep = [c for c in df.columns if c != html]
-    rows = F.regexp_extract_all(F.col(html), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    cells = F.regexp_extract_all(F.col("_row"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1))
+    rows = F.regexp_extract_all(F.col(html), F.lit(r"<tr[^>]*>([^<]*+(?:<(?!/tr>)[^<]*+)*+)</tr>"), F.lit(1))
+    cells = F.regexp_extract_all(F.col("_row"), F.lit(r"<td[^>]*>([^<]*+(?:<(?!/td>)[^<]*+)*+)</td>"), F.lit(1))
     clean = F.transform(cells, lambda c: strip(unescape_html(strip_tags(c))))
     exploded = df.select(*keep, F.posexplode(rows).alias("row_pos", "_row"))
     return (
