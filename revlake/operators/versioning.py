@@ -6,6 +6,8 @@ prom_num`` (+ ``amendment, current_flag`` where repeals matter).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from revlake.functions.once import computed
 from revlake.functions.text import blank_if_null, or_else
 from revlake.operators.filters import is_non_current, is_repeal
 from revlake.operators.ordering import last_by, with_position, with_previous
-from revlake.session import checkpointed, materialized
+from revlake.session import materialized
 
 
 def lineage_key(lineage: Column | str, rev: Column | str) -> Column:
@@ -115,7 +117,8 @@ def _candidate(step: Column, corpus: str) -> Column:
     """Candidate path of a revision after *step* rejections."""
     issue, serial, ident = (blank_if_null(c) for c in ("issue", "serial", "identity"))
     own = ident if corpus == "ordinance" else serial
-    safe = lambda c: safe_path_part(c, compose=False)
+    # The common numbers are safe as they are, which one match tells.
+    safe = lambda c: F.when(c.rlike(r"\A[0-9_가-힣]{1,60}\z"), c).otherwise(safe_path_part(c, compose=False))
     first, second = (issue, own) if corpus == "ordinance" else (or_else(issue, own), own)
     if corpus == "ordinance":
         third = F.concat(safe(issue), F.lit("_"), safe(own))
@@ -131,11 +134,22 @@ def _candidate(step: Column, corpus: str) -> Column:
     return F.concat(F.col("dir"), F.lit("/"), F.col("name"), tail)
 
 
-def _settle(state: DataFrame, corpus: str) -> DataFrame:
-    """One proposal round: the earliest claim decides whose identity holds each path."""
-    proposed = state.withColumn("_path", _candidate(F.col("_step"), corpus))
-    holders = proposed.groupBy("_path").agg(F.min_by("identity", "serial").alias("_holder"))
-    return proposed.join(holders, "_path").withColumn("_rejected", F.col("identity") != F.col("_holder")).drop("_holder")
+def _folder(path: str) -> Column:
+    """Directory of a candidate path; suffixes hold no separator, so all candidates of a revision share it."""
+    return F.left(path, F.length(path) - F.length(F.substring_index(path, "/", -1)))
+
+
+def _claimed(revisions: DataFrame, naming: list[str]) -> DataFrame:
+    """Distinct naming rows with the place of their claim and a number of their identity.
+
+    Both are numbers, so that rounds are aggregated by hash; the least text of a group would sort all rows of it.
+    """
+    rows = materialized(revisions.select(*naming))
+    numbers = materialized(rows.select(F.col("identity").alias("_identity")).distinct().withColumn("_who", F.monotonically_increasing_id()))
+    order = [F.col(c).asc_nulls_last() for c in naming]
+    # Distinct rows need no further shuffle, as equal ones share a range.
+    placed = rows.repartitionByRange(*order).distinct().sortWithinPartitions(*order).withColumn("_claim", F.monotonically_increasing_id())
+    return placed.join(numbers, F.col("identity").eqNullSafe(F.col("_identity"))).drop("_identity")
 
 
 def assign_rule_paths(revisions: DataFrame, corpus: str = "rule") -> DataFrame:
@@ -146,20 +160,29 @@ def assign_rule_paths(revisions: DataFrame, corpus: str = "rule") -> DataFrame:
     candidate nobody else holds" is a serial dictatorship, which deferred acceptance
     reaches in parallel: every revision proposes its current candidate, each path keeps
     the identity with the earliest claim, the others move to their next candidate, until
-    nobody is rejected.  All candidates stay in the revision's directory, so after the
-    first round only directories with a rejection take part.  Each round is one
-    aggregation and one join over the naming columns alone; no directory is ever gathered in a task.
+    nobody is rejected.  All candidates stay in the revision's directory, so only directories
+    with a rejection take part in the next round.  Each round is one aggregation and one join
+    with the contested paths alone; no directory is ever gathered in a task.
     """
     naming = ["serial", "identity", "dir", "name", "issue"]
-    start = revisions.select(*naming).distinct().withColumn("_step", F.lit(0))
-    first = checkpointed(_settle(start, corpus))
-    contested = first.filter("_rejected").select("dir").distinct()
-    done = first.join(contested, "dir", "left_anti")
-    open_ = first.join(contested, "dir", "left_semi")
-    while not open_.filter("_rejected").isEmpty():
-        moved = open_.withColumn("_step", F.col("_step") + F.col("_rejected").cast("int")).drop("_path", "_rejected")
-        open_ = checkpointed(_settle(moved, corpus))
-    paths = done.unionByName(open_).select(
+    open_ = materialized(_claimed(revisions, naming).withColumn("_step", F.lit(0)).withColumn("_path", _candidate(F.lit(0), corpus)))
+    settled = []
+    while True:
+        holders = open_.groupBy("_path").agg(
+            F.min_by("_who", "_claim").alias("_holder"), F.min("_who").alias("_low"), F.max("_who").alias("_high"))
+        contested = materialized(holders.filter("_path is not null and _low <> _high").select("_path", "_holder"))
+        if contested.isEmpty():
+            break
+        folders = contested.select(_folder("_path").alias("_folder")).distinct()
+        rows = open_.withColumn("_folder", _folder("_path"))
+        settled.append(rows.join(folders, "_folder", "left_anti").select(*naming, "_path"))
+        proposed = rows.join(folders, "_folder", "left_semi").drop("_folder").join(contested, "_path", "left")
+        rejected = F.coalesce(F.col("_who") != F.col("_holder"), F.lit(False))
+        open_ = materialized(
+            proposed.withColumn("_rejected", rejected).withColumn("_step", F.col("_step") + F.col("_rejected").cast("int"))
+            .withColumn("_path", F.when(F.col("_rejected"), _candidate(F.col("_step"), corpus)).otherwise(F.col("_path")))
+            .drop("_holder", "_rejected"))
+    paths = functools.reduce(DataFrame.unionByName, settled, open_.select(*naming, "_path")).select(
         *[F.col(c).alias(f"_{c}") for c in naming], F.concat("_path", F.lit("/본문.md")).alias("path"))
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in naming]
     return revisions.join(paths, same).drop(*[f"_{c}" for c in naming])

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from revlake import session
 from revlake.operators import ordering, refs, versioning
 from revlake.plans import catalog
 
@@ -60,6 +61,21 @@ def test_ordinance_paths_use_number_and_identity(spark):
     assert all(r["path"].count("/") == 2 for r in versioning.assign_rule_paths(slashed).collect())
 
 
+def test_rule_paths_meet_across_directories_and_rounds_sort_no_rows(spark, monkeypatch):
+    """A name may hold a separator; groups of a path are aggregated by hash."""
+    seen = []
+    for name in ("checkpointed", "materialized"):
+        step = getattr(session, name)
+        monkeypatch.setattr(versioning, name, lambda df, step=step: seen.append(df) or step(df), raising=False)
+    rows = [("1", "A", "org", "a/b_1", ""), ("2", "B", "org/a", "b", "1"), ("3", "C", "org/a", "b", "1"), ("3", "C", "org/a", "b", "1"),
+            ("4", None, "org", "c", None), ("5", "D", "org", "c", None), (None, "E", "org", "c", "2")]
+    frame = spark.createDataFrame(rows, "serial string, identity string, dir string, name string, issue string")
+    got = [(r["serial"], r["path"].removesuffix("/본문.md")) for r in versioning.assign_rule_paths(frame).collect()]
+    assert sorted(got, key=str) == [
+        ("1", "org/a/b_1"), ("2", "org/a/b"), ("3", "org/a/b_3"), ("3", "org/a/b_3"), ("4", "org/c"), ("5", "org/c_5"), (None, "org/c_2")]
+    assert seen and not any("SortAggregate" in df._jdf.queryExecution().executedPlan().toString() for df in seen)
+
+
 def test_case_paths_equal_the_sequential_claims(spark):
     rng = random.Random(5)
     rows = [{"serial": str(i), "folder": "f", "stem": rng.choice(["a", "b", f"a_{rng.randint(0, 300)}", f"a_{rng.randint(0, 300)}_{rng.randint(0, 300)}"])} for i in range(300)]
