@@ -310,40 +310,35 @@ def parse_ordinance_detail(df: DataFrame, xml: str = "xml") -> DataFrame:
 def parse_search_page(df: DataFrame, kind: str, xml: str = "xml") -> DataFrame:
     """``total, page, item`` rows of result pages; failed pages and bad XML yield nothing.
 
-    ``item`` maps child tag to text.  Laws and cases have fixed fields, every other
-    *kind* takes whatever child tags its items carry.
+    ``item`` maps child tag to text.  Laws and cases have fixed fields, each with its first text or '', and are taken from the
+    parser's tree; every other *kind* takes whatever child tags its items carry.
     """
-    pages = _parsed(df, xml, ["totalCnt", "page", "result"], ", ".join(_top(["totalCnt", "page", "result"])))
-    rec = F.col("_rec")
-    good = pages.filter(F.col("_ok")).filter(~F.contains(_first(rec, "result"), F.lit(FAILED)))
-    head = [
-        F.coalesce(_first(rec, "totalCnt").try_cast("bigint"), F.lit(0).cast("bigint")).alias("total"),
-        F.coalesce(_first(rec, "page").try_cast("bigint"), F.lit(1).cast("bigint")).alias("page"),
-    ]
-    items = F.regexp_extract_all(F.col(xml), F.lit(rf"(?s)<{kind}(?:\s[^>]*)?>(.*?)</{kind}>"), F.lit(1))
     keep = [c for c in df.columns if c != xml]
-    rows = good.select(*keep, *head, F.posexplode(items).alias("row_pos", "_item"))
+    head = {"totalCnt": "totalCnt", "page": "page", "result": "result"}
     fixed = SEARCH_FIELDS.get(kind)
-    return rows.select(*keep, "total", "page", "row_pos", child_map(F.col("_item"), fixed).alias("item"))
-
-
-def child_map(fragment: Column, fixed: Sequence[str] | None = None) -> Column:
-    """Child tags of an XML fragment as a map; a repeated tag keeps its last text.
-
-    With *fixed* names the map has exactly those, each with its first text or ''.
-    """
+    if fixed is not None:
+        pages = computed(df, _rec=records(F.col(xml), head, {"items": Nodes(kind, {f: f for f in fixed})}))
+        rec = F.col("_rec")
+        ok, first, items = rec["ok"], lambda tag: rec[tag], rec["items"]
+        item = F.map_from_arrays(F.array(*[F.lit(f) for f in fixed]), F.array(*[F.col("_item")[f] for f in fixed]))
+    else:
+        pages = _parsed(df, xml, head, ", ".join(_top(head)))
+        ok, first = F.col("_ok"), lambda tag: _first(F.col("_rec"), tag)
+        items = F.regexp_extract_all(F.col(xml), F.lit(rf"(?s)<{kind}(?:\s[^>]*)?>(.*?)</{kind}>"), F.lit(1))
+        item = child_map(F.col("_item"))
+    good = pages.filter(ok).filter(~F.contains(first("result"), F.lit(FAILED)))
+    return good.select(
+        *keep, F.coalesce(first("totalCnt").try_cast("bigint"), F.lit(0).cast("bigint")).alias("total"),
+        F.coalesce(first("page").try_cast("bigint"), F.lit(1).cast("bigint")).alias("page"),
+        F.posexplode(items).alias("row_pos", "_item")).select(*keep, "total", "page", "row_pos", item.alias("item"))
+
+
+def child_map(fragment: Column) -> Column:
+    """Child tags of an XML fragment as a map; a repeated tag keeps its last text."""
     pattern = r"(?s)<([^\s/<>!?]+)(?:\s[^>]*)?(?:/>|>([^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+)</\1>)"
     parts = F.struct(
         F.regexp_extract_all(fragment, F.lit(pattern), F.lit(1)).alias("names"),
         F.regexp_extract_all(fragment, F.lit(pattern), F.lit(2)).alias("raw"))
-
-    def pick(v: Column) -> Column:
-        wanted = F.array(*[F.lit(n) for n in fixed])
-        return F.map_from_arrays(wanted, F.transform(wanted, lambda n: _plain(F.coalesce(
-            F.get(v["raw"], (F.array_position(v["names"], n) - 1).cast("int")), F.lit("")))))
-
-    if fixed is not None:
-        return let(parts, pick)
     return let(parts, lambda v: map_of(v["names"], F.transform(v["raw"], _plain)))
 
 

@@ -37,6 +37,18 @@ def test_inferred_search_columns(spark):
     assert row["item"] == {"a": "2", "b": "x <y>", "c": ""} and row["total"] == 2
 
 
+def test_fixed_search_fields_are_those_of_the_parser(spark):
+    """Direct children only, text around CDATA, items with attributes and failed, cut or missing pages."""
+    item = "<법령명한글>가 <![CDATA[나 & <다>]]> &lt;라</법령명한글><w><법령ID>9</법령ID></w><공포번호/><공포번호>2</공포번호>"
+    page = f"<s><x><totalCnt> 2 </totalCnt></x><page>z</page><law id='1'>{item}</law><w><law><법령ID>7</법령ID></law></w><!-- <law/> --></s>"
+    rows = [("ok", page), ("failed", page.replace("</s>", "<result>실패</result></s>")), ("cut", page[:-2]), ("none", None)]
+    found = xml_details.parse_search_page(spark.createDataFrame(rows, "id string, xml string"), "law")
+    got = sorted(found.collect(), key=lambda r: r["row_pos"])
+    assert [(r["id"], r["total"], r["page"], r["row_pos"]) for r in got] == [("ok", 2, 1, 0), ("ok", 2, 1, 1)]
+    assert got[0]["item"] == dict.fromkeys(xml_details.SEARCH_FIELDS["law"], "") | {"법령명한글": "가 나 & <다> <라"}
+    assert got[1]["item"] == dict.fromkeys(xml_details.SEARCH_FIELDS["law"], "") | {"법령ID": "7"}
+
+
 def test_history_files(spark, tmp_path):
     entry = {"법령일련번호": " 5 ", "법령명한글": "민법", "제개정구분명": "제정"}
     for name, text in (("ok", json.dumps([entry, "x"], ensure_ascii=False)), ("empty", "[]"), ("bad", "[{"), ("object", '{"a": 1}')):
