@@ -188,10 +188,10 @@ def assign_rule_paths(revisions: DataFrame, corpus: str = "rule") -> DataFrame:
     return revisions.join(paths, same).drop(*[f"_{c}" for c in naming])
 
 
-def event_key(date: str = "issue_date", serial: str = "serial", path: str = "path") -> list[Column]:
-    """Event order of rules and ordinances; serials that are no numbers come last."""
+def event_key(day: str = "_day", serial: str = "serial", path: str = "path") -> dict[str, Column]:
+    """Event order of rules and ordinances by checked days; serials that are no numbers come last."""
     number = F.coalesce(F.col(serial).try_cast("bigint"), F.lit(2**63 - 1))
-    return [or_else(format_date_checked(date), "1970-01-01"), number, F.col(path)]
+    return {"_from": or_else(F.col(day), "1970-01-01"), "_number": number, path: F.col(path)}
 
 
 def revision_change_log(
@@ -204,12 +204,16 @@ def revision_change_log(
     unless that was a repeal, so a lag replaces the fold.  *published* (identity, path)
     seeds the first event of an identity when appending to existing documents.
     """
-    # Only what the fold needs is sorted and written; texts stay behind.
-    rows = revisions.select(
-        "rev_id", "identity", "serial", "path", date, is_repeal("amendment").alias("_repeal"),
-        is_non_current("current_flag").alias("_non_current"), F.struct(*event_key(date)).alias("_key"))
+    # Only what the fold needs is sorted and written; texts stay behind. Choosing the ranges of a sort reads its rows once
+    # more, and checking a day is most of their cost, so they are written with the day before.
+    dated = computed(
+        revisions.select("rev_id", "identity", "serial", "path", "amendment", "current_flag", date), _day=format_date_checked(date))
+    key = event_key()
+    rows = materialized(dated.select(
+        "rev_id", "identity", "_day", is_repeal("amendment").alias("_repeal"), is_non_current("current_flag").alias("_non_current"),
+        *[value.alias(name) for name, value in key.items()]))
     live = F.struct(F.col("_repeal").alias("repeal"), F.col("path").alias("path"))
-    seen = with_previous(rows, ["identity"], [F.col("_key")], live, "_before", last="_is_last").drop("_key")
+    seen = with_previous(rows, ["identity"], [F.col(name) for name in key], live, "_before", last="_is_last")
     before = F.when(F.col("_before").isNotNull() & ~F.col("_before")["repeal"], F.col("_before")["path"])
     if published is not None:
         seed = published.groupBy("identity").agg(F.max("path").alias("_seed"))
@@ -223,7 +227,7 @@ def revision_change_log(
         .when(moved, "move").otherwise("write").alias("action"),
         F.when(~F.col("_repeal"), F.col("path")).alias("path"),
         F.when(F.col("_repeal") | moved, F.col("live_path")).alias("removed_path"),
-        or_else(format_date_checked(date), "2000-01-01").alias("date"),
+        or_else(F.col("_day"), "2000-01-01").alias("date"),
         (F.col("_is_last") & ~F.col("_repeal") & F.col("_non_current") & F.lit(drop_non_current)).alias("_gone"),
         F.col("path").alias("_own"),
     )

@@ -39,3 +39,22 @@ def test_rows_meet_paths_of_organizations_once_at_the_end(spark):
         5: ([], "ok"), 6: (["y", "x"], "cycle"), 7: ([], "ok")}
     plan = placed._jdf.queryExecution().sparkPlan().toString()
     assert len([line for line in plan.splitlines() if "FileScan" in line and "path#" in line.split("]")[0]]) == 1
+
+
+def test_days_and_rows_of_a_change_log_are_evaluated_once(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "calls")
+
+    @F.udf("string")
+    def day(text):
+        with open(log, "a") as file:
+            file.write("x")
+        return "" if text == "none" else text
+
+    monkeypatch.setattr(versioning, "format_date_checked", day)
+    rows = [("1", "a", "2020-01-02", "p1", "제정"), ("2", "a", "none", "p0", "제정"), ("3", "b", "2020-01-01", "q", "폐지")]
+    frame = spark.createDataFrame(rows, "serial string, identity string, issue_date string, path string, amendment string")
+    frame = frame.select("*", F.col("serial").alias("rev_id"), F.lit("Y").alias("current_flag"))
+    got = {(r["rev_id"], r["action"], r["removed_path"], r["date"]) for r in versioning.revision_change_log(frame).collect()}
+    assert got == {("2", "write", None, "2000-01-01"), ("1", "move", "p0", "2020-01-02"), ("3", "none", None, "2020-01-01")}
+    with open(log) as file:
+        assert len(file.read()) == len(rows)
