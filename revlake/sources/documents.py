@@ -11,6 +11,7 @@ from urllib.parse import quote
 
 import pandas as pd
 import pyarrow as pa
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -111,7 +112,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 place, name = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
             digest = hashlib.sha256()
-            with place.open_input_stream(name) as stream:
+            # Bytes as they are: by default names like x.gz are decompressed.
+            with place.open_input_stream(name, compression=None) as stream:
                 while chunk := stream.read(CHUNK_BYTES):
                     digest.update(chunk)
             found.append(digest.hexdigest())
@@ -150,13 +152,13 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(rows)
 
 
-def _local_files(spark: SparkSession, root: str, tasks: int) -> DataFrame:
+def _local_files(spark: SparkSession, root: str, tasks: int, empty: bool) -> DataFrame:
     """path and length of the files below a folder of a mounted share, listed level by level by tasks, not by the driver."""
     level = spark.createDataFrame([(root,)], "path string")
     files = None
     while True:
         found = checkpointed(level.repartition(tasks).mapInArrow(_entries, "path string, length long, folder boolean"))
-        own = found.filter("NOT folder AND length > 0").select("path", "length")
+        own = found.filter("NOT folder" if empty else "NOT folder AND length > 0").select("path", "length")
         files = own if files is None else files.union(own)
         level = found.filter("folder").select("path")
         if level.isEmpty():
@@ -167,20 +169,32 @@ def _inventory(files: DataFrame, relative: Column) -> DataFrame:
     return files.select(relative.alias("path"), F.substring_index(relative, "/", 1).alias("bucket"), F.col("length").alias("bytes"), "sha256")
 
 
-def file_inventory(spark: SparkSession, path: str, row_bytes: int = ROW_BYTES) -> DataFrame:
+def _empty_files(spark: SparkSession, storage: JavaObject, place: JavaObject) -> DataFrame:
+    """path, length and digest of the files without a byte below *place*, which no file scan of Spark lists."""
+    below, paths = len(storage.getFileStatus(place).getPath().toString().rstrip("/")) + 1, []
+    found = storage.listFiles(place, True)
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().toString()
+        if status.getLen() == 0 and all(map(_is_listed, name[below:].split("/"))):
+            paths.append((name, 0, hashlib.sha256().hexdigest()))
+    return spark.createDataFrame(paths, "path string, length long, sha256 string")
+
+
+def file_inventory(spark: SparkSession, path: str, row_bytes: int = ROW_BYTES, empty: bool = False) -> DataFrame:
     """path, bucket, bytes and digest of every file below *path*, listed and hashed on the executors.
 
     A folder that is mounted at the same place everywhere is listed and read by the tasks themselves, a chunk of a file at a time;
     a scan of Spark would list every file on the driver and spend a millisecond or more on opening each. On other storage, files of at
     most *row_bytes* are hashed from rows and larger ones in chunks. As in every file scan of Spark, files that are empty or
-    whose names begin with a dot or an underscore are not listed.
+    whose names begin with a dot or an underscore are not listed; with *empty*, those that are empty are.
     """
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     storage = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if storage.getUri().getScheme() == "file" and storage.exists(place) and storage.getFileStatus(place).isDirectory():
         root = os.path.abspath(local(path))
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        hashed = _local_files(spark, root, tasks).repartition(tasks).mapInArrow(_digests, "path string, length long, sha256 string")
+        hashed = _local_files(spark, root, tasks, empty).repartition(tasks).mapInArrow(_digests, "path string, length long, sha256 string")
         return _inventory(hashed, F.substring("path", len(root.rstrip("/")) + 2, 2**31 - 1))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     small = files.filter(F.col("length") <= row_bytes).select("path", "length", F.sha2("content", 256).alias("sha256"))
@@ -188,7 +202,8 @@ def file_inventory(spark: SparkSession, path: str, row_bytes: int = ROW_BYTES) -
     large = files.filter(F.col("length") > row_bytes).select("path", "length").mapInArrow(_digests, "path string, length long, sha256 string")
     root = re.sub(r"^[a-z]+:/+|^/+", "", path.rstrip("/"))
     relative = F.regexp_replace("path", rf"^(?:[a-z]+:)?/*\Q{root}\E/", "")
-    return _inventory(small.union(large), relative)
+    hashed = small.union(large)
+    return _inventory(hashed.union(_empty_files(spark, storage, place)) if empty else hashed, relative)
 
 
 def text_inventory(df: DataFrame, path: str, bucket: str, text: str) -> DataFrame:

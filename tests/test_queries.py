@@ -43,3 +43,15 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_inventory_has_empty_and_missing_texts_and_odd_paths(spark, tmp_path):
+    rows = [(1, "", "a"), (2, None, "a"), (3, "x\r\n가", "a"), (4, "y", ".b"), (5, "y", "_c"), (6, "y", "d/e"), (7, "", "d/e"), (8, "y", ""), (9, "y", None),
+            (10, "y", ".."), (11, "y", "f" * 300), (12, "y", "g h%20"), (13, "", "i.gz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    df = QUERIES["file_inventory"](spark, str(tmp_path))
+    other = duckdb.connect()
+    other.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cursor = other.execute(ORACLES["file_inventory"])
+    assert table(df.columns, df.collect()) == table([d[0] for d in cursor.description], cursor.fetchall())

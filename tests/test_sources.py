@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import json
 
@@ -95,6 +96,19 @@ def test_inventory_is_listed_by_tasks(spark, tmp_path):
             (n, n.split("/")[0], len(n), hashlib.sha256(n.encode()).hexdigest()) for n in names[:5]}
 
 
+def test_inventory_of_empty_files_and_of_bytes_as_they_are(spark, tmp_path):
+    (tmp_path / "a" / "_s").mkdir(parents=True)
+    contents = {"a/empty": b"", "top": b"", "a/x.gz": gzip.compress(b"x"), "a/y.txt": b"y"}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    (tmp_path / "a" / "_s" / "empty").touch()
+    (tmp_path / ".empty").touch()
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+    for path in (str(tmp_path), "viewfs://store/in"):
+        got = sorted(tuple(r) for r in documents.file_inventory(spark, path, empty=True).collect())
+        assert got == sorted((n, n.split("/")[0], len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items())
+
+
 def test_foreign_headers(spark):
     df = spark.createDataFrame([("a: {b: 1}\nc: 2020-01-02",), ("- x",), ("a: [",)], "h string")
     got = [r[0] for r in df.select(documents.foreign_header_json("h")).collect()]
