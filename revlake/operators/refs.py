@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlake.functions.dates import document_priority
 from revlake.functions.text import blank_if_null, lines_of
 from revlake.operators.filters import glob_matches
 from revlake.operators.ordering import with_position
-from revlake.operators.profile import collect_references
 
 # The two tag shapes, the download address and the states of a reference.
 SRC_TAG = r"(?i)(<img\b[^>]*\bsrc=[\"']https?://www\.law\.go\.kr/(?:LSW/)?flDownload\.do\?flSeq=(\d+)[^>]*>(?:</img>)?)"
@@ -147,30 +146,40 @@ def ref_report(refs: DataFrame, status: str | None = None, glob: str | None = No
 def export_shards(
     refs: DataFrame, statuses: Iterable[str] = EXPORTED, shards: int = SHARDS, size: int = PAGE_SIZE,
 ) -> dict[str, DataFrame]:
-    """Detail rows by shard, list pages by id descending, a summary row and the law names."""
+    """Detail rows by shard, list pages by id descending, a summary row and the law names.
+
+    Detail rows are those of ``collect_references``. They are dealt once, each shard to SHARD_PIECES tasks as it is written, and an
+    image's first entry is found where its rows then are; a join by image would send all rows once more.
+    """
     rows = refs.filter(F.col("status").isin(*statuses))
-    detail = collect_references(rows).withColumn("shard", F.pmod(F.col("id").cast("bigint"), F.lit(shards)).cast("int"))
+    shard, piece = F.pmod(F.col("id").cast("bigint"), F.lit(shards)).cast("int"), F.pmod(F.xxhash64("id"), F.lit(SHARD_PIECES))
+    image = Window.partitionBy("shard", "_piece", "id")
+    detail = rows.withColumn("shard", shard).withColumn("_piece", piece).repartition("shard", "_piece").withColumns({
+        "_first": F.min_by(F.struct("status", "sha256"), F.struct("doc", "line")).over(image), "n_refs": F.count(F.lit(1)).over(image)})
+    detail = detail.select(
+        "id", *[c for c in refs.columns if c not in ("id", "status", "sha256")], "n_refs", F.col("_first")["status"].alias("status"),
+        F.col("_first")["sha256"].alias("sha256"), "shard")
     images = rows.groupBy("id").agg(
         F.min_by(F.struct("status", "law"), F.struct("doc", "line")).alias("_first")).select(
         "id", F.col("_first")["status"].alias("status"), F.col("_first")["law"].alias("law"))
     pages = with_position(images, [F.col("id").desc()]).withColumn("page", (F.floor((F.col("pos") - 1) / size) + 1).cast("int"))
     total = F.count(F.lit(1))
-    summary = images.agg(
+    summary = pages.agg(
         total.alias("total"), F.lit(size).alias("per_page"),
         F.greatest(F.lit(1), F.ceil(total / size)).cast("bigint").alias("pages"), F.lit(shards).alias("shard_count"))
     return {"detail": detail, "pages": pages, "summary": summary, "law_names": rows.select("law").distinct()}
 
 
-def write_shards(tables: dict[str, DataFrame], target: str) -> None:
-    """One folder per shard and page; a shard's rows are dealt to SHARD_PIECES tasks, so its folder has at most as many files.
+def write_shards(tables: dict[str, DataFrame], target: str, compression: str = "none") -> None:
+    """One folder per shard and page; a shard's rows come dealt to SHARD_PIECES tasks, so its folder has at most as many files.
 
     Pages grow with the images and are small, so they are dealt to many tasks whatever their bytes, and the tasks move their
-    own files into place; by default the driver moves them one by one.
+    own files into place; by default the driver moves them one by one. *compression* is the codec of the shards' files, which hold
+    nearly all bytes.
     """
     tasks = int(tables["pages"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    piece = F.pmod(F.xxhash64("id"), F.lit(SHARD_PIECES))
     committed = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
-    tables["detail"].repartition("shard", piece).write.mode("overwrite").options(**committed).partitionBy("shard").json(f"{target}/detail")
+    tables["detail"].write.mode("overwrite").options(**committed).partitionBy("shard").json(f"{target}/detail", compression=compression)
     tables["pages"].repartition(tasks, "page").write.mode("overwrite").options(**committed).partitionBy("page").json(f"{target}/list")
     tables["summary"].write.mode("overwrite").json(f"{target}/summary")
     tables["law_names"].write.mode("overwrite").json(f"{target}/law_names")

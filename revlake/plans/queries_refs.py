@@ -250,7 +250,7 @@ UNION ALL SELECT 'law_names', 0, count(DISTINCT law), 0 FROM r""")
 def _(t: Inputs):
     rows = manifest(t).withColumn("law", F.get(F.split("doc", "/"), 1))
     target = scratch(t.spark, "shards")
-    refs.write_shards(refs.export_shards(rows, size=50), target)
+    refs.write_shards(refs.export_shards(rows, size=50), target, compression="gzip")
     read = lambda part, schema: t.spark.read.schema(schema).json(f"{target}/{part}")
     out = {
         "detail": read("detail", "id bigint, shard int"), "pages": read("list", "id bigint, pos bigint, page int"),

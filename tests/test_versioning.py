@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlake import session
-from revlake.operators import ordering, refs, versioning
+from revlake.operators import ordering, profile, refs, versioning
 from revlake.plans import catalog
 
 
@@ -170,6 +170,21 @@ def test_shards_are_few_files_and_pages_are_written_by_many_tasks(spark, tmp_pat
     assert spark.read.schema("id long, shard int").json(str(tmp_path / "detail")).count() == 20_000
 
 
+def test_shards_are_dealt_once_and_compressed(spark, tmp_path):
+    rows = [(i % 50, "d" + str(i % 7), i, "error" if i % 9 == 4 else f"s{i % 4}", str(i), f"law {i % 3}") for i in range(2_000)]
+    frame = spark.createDataFrame(rows, "id long, doc string, line int, status string, sha256 string, law string")
+    tables = refs.export_shards(frame, statuses=("s0", "s1", "s2", "s3"), shards=3, size=10)
+    assert tables["detail"]._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    plain = profile.collect_references(frame.filter("status <> 'error'")).withColumn("shard", (F.col("id") % 3).cast("int"))
+    assert tables["detail"].columns == plain.columns
+    assert sorted(map(tuple, tables["detail"].collect())) == sorted(map(tuple, plain.collect()))
+    refs.write_shards(tables, str(tmp_path), compression="gzip")
+    assert 1 <= len(list(tmp_path.glob("detail/shard=0/*.json.gz"))) <= 8 and not list(tmp_path.glob("detail/shard=0/*.json"))
+    back = spark.read.schema(plain.schema).json(str(tmp_path / "detail"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, plain.collect()))
+    assert tables["summary"].first()["total"] == 50
+
+
 def test_law_paths_sticky_and_latest(spark):
     rows = [
         (1, "A", "갑법", "법률", "20000101", "1"), (2, "B", "갑법", "법률", "20010101", "1"), (3, "A", "을법", "법률", "20020101", "1"),
