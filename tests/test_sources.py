@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from revlake.functions.organizations import NATIONAL
 from revlake.operators import refs, reconcile
-from revlake.sources import documents, records, xml_details
+from revlake.sources import documents, records, table_functions, xml_details
 
 
 def test_descendants_errors_and_cdata(spark):
@@ -81,6 +81,23 @@ def test_inventory_and_export(spark, tmp_path):
     assert got["a/x.md"] == ("a", 3, hashlib.sha256("가".encode()).hexdigest()) and set(got) == {"a/x.md", "b/y.md"}
 
 
+def test_table_function_needs_no_shuffle(spark):
+    table_functions.register(spark)
+    item, deep = {"num": "m", "branch": "", "text": "t"}, "array<struct<num:string,branch:string,text:string"
+    schema = f"id int, note string, articles {deep},paragraphs:{deep},subparas:{deep},items:{deep}>>>>>>>>"
+    sub = lambda n: item | {"items": [item] * n}
+    para = lambda *n: item | {"subparas": [sub(x) for x in n]}
+    rows = [(1, "a", [item | {"paragraphs": [para(2, 0), para()]}, item | {"paragraphs": [para(1)]}]), (2, None, None), (3, "c", []), (4, "d", [item | {"paragraphs": []}])]
+    parsed = spark.createDataFrame(rows, schema)
+    got = spark.sql("SELECT * FROM explode_articles(TABLE({parsed}))", parsed=parsed)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    want = sorted(tuple(r) for r in xml_details.explode_articles(parsed, "id").collect())
+    assert sorted(tuple(r) for r in got.drop("note").collect()) == want and len(want) == 12
+    dealt = spark.sql("SELECT * FROM explode_articles(TABLE({parsed}) PARTITION BY id)", parsed=parsed)
+    assert sorted(tuple(r) for r in dealt.drop("note").collect()) == want
+    assert {(r["id"], r["note"]) for r in got.collect()} == {(1, "a"), (4, "d")}
+
+
 def test_inventory_is_listed_by_tasks(spark, tmp_path):
     names = ["a/b/c/deep.txt", "a:b/x y.txt", "top.txt", "a/_k=v/in.txt", "_metadata.txt", ".hidden", "_skipped", "a/.d/x.txt", "_s/x.txt", "half._COPYING_"]
     for name in names:
