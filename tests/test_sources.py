@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from revlake.functions.organizations import NATIONAL
-from revlake.operators import refs, reconcile
+from revlake.operators import refs, reconcile, render
 from revlake.sources import documents, records, table_functions, xml_details
 
 
@@ -98,6 +98,20 @@ def test_table_function_needs_no_shuffle(spark):
     assert {(r["id"], r["note"]) for r in got.collect()} == {(1, "a"), (4, "d")}
 
 
+def test_lines_of_articles_and_rules_and_rules_have_no_arrays_of_lines(spark):
+    item = "array<struct<num:string,branch:string,text:string"
+    schema = f"articles {item},kind:string,title:string,paragraphs:{item},subparas:{item},items:{item}>>>>>>>>"
+    none, sub = ("", "", "", []), lambda text: ("1..", "2", text, [("가.", "", "가. x")])
+    paras = [none, ("", "", "", [("", "", "", [])]), ("①", "", "① p·q", [sub("1. a  b"), sub("")])]
+    rows = [([("3", "2", "제3조의2(t) [a](b)", "", "t", paras), ("", "", "제1장 총칙", "전문", "", []), ("", "", "", "전문", "", []), ("4", "", "", "", "", [])],)]
+    df = spark.createDataFrame(rows, schema).select(render.render_articles("articles").alias("md"))
+    assert df.first()["md"] == (
+        "##### 제3조의2 (t)\n\n\\[a](b)\n\n\n**①** pㆍq\n\n  1의2\\. a b\n    가\\. x\n    가\\. x\n\n## 제1장 총칙\n\n##### 제4조\n")
+    body = spark.createDataFrame([("제1장 a\n제2조(b) ① c\n① d\n\n\n제3조 삭제\n제 e\n1. f",)], "t string").select(render.structured_body(F.lit("n"), F.col("t")).alias("md"))
+    assert body.first()["md"] == "# n\n\n## 제1장 a\n\n##### 제2조 (b)\n\n**①** c\n\n**①** d\n\n##### 제3조\n\n삭제\n\n제 e\n  1\\. f"
+    assert "flatten" not in body._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_inventory_is_listed_by_tasks(spark, tmp_path):
     names = ["a/b/c/deep.txt", "a:b/x y.txt", "top.txt", "a/_k=v/in.txt", "_metadata.txt", ".hidden", "_skipped", "a/.d/x.txt", "_s/x.txt", "half._COPYING_"]
     for name in names:
